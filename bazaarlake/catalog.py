@@ -3,28 +3,51 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bazaarlake import schema
-from bazaarlake.plans import gold
+from bazaarlake.functions import calendar, money, text
+from bazaarlake.operators import mirror as mirrors
+from bazaarlake.operators.latest import latest_by_key
+from bazaarlake.operators.rollup import rollup_totals
+from bazaarlake.operators.series import explode_series, sample_k_per_group
+from bazaarlake.plans import flat, gold, kpi, profile, quality, refresh
 from bazaarlake.plans.silver import Silver
+from bazaarlake.session import work_dir
+from bazaarlake.sources import extract, seed, storage
 from bazaarlake.sources.tables import RetailSource
+from bazaarlake.streaming import mirror_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def _on_silver(build: Callable[[Silver], DataFrame]) -> Query:
-    return lambda spark, path: build(Silver(RetailSource(spark, path)))
+def source_query(build: Callable[[RetailSource], DataFrame]) -> Callable[[RetailSource], DataFrame]:
+    """Register a query by its function's name."""
+    QUERIES[build.__name__] = lambda spark, path: build(RetailSource(spark, path))
+    return build
 
 
-def _on_source(build: Callable[[RetailSource], DataFrame]) -> Query:
-    return lambda spark, path: build(RetailSource(spark, path))
+def _register(name: str, build: Callable[[RetailSource], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, path: build(RetailSource(spark, path))
 
 
+def _utc(text_: str) -> datetime:
+    return datetime.fromisoformat(text_).replace(tzinfo=timezone.utc)
+
+
+# -- mirror, bronze and raw tables ---------------------------------------------------------------------------
+
 for _t in schema.TABLES:
-    QUERIES[f"silver_{_t}"] = _on_silver(lambda silver, t=_t: silver(t))
+    _register(f"silver_{_t}", lambda src, t=_t: Silver(src)(t))
+for _t in schema.REFRESH_TABLES:
+    _register(f"bronze_{_t}", lambda src, t=_t: refresh.bronze_of(src)(t))
+    _register(f"raw_{_t}", lambda src, t=_t: flat.raw_of(src)(t))
+
+# -- star schema and its variants ----------------------------------------------------------------------------
 
 for _build in (
     gold.dim_customer,
@@ -36,5 +59,404 @@ for _build in (
     gold.fact_payments,
     gold.fact_purchases,
     gold.fact_inventory,
+    kpi.kpi_sales_by_governorate,
+    kpi.kpi_open_balance,
+    kpi.kpi_inventory,
+    kpi.kpi_stock_distribution,
+):
+    _register(_build.__name__, lambda src, b=_build: b(Silver(src)))
+for _build in (
+    refresh.active_customers,
+    refresh.active_products,
+    refresh.locations,
+    refresh.sales,
+    refresh.fact_sales_simple,
+    refresh.fact_dim_gap,
+):
+    _register(_build.__name__, lambda src, b=_build: b(refresh.bronze_of(src)))
+for _build in (
+    flat.dim_customers_via_city,
+    flat.dim_products_flat,
+    flat.dim_locations_flat,
+    flat.fact_sales_flat,
+):
+    _register(_build.__name__, lambda src, b=_build: b(flat.raw_of(src)))
+for _build in (
+    profile.row_counts,
+    profile.partner_counts,
+    profile.variants_per_template,
+    profile.vendors_per_product,
+    profile.order_time_span,
+    profile.sale_state_dist,
+    profile.purchase_state_dist,
+    profile.payment_coverage,
+    profile.top_governorates,
+    profile.inventory_position,
+    profile.inventory_value_top,
+    profile.duplicate_emails,
+    quality.orphan_check,
+    quality.fk_check,
+    quality.unique_check,
+    quality.value_check,
+    quality.state_check,
+    quality.not_null_check,
+    quality.total_reconciliation,
+    quality.dirtiness_sample,
+):
+    _register(_build.__name__, lambda src, b=_build: b(src.table))
+
+
+@source_query
+def kpi_monthly_sales(src):
+    return kpi.kpi_monthly_sales(src.spark, Silver(src))
+
+
+@source_query
+def dim_date(src):
+    """The calendar with the sales lines dated on each day."""
+    return kpi.calendar_activity(gold.dim_date(src.spark), gold.fact_sales(Silver(src)))
+
+
+@source_query
+def dim_date_iso(src):
+    """The calendar of the full-refresh variant with the payments dated on each day. Its years come after the
+    test data's, so the dates are moved by 25 years."""
+    paid = Silver(src)("account_payment").select(
+        calendar.date_key(F.coalesce("payment_date", "create_date") + F.expr("interval 25 years")).alias("date_key")
+    )
+    return kpi.calendar_activity(refresh.dim_date_iso(src.spark), paid)
+
+
+@source_query
+def fact_sales_final(src):
+    """The sales fact over a mirror log that holds corrections and a stale replay: newest version counts."""
+    orders, lines = (Silver(src)(t) for t in ("sale_order", "sale_order_line"))
+    later = F.expr("write_date + interval 1 day")
+    orders_log = (
+        orders.withColumn("batch_id", F.lit(1))
+        .unionByName(
+            orders.where("id % 10 = 3").withColumns(
+                {"state": F.lit("cancel"), "write_date": later, "batch_id": F.lit(2)}
+            )
+        )
+        .unionByName(
+            orders.where("id % 10 = 4").withColumns(
+                {"state": F.lit("stale"), "write_date": F.expr("write_date - interval 1 day"), "batch_id": F.lit(3)}
+            )
+        )
+    )
+    lines_log = lines.withColumn("batch_id", F.lit(1)).unionByName(
+        lines.where("id % 10 = 5").withColumns(
+            {"discount": F.lit(50).cast("decimal(9,4)"), "batch_id": F.lit(2)}
+        )
+    )
+    order = ["write_date", "batch_id"]
+    return gold.fact_sales(
+        Silver(
+            src,
+            sale_order=latest_by_key(orders_log, ["id"], order).drop("batch_id"),
+            sale_order_line=latest_by_key(lines_log, ["id"], order).drop("batch_id"),
+        )
+    )
+
+
+# -- extracts and stored tables ------------------------------------------------------------------------------
+
+
+@source_query
+def extract_full(src):
+    return src.table("account_payment")
+
+
+@source_query
+def extract_inferred(src):
+    """Types as the files declare them, loosened to the raw layer's."""
+    return extract.raw_typed(src.raw("orders"))
+
+
+@source_query
+def extract_incremental(src):
+    return extract.changed_since(src.change_feed, _utc("2024-01-15T12:00:00"))
+
+
+@source_query
+def extract_lookback(src):
+    return extract.changed_since(src.change_feed, _utc("2024-01-15T12:00:00"), lookback=timedelta(days=2))
+
+
+@source_query
+def raw_typed(src):
+    return extract.raw_typed(src.table("stock_quant"))
+
+
+@source_query
+def bronze_conform(src):
+    """Partners without their optional text, then conformed: required columns get their defaults."""
+    holes = src.table("res_partner").withColumns(
+        {c: F.expr(f"if(id % 6 = 0, null, {c})") for c in ("name", "muhafaza_id", "is_company", "partner_type")}
+    )
+    return extract.conform(holes, "res_partner")
+
+
+@source_query
+def fact_layout(src):
+    """The sales fact written in storage order and read back."""
+    fact = gold.fact_sales(Silver(src))
+    root = work_dir(src.spark, "fact_layout")
+    storage.publish(storage.sorted_layout(fact, gold.FACT_SORT["fact_sales"]), root)
+    return storage.read_published(src.spark, root)
+
+
+@source_query
+def insert_if_absent(src):
+    orders = src.order_headers.select("id", "name", "state")
+    offered = orders.select("id", F.concat("name", F.lit("-new")).alias("name"), "state")
+    return storage.insert_if_absent(orders.where("id % 3 <> 0"), offered, ["id"])
+
+
+# Zones of the test data's governorates.
+ZONES = [
+    ("R-0", "south", "EGP"),
+    ("R-1", "west", "USD"),
+    ("R-2", "east", "EGP"),
+    ("R-3", "north", "EUR"),
+    ("R-9", "unused", "EGP"),
+]
+
+
+@source_query
+def seed_dims(src):
+    """Inline zone rows joined on the governorate code, with the partners living there."""
+    zones = seed.literal_rows(src.spark, ZONES, "mcode string, zone string, currency string")
+    people = src.table("res_partner").groupBy("muhafaza_id").agg(F.count(F.lit(1)).alias("partners"))
+    return seed.with_governorate(zones, src.table("muhafazat")).join(people, "muhafaza_id", "left").select(
+        "muhafaza_id", "zone", "currency", F.coalesce("partners", F.lit(0)).alias("partners")
+    )
+
+
+@source_query
+def location_city_lookup(src):
+    """Each partner's city id looked up by governorate and cleaned city name."""
+    people = src.table("res_partner").select(
+        F.col("id").alias("partner_id"), "muhafaza_id", text.clean_city(F.col("city")).alias("city_name")
+    )
+    cities = src.table("cities").withColumn("name", F.lower("name"))
+    return seed.with_city(people, cities)
+
+
+# -- mirror --------------------------------------------------------------------------------------------------
+
+FEED = "user_events"
+RUNS = ("2024-01-11T00:00:00", "2024-01-21T00:00:00", None, None)
+
+
+def _feed_until(src: RetailSource, until: str | None) -> DataFrame:
+    if until is None:
+        return src.change_feed
+    limit = extract.utc_literal(_utc(until), src.change_feed.schema["write_date"].dataType)
+    return src.change_feed.where(F.col("write_date") < limit)
+
+
+def _stamped(df: DataFrame) -> DataFrame:
+    return df.withColumn("write_date", F.col("write_date").cast("timestamp"))
+
+
+def _feed_mirror(src: RetailSource, purpose: str) -> mirrors.Mirror:
+    return mirrors.Mirror(src.spark, work_dir(src.spark, purpose), FEED, ties=("event_id",))
+
+
+def _daily_runs(src: RetailSource, purpose: str, runs=RUNS) -> mirrors.Mirror:
+    mirror = _feed_mirror(src, purpose)
+    for until in runs:
+        mirror.load(_feed_until(src, until), _stamped)
+    return mirror
+
+
+@source_query
+def latest_by_key_query(src):
+    return latest_by_key(_stamped(src.change_feed), ["id"], ["write_date", "event_id"])
+
+
+QUERIES["latest_by_key"] = QUERIES.pop("latest_by_key_query")
+
+
+@source_query
+def mirror_upsert(src):
+    return _daily_runs(src, "upsert").current()
+
+
+@source_query
+def mirror_backfill(src):
+    """The log after one first run: every version of every key."""
+    return _daily_runs(src, "backfill", runs=(None,)).log().drop("batch_id")
+
+
+@source_query
+def mirror_replay(src):
+    """The second run reads five days again; the repeats change nothing."""
+    mirror = _feed_mirror(src, "replay")
+    mirror.load(_feed_until(src, RUNS[0]), _stamped)
+    mirror.load(src.change_feed, _stamped, lookback=timedelta(days=5))
+    return mirror.current()
+
+
+@source_query
+def mirror_compact(src):
+    """Compacted after the first run, later runs merged at read time."""
+    mirror = _daily_runs(src, "compact", runs=RUNS[:1])
+    mirror.compact()
+    mirror.load(src.change_feed, _stamped)
+    return mirror.current()
+
+
+@source_query
+def mirror_full_refresh(src):
+    return mirrors.full_refresh(src.table("stock_quant"), work_dir(src.spark, "refresh"))
+
+
+@source_query
+def checkpoint_log(src):
+    log = _daily_runs(src, "checkpoint_log").checkpoint_log()
+    return log.select("table_name", "last_write_date", "rows_loaded")
+
+
+@source_query
+def checkpoint_read(src):
+    return mirrors.high_water(_daily_runs(src, "checkpoint_read", runs=RUNS[:2]).checkpoint_log(), FEED)
+
+
+@source_query
+def batch_high_water(src):
+    cursor = _utc("2024-01-15T12:00:00")
+    return mirrors.batch_high_water(extract.changed_since(src.change_feed, cursor), cursor)
+
+
+def mirror_stream_query(spark: SparkSession, path: str) -> DataFrame:
+    src = RetailSource(spark, path)
+    root = work_dir(spark, "stream")
+
+    def select(events: DataFrame) -> DataFrame:
+        return events.select(
+            F.col("user_id").alias("id"),
+            F.col("ts").cast("timestamp").alias("write_date"),
+            "event_id",
+            "event_type",
+            F.col("value").cast("decimal(18,4)").alias("value"),
+        )
+
+    mirror_stream.pull_available(spark, f"{path}/events.parquet", src.raw("events").schema, select, root)
+    return mirror_stream.current(spark, root, ["id"], "write_date", ["event_id"])
+
+
+QUERIES["mirror_stream"] = mirror_stream_query
+
+# -- single expressions and operators ------------------------------------------------------------------------
+
+for _name, _column, _rule in (
+    ("clean_name", "name", text.clean_name),
+    ("clean_email", "email", text.clean_email),
+    ("clean_phone", "phone", text.clean_phone),
+    ("clean_city", "city", text.clean_city),
+    ("clean_street", "street", text.clean_street),
 ):
-    QUERIES[_build.__name__] = _on_silver(_build)
+    _register(
+        _name,
+        lambda src, c=_column, rule=_rule: src.table("res_partner").select(
+            "id", F.col(c).alias("raw"), rule(F.col(c)).alias("cleaned")
+        ),
+    )
+
+
+@source_query
+def partner_union(src):
+    return src.customers.unionByName(src.vendors).select("id", "name", "partner_type", "city_id", "muhafaza_id")
+
+
+@source_query
+def date_key(src):
+    return src.order_headers.select(
+        "id",
+        calendar.date_key(F.col("date_order")).alias("date_key"),
+        calendar.iso_day_of_week(F.col("date_order")).alias("day_of_week"),
+    )
+
+
+@source_query
+def line_amounts(src):
+    lines = src.table("sale_order_line")
+    net, total = money.line_amounts(
+        F.col("product_uom_qty"), F.col("price_unit"), F.col("discount"), F.expr("cast((id % 16) * 0.01 as decimal(3,2))")
+    )
+    return lines.select("id", net.alias("price_subtotal"), total.alias("price_total"))
+
+
+@source_query
+def payment_date_offset(src):
+    lines = explode_series(src.order_headers.select("id", "date_order"), F.expr("cast(id % 3 as int)"), "k")
+    due = calendar.plus_days(F.col("date_order"), F.expr("k * (5 + id % 40)"))
+    return lines.select("id", "k", due.cast("timestamp").alias("due"))
+
+
+@source_query
+def code_format(src):
+    name = F.col("name")
+    return src.order_headers.select(
+        "id",
+        name.alias("code"),
+        F.left(name, F.lit(3)).alias("head"),
+        F.right(name, F.lit(4)).alias("tail"),
+        F.lower(name).alias("lowered"),
+    )
+
+
+@source_query
+def category_path(src):
+    paths = src.raw("part").select("p_partkey", text.category_path(F.col("p_type"), F.col("p_brand")).alias("path"))
+    return paths.groupBy("path").agg(F.count(F.lit(1)).alias("parts"))
+
+
+@source_query
+def variant_name(src):
+    return src.table("product_product").select("id", "name", "color", "size")
+
+
+@source_query
+def explode_series_query(src):
+    return explode_series(src.order_headers.select("id"), F.expr("cast(id % 3 as int)"), "k")
+
+
+QUERIES["explode_series"] = QUERIES.pop("explode_series_query")
+
+
+@source_query
+def sample_k_query(src):
+    """For every purchase order, one to five products from its vendor's price list."""
+    orders = src.table("purchase_order").select(F.col("id").alias("order_id"), "partner_id")
+    offers = src.table("product_supplierinfo").select("partner_id", "product_id", "price")
+    return sample_k_per_group(
+        orders,
+        offers,
+        group="partner_id",
+        k=F.expr("1 + order_id % 5"),
+        start=F.expr("(order_id % 1000003) * 7919 % 1000003"),
+        shuffle_key=F.expr("((product_id % 1000003) * 7919 + (partner_id % 1000003) * 104729) % 1000003"),
+        item_key="product_id",
+        request_key="order_id",
+    ).select("order_id", "partner_id", "pick", "product_id", "price")
+
+
+QUERIES["sample_k_per_group"] = QUERIES.pop("sample_k_query")
+
+
+@source_query
+def order_rollup(src):
+    return rollup_totals(src.order_headers, src.table("sale_order_line")).select(
+        "id", "amount_untaxed", "amount_tax", "amount_total"
+    )
+
+
+@source_query
+def purchase_rollup(src):
+    return rollup_totals(src.purchase_headers, src.table("purchase_order_line")).select(
+        "id", "amount_untaxed", "amount_tax", "amount_total"
+    )

@@ -1,7 +1,7 @@
 """Reference SQL (DuckDB dialect) for every registered query, on the same parquet tables.
 
-``VIEWS`` repeats the source formulas and the mirror rules; ``QUERIES`` holds one statement per query. A query
-is completed with just the views it mentions.
+``VIEWS`` repeats the source formulas, the mirror rules and the tables built on them. ``complete`` puts the views
+a statement mentions in front of it; the statements are in ``oracle_queries``.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ def _phone(c: str) -> str:
                     WHEN {d} LIKE '1%' AND length({d}) = 10 THEN '+20' || {d} END"""
 
 
-_CLEAN = {
+CLEAN = {
     "name": _initcap(r"trim(regexp_replace(name, '\s+', ' ', 'g'))"),
     "email": "nullif(lower(trim(email)), '')",
     "phone": _phone("phone"),
@@ -53,7 +53,7 @@ _CLEAN = {
 def _columns(table: str, mirror: bool) -> str:
     out = []
     for c in schema.columns(table):
-        value = _CLEAN.get(c.name, c.name) if mirror and table == "res_partner" else c.name
+        value = CLEAN.get(c.name, c.name) if mirror and table == "res_partner" else c.name
         out.append(f"CAST({value} AS {c.mirror_type if mirror else c.type}) AS {c.name}")
     return ", ".join(out)
 
@@ -67,7 +67,7 @@ def _bronze(table: str) -> str:
     return f"SELECT {', '.join(out)} FROM src_{table}"
 
 
-def _raw(table: str) -> str:
+def raw_select(table: str) -> str:
     def loose(t: str) -> str:
         if t in ("int", "bigint"):
             return "BIGINT"
@@ -237,13 +237,11 @@ VIEWS = {
 for _t in schema.TABLES:
     VIEWS[f"silver_{_t}"] = f"SELECT {_columns(_t, True)} FROM src_{_t}"
 
-_DEDUP = """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY {order}) AS rn FROM {rel})
-    WHERE rn = 1"""
 _PARTNER = """coalesce(nullif(c.name, ''), p.city, '') AS city, coalesce(m.name, '') AS governorate,
            coalesce(m.name_ar, '') AS governorate_ar, coalesce(m.code, '') AS governorate_code
     FROM silver_res_partner p LEFT JOIN silver_cities c ON p.city_id = c.id
     LEFT JOIN silver_muhafazat m ON p.muhafaza_id = m.id"""
-_DATE_KEY = "CAST(strftime({}, '%Y%m%d') AS INTEGER)"
+DATE_KEY = "CAST(strftime({}, '%Y%m%d') AS INTEGER)"
 
 VIEWS |= {
     "dim_customer": f"""
@@ -271,14 +269,14 @@ VIEWS |= {
            coalesce(c.name, '') AS city, coalesce(m.name, '') AS governorate, coalesce(m.name_ar, '') AS governorate_ar
     FROM silver_stock_location l LEFT JOIN silver_cities c ON l.city_id = c.id
     LEFT JOIN silver_muhafazat m ON l.muhafaza_id = m.id""",
-    "dim_date": f"""
-    SELECT {_DATE_KEY.format('d')} AS date_key, d AS date, CAST(day(d) AS INTEGER) AS day,
+    "calendar": f"""
+    SELECT {DATE_KEY.format('d')} AS date_key, d AS date, CAST(day(d) AS INTEGER) AS day,
            CAST(month(d) AS INTEGER) AS month, CAST(quarter(d) AS INTEGER) AS quarter, CAST(year(d) AS INTEGER) AS year,
            CAST(isodow(d) AS INTEGER) AS day_of_week, dayname(d) AS day_name, monthname(d) AS month_name,
            CAST(isodow(d) IN (5, 6) AS INTEGER) AS is_weekend
     FROM (SELECT CAST(unnest(generate_series(DATE '2015-01-01', DATE '2035-12-31', INTERVAL 1 DAY)) AS DATE) AS d)""",
     "fact_sales": f"""
-    SELECT l.id AS sale_line_key, o.id AS order_id, o.name AS order_name, {_DATE_KEY.format('o.date_order')} AS date_key,
+    SELECT l.id AS sale_line_key, o.id AS order_id, o.name AS order_name, {DATE_KEY.format('o.date_order')} AS date_key,
            o.partner_id AS customer_key, l.product_id AS product_key, o.location_id AS location_key,
            o.state AS order_state, l.product_uom_qty AS quantity, l.price_unit AS unit_price, l.discount AS discount_pct,
            l.price_subtotal AS amount_untaxed, CAST(l.price_total - l.price_subtotal AS DECIMAL(18,4)) AS tax_amount,
@@ -286,10 +284,10 @@ VIEWS |= {
     FROM silver_sale_order_line l JOIN silver_sale_order o ON l.order_id = o.id""",
     "fact_payments": f"""
     SELECT id AS payment_key, name AS payment_name, sale_order_id AS order_id, partner_id AS customer_key,
-           {_DATE_KEY.format('coalesce(payment_date, create_date)')} AS date_key, amount, payment_type, journal,
+           {DATE_KEY.format('coalesce(payment_date, create_date)')} AS date_key, amount, payment_type, journal,
            payment_method, state AS payment_state FROM silver_account_payment""",
     "fact_purchases": f"""
-    SELECT l.id AS purchase_line_key, o.id AS order_id, o.name AS order_name, {_DATE_KEY.format('o.date_order')} AS date_key,
+    SELECT l.id AS purchase_line_key, o.id AS order_id, o.name AS order_name, {DATE_KEY.format('o.date_order')} AS date_key,
            o.partner_id AS vendor_key, l.product_id AS product_key, o.location_id AS location_key,
            o.state AS order_state, l.product_qty AS quantity, l.price_unit AS unit_cost,
            l.price_subtotal AS amount_untaxed, CAST(l.price_total - l.price_subtotal AS DECIMAL(18,4)) AS tax_amount,
@@ -303,12 +301,29 @@ VIEWS |= {
     LEFT JOIN silver_product_template t ON p.product_tmpl_id = t.id""",
 }
 
-QUERIES: dict[str, str] = {}
-for _t in schema.TABLES:
-    QUERIES[f"silver_{_t}"] = f"SELECT * FROM silver_{_t}"
-for _t in ("dim_customer", "dim_vendor", "category_parent", "dim_product", "dim_location",
-           "fact_sales", "fact_payments", "fact_purchases", "fact_inventory"):
-    QUERIES[_t] = f"SELECT * FROM {_t}"
+for _t in schema.REFRESH_TABLES:
+    VIEWS[f"bronze_{_t}"] = _bronze(_t)
+    VIEWS[f"raw_{_t}"] = raw_select(_t)
+VIEWS |= {
+    "active_customers": """
+    SELECT p.id AS customer_id, p.name AS customer_name, coalesce(p.email, '') AS email, coalesce(p.phone, '') AS phone,
+           coalesce(p.street, '') AS street, coalesce(c.name, '') AS city_name, coalesce(m.name, '') AS muhafaza_name,
+           p.is_company, p.partner_type, coalesce(p.segment, '') AS segment, p.active
+    FROM bronze_res_partner p LEFT JOIN bronze_cities c ON p.city_id = c.id
+    LEFT JOIN bronze_muhafazat m ON p.muhafaza_id = m.id WHERE p.active""",
+    "active_products": """
+    SELECT pp.id AS product_id, coalesce(pt.name, '') AS product_name, coalesce(pp.default_code, '') AS default_code,
+           coalesce(pp.barcode, '') AS barcode, coalesce(pp.color, '') AS color, coalesce(pp.size, '') AS size,
+           coalesce(pc.name, '') AS category_name, CAST(coalesce(pt.list_price, 0) AS DECIMAL(12,2)) AS list_price,
+           CAST(coalesce(pt.standard_price, 0) AS DECIMAL(12,2)) AS standard_price,
+           coalesce(pt.type, '') AS product_type, pp.active
+    FROM bronze_product_product pp LEFT JOIN bronze_product_template pt ON pp.product_tmpl_id = pt.id
+    LEFT JOIN bronze_product_category pc ON pt.categ_id = pc.id WHERE pp.active""",
+    "sales": """
+    SELECT l.id AS sale_line_id, o.id AS order_id, o.partner_id AS customer_id, o.location_id, o.date_order,
+           o.state AS order_state, l.product_id, l.product_uom_qty, l.price_unit, l.discount, l.price_subtotal, l.price_total
+    FROM bronze_sale_order_line l JOIN bronze_sale_order o ON l.order_id = o.id""",
+}
 
 
 def complete(sql: str) -> str:
@@ -339,7 +354,3 @@ def _ordered(names: set[str]) -> list[str]:
         if name in names:
             visit(name)
     return done
-
-
-def all_queries() -> dict[str, str]:
-    return {name: complete(sql) for name, sql in QUERIES.items()}
