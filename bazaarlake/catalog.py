@@ -108,19 +108,20 @@ for _build in (
 
 @source_query
 def kpi_monthly_sales(src):
-    return kpi.kpi_monthly_sales(src.spark, Silver(src))
+    return kpi.kpi_monthly_sales(gold.dim_date(src.spark, first="1995-01-01"), Silver(src))
 
 
 @source_query
 def dim_date(src):
-    """The calendar with the sales lines dated on each day."""
-    return kpi.calendar_activity(gold.dim_date(src.spark), gold.fact_sales(Silver(src)))
+    """The calendar with the sales lines dated on each day. It begins after the test data ends, so the
+    lines are moved by 20 years."""
+    moved = gold.fact_sales(Silver(src)).select((F.col("date_key") + 200000).alias("date_key"))
+    return kpi.calendar_activity(gold.dim_date(src.spark), moved)
 
 
 @source_query
 def dim_date_iso(src):
-    """The calendar of the full-refresh variant with the payments dated on each day. Its years come after the
-    test data's, so the dates are moved by 25 years."""
+    """The calendar of the full-refresh variant with the payments dated on each day, moved by 25 years."""
     paid = Silver(src)("account_payment").select(
         calendar.date_key(F.coalesce("payment_date", "create_date") + F.expr("interval 25 years")).alias("date_key")
     )
@@ -165,7 +166,7 @@ def fact_sales_final(src):
 
 @source_query
 def extract_full(src):
-    return src.table("account_payment")
+    return extract.in_utc(src.table("account_payment"))
 
 
 @source_query
@@ -176,12 +177,13 @@ def extract_inferred(src):
 
 @source_query
 def extract_incremental(src):
-    return extract.changed_since(src.change_feed, _utc("2024-01-15T12:00:00"))
+    return extract.in_utc(extract.changed_since(src.change_feed, _utc("2024-01-15T12:00:00")))
 
 
 @source_query
 def extract_lookback(src):
-    return extract.changed_since(src.change_feed, _utc("2024-01-15T12:00:00"), lookback=timedelta(days=2))
+    late = extract.changed_since(src.change_feed, _utc("2024-01-15T12:00:00"), lookback=timedelta(days=2))
+    return extract.in_utc(late)
 
 
 @source_query
@@ -257,10 +259,6 @@ def _feed_until(src: RetailSource, until: str | None) -> DataFrame:
     return src.change_feed.where(F.col("write_date") < limit)
 
 
-def _stamped(df: DataFrame) -> DataFrame:
-    return df.withColumn("write_date", F.col("write_date").cast("timestamp"))
-
-
 def _feed_mirror(src: RetailSource, purpose: str) -> mirrors.Mirror:
     return mirrors.Mirror(src.spark, work_dir(src.spark, purpose), FEED, ties=("event_id",))
 
@@ -268,13 +266,13 @@ def _feed_mirror(src: RetailSource, purpose: str) -> mirrors.Mirror:
 def _daily_runs(src: RetailSource, purpose: str, runs=RUNS) -> mirrors.Mirror:
     mirror = _feed_mirror(src, purpose)
     for until in runs:
-        mirror.load(_feed_until(src, until), _stamped)
+        mirror.load(_feed_until(src, until), extract.in_utc)
     return mirror
 
 
 @source_query
 def latest_by_key_query(src):
-    return latest_by_key(_stamped(src.change_feed), ["id"], ["write_date", "event_id"])
+    return latest_by_key(extract.in_utc(src.change_feed), ["id"], ["write_date", "event_id"])
 
 
 QUERIES["latest_by_key"] = QUERIES.pop("latest_by_key_query")
@@ -295,8 +293,8 @@ def mirror_backfill(src):
 def mirror_replay(src):
     """The second run reads five days again; the repeats change nothing."""
     mirror = _feed_mirror(src, "replay")
-    mirror.load(_feed_until(src, RUNS[0]), _stamped)
-    mirror.load(src.change_feed, _stamped, lookback=timedelta(days=5))
+    mirror.load(_feed_until(src, RUNS[0]), extract.in_utc)
+    mirror.load(src.change_feed, extract.in_utc, lookback=timedelta(days=5))
     return mirror.current()
 
 
@@ -305,13 +303,13 @@ def mirror_compact(src):
     """Compacted after the first run, later runs merged at read time."""
     mirror = _daily_runs(src, "compact", runs=RUNS[:1])
     mirror.compact()
-    mirror.load(src.change_feed, _stamped)
+    mirror.load(src.change_feed, extract.in_utc)
     return mirror.current()
 
 
 @source_query
 def mirror_full_refresh(src):
-    return mirrors.full_refresh(src.table("stock_quant"), work_dir(src.spark, "refresh"))
+    return mirrors.full_refresh(extract.in_utc(src.table("stock_quant")), work_dir(src.spark, "refresh"))
 
 
 @source_query
@@ -344,7 +342,8 @@ def mirror_stream_query(spark: SparkSession, path: str) -> DataFrame:
             F.col("value").cast("decimal(18,4)").alias("value"),
         )
 
-    mirror_stream.pull_available(spark, f"{path}/events.parquet", src.raw("events").schema, select, root)
+    # The trailing * matches the file or the folder of that name; a bare file is no valid stream path.
+    mirror_stream.pull_available(spark, f"{path}/events.parquet*", src.raw("events").schema, select, root)
     return mirror_stream.current(spark, root, ["id"], "write_date", ["event_id"])
 
 

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from bazaarlake import schema
 from bazaarlake.operators.latest import latest_by_key, merge_on_read
@@ -56,12 +55,10 @@ class Mirror:
         self._runs = f"{root}/{table}/_checkpoints"
 
     def checkpoint_log(self) -> DataFrame:
-        try:
+        """Every run ever recorded, empty runs included."""
+        if storage.exists(self.spark, self._runs):
             return self.spark.read.schema(schema.CHECKPOINT_SCHEMA).parquet(self._runs)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema.CHECKPOINT_SCHEMA)
+        return self.spark.createDataFrame([], schema.CHECKPOINT_SCHEMA)
 
     def load(
         self,
@@ -73,10 +70,15 @@ class Mirror:
 
         The new mark and the count are observed while the batch is written; the batch is read once.
         """
-        runs = high_water(self.checkpoint_log(), self.table).crossJoin(
-            self.checkpoint_log().agg(F.count(F.lit(1)).alias("runs"))
+        state = (
+            self.checkpoint_log()
+            .where(F.col("table_name") == self.table)
+            .agg(
+                F.coalesce(F.max(F.unix_micros("last_write_date")), F.lit(0)).alias("mark"),
+                F.count(F.lit(1)).alias("runs"),
+            )
+            .first()
         )
-        state = runs.select(F.unix_micros("last_write_date").alias("mark"), "runs").first()
         cursor = EPOCH + timedelta(microseconds=state["mark"])
         batch_id = state["runs"] + 1
 

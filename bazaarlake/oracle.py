@@ -274,7 +274,7 @@ VIEWS |= {
            CAST(month(d) AS INTEGER) AS month, CAST(quarter(d) AS INTEGER) AS quarter, CAST(year(d) AS INTEGER) AS year,
            CAST(isodow(d) AS INTEGER) AS day_of_week, dayname(d) AS day_name, monthname(d) AS month_name,
            CAST(isodow(d) IN (5, 6) AS INTEGER) AS is_weekend
-    FROM (SELECT CAST(unnest(generate_series(DATE '2015-01-01', DATE '2035-12-31', INTERVAL 1 DAY)) AS DATE) AS d)""",
+    FROM (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2035-12-31', INTERVAL 1 DAY)) AS DATE) AS d)""",
     "fact_sales": f"""
     SELECT l.id AS sale_line_key, o.id AS order_id, o.name AS order_name, {DATE_KEY.format('o.date_order')} AS date_key,
            o.partner_id AS customer_key, l.product_id AS product_key, o.location_id AS location_key,

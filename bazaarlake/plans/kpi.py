@@ -6,7 +6,7 @@ large share of the rows is reduced by partial sums on the map side and the joins
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.plans import gold
@@ -96,8 +96,8 @@ def kpi_stock_distribution(silver: Silver) -> DataFrame:
     )
 
 
-def kpi_monthly_sales(spark: SparkSession, silver: Silver) -> DataFrame:
-    """Sales per calendar month, cancelled orders apart, with the share made on weekends."""
+def kpi_monthly_sales(calendar: DataFrame, silver: Silver) -> DataFrame:
+    """Sales per calendar month, cancelled orders apart, with the part made on weekends."""
     daily = (
         gold.fact_sales(silver)
         .groupBy("date_key")
@@ -107,7 +107,7 @@ def kpi_monthly_sales(spark: SparkSession, silver: Silver) -> DataFrame:
             F.sum(F.when(F.col("order_state") == "cancel", F.col("amount_total"))).cast("decimal(24,4)").alias("lost"),
         )
     )
-    days = gold.dim_date(spark).select("date_key", "year", "month", "month_name", "is_weekend")
+    days = calendar.select("date_key", "year", "month", "month_name", "is_weekend")
     zero = F.lit(0).cast("decimal(24,4)")
     weekend = F.sum(F.when(F.col("is_weekend") == 1, F.col("kept"))).cast("decimal(24,4)")
     return (

@@ -49,6 +49,12 @@ def utc_literal(moment: datetime, type_: T.DataType = T.TimestampType()) -> Colu
     return F.lit(text + "+00:00").cast(T.TimestampType())
 
 
+def in_utc(df: DataFrame) -> DataFrame:
+    """Timestamps without a zone taken as UTC (the session's zone)."""
+    naive = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampNTZType)]
+    return df.withColumns({c: F.col(c).cast("timestamp") for c in naive})
+
+
 def raw_typed(df: DataFrame) -> DataFrame:
     """The loose raw-layer types: 64-bit integers, doubles, timestamps, flags, else text; all nullable."""
 

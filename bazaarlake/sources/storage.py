@@ -8,18 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _folder(spark: SparkSession, path: str):
+    path_class = spark._jvm.org.apache.hadoop.fs.Path
+    folder = path_class(path)
+    return path_class, folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    _, folder, fs = _folder(spark, path)
+    return fs.exists(folder)
+
+
 def _children(spark: SparkSession, path: str) -> list[str]:
     """Names of committed sub-folders (those with a _SUCCESS mark)."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    path_class, folder, fs = _folder(spark, path)
     if not fs.exists(folder):
         return []
-    done = jvm.org.apache.hadoop.fs.Path
     return [
         s.getPath().getName()
         for s in fs.listStatus(folder)
-        if s.isDirectory() and fs.exists(done(s.getPath(), "_SUCCESS"))
+        if s.isDirectory() and fs.exists(path_class(s.getPath(), "_SUCCESS"))
     ]
 
 

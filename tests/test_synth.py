@@ -1,0 +1,76 @@
+import pytest
+from pyspark.sql import functions as F
+
+from bazaarlake import schema
+from bazaarlake.plans import profile, quality
+from bazaarlake.sources.synth import SyntheticSource, Volumes
+
+SMALL = Volumes(customers=1000, vendors=26, products=300, orders=3000, purchase_orders=800)
+
+
+@pytest.fixture(scope="module")
+def synth(spark):
+    return SyntheticSource(spark, SMALL)
+
+
+def fingerprint(df):
+    row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
+    return tuple(row)
+
+
+@pytest.mark.parametrize("table", ["res_partner", "sale_order", "account_payment", "purchase_order_line", "stock_quant"])
+def test_independent_of_partitioning(spark, synth, table):
+    first = fingerprint(synth.table(table))
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", "3")
+    try:
+        assert fingerprint(SyntheticSource(spark, SMALL).table(table)) == first
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+
+
+def test_declared_rules_hold(synth):
+    for check in (quality.fk_check, quality.unique_check, quality.value_check, quality.state_check, quality.not_null_check):
+        assert check(synth.table).where("bad_rows > 0").collect() == []
+    assert quality.total_reconciliation(synth.table).first()["mismatched_orders"] == 0
+
+
+def test_dirt_is_there_at_the_designed_rates(synth):
+    dirt = quality.dirtiness_sample(synth.table).first()
+    assert 0.05 < dirt["partners_null_email"] / 1026 < 0.11
+    assert 0.11 < dirt["partners_null_phone"] / 1026 < 0.19
+    assert 0.16 < dirt["partners_null_city_id"] / 1026 < 0.24
+    assert dirt["duplicate_emails"] > 0 and dirt["names_with_padding"] > 100
+    states = {r["state"]: r["pct"] for r in profile.sale_state_dist(synth.table).collect()}
+    assert 43 < states["sale"] < 49 and 27 < states["done"] < 33 and 6 < states["cancel"] < 10
+
+
+def test_payments_follow_the_order_state(synth):
+    orders = synth.table("sale_order").select(F.col("id").alias("sale_order_id"), F.col("state").alias("order_state"), "amount_total")
+    paid = synth.table("account_payment").join(orders, "sale_order_id")
+    assert paid.where("order_state = 'cancel'").isEmpty()
+    assert paid.where("order_state IN ('draft', 'sent') AND (state <> 'draft' OR payment_date IS NOT NULL)").isEmpty()
+    over = paid.groupBy("sale_order_id").agg(F.sum("amount").alias("p"), F.first("amount_total").alias("t"))
+    assert over.where("p > t + 0.01").isEmpty()
+
+
+def test_purchase_lines_come_from_the_price_list(synth):
+    orders = synth.table("purchase_order").select(F.col("id").alias("order_id"), "partner_id")
+    offers = synth.table("product_supplierinfo").select("partner_id", "product_id", F.col("price").alias("offer"))
+    lines = synth.table("purchase_order_line").join(orders, "order_id").join(offers, ["partner_id", "product_id"], "left")
+    assert lines.where("offer IS NULL OR offer <> price_unit").isEmpty()
+    per_order = lines.groupBy("order_id").count().agg(F.min("count"), F.max("count")).first()
+    assert tuple(per_order) == (1, 5)
+
+
+def test_line_prices_match_their_variant(synth):
+    variants = synth.table("product_product").select(F.col("id").alias("product_id"), "product_tmpl_id", "price_extra")
+    templates = synth.table("product_template").select(F.col("id").alias("product_tmpl_id"), "list_price")
+    lines = synth.table("sale_order_line").join(variants.join(templates, "product_tmpl_id"), "product_id", "left")
+    assert lines.where("list_price IS NULL OR price_unit <> list_price + price_extra").isEmpty()
+
+
+def test_all_tables_have_their_types(synth):
+    for name in schema.TABLES:
+        assert [(f.name, f.dataType) for f in synth.table(name).schema] == [(f.name, f.dataType) for f in schema.struct(name)]
