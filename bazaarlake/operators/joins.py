@@ -41,6 +41,13 @@ def hot_keys(
     )
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the planner's size estimate of ``df`` is below its own broadcast threshold."""
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def skew_join(
     many: DataFrame,
     one: DataFrame,
@@ -51,10 +58,13 @@ def skew_join(
 ) -> DataFrame:
     """Join ``many`` to ``one`` (unique on its key) with hot keys of ``many`` spread over several tasks.
 
-    Rows of a hot key get a salt from their own id and the matching row of ``one`` is copied once per salt;
-    the copies over all hot keys number at most rows / rows_per_copy. NULL keys, which match nothing, are
-    spread too. The hot key list is broadcast; ``hot_keys`` bounds its size.
+    If ``one`` is small enough to be broadcast, ``many`` is not shuffled and a plain join is all it takes.
+    Otherwise rows of a hot key get a salt from their own id and the matching row of ``one`` is copied once
+    per salt; the copies over all hot keys number at most rows / rows_per_copy. NULL keys, which match
+    nothing, are spread too. The hot key list is broadcast; ``hot_keys`` bounds its size.
     """
+    if fits_broadcast(one):
+        return many.join(one, [F.col(m) == F.col(o) for m, o in on], how)
     many_keys = [m for m, _ in on]
     hot = F.broadcast(hot_keys(many, many_keys, row_key, **probe_options))
 

@@ -1,11 +1,22 @@
-"""Roll line amounts up to their headers."""
+"""Unions of many frames, and line amounts rolled up to their headers."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def union_all(frames: Iterable[DataFrame]) -> DataFrame:
+    """Union by name, paired up as a balanced tree: a chain would be analysed again from the start at each step."""
+    level = list(frames)
+    while len(level) > 1:
+        pairs = [level[i : i + 2] for i in range(0, len(level), 2)]
+        level = [p[0].unionByName(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    return level[0]
+
+
 def line_totals(lines: DataFrame, header_key: str = "order_id") -> DataFrame:
     return lines.groupBy(F.col(header_key).alias("_header")).agg(
         F.sum("price_subtotal").cast("decimal(14,2)").alias("_net"),

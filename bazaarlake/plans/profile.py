@@ -7,12 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlake import schema
+from bazaarlake.operators.rollup import union_all
 
 Tables = Callable[[str], DataFrame]
 
@@ -22,7 +22,7 @@ def row_counts(tables: Tables) -> DataFrame:
         tables(t).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
         for t in schema.TABLES
     ]
-    return reduce(DataFrame.unionByName, counts).orderBy("table_name")
+    return union_all(counts).orderBy("table_name")
 
 
 def partner_counts(tables: Tables) -> DataFrame:

@@ -6,29 +6,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake import schema
 from bazaarlake.operators.joins import missing_parents
-from bazaarlake.operators.rollup import line_totals
+from bazaarlake.operators.rollup import line_totals, union_all
 
 Tables = Callable[[str], DataFrame]
 
 
-def _union(frames: Iterable[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 def _missing_rows(tables: Tables, child: str, fk: str, parent: str) -> DataFrame:
     gone = missing_parents(tables(child).select(fk), fk, tables(parent))
     return gone.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("bad_rows"))
 
 
 def fk_check(tables: Tables, keys=schema.FOREIGN_KEYS) -> DataFrame:
-    return _union(
+    return union_all(
         _missing_rows(tables, child, fk, parent).select(
             F.lit(child).alias("table_name"), F.lit(fk).alias("column_name"), F.lit(parent).alias("parent"), "bad_rows"
         )
@@ -47,7 +42,7 @@ ORPHANS = (
 
 
 def orphan_check(tables: Tables) -> DataFrame:
-    return _union(
+    return union_all(
         _missing_rows(tables, child, fk, parent).select(F.lit(label).alias("check_name"), "bad_rows")
         for label, child, fk, parent in ORPHANS
     )
@@ -62,7 +57,7 @@ def unique_check(tables: Tables, keys=schema.UNIQUE_KEYS) -> DataFrame:
             F.lit(table).alias("table_name"), F.lit(", ".join(key)).alias("key_columns"), "bad_rows"
         )
 
-    return _union(one(t, k) for t, k in keys)
+    return union_all(one(t, k) for t, k in keys)
 
 
 def _counted(tables: Tables, rules: Iterable[tuple[str, str, object]]) -> DataFrame:
@@ -76,7 +71,7 @@ def _counted(tables: Tables, rules: Iterable[tuple[str, str, object]]) -> DataFr
         pairs = F.array(*[F.struct(F.lit(label).alias("rule"), F.col(label).alias("bad_rows")) for label, _ in checks])
         return counts.select(F.explode(pairs).alias("r")).select(F.lit(table).alias("table_name"), "r.rule", "r.bad_rows")
 
-    return _union(one(t, c) for t, c in by_table.items())
+    return union_all(one(t, c) for t, c in by_table.items())
 
 
 def value_check(tables: Tables) -> DataFrame:

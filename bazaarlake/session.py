@@ -21,6 +21,7 @@ def build_session(app: str = "bazaarlake", master: str | None = None, **conf) ->
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
         .config("spark.sql.files.maxPartitionBytes", "256m")
+        .config("spark.sql.files.openCostInBytes", "1m")
         .config("spark.ui.enabled", "false")
     )
     if master:

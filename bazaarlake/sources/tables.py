@@ -34,6 +34,15 @@ def _days_after_base(n: str) -> Column:
     return plus_days(F.expr(BASE), F.expr(n))
 
 
+def _hundredths(column: str) -> Column:
+    """A non-negative double with two decimals as a whole number of hundredths."""
+    return F.expr(f"cast({column} * 100 + 0.5D as bigint)")
+
+
+def _from_cents(cents: str, type_: str) -> Column:
+    return F.expr(f"cast(cast({cents} as decimal(14,0)) * 0.01BD as {type_})")
+
+
 class RetailSource:
     """``table(name)`` gives one of the 14 source tables; ``raw(name)`` a test data table."""
 
@@ -371,19 +380,19 @@ class RetailSource:
 
     @cached_property
     def _amounts(self) -> DataFrame:
+        """Lines with their money in whole cents: integer arithmetic is exact and much cheaper than decimal."""
         lines = self._line_keys.withColumns(
             {
-                "net": F.col("l_extendedprice").cast("decimal(14,2)"),
                 "qty": F.col("l_quantity").cast("bigint"),
-                "tax": F.col("l_tax").cast("decimal(5,2)"),
+                "cents": _hundredths("l_extendedprice"),
+                "tax_pct": _hundredths("l_tax"),
             }
         )
-        # The unit price in whole cents, rounded half up by integer arithmetic.
-        cents = "cast(net * 100 as bigint)"
         return lines.withColumns(
             {
-                "total": F.expr("cast(round(net * (1 + tax), 2) as decimal(14,2))"),
-                "unit": F.expr(f"cast(({cents} * 2 + qty) div (qty * 2) * 0.01 as decimal(12,2))"),
+                "net": _from_cents("cents", "decimal(14,2)"),
+                "total": _from_cents("(cents * (100 + tax_pct) + 50) div 100", "decimal(14,2)"),
+                "unit": _from_cents("(cents * 2 + qty) div (qty * 2)", "decimal(12,2)"),
             }
         )
 
@@ -395,7 +404,7 @@ class RetailSource:
             F.col("l_partkey").alias("product_id"),
             F.col("qty").cast("decimal(12,3)").alias("product_uom_qty"),
             F.col("unit").alias("price_unit"),
-            F.expr("cast(cast(l_discount as decimal(5,2)) * 100 as decimal(5,2)) as discount"),
+            _hundredths("l_discount").cast("decimal(5,2)").alias("discount"),
             F.col("net").alias("price_subtotal"),
             F.col("total").alias("price_total"),
             F.col("l_shipdate").alias("create_date"),

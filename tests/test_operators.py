@@ -28,25 +28,30 @@ def one(spark):
     return spark.range(0, 90).select(F.col("id").alias("pk"), (F.col("id") * 10).alias("v"))
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_skew_join_equals_plain_join(many, one, how):
+def test_skew_join_equals_plain_join(no_broadcast, many, one, how):
     got = skew_join(many, one, [("k", "pk")], ["id"], how, **EAGER)
     assert same_rows(got, many.join(one, F.col("k") == F.col("pk"), how))
 
 
-def test_skew_join_spreads_the_hot_key(spark, many, one):
+def test_skew_join_spreads_the_hot_key(no_broadcast, many, one):
     hot = hot_keys(many, ["k"], ["id"], **EAGER).collect()
     assert [(r["_hot_k"]) for r in hot] == [7]
     assert hot[0]["_copies"] >= 10
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(skew_join(many, one, [("k", "pk")], ["id"], **EAGER))
-        assert "SortMergeJoin [k" in text and "_salt" in text
-        assert same_rows(
-            skew_join(many, one, [("k", "pk")], ["id"], **EAGER), many.join(one, F.col("k") == F.col("pk"))
-        )
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joined = skew_join(many, one, [("k", "pk")], ["id"], **EAGER)
+    assert "SortMergeJoin [k" in plan(joined) and "_one_salt" in plan(joined)
+
+
+def test_small_side_needs_no_salt(many, one):
+    joined = skew_join(many, one, [("k", "pk")], ["id"], **EAGER)
+    assert "BroadcastHashJoin" in plan(joined) and "_salt" not in plan(joined)
 
 
 def test_hot_keys_are_bounded(spark):
@@ -66,7 +71,7 @@ def test_number_within_equals_row_number(many):
     assert same_rows(keyed(got), keyed(want))
 
 
-def test_sample_takes_k_distinct_items_of_the_group(spark):
+def test_sample_takes_k_distinct_items_of_the_group(no_broadcast, spark):
     items = spark.range(1000).select(F.expr("CASE WHEN id < 700 THEN 0 ELSE id % 30 END").alias("g"), F.col("id").alias("item"))
     requests = spark.range(500).select(F.col("id").alias("r"), F.expr("CASE WHEN id % 3 = 0 THEN 0 ELSE id % 40 END").alias("g"))
     got = sample_k_per_group(
