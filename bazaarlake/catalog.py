@@ -243,7 +243,7 @@ def location_city_lookup(src):
         F.col("id").alias("partner_id"), "muhafaza_id", text.clean_city(F.col("city")).alias("city_name")
     )
     cities = src.table("cities").withColumn("name", F.lower("name"))
-    return seed.with_city(people, cities)
+    return seed.with_city(people, cities, "partner_id")
 
 
 # -- mirror --------------------------------------------------------------------------------------------------

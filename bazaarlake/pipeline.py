@@ -1,0 +1,63 @@
+"""The whole lakehouse as jobs on stored tables: mirror a source, build the star schema, keep it compact."""
+
+from __future__ import annotations
+
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, SparkSession
+
+from bazaarlake import schema
+from bazaarlake.operators.mirror import Mirror, full_refresh
+from bazaarlake.plans import gold, refresh
+from bazaarlake.plans.silver import mirror_select
+from bazaarlake.sources import storage
+
+DIMENSIONS = (gold.dim_customer, gold.dim_vendor, gold.dim_product, gold.dim_location)
+FACTS = (gold.fact_sales, gold.fact_payments, gold.fact_purchases, gold.fact_inventory)
+
+
+class Lakehouse:
+    """Stored tables below ``root``: ``silver/`` mirrors, ``gold/`` star schema, ``bronze/`` full copies."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+    def mirror(self, table: str) -> Mirror:
+        return Mirror(self.spark, f"{self.root}/silver", table)
+
+    def load_silver(self, source, lookback: timedelta | None = None) -> dict[str, int]:
+        """One incremental run over all source tables; rows loaded per table."""
+        return {
+            t: self.mirror(t).load(source.table(t), lambda df, t=t: mirror_select(df, t), lookback)
+            for t in schema.TABLES
+        }
+
+    def compact(self) -> None:
+        for t in schema.TABLES:
+            self.mirror(t).compact()
+
+    def silver(self, table: str) -> DataFrame:
+        return self.mirror(table).current()
+
+    def build_gold(self) -> None:
+        """Rebuild every dimension and fact from the current mirrors; facts are stored in their sort order."""
+        for build in DIMENSIONS:
+            storage.publish(build(self.silver), f"{self.root}/gold/{build.__name__}")
+        storage.publish(gold.dim_date(self.spark), f"{self.root}/gold/dim_date")
+        for build in FACTS:
+            fact = storage.sorted_layout(build(self.silver), gold.FACT_SORT[build.__name__])
+            storage.publish(fact, f"{self.root}/gold/{build.__name__}")
+
+    def gold(self, table: str) -> DataFrame:
+        return storage.read_published(self.spark, f"{self.root}/gold/{table}")
+
+    def refresh_bronze(self, source) -> None:
+        """Replace the nine full copies by the source as it is now."""
+        bronze = refresh.bronze_of(source)
+        for t in schema.REFRESH_TABLES:
+            full_refresh(bronze(t), f"{self.root}/bronze/{t}")
+
+    def bronze(self, table: str) -> DataFrame:
+        return storage.read_published(self.spark, f"{self.root}/bronze/{table}")

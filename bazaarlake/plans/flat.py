@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.functions.text import or_blank
+from bazaarlake.operators.joins import skew_join
 from bazaarlake.plans.gold import lines_with_header
 from bazaarlake.sources.extract import raw_typed
 
@@ -27,15 +28,16 @@ def dim_customers_via_city(raw: Raw) -> DataFrame:
         F.col("id").alias("_city"), F.col("name").alias("city_name"), F.col("muhafaza_id").alias("_city_gov")
     )
     gov = raw("muhafazat").select(F.col("id").alias("_gov"), F.col("name").alias("governorate_name"))
-    return (
-        raw("res_partner")
-        .select("id", "name", "email", "phone", "city_id")
-        .join(cities, F.col("city_id") == F.col("_city"), "left")
-        .join(gov, F.col("_city_gov") == F.col("_gov"), "left")
-        .select(
-            F.col("id").alias("customer_id"), F.col("name").alias("customer_name"), "email", "phone",
-            "city_name", "governorate_name",
-        )
+    located = skew_join(
+        raw("res_partner").select("id", "name", "email", "phone", "city_id"), cities, [("city_id", "_city")], ["id"], "left"
+    )
+    return skew_join(located, gov, [("_city_gov", "_gov")], ["id"], "left").select(
+        F.col("id").alias("customer_id"),
+        F.col("name").alias("customer_name"),
+        "email",
+        "phone",
+        "city_name",
+        "governorate_name",
     )
 
 
@@ -48,12 +50,11 @@ def dim_products_flat(raw: Raw) -> DataFrame:
         F.col("type").alias("product_type"),
     )
     category = raw("product_category").select(F.col("id").alias("_cat"), F.col("name").alias("category_name"))
-    return (
-        raw("product_product")
-        .select("id", "product_tmpl_id")
-        .join(template, F.col("product_tmpl_id") == F.col("_tmpl"), "left")
-        .join(category, F.col("categ_id") == F.col("_cat"), "left")
-        .select(F.col("id").alias("product_id"), "product_name", "category_name", "unit_price", "product_type")
+    variants = skew_join(
+        raw("product_product").select("id", "product_tmpl_id"), template, [("product_tmpl_id", "_tmpl")], ["id"], "left"
+    )
+    return skew_join(variants, category, [("categ_id", "_cat")], ["id"], "left").select(
+        F.col("id").alias("product_id"), "product_name", "category_name", "unit_price", "product_type"
     )
 
 

@@ -1,8 +1,8 @@
 """Star schema: five dimensions and four facts built from mirrored tables.
 
 Every builder takes ``silver``, a function from table name to a frame with one row per id. Columns the
-warehouse declares non-null get '' or 0 where a left join finds nothing. Small dimension tables are left to
-the planner, which broadcasts them by measured size and otherwise sorts and merges.
+warehouse declares non-null get '' or 0 where a left join finds nothing. A dimension below the planner's
+broadcast threshold is broadcast; a larger one is merged on its key with hot keys spread (see ``skew_join``).
 """
 
 from __future__ import annotations
@@ -41,13 +41,15 @@ def _governorates(silver: Silver) -> DataFrame:
     )
 
 
+def _in_place(df: DataFrame, silver: Silver) -> DataFrame:
+    """Add city and governorate."""
+    df = skew_join(df, _cities(silver), [("city_id", "_city")], ["id"], "left")
+    return skew_join(df, _governorates(silver), [("muhafaza_id", "_gov")], ["id"], "left")
+
+
 def _partners(silver: Silver, role: str) -> DataFrame:
-    return (
-        silver("res_partner")
-        .where(F.col("partner_type") == role)
-        .join(_cities(silver), F.col("city_id") == F.col("_city"), "left")
-        .join(_governorates(silver), F.col("muhafaza_id") == F.col("_gov"), "left")
-    )
+    partners = silver("res_partner").where(F.col("partner_type") == role)
+    return _in_place(partners, silver)
 
 
 def _city() -> Column:
@@ -106,10 +108,9 @@ def dim_product(silver: Silver) -> DataFrame:
         "standard_price",
     )
     zero = F.lit(0)
+    variants = skew_join(silver("product_product"), template, [("product_tmpl_id", "_tmpl")], ["id"], "left")
     return (
-        silver("product_product")
-        .join(template, F.col("product_tmpl_id") == F.col("_tmpl"), "left")
-        .join(category_parent(silver), F.col("categ_id") == F.col("category_id"), "left")
+        skew_join(variants, category_parent(silver), [("categ_id", "category_id")], ["id"], "left")
         .select(
             F.col("id").alias("product_key"),
             F.col("default_code").alias("variant_code"),
@@ -131,19 +132,14 @@ def dim_product(silver: Silver) -> DataFrame:
 
 
 def dim_location(silver: Silver) -> DataFrame:
-    return (
-        silver("stock_location")
-        .join(_cities(silver), F.col("city_id") == F.col("_city"), "left")
-        .join(_governorates(silver), F.col("muhafaza_id") == F.col("_gov"), "left")
-        .select(
-            F.col("id").alias("location_key"),
-            F.col("code").alias("location_code"),
-            F.col("name").alias("location_name"),
-            "location_type",
-            or_blank(F.col("_city_name")).alias("city"),
-            or_blank(F.col("_gov_name")).alias("governorate"),
-            or_blank(F.col("_gov_ar")).alias("governorate_ar"),
-        )
+    return _in_place(silver("stock_location"), silver).select(
+        F.col("id").alias("location_key"),
+        F.col("code").alias("location_code"),
+        F.col("name").alias("location_name"),
+        "location_type",
+        or_blank(F.col("_city_name")).alias("city"),
+        or_blank(F.col("_gov_name")).alias("governorate"),
+        or_blank(F.col("_gov_ar")).alias("governorate_ar"),
     )
 
 
@@ -239,12 +235,8 @@ def fact_purchases(silver: Silver) -> DataFrame:
 def fact_inventory(silver: Silver) -> DataFrame:
     """Stock lots valued at the template's cost; 0 where the variant or template is missing."""
     template = silver("product_template").select(F.col("id").alias("_tmpl"), F.col("standard_price").alias("_cost"))
-    cost = (
-        silver("product_product")
-        .select(F.col("id").alias("_variant"), "product_tmpl_id")
-        .join(template, F.col("product_tmpl_id") == F.col("_tmpl"), "left")
-        .select("_variant", "_cost")
-    )
+    variants = silver("product_product").select(F.col("id").alias("_variant"), "product_tmpl_id")
+    cost = skew_join(variants, template, [("product_tmpl_id", "_tmpl")], ["_variant"], "left").select("_variant", "_cost")
     return skew_join(silver("stock_quant"), cost, [("product_id", "_variant")], ["id"], how="left").select(
         F.col("id").alias("quant_key"),
         F.col("product_id").alias("product_key"),

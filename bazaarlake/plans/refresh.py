@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from bazaarlake.functions.calendar import date_key, day_name, iso_day_of_week, month_name
 from bazaarlake.functions.text import or_blank
+from bazaarlake.operators.joins import skew_join
 from bazaarlake.plans.gold import calendar_days, lines_with_header
 from bazaarlake.sources.extract import conform
 
@@ -27,13 +28,16 @@ def _named(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(F.col("id").alias(f"_{prefix}"), F.col("name").alias(f"_{prefix}_name"))
 
 
+def _in_place(df: DataFrame, bronze: Bronze) -> DataFrame:
+    """Add the names of city and governorate."""
+    df = skew_join(df, _named(bronze("cities"), "city"), [("city_id", "_city")], ["id"], "left")
+    return skew_join(df, _named(bronze("muhafazat"), "gov"), [("muhafaza_id", "_gov")], ["id"], "left")
+
+
 def active_customers(bronze: Bronze) -> DataFrame:
     """All active partners, vendors included."""
     return (
-        bronze("res_partner")
-        .where("active")
-        .join(_named(bronze("cities"), "city"), F.col("city_id") == F.col("_city"), "left")
-        .join(_named(bronze("muhafazat"), "gov"), F.col("muhafaza_id") == F.col("_gov"), "left")
+        _in_place(bronze("res_partner").where("active"), bronze)
         .select(
             F.col("id").alias("customer_id"),
             F.col("name").alias("customer_name"),
@@ -56,11 +60,11 @@ def active_products(bronze: Bronze) -> DataFrame:
         F.col("id").alias("_tmpl"), F.col("name").alias("_tmpl_name"), "categ_id", "list_price", "standard_price", "type"
     )
     zero = F.lit(0).cast("decimal(12,2)")
+    variants = skew_join(
+        bronze("product_product").where("active"), template, [("product_tmpl_id", "_tmpl")], ["id"], "left"
+    )
     return (
-        bronze("product_product")
-        .where("active")
-        .join(template, F.col("product_tmpl_id") == F.col("_tmpl"), "left")
-        .join(_named(bronze("product_category"), "cat"), F.col("categ_id") == F.col("_cat"), "left")
+        skew_join(variants, _named(bronze("product_category"), "cat"), [("categ_id", "_cat")], ["id"], "left")
         .select(
             F.col("id").alias("product_id"),
             or_blank(F.col("_tmpl_name")).alias("product_name"),
@@ -79,9 +83,7 @@ def active_products(bronze: Bronze) -> DataFrame:
 
 def locations(bronze: Bronze) -> DataFrame:
     return (
-        bronze("stock_location")
-        .join(_named(bronze("cities"), "city"), F.col("city_id") == F.col("_city"), "left")
-        .join(_named(bronze("muhafazat"), "gov"), F.col("muhafaza_id") == F.col("_gov"), "left")
+        _in_place(bronze("stock_location"), bronze)
         .select(
             F.col("id").alias("location_id"),
             F.col("name").alias("location_name"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from bazaarlake import schema
 from bazaarlake.functions.calendar import plus_days
 from bazaarlake.functions.text import category_path, padded_code, variant_name
+from bazaarlake.operators.joins import skew_join
 from bazaarlake.operators.rollup import line_totals, rollup_totals
 from bazaarlake.operators.series import explode_series
 
@@ -276,7 +277,7 @@ class RetailSource:
         offers = self._line_keys.groupBy("l_partkey", "l_suppkey").agg(F.min("id").alias("id"))
         price = self.raw("part").select("p_partkey", F.col("p_retailprice").cast("decimal(12,2)").alias("base"))
         step = "(l_partkey % 1000003) * 7 + (l_suppkey % 1000003) * 13"
-        return offers.join(price, F.col("l_partkey") == F.col("p_partkey"), "left").select(
+        return skew_join(offers, price, [("l_partkey", "p_partkey")], ["id"], "left").select(
             "id",
             F.col("l_partkey").alias("product_id"),
             (F.col("l_suppkey") + VENDOR_OFFSET).alias("partner_id"),
