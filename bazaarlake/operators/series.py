@@ -52,32 +52,39 @@ def sample_k_per_group(
     item_key: str,
     request_key: str,
     buckets: int = 64,
+    rows_per_copy: int = 1_000_000,
 ) -> DataFrame:
     """For each request, k distinct items of its group without building all request-item pairs.
 
     A group's items are put in a hashed order and numbered once; a request takes k neighbours on that ring,
     beginning at ``start`` modulo the group's size. Groups with fewer than k items give all they have;
-    requests of groups without items give no row.
+    requests of groups without items give no row. Where many requests share few items, the items are copied
+    once per ``rows_per_copy`` expected picks and the picks spread over the copies.
     """
-    numbered = number_within(
-        items.withColumn("_mix", shuffle_key),
-        [group],
-        F.col("_mix") % buckets,
-        ["_mix", item_key],
-        "_pos",
-        "_size",
-    ).drop("_mix")
-    sizes = (
-        items.groupBy(F.col(group).alias("_size_group")).agg(F.count(F.lit(1)).alias("_m"))
+    asked = requests.withColumns({"_k": k, "_start": start})
+    demand = asked.groupBy(F.col(group).alias("_g")).agg(F.sum("_k").alias("_picks"))
+    supply = items.groupBy(F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_m"))
+    groups = supply.join(demand, "_g").select(
+        "_g", "_m", F.greatest(F.lit(1), F.ceil(F.col("_picks") / (F.col("_m") * rows_per_copy))).alias("_spread")
     )
-    sized = skew_join(requests.withColumns({"_k": k, "_start": start}), sizes, [(group, "_size_group")], [request_key])
+
+    sized = skew_join(asked, groups, [(group, "_g")], [request_key]).drop("_g")
     picks = explode_series(sized, F.least("_k", "_m").cast("int"), "pick")
-    picks = picks.withColumn("_want", F.pmod(F.col("_start") + F.col("pick") - 1, F.col("_m")) + 1)
-    slots = numbered.withColumnRenamed(group, "_item_group").drop("_size")
-    joined = skew_join(
-        picks.drop("_size_group", "_m", "_k", "_start"),
-        slots,
-        [(group, "_item_group"), ("_want", "_pos")],
-        [request_key, "pick"],
+    picks = picks.select(
+        *requests.columns,
+        "pick",
+        (F.pmod(F.col("_start") + F.col("pick") - 1, F.col("_m")) + 1).alias("_want"),
+        F.pmod(F.xxhash64(request_key, "pick"), F.col("_spread")).alias("_salt"),
     )
-    return joined.drop("_item_group", "_pos", "_want")
+
+    listed = skew_join(items, groups.drop("_m"), [(group, "_g")], [item_key, group]).drop("_g")
+    listed = listed.withColumn("_mix", shuffle_key)
+    slots = number_within(listed, [group], F.col("_mix") % buckets, ["_mix", item_key], "_pos", "_size")
+    slots = slots.withColumn("_one_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_spread") - 1)))
+    slots = slots.withColumnRenamed(group, "_item_group").drop("_mix", "_size", "_spread")
+    cond = [
+        F.col(group) == F.col("_item_group"),
+        F.col("_want") == F.col("_pos"),
+        F.col("_salt") == F.col("_one_salt"),
+    ]
+    return picks.join(slots, cond).drop("_item_group", "_pos", "_want", "_salt", "_one_salt")
