@@ -430,8 +430,12 @@ QUERIES["explode_series"] = QUERIES.pop("explode_series_query")
 @source_query
 def sample_k_query(src):
     """For every purchase order, one to five products from its vendor's price list."""
-    orders = src.table("purchase_order").select(F.col("id").alias("order_id"), "partner_id")
+    orders = src.purchase_headers.select(F.col("id").alias("order_id"), "partner_id")
     offers = src.table("product_supplierinfo").select("partner_id", "product_id", "price")
+    # The sampler reads its inputs several times, so both are stored first, as they are in a real source.
+    root = work_dir(src.spark, "sample")
+    orders = mirrors.full_refresh(orders, f"{root}/orders")
+    offers = mirrors.full_refresh(offers, f"{root}/offers")
     return sample_k_per_group(
         orders,
         offers,

@@ -58,7 +58,8 @@ def sample_k_per_group(
 
     A group's items are put in a hashed order and numbered once; a request takes k neighbours on that ring,
     beginning at ``start`` modulo the group's size. Groups with fewer than k items give all they have;
-    requests of groups without items give no row. Where many requests share few items, the items are copied
+    requests of groups without items give no row. Both inputs are read several times and should be stored
+    tables. Where many requests share few items, the items are copied
     once per ``rows_per_copy`` expected picks and the picks spread over the copies.
     """
     asked = requests.withColumns({"_k": k, "_start": start})
