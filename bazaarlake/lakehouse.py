@@ -34,9 +34,9 @@ class Lakehouse:
             for t in schema.TABLES
         }
 
-    def compact(self) -> None:
+    def compact(self, trim_log: bool = False) -> None:
         for t in schema.TABLES:
-            self.mirror(t).compact()
+            self.mirror(t).compact(trim_log)
 
     def silver(self, table: str) -> DataFrame:
         return self.mirror(table).current()

@@ -116,8 +116,11 @@ class Mirror:
             return snapshot.drop("batch_id")
         return merge_on_read(snapshot, changes, self.key, self.order).drop("batch_id")
 
-    def compact(self) -> None:
-        """Write the current rows as a new snapshot; the log and older snapshots stay readable meanwhile."""
+    def compact(self, trim_log: bool = False) -> None:
+        """Write the current rows as a new snapshot. The one before stays for readers still on it.
+
+        With ``trim_log`` the batches already held by that earlier snapshot are deleted from the log.
+        """
         batches = storage.numbered_children(self.spark, self._log, "batch_id")
         done = storage.numbered_children(self.spark, self._snapshots, "upto")
         if not batches or (done and done[-1] == batches[-1]):
@@ -129,6 +132,10 @@ class Mirror:
         else:
             rows = latest_by_key(self.log(), self.key, self.order)
         rows.write.mode("overwrite").parquet(f"{self._snapshots}/upto={batches[-1]}")
+        if done:
+            storage.drop_children(self.spark, self._snapshots, "upto", done[-1] - 1)
+            if trim_log:
+                storage.drop_children(self.spark, self._log, "batch_id", done[-1])
 
 
 def full_refresh(df: DataFrame, root: str) -> DataFrame:

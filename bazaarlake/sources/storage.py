@@ -37,12 +37,26 @@ def numbered_children(spark: SparkSession, path: str, label: str) -> list[int]:
     return sorted(int(n[len(prefix):]) for n in _children(spark, path) if n.startswith(prefix))
 
 
-def publish(df: DataFrame, root: str) -> str:
+def drop_children(spark: SparkSession, path: str, label: str, up_to: int) -> None:
+    """Delete committed sub-folders ``label=n`` with n up to the given number."""
+    for n in numbered_children(spark, path, label):
+        if n <= up_to:
+            _, folder, fs = _folder(spark, f"{path}/{label}={n}")
+            fs.delete(folder, True)
+
+
+def publish(df: DataFrame, root: str, keep: int = 2) -> str:
     """Full rebuild: write the next version folder. Readers switch to it only once it is committed, so they
-    see the old table or the new one, never an empty or half-written one; a failed write leaves the old one."""
-    versions = numbered_children(df.sparkSession, root, "version")
-    path = f"{root}/version={(versions[-1] if versions else 0) + 1}"
+    see the old table or the new one, never an empty or half-written one; a failed write leaves the old one.
+
+    The last ``keep`` versions stay, so that a reader of the previous one can finish; older ones are deleted.
+    """
+    spark = df.sparkSession
+    versions = numbered_children(spark, root, "version")
+    number = (versions[-1] if versions else 0) + 1
+    path = f"{root}/version={number}"
     df.write.mode("overwrite").parquet(path)
+    drop_children(spark, root, "version", number - keep)
     return path
 
 

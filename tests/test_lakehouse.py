@@ -1,7 +1,7 @@
 from conftest import same_rows
 from pyspark.sql import functions as F
 
-from bazaarlake.pipeline import Lakehouse
+from bazaarlake.lakehouse import Lakehouse
 from bazaarlake.plans import gold, refresh
 from bazaarlake.plans.silver import Silver
 from bazaarlake.session import work_dir

@@ -92,6 +92,16 @@ def test_compaction_changes_nothing_and_keeps_ties(spark, mirror):
     assert same_rows(mirror.current(), same)
 
 
+def test_trimmed_log_still_gives_the_current_rows(spark, mirror):
+    for n in range(1, 5):
+        mirror.load(rows(spark, (n, at(n), "a"), (9, at(n), f"v{n}")))
+        mirror.compact(trim_log=True)
+    assert storage.numbered_children(spark, mirror._log, "batch_id") == [4]
+    assert storage.numbered_children(spark, mirror._snapshots, "upto") == [3, 4]
+    mirror.load(rows(spark, (9, at(8), "v8")))
+    assert held(mirror.current()) == {1: "a", 2: "a", 3: "a", 4: "a", 9: "v8"}
+
+
 def test_snapshot_is_not_shuffled_by_a_small_batch(spark, mirror):
     mirror.load(rows(spark, *[(i, at(1), "a") for i in range(50)]))
     mirror.compact()
@@ -135,6 +145,10 @@ def test_publish_switches_only_after_commit(spark):
     assert storage.read_published(spark, root).count() == 5
     spark.range(9).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/version=3")
     assert storage.read_published(spark, root).count() == 5
+    storage.publish(spark.range(7), root)
+    storage.publish(spark.range(8), root)
+    assert storage.numbered_children(spark, root, "version") == [3, 4]
+    assert storage.read_published(spark, root).count() == 8
     with pytest.raises(FileNotFoundError):
         storage.read_published(spark, f"{root}/none")
 

@@ -3,14 +3,23 @@ from pyspark.sql import functions as F
 
 from bazaarlake import schema
 from bazaarlake.plans import profile, quality
-from bazaarlake.sources.synth import SyntheticSource, Volumes
+from bazaarlake.session import work_dir
+from bazaarlake.sources.synth import SyntheticSource, Volumes, generate
 
 SMALL = Volumes(customers=1000, vendors=26, products=300, orders=3000, purchase_orders=800)
 
 
+class Stored:
+    def __init__(self, spark, root):
+        self.table = lambda name: spark.read.parquet(f"{root}/{name}")
+
+
 @pytest.fixture(scope="module")
 def synth(spark):
-    return SyntheticSource(spark, SMALL)
+    """The generated tables, written once and read back."""
+    root = work_dir(spark, "synth")
+    generate(spark, root, SMALL)
+    return Stored(spark, root)
 
 
 def fingerprint(df):
