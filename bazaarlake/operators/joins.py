@@ -41,11 +41,11 @@ def hot_keys(
     )
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the planner's size estimate of ``df`` is below its own broadcast threshold."""
-    spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+def fits_broadcast(*frames: DataFrame) -> bool:
+    """Whether the planner's size estimates of the frames add up to less than its own broadcast threshold."""
+    conf = frames[0].sparkSession._jsparkSession.sessionState().conf()
+    sizes = [int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in frames]
+    return sum(sizes) <= conf.autoBroadcastJoinThreshold()
 
 
 def skew_join(
@@ -54,6 +54,7 @@ def skew_join(
     on: Sequence[tuple[str, str]],
     row_key: Sequence[str],
     how: str = "inner",
+    joined_from: Sequence[DataFrame] = (),
     **probe_options,
 ) -> DataFrame:
     """Join ``many`` to ``one`` (unique on its key) with hot keys of ``many`` spread over several tasks.
@@ -62,9 +63,13 @@ def skew_join(
     Otherwise rows of a hot key get a salt from their own id and the matching row of ``one`` is copied once
     per salt; the copies over all hot keys number at most rows / rows_per_copy. NULL keys, which match
     nothing, are spread too. The hot key list is broadcast; ``hot_keys`` bounds its size.
+
+    Where ``one`` is itself a one-to-one join, the planner takes the product of its inputs' sizes for its size.
+    ``joined_from`` names these inputs; their sum is checked instead.
     """
-    if fits_broadcast(one):
-        return many.join(one, [F.col(m) == F.col(o) for m, o in on], how)
+    if fits_broadcast(*(joined_from or (one,))):
+        small = F.broadcast(one) if joined_from else one
+        return many.join(small, [F.col(m) == F.col(o) for m, o in on], how)
     many_keys = [m for m, _ in on]
     hot = F.broadcast(hot_keys(many, many_keys, row_key, **probe_options))
 

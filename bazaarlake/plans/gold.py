@@ -109,8 +109,9 @@ def dim_product(silver: Silver) -> DataFrame:
     )
     zero = F.lit(0)
     variants = skew_join(silver("product_product"), template, [("product_tmpl_id", "_tmpl")], ["id"], "left")
+    node = silver("product_category")
     return (
-        skew_join(variants, category_parent(silver), [("categ_id", "category_id")], ["id"], "left")
+        skew_join(variants, category_parent(silver), [("categ_id", "category_id")], ["id"], "left", joined_from=[node, node])
         .select(
             F.col("id").alias("product_key"),
             F.col("default_code").alias("variant_code"),
@@ -237,7 +238,10 @@ def fact_inventory(silver: Silver) -> DataFrame:
     template = silver("product_template").select(F.col("id").alias("_tmpl"), F.col("standard_price").alias("_cost"))
     variants = silver("product_product").select(F.col("id").alias("_variant"), "product_tmpl_id")
     cost = skew_join(variants, template, [("product_tmpl_id", "_tmpl")], ["_variant"], "left").select("_variant", "_cost")
-    return skew_join(silver("stock_quant"), cost, [("product_id", "_variant")], ["id"], how="left").select(
+    lots = skew_join(
+        silver("stock_quant"), cost, [("product_id", "_variant")], ["id"], "left", joined_from=[variants, template]
+    )
+    return lots.select(
         F.col("id").alias("quant_key"),
         F.col("product_id").alias("product_key"),
         F.col("location_id").alias("location_key"),

@@ -185,22 +185,19 @@ class RetailSource:
     def _product_category(self) -> DataFrame:
         """Two levels: the part type and, below it, the brand. A node's id is twice the smallest part key of
         the node plus 1 or 2: unique, stable as parts are added, and found without ranking all nodes."""
-        part = self.raw("part")
-        parents = part.groupBy("p_type").agg(F.min("p_partkey").alias("first_part"))
-        parents = parents.select(
+        brands = self.raw("part").groupBy("p_type", "p_brand").agg(F.min("p_partkey").alias("first_part"))
+        parents = brands.groupBy("p_type").agg(F.min("first_part").alias("first_part")).select(
             F.expr("cast(first_part * 2 + 1 as int) as id"),
             F.col("p_type").alias("name"),
             F.lit(None).cast("int").alias("parent_id"),
             F.col("p_type").alias("complete_name"),
         )
-        children = part.groupBy("p_type", "p_brand").agg(F.min("p_partkey").alias("first_part"))
-        children = children.join(
-            parents.select(F.col("name").alias("parent_name"), F.col("id").alias("parent_id")),
-            F.col("p_type") == F.col("parent_name"),
-        ).select(
+        # Over the distinct brands only: a few rows per type however many parts it has.
+        first_of_type = F.min("first_part").over(Window.partitionBy("p_type"))
+        children = brands.select(
             F.expr("cast(first_part * 2 + 2 as int) as id"),
             F.col("p_brand").alias("name"),
-            "parent_id",
+            (first_of_type * 2 + 1).cast("int").alias("parent_id"),
             category_path(F.col("p_type"), F.col("p_brand")).alias("complete_name"),
         )
         return parents.unionByName(children).select(
