@@ -1,6 +1,8 @@
 """The queries of the operators, and the SQL of those that SQL can express."""
 
+from bazaarlake.llm.decontaminate import op7_qgram_lemma
 from bazaarlake.llm.mixing import OP10_SQL, op10_pareto_mixing
+from bazaarlake.llm.ngram_join import op5_lsh_forest
 from bazaarlake.llm.quality_rules import OP9_SQL, op9_rule_ledger
 from bazaarlake.llm.sharding import op3_virtual_slots
 from bazaarlake.llm.url_filter import OP1_SQL, op1_host_trust
@@ -10,6 +12,8 @@ QUERIES = {
     for q in (
         op1_host_trust,
         op3_virtual_slots,
+        op5_lsh_forest,
+        op7_qgram_lemma,
         op9_rule_ledger,
         op10_pareto_mixing,
     )
