@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import WORD, clear_names, cut, fresh, small
+from bazaarlake.llm.common import WORD, cut, fresh, small
 
 BINS = 4096
 SEED = "mix-1"
