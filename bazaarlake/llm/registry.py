@@ -5,15 +5,19 @@ from bazaarlake.llm.mixing import OP10_SQL, op10_pareto_mixing
 from bazaarlake.llm.ngram_join import op5_lsh_forest
 from bazaarlake.llm.quality_rules import OP9_SQL, op9_rule_ledger
 from bazaarlake.llm.sharding import op3_virtual_slots
+from bazaarlake.llm.token_counts import op8_length_histogram
 from bazaarlake.llm.url_filter import OP1_SQL, op1_host_trust
+from bazaarlake.llm.warc import OP4_SQL, op4_gzip_normaliser
 
 QUERIES = {
     q.__name__: q
     for q in (
         op1_host_trust,
         op3_virtual_slots,
+        op4_gzip_normaliser,
         op5_lsh_forest,
         op7_qgram_lemma,
+        op8_length_histogram,
         op9_rule_ledger,
         op10_pareto_mixing,
     )
@@ -21,6 +25,7 @@ QUERIES = {
 
 SQL = {
     "op1_host_trust": OP1_SQL,
+    "op4_gzip_normaliser": OP4_SQL,
     "op9_rule_ledger": OP9_SQL,
     "op10_pareto_mixing": OP10_SQL,
 }
