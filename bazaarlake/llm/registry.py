@@ -1,6 +1,7 @@
 """The queries of the operators, and the SQL of those that SQL can express."""
 
 from bazaarlake.llm.decontaminate import op7_qgram_lemma
+from bazaarlake.llm.html_extract import OP6_SQL, op6_tree_model
 from bazaarlake.llm.mixing import OP10_SQL, op10_pareto_mixing
 from bazaarlake.llm.ngram_join import op5_lsh_forest
 from bazaarlake.llm.quality_rules import OP9_SQL, op9_rule_ledger
@@ -16,6 +17,7 @@ QUERIES = {
         op3_virtual_slots,
         op4_gzip_normaliser,
         op5_lsh_forest,
+        op6_tree_model,
         op7_qgram_lemma,
         op8_length_histogram,
         op9_rule_ledger,
@@ -26,6 +28,7 @@ QUERIES = {
 SQL = {
     "op1_host_trust": OP1_SQL,
     "op4_gzip_normaliser": OP4_SQL,
+    "op6_tree_model": OP6_SQL,
     "op9_rule_ledger": OP9_SQL,
     "op10_pareto_mixing": OP10_SQL,
 }
