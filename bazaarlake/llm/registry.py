@@ -2,6 +2,7 @@
 
 from bazaarlake.llm.decontaminate import op7_qgram_lemma
 from bazaarlake.llm.html_extract import OP6_SQL, op6_tree_model
+from bazaarlake.llm.line_dedup import op2_line_prefix_join
 from bazaarlake.llm.mixing import OP10_SQL, op10_pareto_mixing
 from bazaarlake.llm.ngram_join import op5_lsh_forest
 from bazaarlake.llm.quality_rules import OP9_SQL, op9_rule_ledger
@@ -14,6 +15,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         op1_host_trust,
+        op2_line_prefix_join,
         op3_virtual_slots,
         op4_gzip_normaliser,
         op5_lsh_forest,

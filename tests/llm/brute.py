@@ -49,3 +49,25 @@ def near_duplicates(rows, threshold=0.8):
         links[b] += 1
     root = components(sets, pairs)
     return {i: (root[i], links[i]) for i in sets}
+
+
+def removed_lines(rows, threshold=0.8, least=5):
+    """{id: numbers of lines that an earlier line matches} for (id, text) rows with unique ids."""
+    first, sets, places = {}, {}, []
+    for i, t in sorted(rows):
+        for k, line in enumerate((t or "").split("\n")):
+            s = frozenset(WORDS(line))
+            if len(s) >= least:
+                first.setdefault(s, (i, k))
+                places.append(((i, k), s))
+    sets = {p: s for s, p in first.items()}
+    bound = dict.fromkeys(sets, None)
+    for a, b in similar_pairs(sets, threshold):
+        for x, y in ((a, b), (b, a)):
+            bound[x] = min(filter(None, (bound[x], y)))
+    out = defaultdict(list)
+    for place, s in places:
+        own = first[s]
+        if place > min(filter(None, (own, bound[own]))):
+            out[place[0]].append(place[1])
+    return dict(out)
