@@ -58,42 +58,26 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (3, 1, 2), share:
     )
 
 
-def draw(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-    weights: Sequence[int] = (3, 1, 2),
-    share: float = 1.5,
-    cap: int = 2,
-    preference=default_preference,
-    seed: str = SEED,
-) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken.
-
-    Null texts and texts without words have size 0 and take nothing. A null source is a source of its own. Rows
-    repeating a doc_id share one random number and are taken or left together (a document without id goes by its
-    text). A sum that can't be met by whole documents ends at the last document that fits, plus the one further document whose
-    size is closest to the gap, if that makes the gap smaller. An empty table gives no rows. Reruns agree: the random number
-    is a function of seed and id. Other columns are not looked at.
-    """
-    key = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
+def ranked(docs: DataFrame, doc_id: str, text: str, source: str, preference, seed: str, into: Sequence[str]) -> DataFrame:
+    """``docs`` with four columns named by ``into``: key of the source, size, rank in (0, 1) and its bin."""
+    key, size, z, bin_ = into
     name = F.coalesce(F.col(doc_id).cast("string"), F.md5(F.coalesce(F.col(text), F.lit(""))))
     bits = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), name)), 1, 13), 16, 10).cast("long")
     u = (bits + 0.5) / F.lit(float(2**52))
-    slim = cut(
-        docs.select(
-            F.col(doc_id).alias("doc_id"),
-            F.col(source).alias("source"),
-            key.alias("_key"),
-            word_count(text).alias("size"),
-            u.alias("_u"),
-        )
-        .withColumn("_q", F.col("_u") / (1 - F.col("_u")) / preference(F.col("size")))
-        .withColumn("_z", F.col("_q") / (1 + F.col("_q")))
-        .withColumn("_bin", F.least(F.floor(F.col("_z") * BINS), F.lit(BINS - 1)).cast("int"))
-        .drop("_u", "_q")
+    return (
+        docs.withColumn(key, F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")))
+        .withColumn(size, word_count(text))
+        .withColumn(z, u / (1 - u) / preference(F.col(size)))
+        .withColumn(z, F.col(z) / (1 + F.col(z)))
+        .withColumn(bin_, F.least(F.floor(F.col(z) * BINS), F.lit(BINS - 1)).cast("int"))
     )
+
+
+RANK = ("_key", "size", "_z", "_bin")
+
+
+def sampling_plan(slim: DataFrame, weights: Sequence[int], share: float, cap: int) -> DataFrame:
+    """One row per source: target, whole copies, and which ranks get one copy more. ``slim`` is a cut table of source and RANK."""
     bins = cut(slim.groupBy("_key", "source", "_bin").agg(F.sum("size").alias("_words")))
     sources = source_targets(
         bins.groupBy("_key", "source").agg(F.sum("_words").alias("source_size")), weights, share, cap
@@ -124,43 +108,78 @@ def draw(
         .join(fits, "_key", "left")
         .withColumn("_gap", F.col("_need") - F.coalesce("_filled", "_before"))
     )
-    drawn = slim.join(small(plan), "_key").withColumn(
-        "_in",
-        (F.col("_bin") < F.coalesce("_edge", F.lit(0)))
-        | ((F.col("_bin") == F.col("_edge")) & F.coalesce(F.col("_z") <= F.col("_last"), F.lit(False))),
-    )
     off = F.abs(F.col("size") - F.col("_gap"))
     closing = (
-        drawn.where(~F.coalesce("_in", F.lit(False)) & (F.col("size") > 0) & (off < F.col("_gap")))
+        slim.join(small(plan), "_key")
+        .where(~drawn_in() & (F.col("size") > 0) & (off < F.col("_gap")))
         .groupBy("_key")
         .agg(F.min(F.struct(off.alias("off"), F.col("_z").alias("z")))["z"].alias("_close"))
     )
-    copies = F.col("_base") + F.when(F.coalesce("_in", F.lit(False)) | F.coalesce(F.col("_z") == F.col("_close"), F.lit(False)), 1).otherwise(0)
+    return cut(plan.join(closing, "_key", "left"))
+
+
+def drawn_in(z: str = "_z", bin_: str = "_bin") -> Column:
+    """Whether a rank is before the cut of its source's plan."""
+    at_edge = (F.col(bin_) == F.col("_edge")) & F.coalesce(F.col(z) <= F.col("_last"), F.lit(False))
+    return F.coalesce((F.col(bin_) < F.col("_edge")) | at_edge, F.lit(False))
+
+
+def copies(size: str = "size", z: str = "_z", bin_: str = "_bin") -> Column:
+    extra = drawn_in(z, bin_) | F.coalesce(F.col(z) == F.col("_close"), F.lit(False))
+    return F.when(F.col(size) > 0, F.col("_base") + F.when(extra, 1).otherwise(0)).otherwise(F.lit(0)).cast("int")
+
+
+def draw(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: Sequence[int] = (3, 1, 2),
+    share: float = 1.5,
+    cap: int = 2,
+    preference=default_preference,
+    seed: str = SEED,
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken.
+
+    Null texts and texts without words have size 0 and take nothing. A null source is a source of its own. Rows
+    repeating a doc_id share one random number and are taken or left together (a document without id goes by its
+    text). A sum that can't be met by whole documents ends at the last document that fits, plus the one further document whose
+    size is closest to the gap, if that makes the gap smaller. An empty table gives no rows. Reruns agree: the random number
+    is a function of seed and id. Other columns are not looked at.
+    """
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source"))
+    slim = cut(ranked(docs, "doc_id", "text", "source", preference, seed, RANK).drop("text"))
     return (
-        drawn.join(small(cut(closing)), "_key", "left")
-        .withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).cast("int"))
+        slim.join(small(sampling_plan(slim, weights, share, cap)), "_key")
+        .withColumn("copies", copies())
         .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
     )
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as often as it is taken; a document without words is left out.
+def mix(
+    docs: DataFrame,
+    weights: Sequence[int] = (3, 1, 2),
+    share: float = 1.5,
+    cap: int = 2,
+    preference=default_preference,
+    seed: str = SEED,
+) -> DataFrame:
+    """The rows of ``docs``, each as often as ``draw`` takes it, with the columns they came with.
 
-    The columns are those of ``docs``. Rows without id are matched by a hash of their text.
+    Texts are not shuffled: a row's copies follow from its own rank and its source's line of the plan.
     """
-    rid, copies = fresh(docs, "_rid", "_copies")
-    name = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce(F.col("text"), F.lit(""))))
-    keyed = docs.withColumn(rid, F.concat(name, F.lit("/"), F.coalesce(F.col("source"), F.lit("")), F.lit("/"), F.xxhash64("text")))
-    taken = (
-        draw(keyed.select(F.col(rid).alias("doc_id"), "text", "source"), **options)
-        .where(F.col("copies") > 0)
-        .groupBy(F.col("doc_id").alias(rid))
-        .agg(F.max("copies").alias(copies))
-    )
+    slim = ranked(docs.select("doc_id", "text", "source"), "doc_id", "text", "source", preference, seed, RANK)
+    plan = sampling_plan(cut(slim.select("source", *RANK)), weights, share, cap)
+    names = fresh(docs, "_mix_key", "_mix_size", "_mix_z", "_mix_bin", "_mix_n")
+    plan = plan.select(F.col("_key").alias(names[0]), "_base", "_edge", "_last", "_close")
+    taken = ranked(docs, "doc_id", "text", "source", preference, seed, names[:4]).select(F.struct(*docs.columns).alias("row"), *names[:4])
     return (
-        keyed.join(taken, rid)
-        .withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies))))
-        .select(*docs.columns)
+        taken.join(small(plan), names[0])
+        .withColumn(names[4], copies(*names[1:4]))
+        .where(F.col(names[4]) > 0)
+        .withColumn(names[4], F.explode(F.sequence(F.lit(1), F.col(names[4]))))
+        .select("row.*")
     )
 
 
