@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import cut, fresh, row_id, table
+from bazaarlake.llm.common import cut, fresh, row_id, small, table
 from bazaarlake.llm.wordsets import binaries, chunks, groups, mixed, overlaps, set_keys, word_hashes
 
 THRESHOLD, LEAST = 0.8, 5
@@ -337,7 +337,8 @@ def later_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     members = docs.mapInArrow(_members(levels, blocks), MEMBER)
     near = cut(members.repartition(*GROUP).sortWithinPartitions(*GROUP, "k1", "k2", "rid", "line").mapInArrow(_compared, MEMBER))
     wanted = near.select("rid", "line").distinct()
-    words = docs.join(wanted.select("rid").distinct(), "rid", "left_semi").mapInArrow(_payload, "rid long, line int, words binary")
+    ids = small(cut(wanted.select("rid").distinct()), 1_000_000)  # texts are not shuffled for up to 8 MB of ids
+    words = docs.join(ids, "rid", "left_semi").mapInArrow(_payload, "rid long, line int, words binary")
     words = words.join(wanted, ["rid", "line"], "left_semi").dropDuplicates(["rid", "line"])
     similar = near.join(words, ["rid", "line"]).repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(_verified, LINE)
     place = F.struct("rid", "line")
