@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import cut, fresh, row_id, table
+from bazaarlake.llm.common import cut, fresh, row_id, small, table
 from bazaarlake.llm.components import components
 from bazaarlake.llm.wordsets import binaries, chunks, distinct, fixed, groups, mixed, overlaps, set_keys, shingles, word_hashes
 
@@ -263,12 +263,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def keep_one(docs: DataFrame) -> DataFrame:
     """The document of smallest id of each group of near copies, with the columns it came with.
 
-    Of rows repeating a doc_id one stays. Documents without words stay.
+    Of rows repeating a doc_id one stays. Documents without words stay. Only ids to drop, or to keep once, are joined to the texts.
     """
-    (rid,) = fresh(docs, "_rid")
-    chosen = near_duplicates(docs.select("doc_id", "text")).where("rid = class_id").select(F.col("rid").alias(rid)).distinct()
-    kept = docs.withColumn(rid, row_id()).join(chosen, rid, "left_semi")
-    return kept.dropDuplicates([rid]).select(*docs.columns)
+    rid, role = fresh(docs, "_rid", "_role")
+    found = cut(near_duplicates(docs.select("doc_id", "text")).groupBy("rid", "class_id").agg(F.count(F.lit(1)).alias("n")))
+    roles = found.where("rid <> class_id OR n > 1").select(F.col("rid").alias(rid), (F.col("rid") == F.col("class_id")).alias(role))
+    marked = docs.withColumn(rid, row_id()).join(small(cut(roles), 1_000_000), rid, "left")
+    once = marked.where(F.col(role)).dropDuplicates([rid])
+    return marked.where(F.col(role).isNull()).unionByName(once).select(*docs.columns)
 
 
 def op5_lsh_forest(spark, sf_dir):
