@@ -215,7 +215,7 @@ def _links_at(depth: int, docs: DataFrame, classes: DataFrame) -> DataFrame:
     schema = "node long, b1 int, b2 int, rid long, block int, copies long, keys binary"
     dealt = members.join(keyed, "rid").select("node", "b1", "b2", "rid", "block", "copies", "keys")
     needed = cut(dealt.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(_needed, schema))
-    ids = needed.select("rid").distinct()
+    ids = small(cut(needed.select("rid").distinct()), 1_000_000)  # texts are not shuffled for up to 8 MB of ids
     sets = docs.join(ids, "rid", "left_semi").select("rid", "text").mapInArrow(_sets, "rid long, members binary")
     sets = sets.dropDuplicates(["rid"])
     return cut(
