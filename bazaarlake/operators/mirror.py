@@ -33,7 +33,8 @@ class Mirror:
     """One mirrored table below ``root``: a batch log, compacted snapshots and a checkpoint log.
 
     A row's rank is (write_date, batch, tie columns). A load writes its batch first and the checkpoint last,
-    so a crash in between repeats the batch under the same number and nothing is lost or doubled.
+    so a crash in between repeats the batch under the same number and nothing is lost or doubled. Batches are numbered
+    by the runs recorded, and only batches of recorded runs are read or compacted; one load may run at a time.
     """
 
     def __init__(
@@ -101,9 +102,13 @@ class Mirror:
         ).coalesce(1).write.mode("append").parquet(self._runs)
         return rows
 
+    def _recorded(self) -> int:
+        """The number of the last batch whose run is recorded."""
+        return self.checkpoint_log().where(F.col("table_name") == self.table).count()
+
     def log(self) -> DataFrame:
         """All versions ever loaded."""
-        return storage.read_batches(self.spark, self._log)
+        return storage.read_batches(self.spark, self._log, upto=self._recorded())
 
     def current(self) -> DataFrame:
         """One row per key: the last compacted snapshot with the later batches merged in."""
@@ -111,7 +116,7 @@ class Mirror:
         if not done:
             return latest_by_key(self.log(), self.key, self.order).drop("batch_id")
         snapshot = self.spark.read.parquet(f"{self._snapshots}/upto={done[-1]}")
-        changes = storage.read_batches(self.spark, self._log, after=done[-1])
+        changes = storage.read_batches(self.spark, self._log, after=done[-1], upto=self._recorded())
         if changes is None:
             return snapshot.drop("batch_id")
         return merge_on_read(snapshot, changes, self.key, self.order).drop("batch_id")
@@ -121,13 +126,14 @@ class Mirror:
 
         With ``trim_log`` the batches already held by that earlier snapshot are deleted from the log.
         """
-        batches = storage.numbered_children(self.spark, self._log, "batch_id")
+        recorded = self._recorded()
+        batches = [b for b in storage.numbered_children(self.spark, self._log, "batch_id") if b <= recorded]
         done = storage.numbered_children(self.spark, self._snapshots, "upto")
         if not batches or (done and done[-1] == batches[-1]):
             return
         if done:
             snapshot = self.spark.read.parquet(f"{self._snapshots}/upto={done[-1]}")
-            changes = storage.read_batches(self.spark, self._log, after=done[-1])
+            changes = storage.read_batches(self.spark, self._log, after=done[-1], upto=self._recorded())
             rows = merge_on_read(snapshot, changes, self.key, self.order)
         else:
             rows = latest_by_key(self.log(), self.key, self.order)

@@ -167,7 +167,7 @@ QUERIES |= {
         for c, fk, p in schema.FOREIGN_KEYS
     ),
     "orphan_check": " UNION ALL ".join(
-        f"SELECT '{label}' AS check_name, {_missing(c, fk, p)} AS bad_rows"
+        f"SELECT '{label}' AS check_name, (SELECT count(*) FROM src_{c} c LEFT JOIN src_{p} p ON p.id = c.{fk} WHERE p.id IS NULL) AS bad_rows"
         for label, c, fk, p in (
             ("sale_orders_without_partner", "sale_order", "partner_id", "res_partner"),
             ("sale_lines_without_order", "sale_order_line", "order_id", "sale_order"),
@@ -199,13 +199,13 @@ QUERIES |= {
 # Star-schema questions.
 QUERIES |= {
     "kpi_sales_by_governorate": f"""
-    SELECT governorate, city, count(*) AS customers, CAST(coalesce(sum(lines), 0) AS BIGINT) AS sale_lines,
+    SELECT coalesce(governorate, '') AS governorate, coalesce(city, '') AS city, count(DISTINCT customer_key) AS customers,
+           CAST(sum(lines) AS BIGINT) AS sale_lines,
            {_sum('net')} AS amount_untaxed, {_sum('total')} AS amount_total, {_sum('paid')} AS amount_paid
-    FROM dim_customer
-    LEFT JOIN (SELECT customer_key AS k, count(*) AS lines, sum(amount_untaxed) AS net, sum(amount_total) AS total
-               FROM fact_sales GROUP BY customer_key) s ON s.k = customer_key
-    LEFT JOIN (SELECT customer_key AS k, sum(amount) AS paid FROM fact_payments GROUP BY customer_key) p ON p.k = customer_key
-    GROUP BY governorate, city""",
+    FROM (
+      SELECT customer_key AS k, 1 AS lines, amount_untaxed AS net, amount_total AS total, NULL AS paid FROM fact_sales
+      UNION ALL SELECT customer_key, 0, NULL, NULL, amount FROM fact_payments
+      UNION ALL SELECT customer_key, 0, NULL, NULL, NULL FROM dim_customer) facts LEFT JOIN dim_customer ON customer_key = k GROUP BY ALL""",
     "kpi_open_balance": f"""
     SELECT customer_key, orders, ordered, paid, CAST(ordered - paid AS DECIMAL(24,4)) AS open_balance
     FROM (SELECT partner_id AS customer_key, count(*) AS orders, {_sum('amount_total')} AS ordered, {_sum('p.paid')} AS paid
@@ -217,16 +217,18 @@ QUERIES |= {
     FROM (SELECT count(*) AS lots, {_sum('on_hand_qty')} AS on_hand, {_sum('reserved_qty')} AS reserved,
                  {_sum('available_qty')} AS available, {_sum('inventory_value')} AS inventory_value FROM fact_inventory)""",
     "kpi_stock_distribution": f"""
-    SELECT governorate, location_code, CASE WHEN parent_category = '' THEN category_name ELSE parent_category END AS category,
+    SELECT coalesce(governorate, '') AS governorate, coalesce(location_code, '') AS location_code,
+           coalesce(CASE WHEN parent_category = '' THEN category_name ELSE parent_category END, '') AS category,
            {_sum('on_hand_qty')} AS on_hand, {_sum('inventory_value')} AS inventory_value
-    FROM fact_inventory f JOIN dim_product p ON p.product_key = f.product_key
-    JOIN dim_location l ON l.location_key = f.location_key GROUP BY ALL""",
+    FROM fact_inventory f LEFT JOIN dim_product p ON p.product_key = f.product_key
+    LEFT JOIN dim_location l ON l.location_key = f.location_key GROUP BY ALL""",
     "kpi_monthly_sales": f"""
-    SELECT year, month, month_name, count(*) AS sale_lines,
+    SELECT coalesce(year, f.date_key // 10000) AS year, coalesce(month, f.date_key // 100 % 100) AS month,
+           coalesce(month_name, '') AS month_name, count(*) AS sale_lines,
            {_sum("CASE WHEN order_state <> 'cancel' THEN amount_total END")} AS amount_total,
            {_sum("CASE WHEN order_state = 'cancel' THEN amount_total END")} AS cancelled_total,
            {_sum("CASE WHEN order_state <> 'cancel' AND is_weekend = 1 THEN amount_total END")} AS weekend_total
-    FROM fact_sales f JOIN calendar d ON d.date_key = f.date_key GROUP BY year, month, month_name""",
+    FROM fact_sales f LEFT JOIN calendar d ON d.date_key = f.date_key GROUP BY ALL""",
 }
 
 # Extracts and stored tables.

@@ -18,19 +18,19 @@ def _sum(c: str, scale: int = 4):
 
 
 def kpi_sales_by_governorate(silver: Silver) -> DataFrame:
-    """Sales and payments per governorate and city of the customer."""
+    """Sales and payments per governorate and city of the customer; '' for facts whose customer has no dimension row."""
     sales = gold.fact_sales(silver).groupBy("customer_key").agg(
         F.count(F.lit(1)).alias("lines"), _sum("amount_untaxed").alias("net"), _sum("amount_total").alias("total")
     )
     paid = gold.fact_payments(silver).groupBy("customer_key").agg(_sum("amount").alias("paid"))
-    customers = gold.dim_customer(silver).select("customer_key", "governorate", "city")
+    customers = gold.dim_customer(silver).select("customer_key", "governorate", "city", F.lit(1).alias("known"))
     zero = F.lit(0).cast("decimal(24,4)")
     return (
-        customers.join(sales, "customer_key", "left")
-        .join(paid, "customer_key", "left")
-        .groupBy("governorate", "city")
+        sales.join(paid, "customer_key", "full")
+        .join(customers, "customer_key", "full")
+        .groupBy(F.coalesce("governorate", F.lit("")).alias("governorate"), F.coalesce("city", F.lit("")).alias("city"))
         .agg(
-            F.count(F.lit(1)).alias("customers"),
+            F.count("known").alias("customers"),
             F.coalesce(F.sum("lines"), F.lit(0)).alias("sale_lines"),
             F.coalesce(_sum("net"), zero).alias("amount_untaxed"),
             F.coalesce(_sum("total"), zero).alias("amount_total"),
@@ -73,7 +73,7 @@ def kpi_inventory(silver: Silver) -> DataFrame:
 
 
 def kpi_stock_distribution(silver: Silver) -> DataFrame:
-    """Stock by governorate, location and parent category."""
+    """Stock by governorate, location and parent category; '' for lots whose product or location has no dimension row."""
     lots = gold.fact_inventory(silver).groupBy("location_key", "product_key").agg(
         _sum("on_hand_qty").alias("qty"), _sum("inventory_value").alias("value")
     )
@@ -85,19 +85,26 @@ def kpi_stock_distribution(silver: Silver) -> DataFrame:
     )
     place = gold.dim_location(silver).select("location_key", "location_code", "governorate")
     per_category = (
-        lots.join(product, "product_key")
-        .groupBy("location_key", "category")
+        lots.join(product, "product_key", "left")
+        .groupBy("location_key", F.coalesce("category", F.lit("")).alias("category"))
         .agg(_sum("qty").alias("qty"), _sum("value").alias("value"))
     )
     return (
-        per_category.join(place, "location_key")
-        .groupBy("governorate", "location_code", "category")
+        per_category.join(place, "location_key", "left")
+        .groupBy(
+            F.coalesce("governorate", F.lit("")).alias("governorate"),
+            F.coalesce("location_code", F.lit("")).alias("location_code"),
+            "category",
+        )
         .agg(_sum("qty").alias("on_hand"), _sum("value").alias("inventory_value"))
     )
 
 
 def kpi_monthly_sales(calendar: DataFrame, silver: Silver) -> DataFrame:
-    """Sales per calendar month, cancelled orders apart, with the part made on weekends."""
+    """Sales per calendar month, cancelled orders apart, with the part made on weekends.
+
+    Days outside the calendar count in their month, without a month name and not as weekends.
+    """
     daily = (
         gold.fact_sales(silver)
         .groupBy("date_key")
@@ -111,8 +118,12 @@ def kpi_monthly_sales(calendar: DataFrame, silver: Silver) -> DataFrame:
     zero = F.lit(0).cast("decimal(24,4)")
     weekend = F.sum(F.when(F.col("is_weekend") == 1, F.col("kept"))).cast("decimal(24,4)")
     return (
-        daily.join(days, "date_key")
-        .groupBy("year", "month", "month_name")
+        daily.join(days, "date_key", "left")
+        .groupBy(
+            F.coalesce("year", F.expr("date_key div 10000").cast("int")).alias("year"),
+            F.coalesce("month", F.expr("date_key div 100 % 100").cast("int")).alias("month"),
+            F.coalesce("month_name", F.lit("")).alias("month_name"),
+        )
         .agg(
             F.sum("lines").alias("sale_lines"),
             F.coalesce(_sum("kept"), zero).alias("amount_total"),

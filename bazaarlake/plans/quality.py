@@ -17,8 +17,10 @@ from bazaarlake.operators.rollup import line_totals, union_all
 Tables = Callable[[str], DataFrame]
 
 
-def _missing_rows(tables: Tables, child: str, fk: str, parent: str) -> DataFrame:
-    gone = missing_parents(tables(child).select(fk), fk, tables(parent))
+def _missing_rows(tables: Tables, child: str, fk: str, parent: str, null_is_missing: bool = False) -> DataFrame:
+    gone = missing_parents(tables(child).select(fk), fk, tables(parent)).select("rows")
+    if null_is_missing:
+        gone = gone.unionByName(tables(child).where(F.col(fk).isNull()).agg(F.count(F.lit(1)).alias("rows")))
     return gone.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("bad_rows"))
 
 
@@ -42,8 +44,9 @@ ORPHANS = (
 
 
 def orphan_check(tables: Tables) -> DataFrame:
+    """Rows without a parent; unlike in ``fk_check`` a NULL key has none."""
     return union_all(
-        _missing_rows(tables, child, fk, parent).select(F.lit(label).alias("check_name"), "bad_rows")
+        _missing_rows(tables, child, fk, parent, null_is_missing=True).select(F.lit(label).alias("check_name"), "bad_rows")
         for label, child, fk, parent in ORPHANS
     )
 

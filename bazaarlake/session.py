@@ -8,6 +8,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: Width of a shuffle before AQE merges partitions up to the advisory size. AQE never widens a plain shuffle, so this bounds
+#: a task's share: at 100 TB about 12 GB of a shuffle of everything. Raise it with the data, lower it for small tests.
+SHUFFLE_PARTITIONS = "8192"
+
+
 def build_session(app: str = "bazaarlake", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the jobs are written for.
 
@@ -18,6 +23,7 @@ def build_session(app: str = "bazaarlake", master: str | None = None, **conf) ->
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.shuffle.partitions", SHUFFLE_PARTITIONS)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
         .config("spark.sql.files.maxPartitionBytes", "256m")

@@ -72,9 +72,9 @@ def append_batch(df: DataFrame, root: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
 
-def read_batches(spark: SparkSession, root: str, after: int = 0) -> DataFrame | None:
-    """The log's batches numbered above ``after`` with their ``batch_id``; folders pruned by name."""
-    ids = [b for b in numbered_children(spark, root, "batch_id") if b > after]
+def read_batches(spark: SparkSession, root: str, after: int = 0, upto: int | None = None) -> DataFrame | None:
+    """The log's batches numbered above ``after`` (and up to ``upto``) with their ``batch_id``; folders pruned by name."""
+    ids = [b for b in numbered_children(spark, root, "batch_id") if b > after and (upto is None or b <= upto)]
     if not ids:
         return None
     paths = [f"{root}/batch_id={b}" for b in ids]

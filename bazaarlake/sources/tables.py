@@ -362,18 +362,16 @@ class RetailSource:
     @cached_property
     def _line_keys(self) -> DataFrame:
         """Lines with a row id. (order, line number) repeats, so the id is the row's place in storage, like a
-        serial column: unique, unchanged on re-reading, and free of any sort or shuffle."""
+        serial column: the place in its file, files numbered by path. The files' numbers are a broadcast of one short row
+        per file, made from the same metadata column that the lines are matched on, so no line is lost."""
         lines = self.raw("lineitem")
-        place = F.col("_metadata.row_index") + 1
-        files = sorted(lines.inputFiles())
-        if len(files) == 1:
-            return lines.select(place.alias("id"), "*")
-        numbers = self.spark.createDataFrame(list(enumerate(files)), "file_no bigint, file string")
+        path = F.col("_metadata.file_path")
+        files = lines.select(path.alias("_file")).distinct()
+        files = files.select("_file", (F.row_number().over(Window.orderBy("_file")) - 1).alias("_file_no"))
         return (
-            lines.select(place.alias("place"), F.col("_metadata.file_path").alias("at_file"), "*")
-            .join(numbers, F.col("at_file") == F.col("file"))
-            .withColumn("id", F.col("file_no") * FILE_STRIDE + F.col("place"))
-            .drop("place", "at_file", "file", "file_no")
+            lines.select((F.col("_metadata.row_index") + 1).alias("_place"), path.alias("_at_file"), "*")
+            .join(F.broadcast(files), F.col("_at_file") == F.col("_file"))
+            .select((F.col("_file_no") * FILE_STRIDE + F.col("_place")).alias("id"), *lines.columns)
         )
 
     @cached_property
