@@ -11,8 +11,8 @@ from bazaarlake.llm.common import cut
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of an edge: root is the smallest id of its component.
 
-    Each round gives every node the smallest label among its neighbours' and its own, then the label of that label (so
-    labels travel twice as far each round), and repoints the edges at the labels, until no edge joins two labels.
+    Each round points every label at the smallest neighbouring one, follows these pointers to their ends (the length doubles
+    with each step) and repoints the edges at the labels found, until no edge joins two labels.
     """
     left, right = F.col(a), F.col(b)
     links = cut(
@@ -22,10 +22,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         links.select(F.col("u").alias("node")).union(links.select("v")).distinct().select("node", F.col("node").alias("root"))
     )
     while not links.isEmpty():
-        # Every current root points to its smallest neighbour, if that is smaller; chains are then shortened.
+        # Every current root points to its smallest neighbour, if that is smaller; chains are shortened to their ends.
         up = cut(links.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("to")))
-        far = up.select(F.col("node").alias("to"), F.col("to").alias("further"))
-        up = cut(up.join(far, "to", "left").select("node", F.coalesce("further", "to").alias("to")))
+        while True:
+            far = up.select(F.col("node").alias("to"), F.col("to").alias("further"))
+            shorter = cut(up.join(far, "to", "left").select("node", F.coalesce("further", "to").alias("to"), "further"))
+            up = shorter.drop("further")
+            if shorter.where("further IS NOT NULL").isEmpty():
+                break
         step = up.withColumnRenamed("node", "root")
         labels = cut(labels.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root")))
         links = cut(
