@@ -166,7 +166,7 @@ def test_matches(spark):
 
 
 def test_blocks_of_items(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 200)
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 4000)
     monkeypatch.setattr(decontaminate, "SLICE", 64)
     df = spark.read.parquet(f"{SF}/documents.parquet")
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
