@@ -9,11 +9,16 @@ Rarity comes from counts over the whole corpus, kept in a table of 2^24 buckets
 words sharing a bucket only look more frequent than they are. A second table of the same size counts words in prefixes: a word in
 one prefix only makes no pair, and words in very many are dealt out as pairs of blocks, so that no task compares
 more than two blocks. Equal sets count as one throughout.
+
+The rows that are dealt by prefix word are four numbers each. Sets that pass the filters under a word are parted into linked
+groups; near copies share most of their prefix, so the same group comes up under several words and is verified once. Only
+then do the words of a set travel.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +36,9 @@ _TOKEN = np.uint64((1 << (_HASH_BITS + _LEVEL_BITS)) - 1)
 
 SKETCH = "segment int, at binary, n binary"
 LINE = "k1 long, k2 long, rid long, line int"
-MEMBER = "token long, b1 int, b2 int, k1 long, k2 long, block int, size int, pos int, bits long, rid long, line int"
-GROUP = ["token", "b1", "b2"]
+MEMBER = "g long, at long, k long, bits long"
+_APART, _SIDE, _POS, _SIZE = 1, 0, 2, 32  # bits of ``at``: pair of blocks, which of them, position, size
+_SEEN = 1 << 20
 
 
 def overlap_needed(n, m):
@@ -103,10 +109,13 @@ def _counted(values: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences; any order will do as long as all lines follow the same one."""
     total = np.zeros(1 << BITS, np.uint32)
-    for _, _, token, _ in line_sets(batches, None):
-        place, n = np.unique((token >> np.uint64(_HASH_BITS - BITS)).astype(np.int64), return_counts=True)
-        total[place] += n.astype(np.uint32)
+    for batch in batches:
+        for _, _, data, offsets in chunks(batch.column("text")):
+            words, _, _ = word_hashes(data, split_lines(data, offsets)[0])
+            place, n = np.unique((words >> np.uint64(64 - BITS)).astype(np.int64), return_counts=True)
+            total[place] += n.astype(np.uint32)
     yield from _counted(total)
 
 
@@ -136,9 +145,9 @@ def _levels(total: np.ndarray) -> np.ndarray:
     return np.minimum(np.ceil(3 * np.log2(np.maximum(total, 1))), (1 << _LEVEL_BITS) - 1).astype(np.uint8)
 
 
-def _blocks(total: np.ndarray) -> np.ndarray:
+def _blocks(total: np.ndarray, block: int) -> np.ndarray:
     """0 for words in at most one prefix, else 1 + the logarithm of the number of blocks."""
-    blocks = np.ceil(np.log2(np.maximum(np.ceil(total / BLOCK), 1)))
+    blocks = np.ceil(np.log2(np.maximum(np.ceil(total / block), 1)))
     return np.where(total > 1, 1 + blocks, 0).astype(np.uint8)
 
 
@@ -165,20 +174,36 @@ def _place(token: np.ndarray) -> np.ndarray:
     return ((token & np.uint64((1 << _HASH_BITS) - 1)) >> np.uint64(_HASH_BITS - BITS)).astype(np.int64)
 
 
+class _Leads:
+    """Which sets of a run speak for their equals: one of each in the run, and none that the task has just seen.
+
+    What was seen is a table of fixed size that forgets, so an equal set may come again; the receiver drops it.
+    """
+
+    def __init__(self):
+        self.seen = np.zeros(_SEEN, np.int64)
+
+    def __call__(self, k1: np.ndarray) -> np.ndarray:
+        _, first = np.unique(k1, return_index=True)
+        slot = k1[first] & (_SEEN - 1)
+        first, slot = first[self.seen[slot] != k1[first]], slot[self.seen[slot] != k1[first]]
+        self.seen[slot] = k1[first]
+        lead = np.zeros(len(k1), bool)
+        lead[first] = True
+        return lead
+
+
 def _lines_and_counts(levels):
     """Rows of two kinds: each line's set key, and the counts of words in prefixes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BITS, np.uint32)
+        total, leads = np.zeros(1 << BITS, np.uint32), _Leads()
         names = [c.split()[0] for c in f"{SKETCH}, {LINE}".split(", ")]
         kinds = [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
         for rid, line, token, bounds in line_sets(batches, levels.value):
             k1, k2 = set_keys(token, bounds)
             at, of, _ = _prefixes(token, bounds)
-            _, first = np.unique(k1, return_index=True)  # equal sets of a run count once
-            lead = np.zeros(len(k1), bool)
-            lead[first] = True
-            place, n = np.unique(_place(token[at[lead[of]]]), return_counts=True)
+            place, n = np.unique(_place(token[at[leads(k1)[of]]]), return_counts=True)
             total[place] += n.astype(np.uint32)
             none = [pa.nulls(len(k1), k) for k in kinds[:3]]
             yield pa.RecordBatch.from_arrays([*none, pa.array(k1), pa.array(k2), pa.array(rid), pa.array(line, pa.int32())], names=names)
@@ -188,19 +213,20 @@ def _lines_and_counts(levels):
     return run
 
 
+def _longs(names: list[str], cols: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in cols], names=names)
+
+
 def _members(levels, blocks):
     """A row for each prefix word of a set that other prefixes have too, in every pair of blocks that the set is in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rid, line, token, bounds in line_sets(batches, levels.value):
-            k1, k2 = set_keys(token, bounds)
-            # Equal sets of a run: the first line speaks for all (lines come in order of place, ids need not).
-            order = np.lexsort((line, rid, k1))
-            lead = np.zeros(len(k1), bool)
-            lead[order[np.concatenate(([True], k1[order][1:] != k1[order][:-1]))]] = True
+        leads = _Leads()
+        for _, _, token, bounds in line_sets(batches, levels.value):
+            k1, _ = set_keys(token, bounds)
             at, of, pos = _prefixes(token, bounds)
             code = blocks.value[_place(token[at])]
-            keep = lead[of] & (code > 0)
+            keep = leads(k1)[of] & (code > 0)
             at, of, pos, code = at[keep], of[keep], pos[keep], code[keep].astype(np.int64)
             parts = np.int64(1) << (code - 1)
             bit = np.uint64(1) << (mixed(token) >> np.uint64(58))
@@ -209,108 +235,132 @@ def _members(levels, blocks):
             row = np.repeat(np.arange(len(at)), parts)
             other = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
             own, s = block[row], of[row]
-            cols = [
-                token[at][row].view(np.int64), np.minimum(own, other), np.maximum(own, other), k1[s], k2[s], own,
-                np.diff(bounds)[s], pos[row], bits[s].view(np.int64), rid[s], line[s],
-            ]
-            yield _batch(cols)
+            pair = (np.minimum(own, other) << 32) | np.maximum(own, other)
+            group = mixed(token[at][row] ^ mixed(pair.view(np.uint64)))  # two groups of one number only mean more to compare
+            size = np.diff(bounds)[s].astype(np.int64)
+            where = (size << _SIZE) | (pos[row].astype(np.int64) << _POS) | ((own != other) << _APART) | (own > other)
+            yield _longs(["g", "at", "k", "bits"], [group, where, k1[s], bits[s]])
 
     return run
 
 
-def _batch(cols: list[np.ndarray]) -> pa.RecordBatch:
-    spec = [c.split() for c in MEMBER.split(", ")]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c.astype(np.int64 if kind == "long" else np.int32)) for c, (_, kind) in zip(cols, spec, strict=True)], names=[n for n, _ in spec]
-    )
-
-
-def _candidates(size_a, size_b, pos_a, pos_b, bits_a, bits_b) -> np.ndarray:
-    """Pairs that pass the length, positional and bitmap filters."""
+def _candidates(at_a, at_b, bits_a, bits_b) -> np.ndarray:
+    """Pairs that pass the length, positional and bitmap filters; pairs of blocks compare across the blocks only."""
+    size_a, size_b = at_a >> _SIZE, at_b >> _SIZE
+    pos_a, pos_b = (at_a & 0xFFFFFFFF) >> _POS, (at_b & 0xFFFFFFFF) >> _POS
     need = overlap_needed(size_a, size_b)
     left = np.minimum(size_a - pos_a, size_b - pos_b)
-    differ = np.bitwise_count(bits_a ^ bits_b)
-    return (left >= need) & (np.minimum(size_a, size_b) >= need) & (differ <= size_a + size_b - 2 * need)
+    ok = (left >= need) & (np.bitwise_count(bits_a ^ bits_b) <= size_a + size_b - 2 * need)
+    within = ((at_a | at_b) & (1 << _APART)) == 0
+    return ok & (within | (((at_a ^ at_b) & (1 << _SIDE)) != 0))
+
+
+def _linked(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest row of each row's component, given linked pairs of n rows."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by group and set: members that pass the filters with another one, each set once per group.
+    """From rows sorted by group: sets that pass the filters with another one, by the component that these pairs make.
 
-    Rows are compared with those 1, 2, 3, ... places on, all groups of a run at a time.
+    A component's name is a hash of its sets. Rows are compared with those 1, 2, 3, ... places on in order of size, all groups
+    of a run at a time, until the partner is too long.
     """
-    names = [c.split()[0] for c in MEMBER.split(", ")]
-
-    def passed(cols: dict[str, np.ndarray]) -> np.ndarray:
-        n = len(cols["token"])
-        new = np.ones(n, bool)  # the first row of a group
-        new[1:] = (cols["token"][1:] != cols["token"][:-1]) | (cols["b1"][1:] != cols["b1"][:-1]) | (cols["b2"][1:] != cols["b2"][:-1])
-        number = np.cumsum(new)
-        out, alive, d = np.zeros(n, bool), np.arange(n), 1
-        size, pos, bits = cols["size"], cols["pos"], cols["bits"].view(np.uint64)
-        apart = cols["b1"] != cols["b2"]
+
+    def passed(cols: list[np.ndarray]) -> pa.RecordBatch | None:
+        g, at, k, bits = cols
+        n, size, parity = len(g), at >> _SIZE, bits.view(np.uint64)
+        alive, d, a, b = np.arange(n), 1, [], []
         while True:
             alive = alive[alive + d < n]
-            alive = alive[number[alive] == number[alive + d]]
+            alive = alive[(g[alive] == g[alive + d]) & (size[alive] >= THRESHOLD * size[alive + d] - 1e-9)]
             if not len(alive):
-                return out
-            b = alive + d
-            ok = _candidates(size[alive], size[b], pos[alive], pos[b], bits[alive], bits[b])
-            ok &= ~apart[alive] | (cols["block"][alive] != cols["block"][b])
-            out[alive[ok]] = True
-            out[b[ok]] = True
+                break
+            ok = alive[_candidates(at[alive], at[alive + d], parity[alive], parity[alive + d])]
+            a.append(ok)
+            b.append(ok + d)
             d += 1
-
-    def sets(cols: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        same = np.zeros(len(cols["token"]), bool)  # rows come sorted by place within a set, so the first line stays
-        same[1:] = True
-        for c in (*GROUP, "k1", "k2"):
-            same[1:] &= cols[c][1:] == cols[c][:-1]
-        return {c: v[~same] for c, v in cols.items()}
-
-    held: dict[str, np.ndarray] | None = None
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+        if not len(a):
+            return None
+        root = _linked(n, a, b)
+        own = np.unique(np.concatenate((a, b)))
+        name = np.zeros(n, np.uint64)
+        np.add.at(name, root[own], mixed(k[own].view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D)))
+        return _longs(["c", "k"], [name[root[own]], k[own]])
+
+    def sets(cols: list[np.ndarray]) -> list[np.ndarray]:
+        g, at, k, _ = cols
+        order = np.lexsort((k, at, g))
+        cols = [c[order] for c in cols]
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([c[1:] != c[:-1] for c in cols], axis=0)
+        return [c[new] for c in cols]
+
+    held: list[np.ndarray] | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        cols = {c: np.asarray(batch.column(c)) for c in names}
+        cols = [np.asarray(c) for c in batch.columns]
+        last = cols[0][-1]
         if held:
-            cols = {c: np.concatenate((held[c], cols[c])) for c in names}
+            cols = [np.concatenate(pair) for pair in zip(held, cols, strict=True)]
         cols = sets(cols)
-        last = len(cols["token"]) - 1
-        cut_at = int(np.flatnonzero((cols["token"] != cols["token"][last]) | (cols["b1"] != cols["b1"][last]) | (cols["b2"] != cols["b2"][last]))[-1:].sum() + 1)
-        if (cols["token"] == cols["token"][last]).all() and (cols["b1"] == cols["b1"][last]).all() and (cols["b2"] == cols["b2"][last]).all():
-            cut_at = 0
-        held = {c: v[cut_at:] for c, v in cols.items()}
-        cols = {c: v[:cut_at] for c, v in cols.items()}
-        if cut_at and (keep := passed(cols)).any():
-            yield _batch([cols[c][keep] for c in names])
-    if held and (keep := passed(held)).any():
-        yield _batch([held[c][keep] for c in names])
-
-
-def _payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rid, line, token, bounds in line_sets(batches, None):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rid), pa.array(line, pa.int32()), binaries(token, bounds)], names=["rid", "line", "words"]
-        )
+        open_ = cols[0] == last  # this group may go on in the next batch
+        held = [c[open_] for c in cols]
+        out = passed([c[~open_] for c in cols])
+        if out:
+            yield out
+    if held and (out := passed(held)):
+        yield out
+
+
+def _payload(levels):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The words of the wanted lines of each text."""
+        for batch in batches:
+            rids = np.asarray(batch.column("rid"))
+            wanted = batch.column("wanted")
+            key = pa.array(np.arange(batch.num_rows))  # lines are told apart by row, as ids may repeat
+            rows = pa.RecordBatch.from_arrays([key, batch.column("text")], names=["rid", "text"])
+            lines = np.asarray(wanted.flatten())
+            of = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(wanted.offsets)))
+            want = (of.astype(np.int64) << 32) | lines
+            for row, line, token, bounds in line_sets(iter([rows]), levels.value):
+                keep = np.isin((row.astype(np.int64) << 32) | line, want)
+                if keep.any():
+                    size = np.diff(bounds)
+                    token = token[np.repeat(keep, size)]
+                    ends = np.concatenate(([0], np.cumsum(size[keep])))
+                    k1, k2 = set_keys(token, ends)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(k1), pa.array(k2), pa.array(rids[row[keep]]), pa.array(line[keep], pa.int32()), binaries(token, ends)],
+                        names=["k1", "k2", "rid", "line", "words"],
+                    )
+
+    return run
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per set that is similar to another one: the first line of those sets."""
-    for group in groups(batches, GROUP):
+    """Per set that is similar to another one of its component: the first line of those sets."""
+    for group in groups(batches, ["c"]):
         if group.num_rows < 2:
             continue
-        g = {c: np.asarray(group.column(c)) for c in ("size", "pos", "bits", "block", "rid", "line", "k1", "k2", "b1", "b2")}
-        pair = lambda c: (g[c][:, None], g[c][None, :])
-        bits = g["bits"].view(np.uint64)
-        ok = _candidates(*pair("size"), *pair("pos"), bits[:, None], bits[None, :])
-        if g["b1"][0] != g["b2"][0]:
-            ok &= g["block"][:, None] != g["block"][None, :]
+        g = {c: np.asarray(group.column(c)) for c in ("rid", "line", "k1", "k2")}
+        words = [np.frombuffer(x, np.uint64) for x in group.column("words").to_pylist()]
+        shared = overlaps(words)
+        size = np.array([len(w) for w in words])
+        ok = shared >= THRESHOLD * (size[:, None] + size[None, :] - shared) - 1e-9
         np.fill_diagonal(ok, False)
-        if not ok.any():
-            continue
-        shared = overlaps([np.frombuffer(x, np.uint64) for x in group.column("words").to_pylist()])
-        size = g["size"].astype(np.int64)
-        ok &= shared >= THRESHOLD * (size[:, None] + size[None, :] - shared) - 1e-9
         order = np.lexsort((g["line"], g["rid"]))  # the earliest partner is the first in this order
         rank = ok[:, order]
         has = np.flatnonzero(rank.any(axis=1))
@@ -332,17 +382,20 @@ def later_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     docs = docs.select(row_id(doc_id, text).alias("rid"), F.col(text).alias("text"))
     levels = _broadcast(docs.mapInArrow(_word_counts, SKETCH), _levels)
     rows = cut(docs.mapInArrow(_lines_and_counts(levels), f"{SKETCH}, {LINE}"))
-    blocks = _broadcast(rows.where("segment IS NOT NULL").select("segment", "at", "n"), _blocks)
+    blocks = _broadcast(rows.where("segment IS NOT NULL").select("segment", "at", "n"), partial(_blocks, block=BLOCK))
     lines = rows.where("segment IS NULL").select("k1", "k2", "rid", "line")
     members = docs.mapInArrow(_members(levels, blocks), MEMBER)
-    near = cut(members.repartition(*GROUP).sortWithinPartitions(*GROUP, "k1", "k2", "rid", "line").mapInArrow(_compared, MEMBER))
-    wanted = near.select("rid", "line").distinct()
-    ids = small(cut(wanted.select("rid").distinct()), 1_000_000)  # texts are not shuffled for up to 8 MB of ids
-    words = docs.join(ids, "rid", "left_semi").mapInArrow(_payload, "rid long, line int, words binary")
-    words = words.join(wanted, ["rid", "line"], "left_semi").dropDuplicates(["rid", "line"])
-    similar = near.join(words, ["rid", "line"]).repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(_verified, LINE)
+    near = members.repartition("g").sortWithinPartitions("g").mapInArrow(_compared, "c long, k long")
+    near = cut(near.distinct())
     place = F.struct("rid", "line")
     own = lines.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    own = own.join(near.select(F.col("k").alias("k1"), F.lit(True).alias("near")).distinct(), "k1", "left")
+    own = cut(own.where("n > 1 OR near"))  # sets that more than one line has, or that are near another one
+    wanted = own.where("near").select("k1", "k2", "first.*")
+    texts = small(cut(wanted.groupBy("rid").agg(F.collect_set("line").alias("wanted"))), 1_000_000)  # few ids: texts stay put
+    words = docs.join(texts, "rid").select("rid", "text", "wanted").mapInArrow(_payload(levels), f"{LINE}, words binary")
+    words = words.join(wanted, ["k1", "k2", "rid", "line"], "left_semi").dropDuplicates(["k1", "k2"])
+    similar = near.join(words, F.col("k") == F.col("k1")).repartition("c").sortWithinPartitions("c").mapInArrow(_verified, LINE)
     other = similar.groupBy("k1", "k2").agg(F.min(place).alias("other"))
     first = own.join(other, ["k1", "k2"], "left").where("n > 1 OR other IS NOT NULL")
     first = first.select("k1", "k2", F.least("first", "other").alias("first"))

@@ -111,6 +111,17 @@ def test_lines(spark):
     assert lines_of(df) == brute.removed_lines(rows)
 
 
+def test_lines_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK", 2)
+    rows, df = many_lines(spark)
+    assert lines_of(df) == brute.removed_lines(rows)
+
+
+def test_lines_of_repeated_ids(spark):
+    df = spark.createDataFrame([(1, "a b c d e f g h i j"), (1, "x y z u v"), (2, "a b c d e f g h i k")], "doc_id long, text string")
+    assert lines_of(df) == {2: [0]}
+
+
 def test_lines_of_odd_rows(spark, odd):
     cleaned = line_dedup.dedup(odd)
     assert cleaned.columns == odd.columns and cleaned.count() == odd.count()
