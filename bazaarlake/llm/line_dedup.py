@@ -10,9 +10,9 @@ words sharing a bucket only look more frequent than they are. A second table of
 one prefix only makes no pair, and words in very many are dealt out as pairs of blocks, so that no task compares
 more than two blocks. Equal sets count as one throughout.
 
-The rows that are dealt by prefix word are four numbers each. Sets that pass the filters under a word are parted into linked
-groups; near copies share most of their prefix, so the same group comes up under several words and is verified once. Only
-then do the words of a set travel.
+The rows that are dealt by prefix word are five numbers each. One is the word before it in the set's order: two sets
+that share this one as well have already met under it. Sets that pass the filters under a word are parted into linked
+groups; a group that comes up under several words is verified once. Only then do the words of a set travel, five bytes each.
 """
 
 from __future__ import annotations
@@ -32,11 +32,12 @@ THRESHOLD, LEAST = 0.8, 5
 BITS, SEGMENT_BITS = 24, 16
 BLOCK = 1024
 _HASH_BITS, _LEVEL_BITS, _RUN = 38, 6, 1 << 19
-_TOKEN = np.uint64((1 << (_HASH_BITS + _LEVEL_BITS)) - 1)
+_TOKEN, _HASH = np.uint64((1 << (_HASH_BITS + _LEVEL_BITS)) - 1), np.uint64((1 << _HASH_BITS) - 1)
+_BYTES = 5  # hold a hash
 
 SKETCH = "segment int, at binary, n binary"
 LINE = "k1 long, k2 long, rid long, line int"
-MEMBER = "g long, at long, k long, bits long"
+MEMBER = "g long, at long, k long, bits long, before long"
 _APART, _SIDE, _POS, _SIZE = 1, 0, 2, 32  # bits of ``at``: pair of blocks, which of them, position, size
 _SEEN = 1 << 20
 
@@ -114,8 +115,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, _, data, offsets in chunks(batch.column("text")):
             words, _, _ = word_hashes(data, split_lines(data, offsets)[0])
-            place, n = np.unique((words >> np.uint64(64 - BITS)).astype(np.int64), return_counts=True)
-            total[place] += n.astype(np.uint32)
+            np.add.at(total, (words >> np.uint64(64 - BITS)).astype(np.int64), np.uint32(1))
     yield from _counted(total)
 
 
@@ -171,7 +171,7 @@ def _prefixes(token: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _place(token: np.ndarray) -> np.ndarray:
-    return ((token & np.uint64((1 << _HASH_BITS) - 1)) >> np.uint64(_HASH_BITS - BITS)).astype(np.int64)
+    return ((token & _HASH) >> np.uint64(_HASH_BITS - BITS)).astype(np.int64)
 
 
 class _Leads:
@@ -203,8 +203,7 @@ def _lines_and_counts(levels):
         for rid, line, token, bounds in line_sets(batches, levels.value):
             k1, k2 = set_keys(token, bounds)
             at, of, _ = _prefixes(token, bounds)
-            place, n = np.unique(_place(token[at[leads(k1)[of]]]), return_counts=True)
-            total[place] += n.astype(np.uint32)
+            np.add.at(total, _place(token[at[leads(k1)[of]]]), np.uint32(1))
             none = [pa.nulls(len(k1), k) for k in kinds[:3]]
             yield pa.RecordBatch.from_arrays([*none, pa.array(k1), pa.array(k2), pa.array(rid), pa.array(line, pa.int32())], names=names)
         for b in _counted(total):
@@ -239,7 +238,8 @@ def _members(levels, blocks):
             group = mixed(token[at][row] ^ mixed(pair.view(np.uint64)))  # two groups of one number only mean more to compare
             size = np.diff(bounds)[s].astype(np.int64)
             where = (size << _SIZE) | (pos[row].astype(np.int64) << _POS) | ((own != other) << _APART) | (own > other)
-            yield _longs(["g", "at", "k", "bits"], [group, where, k1[s], bits[s]])
+            before = np.where(pos > 0, (token[np.maximum(at - 1, 0)] & _HASH) + np.uint64(1), np.uint64(0))[row]
+            yield _longs(["g", "at", "k", "bits", "before"], [group, where, k1[s], bits[s], before])
 
     return run
 
@@ -277,7 +277,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
 
     def passed(cols: list[np.ndarray]) -> pa.RecordBatch | None:
-        g, at, k, bits = cols
+        g, at, k, bits, before = cols
         n, size, parity = len(g), at >> _SIZE, bits.view(np.uint64)
         alive, d, a, b = np.arange(n), 1, [], []
         while True:
@@ -285,7 +285,8 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             alive = alive[(g[alive] == g[alive + d]) & (size[alive] >= THRESHOLD * size[alive + d] - 1e-9)]
             if not len(alive):
                 break
-            ok = alive[_candidates(at[alive], at[alive + d], parity[alive], parity[alive + d])]
+            new = (before[alive] != before[alive + d]) | (before[alive] == 0)  # not met under the word before
+            ok = alive[new & _candidates(at[alive], at[alive + d], parity[alive], parity[alive + d])]
             a.append(ok)
             b.append(ok + d)
             d += 1
@@ -299,7 +300,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _longs(["c", "k"], [name[root[own]], k[own]])
 
     def sets(cols: list[np.ndarray]) -> list[np.ndarray]:
-        g, at, k, _ = cols
+        g, at, k, *_ = cols
         order = np.lexsort((k, at, g))
         cols = [c[order] for c in cols]
         new = np.ones(len(order), bool)
@@ -324,6 +325,18 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out
 
 
+def _packed(token: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Each part's word hashes, without levels, as a binary value."""
+    data = np.ascontiguousarray((token & _HASH).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_BYTES]).ravel()
+    return binaries(data, bounds * _BYTES)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // _BYTES, 8), np.uint8)
+    out[:, :_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, _BYTES)
+    return out.view("<u8").ravel()
+
+
 def _payload(levels):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The words of the wanted lines of each text."""
@@ -343,7 +356,7 @@ def _payload(levels):
                     ends = np.concatenate(([0], np.cumsum(size[keep])))
                     k1, k2 = set_keys(token, ends)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(k1), pa.array(k2), pa.array(rids[row[keep]]), pa.array(line[keep], pa.int32()), binaries(token, ends)],
+                        [pa.array(k1), pa.array(k2), pa.array(rids[row[keep]]), pa.array(line[keep], pa.int32()), _packed(token, ends)],
                         names=["k1", "k2", "rid", "line", "words"],
                     )
 
@@ -356,7 +369,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if group.num_rows < 2:
             continue
         g = {c: np.asarray(group.column(c)) for c in ("rid", "line", "k1", "k2")}
-        words = [np.frombuffer(x, np.uint64) for x in group.column("words").to_pylist()]
+        words = [_unpacked(x) for x in group.column("words").to_pylist()]
         shared = overlaps(words)
         size = np.array([len(w) for w in words])
         ok = shared >= THRESHOLD * (size[:, None] + size[None, :] - shared) - 1e-9
@@ -394,7 +407,9 @@ def later_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     wanted = own.where("near").select("k1", "k2", "first.*")
     texts = small(cut(wanted.groupBy("rid").agg(F.collect_set("line").alias("wanted"))), 1_000_000)  # few ids: texts stay put
     words = docs.join(texts, "rid").select("rid", "text", "wanted").mapInArrow(_payload(levels), f"{LINE}, words binary")
-    words = words.join(wanted, ["k1", "k2", "rid", "line"], "left_semi").dropDuplicates(["k1", "k2"])
+    # Dealt by k1 once, for the grouping and for the join. A repeated id may bring a set's line in more than once.
+    words = words.repartition("k1").groupBy("k1", "k2").agg(F.min(place).alias("p"), F.first("words").alias("words"))
+    words = words.select("k1", "k2", "p.*", "words")
     similar = near.join(words, F.col("k") == F.col("k1")).repartition("c").sortWithinPartitions("c").mapInArrow(_verified, LINE)
     other = similar.groupBy("k1", "k2").agg(F.min(place).alias("other"))
     first = own.join(other, ["k1", "k2"], "left").where("n > 1 OR other IS NOT NULL")
