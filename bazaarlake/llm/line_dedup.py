@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import cut, fresh, row_id, small, table
+from bazaarlake.llm.common import fresh, row_id, small, stored, table
 from bazaarlake.llm.wordsets import binaries, chunks, groups, mixed, overlaps, set_keys, word_hashes
 
 THRESHOLD, LEAST = 0.8, 5
@@ -34,12 +34,14 @@ BLOCK = 1024
 _HASH_BITS, _LEVEL_BITS, _RUN = 38, 6, 1 << 19
 _TOKEN, _HASH = np.uint64((1 << (_HASH_BITS + _LEVEL_BITS)) - 1), np.uint64((1 << _HASH_BITS) - 1)
 _BYTES = 5  # hold a hash
+_GROUP = np.uint64(64 - 8 * _BYTES)
 
 SKETCH = "segment int, at binary, n binary"
 LINE = "k1 long, k2 long, rid long, line int"
-MEMBER = "g long, at long, k long, bits long, before long"
+MEMBER = "k long, bits long, g long, before long, at long"  # the fields with many zero bytes are neighbours
 _APART, _SIDE, _POS, _SIZE = 1, 0, 2, 32  # bits of ``at``: pair of blocks, which of them, position, size
 _SEEN = 1 << 20
+_CHUNK = 1 << 18  # bytes of text at a time: arrays that fit the cache
 
 
 def overlap_needed(n, m):
@@ -70,7 +72,7 @@ def line_sets(batches: Iterator[pa.RecordBatch], levels: np.ndarray | None) -> I
     """
     for batch in batches:
         rids = np.asarray(batch.column("rid"))
-        for a, _, data, offsets in chunks(batch.column("text")):
+        for a, _, data, offsets in chunks(batch.column("text"), _CHUNK):
             bounds, text, line = split_lines(data, offsets)
             if len(bounds) < 2:
                 continue
@@ -113,7 +115,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences; any order will do as long as all lines follow the same one."""
     total = np.zeros(1 << BITS, np.uint32)
     for batch in batches:
-        for _, _, data, offsets in chunks(batch.column("text")):
+        for _, _, data, offsets in chunks(batch.column("text"), _CHUNK):
             words, _, _ = word_hashes(data, split_lines(data, offsets)[0])
             np.add.at(total, (words >> np.uint64(64 - BITS)).astype(np.int64), np.uint32(1))
     yield from _counted(total)
@@ -235,11 +237,11 @@ def _members(levels, blocks):
             other = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
             own, s = block[row], of[row]
             pair = (np.minimum(own, other) << 32) | np.maximum(own, other)
-            group = mixed(token[at][row] ^ mixed(pair.view(np.uint64)))  # two groups of one number only mean more to compare
+            group = mixed(token[at][row] ^ mixed(pair.view(np.uint64))) >> _GROUP  # two groups of one number only mean more to compare
             size = np.diff(bounds)[s].astype(np.int64)
             where = (size << _SIZE) | (pos[row].astype(np.int64) << _POS) | ((own != other) << _APART) | (own > other)
             before = np.where(pos > 0, (token[np.maximum(at - 1, 0)] & _HASH) + np.uint64(1), np.uint64(0))[row]
-            yield _longs(["g", "at", "k", "bits", "before"], [group, where, k1[s], bits[s], before])
+            yield _longs(["k", "bits", "g", "before", "at"], [k1[s], bits[s], group, before, where])
 
     return run
 
@@ -277,7 +279,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
 
     def passed(cols: list[np.ndarray]) -> pa.RecordBatch | None:
-        g, at, k, bits, before = cols
+        k, bits, g, before, at = cols
         n, size, parity = len(g), at >> _SIZE, bits.view(np.uint64)
         alive, d, a, b = np.arange(n), 1, [], []
         while True:
@@ -300,7 +302,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _longs(["c", "k"], [name[root[own]], k[own]])
 
     def sets(cols: list[np.ndarray]) -> list[np.ndarray]:
-        g, at, k, *_ = cols
+        k, _, g, _, at = cols
         order = np.lexsort((k, at, g))
         cols = [c[order] for c in cols]
         new = np.ones(len(order), bool)
@@ -312,11 +314,11 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         cols = [np.asarray(c) for c in batch.columns]
-        last = cols[0][-1]
+        last = cols[2][-1]
         if held:
             cols = [np.concatenate(pair) for pair in zip(held, cols, strict=True)]
         cols = sets(cols)
-        open_ = cols[0] == last  # this group may go on in the next batch
+        open_ = cols[2] == last  # this group may go on in the next batch
         held = [c[open_] for c in cols]
         out = passed([c[~open_] for c in cols])
         if out:
@@ -394,26 +396,26 @@ def later_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """
     docs = docs.select(row_id(doc_id, text).alias("rid"), F.col(text).alias("text"))
     levels = _broadcast(docs.mapInArrow(_word_counts, SKETCH), _levels)
-    rows = cut(docs.mapInArrow(_lines_and_counts(levels), f"{SKETCH}, {LINE}"))
+    rows = stored(docs.mapInArrow(_lines_and_counts(levels), f"{SKETCH}, {LINE}"))
     blocks = _broadcast(rows.where("segment IS NOT NULL").select("segment", "at", "n"), partial(_blocks, block=BLOCK))
     lines = rows.where("segment IS NULL").select("k1", "k2", "rid", "line")
     members = docs.mapInArrow(_members(levels, blocks), MEMBER)
     near = members.repartition("g").sortWithinPartitions("g").mapInArrow(_compared, "c long, k long")
-    near = cut(near.distinct())
+    near = stored(near.distinct())
     place = F.struct("rid", "line")
     own = lines.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     own = own.join(near.select(F.col("k").alias("k1"), F.lit(True).alias("near")).distinct(), "k1", "left")
-    own = cut(own.where("n > 1 OR near"))  # sets that more than one line has, or that are near another one
+    own = stored(own.where("n > 1 OR near"))  # sets that more than one line has, or that are near another one
     wanted = own.where("near").select("k1", "k2", "first.*")
-    texts = small(cut(wanted.groupBy("rid").agg(F.collect_set("line").alias("wanted"))), 1_000_000)  # few ids: texts stay put
+    texts = small(stored(wanted.groupBy("rid").agg(F.collect_set("line").alias("wanted"))), 1_000_000)  # few ids: texts stay put
     words = docs.join(texts, "rid").select("rid", "text", "wanted").mapInArrow(_payload(levels), f"{LINE}, words binary")
     # Dealt by k1 once, for the grouping and for the join. A repeated id may bring a set's line in more than once.
     words = words.repartition("k1").groupBy("k1", "k2").agg(F.min(place).alias("p"), F.first("words").alias("words"))
     words = words.select("k1", "k2", "p.*", "words")
-    similar = near.join(words, F.col("k") == F.col("k1")).repartition("c").sortWithinPartitions("c").mapInArrow(_verified, LINE)
+    similar = near.join(words, F.col("k") == F.col("k1")).drop("k").repartition("c").sortWithinPartitions("c").mapInArrow(_verified, LINE)
     other = similar.groupBy("k1", "k2").agg(F.min(place).alias("other"))
     first = own.join(other, ["k1", "k2"], "left").where("n > 1 OR other IS NOT NULL")
-    first = first.select("k1", "k2", F.least("first", "other").alias("first"))
+    first = small(stored(first.select("k1", "k2", F.least("first", "other").alias("first"))), 500_000)
     return lines.join(first, ["k1", "k2"]).where(place > F.col("first")).select("rid", "line").distinct()
 
 
