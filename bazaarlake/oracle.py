@@ -58,11 +58,27 @@ def _columns(table: str, mirror: bool) -> str:
     return ", ".join(out)
 
 
+# What stands for NULL in columns that bronze declares NOT NULL.
+_BRONZE_DEFAULTS = {
+    "muhafazat": {"name": "''"},
+    "cities": {"muhafaza_id": "0"},
+    "res_partner": {"name": "''", "is_company": "false", "active": "false"},
+    "product_category": {"name": "''"},
+    "product_template": {"name": "''"},
+    "product_product": {"product_tmpl_id": "0"},
+    "stock_location": {"name": "''"},
+    "sale_order": {"name": "''", "partner_id": "0", "location_id": "0", "state": "''"}
+    | {c: "0" for c in ("amount_untaxed", "amount_tax", "amount_total")},
+    "sale_order_line": {c: "0" for c in ("order_id", "product_id", "product_uom_qty", "price_unit", "discount")}
+    | {c: "0" for c in ("price_subtotal", "price_total")},
+}
+
+
 def _bronze(table: str) -> str:
     out = []
+    defaults = _BRONZE_DEFAULTS[table]
     for c in schema.columns(table):
-        default = {"string": "''", "boolean": "false"}.get(c.type, "0")
-        value = f"coalesce({c.name}, {default})" if c.required and c.type != "timestamp" else c.name
+        value = f"coalesce({c.name}, {defaults[c.name]})" if c.name in defaults else c.name
         out.append(f"CAST({value} AS {c.type}) AS {c.name}")
     return f"SELECT {', '.join(out)} FROM src_{table}"
 

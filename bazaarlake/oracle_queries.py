@@ -240,9 +240,9 @@ QUERIES |= {
     "raw_typed": raw_select("stock_quant"),
     "bronze_conform": """
     SELECT * REPLACE (CASE WHEN id % 6 = 0 THEN '' ELSE name END AS name,
-                      CASE WHEN id % 6 = 0 THEN 0 ELSE muhafaza_id END AS muhafaza_id,
+                      CASE WHEN id % 6 = 0 THEN NULL ELSE muhafaza_id END AS muhafaza_id,
                       CASE WHEN id % 6 = 0 THEN false ELSE is_company END AS is_company,
-                      CASE WHEN id % 6 = 0 THEN '' ELSE partner_type END AS partner_type) FROM bronze_res_partner""",
+                      CASE WHEN id % 6 = 0 THEN NULL ELSE partner_type END AS partner_type) FROM bronze_res_partner""",
     "fact_layout": "SELECT * FROM fact_sales",
     "insert_if_absent": """
     SELECT id, CASE WHEN id % 3 = 0 THEN name || '-new' ELSE name END AS name, state FROM src_order_headers""",

@@ -73,6 +73,25 @@ REFRESH_TABLES = (
     "muhafazat",
 )
 
+# What the bronze tables declare NOT NULL, apart from the id; everything else there may be NULL.
+BRONZE_REQUIRED = {
+    "muhafazat": ("name",),
+    "cities": ("muhafaza_id",),
+    "res_partner": ("name", "is_company", "active"),
+    "product_category": ("name",),
+    "product_template": ("name",),
+    "product_product": ("product_tmpl_id",),
+    "stock_location": ("name",),
+    "sale_order": (
+        "name", "partner_id", "location_id", "date_order", "state", "amount_untaxed", "amount_tax", "amount_total",
+        "create_date", "write_date",
+    ),
+    "sale_order_line": (
+        "order_id", "product_id", "product_uom_qty", "price_unit", "discount", "price_subtotal", "price_total",
+        "create_date", "write_date",
+    ),
+}
+
 # Mirror types: money and quantities widen to (18,4), the discount percent to (9,4).
 MIRROR_DECIMAL = "decimal(18,4)"
 MIRROR_DISCOUNT = "decimal(9,4)"

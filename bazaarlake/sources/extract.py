@@ -75,11 +75,15 @@ _DEFAULTS = {"string": "", "boolean": False}
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Columns, order and types of the declared table; a NULL in a required column becomes the type's default."""
+    """Columns, order and types of the declared bronze table.
+
+    A NULL in a column that bronze requires becomes the type's default; ids and timestamps have none and stay as they
+    are, and columns that bronze lets be NULL stay NULL.
+    """
     out = []
     for c in schema.columns(table):
         value = F.col(c.name).cast(c.type)
-        if c.required and c.type != "timestamp":
+        if c.name in schema.BRONZE_REQUIRED[table] and c.type != "timestamp":
             value = F.coalesce(value, F.lit(_DEFAULTS.get(c.type, 0)).cast(c.type))
         out.append(value.alias(c.name))
     return df.select(*out)

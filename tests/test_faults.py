@@ -85,6 +85,15 @@ def test_orphans_with_null_keys(spark, source):
     assert nulls and found["sale_orders_without_partner"] == nulls
 
 
+def test_bronze_keeps_optional_nulls(spark, source):
+    from bazaarlake.sources.extract import conform
+
+    partners = source.table("res_partner").limit(1)
+    row = conform(partners.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in partners.schema]), "res_partner").first()
+    filled = {c: row[c] for c in row.asDict() if row[c] is not None}
+    assert filled == {"name": "", "is_company": False, "active": False}
+
+
 @pytest.mark.parametrize("name,column,fact,total", [("kpi_stock_distribution", "on_hand", "fact_inventory", "on_hand_qty"), ("kpi_sales_by_governorate", "amount_total", "fact_sales", "amount_total")])
 def test_kpis_keep_facts_without_dimension(spark, source, name, column, fact, total):
     from bazaarlake.plans import gold, kpi
