@@ -9,36 +9,22 @@ from pyspark.sql import functions as F
 
 
 def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    row_key: Sequence[str],
-    probe: int = 64,
-    min_probed: int = 20_000,
-    max_keys: int = 10_000,
-    rows_per_copy: int = 1_000_000,
+    df: DataFrame, keys: Sequence[str], row_key: Sequence[str], probe: int = 64, rows_per_copy: int = 10_000_000
 ) -> DataFrame:
-    """Keys that need splitting, with the number of copies each is split into.
+    """Keys of about ``rows_per_copy`` rows or more, with the number of copies each is to be split into.
 
     Every ``probe``-th row by the hash of its own id is counted: a pure function of the row, so a retried or
-    repeated evaluation finds the same keys. A key is hot from ``min_probed`` probed rows on and above
-    1/``max_keys`` of all probed rows, hence there are fewer than ``max_keys`` of them. Which keys are found
-    affects only how work is spread, never the result.
+    repeated evaluation finds the same keys. There are at most rows / ``rows_per_copy`` of them. The scan reads the
+    keys of all rows: store the result and hand it to ``skew_join`` run after run.
     """
     probed = (
         df.where(F.pmod(F.xxhash64(*row_key), F.lit(probe)) == 0)
         .where(~_any(F.col(k).isNull() for k in keys))
         .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    total = probed.agg(F.sum("_n")).scalar()
-    return (
-        probed.where(F.col("_n") >= min_probed)
-        .where(F.col("_n") * max_keys > total)
-        .select(
-            *[F.col(k).alias(f"_hot_{k}") for k in keys],
-            F.ceil(F.col("_n") * probe / F.lit(rows_per_copy)).cast("int").alias("_copies"),
-        )
+        .agg((F.count(F.lit(1)) * probe).alias("_rows"))
     )
+    copies = F.ceil(F.col("_rows") / F.lit(rows_per_copy)).cast("int").alias("_copies")
+    return probed.where(F.col("_rows") >= rows_per_copy).select(*[F.col(k).alias(f"_hot_{k}") for k in keys], copies)
 
 
 def fits_broadcast(*frames: DataFrame) -> bool:
@@ -55,41 +41,40 @@ def skew_join(
     row_key: Sequence[str],
     how: str = "inner",
     joined_from: Sequence[DataFrame] = (),
-    **probe_options,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Join ``many`` to ``one`` (unique on its key) with hot keys of ``many`` spread over several tasks.
+    """Join ``many`` to ``one`` (unique on its key) where some keys of ``many`` hold a large share of its rows.
 
-    If ``one`` is small enough to be broadcast, ``many`` is not shuffled and a plain join is all it takes.
-    Otherwise rows of a hot key get a salt from their own id and the matching row of ``one`` is copied once
-    per salt; the copies over all hot keys number at most rows / rows_per_copy. NULL keys, which match
-    nothing, are spread too. The hot key list is broadcast; ``hot_keys`` bounds its size.
+    If ``one`` is small enough to be broadcast, ``many`` is not shuffled and a plain join is all it takes. Otherwise both
+    sides are merged on the key. AQE splits the partition of a hot key by map output and gives every piece the one matching
+    row, so neither side is read beforehand to look for such keys. NULL keys, which match nothing, are spread by row.
+    Keys known to be hot may be listed in ``hot`` (see ``hot_keys``): their rows get a salt from their own id and the
+    matching row of ``one`` is copied once per salt.
 
     Where ``one`` is itself a one-to-one join, the planner takes the product of its inputs' sizes for its size.
     ``joined_from`` names these inputs; their sum is checked instead.
     """
+    cond = [F.col(m) == F.col(o) for m, o in on]
     if fits_broadcast(*(joined_from or (one,))):
-        small = F.broadcast(one) if joined_from else one
-        return many.join(small, [F.col(m) == F.col(o) for m, o in on], how)
+        return many.join(F.broadcast(one) if joined_from else one, cond, how)
+    if how == "inner" and hot is None:
+        return many.join(one, cond, how)
     many_keys = [m for m, _ in on]
-    hot = F.broadcast(hot_keys(many, many_keys, row_key, **probe_options))
 
     def with_copies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-        cond = [F.col(c) == F.col(f"_hot_{m}") for c, m in zip(cols, many_keys)]
-        return df.join(hot, cond, "left").drop(*[f"_hot_{m}" for m in many_keys])
+        if hot is None:
+            return df.withColumn("_copies", F.lit(1))
+        same = [F.col(c) == F.col(f"_hot_{m}") for c, m in zip(cols, many_keys, strict=True)]
+        found = df.join(F.broadcast(hot), same, "left").drop(*[f"_hot_{m}" for m in many_keys])
+        return found.withColumn("_copies", F.coalesce("_copies", F.lit(1)))
 
     spread = F.xxhash64(*row_key)
     any_null = _any(F.col(m).isNull() for m in many_keys)
-    salted = with_copies(many, many_keys).withColumn(
-        "_salt",
-        F.when(any_null, F.pmod(spread, F.lit(4096)))
-        .otherwise(F.pmod(spread, F.coalesce(F.col("_copies"), F.lit(1))))
-        .cast("int"),
-    )
-    one_keys = [o for _, o in on]
-    copied = with_copies(one, one_keys).withColumn(
-        "_one_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_copies"), F.lit(1)) - 1))
-    )
-    cond = [F.col(m) == F.col(o) for m, o in on] + [F.col("_salt") == F.col("_one_salt")]
+    salt = F.when(any_null, F.pmod(spread, F.lit(4096))).otherwise(F.pmod(spread, F.col("_copies"))).cast("int")
+    salted = with_copies(many, many_keys).withColumn("_salt", salt)
+    copied = with_copies(one, [o for _, o in on])
+    copied = copied.withColumn("_one_salt", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)) if hot is not None else F.lit(0))
+    cond = [*cond, F.col("_salt") == F.col("_one_salt")]
     return salted.drop("_copies").join(copied.drop("_copies"), cond, how).drop("_salt", "_one_salt")
 
 

@@ -21,21 +21,19 @@ def latest_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Da
 def merge_on_read(snapshot: DataFrame, changes: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """``latest_by_key(snapshot + changes)`` for a snapshot that is already unique on ``key``.
 
-    The snapshot is the big side. It is read twice (once for its keys only) and, as long as the day's changes
-    are small enough for the planner to broadcast, never shuffled; beyond that both joins fall back to
-    sort-merge on the unique key.
+    The snapshot is the big side. It is read twice, once for its key and rank only, and a column that is not asked for is
+    not read. As long as the day's changes are small enough for the planner to broadcast, it is never shuffled;
+    beyond that the joins fall back to sort-merge on the unique key.
     """
     newest = latest_by_key(changes, key, order)
-    row = F.struct(*[F.col(c) for c in snapshot.columns])
     rank = F.struct(*[F.col(c) for c in order])
-
-    side = newest.select(*[F.col(k).alias(f"_k_{k}") for k in key], rank.alias("_new_rank"), row.alias("_new"))
     on_key = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key]
-    take_new = F.col("_new_rank").isNotNull() & (F.col("_new_rank") > rank)
-    updated = snapshot.join(side, on_key, "left").select(
-        F.when(take_new, F.col("_new")).otherwise(row).alias("_row")
-    )
-
-    known = snapshot.select(*key).join(newest.select(*key), list(key), "left_semi")
-    inserted = newest.join(known, list(key), "left_anti").select(row.alias("_row"))
-    return updated.unionByName(inserted).select("_row.*")
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*[F.col(k).alias(f"_k_{k}") for k in key], rank.alias(name))
+
+    offered = side(newest, "_offered")
+    kept = snapshot.join(offered, [*on_key, F.col("_offered") > rank], "left_anti")
+    held = snapshot.select(*dict.fromkeys([*key, *order])).join(offered, on_key, "left_semi")
+    taken = newest.join(side(held, "_held"), [*on_key, F.col("_held") >= rank], "left_anti")
+    return kept.unionByName(taken)

@@ -11,26 +11,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake import schema
-from bazaarlake.operators.joins import missing_parents
 from bazaarlake.operators.rollup import line_totals, union_all
 
 Tables = Callable[[str], DataFrame]
 
 
-def _missing_rows(tables: Tables, child: str, fk: str, parent: str, null_is_missing: bool = False) -> DataFrame:
-    gone = missing_parents(tables(child).select(fk), fk, tables(parent)).select("rows")
-    if null_is_missing:
-        gone = gone.unionByName(tables(child).where(F.col(fk).isNull()).agg(F.count(F.lit(1)).alias("rows")))
-    return gone.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("bad_rows"))
+def _per_rule(rules: list, found: DataFrame, labels: dict[str, Callable]) -> DataFrame:
+    """A row per rule: its labels and the offending rows found, 0 included."""
+    spark = found.sparkSession
+    names = [tuple([i, *(label(r) for label in labels.values())]) for i, r in enumerate(rules)]
+    listed = spark.createDataFrame(names, ", ".join(["_rule int", *(f"{c} string" for c in labels)]))
+    counted = found.groupBy("_rule").agg(F.sum("rows").alias("rows"))
+    return listed.join(counted, "_rule", "left").select(*labels, F.coalesce("rows", F.lit(0).cast("bigint")).alias("bad_rows"))
+
+
+def _keys_of_rules(tables: Tables, by_table: dict[str, list]) -> DataFrame:
+    """The keys that all rules look at, each table read once: one struct per row and rule."""
+    return union_all(tables(t).select(F.explode(F.array(*keys)).alias("k")).select("k.*") for t, keys in by_table.items())
+
+
+def _missing_rows(tables: Tables, keys: list, null_is_missing: bool = False) -> DataFrame:
+    """Child rows without a parent per (child, key column, parent).
+
+    Each child and each parent is read once. Rows are counted per rule and key before they meet the parents, so a key is
+    looked up once however often it occurs.
+    """
+    by_child: dict[str, list] = {}
+    for i, (child, fk, parent) in enumerate(keys):
+        pair = F.struct(F.lit(i).alias("_rule"), F.lit(parent).alias("_parent"), F.col(fk).cast("bigint").alias("_key"))
+        by_child.setdefault(child, []).append(pair)
+    asked = _keys_of_rules(tables, by_child)
+    if not null_is_missing:
+        asked = asked.where("_key IS NOT NULL")
+    asked = asked.groupBy("_rule", "_parent", "_key").agg(F.count(F.lit(1)).alias("rows"))
+    parents = dict.fromkeys(parent for _, _, parent in keys)
+    known = union_all(tables(p).select(F.lit(p).alias("_parent"), F.col("id").cast("bigint").alias("_key")) for p in parents)
+    return asked.join(known, ["_parent", "_key"], "left_anti").select("_rule", "rows")
 
 
 def fk_check(tables: Tables, keys=schema.FOREIGN_KEYS) -> DataFrame:
-    return union_all(
-        _missing_rows(tables, child, fk, parent).select(
-            F.lit(child).alias("table_name"), F.lit(fk).alias("column_name"), F.lit(parent).alias("parent"), "bad_rows"
-        )
-        for child, fk, parent in keys
-    )
+    """Child rows whose key has no parent; NULL keys pass."""
+    labels = {"table_name": lambda r: r[0], "column_name": lambda r: r[1], "parent": lambda r: r[2]}
+    return _per_rule(list(keys), _missing_rows(tables, list(keys)), labels)
 
 
 # The five orphan checks and their names.
@@ -45,22 +67,23 @@ ORPHANS = (
 
 def orphan_check(tables: Tables) -> DataFrame:
     """Rows without a parent; unlike in ``fk_check`` a NULL key has none."""
-    return union_all(
-        _missing_rows(tables, child, fk, parent, null_is_missing=True).select(F.lit(label).alias("check_name"), "bad_rows")
-        for label, child, fk, parent in ORPHANS
-    )
+    found = _missing_rows(tables, [rule[1:] for rule in ORPHANS], null_is_missing=True)
+    return _per_rule(list(ORPHANS), found, {"check_name": lambda r: r[0]})
 
 
 def unique_check(tables: Tables, keys=schema.UNIQUE_KEYS) -> DataFrame:
-    """Rows beyond the first of each key; keys with a NULL part are not compared."""
+    """Rows beyond the first of each key; keys with a NULL part are not compared. Each table is read once.
 
-    def one(table: str, key: tuple[str, ...]) -> DataFrame:
-        groups = tables(table).select(*key).dropna().groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-        return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("bad_rows")).select(
-            F.lit(table).alias("table_name"), F.lit(", ".join(key)).alias("key_columns"), "bad_rows"
-        )
-
-    return union_all(one(t, k) for t, k in keys)
+    Keys are compared as arrays of strings; the cast keeps different ids, names and codes apart.
+    """
+    by_table: dict[str, list] = {}
+    for i, (table, key) in enumerate(keys):
+        parts = F.array(*[F.col(c).cast("string") for c in key])
+        by_table.setdefault(table, []).append(F.struct(F.lit(i).alias("_rule"), parts.alias("_key")))
+    whole = _keys_of_rules(tables, by_table).where(~F.exists("_key", lambda x: x.isNull()))
+    groups = whole.groupBy("_rule", "_key").agg((F.count(F.lit(1)) - 1).alias("rows")).where("rows > 0")
+    labels = {"table_name": lambda r: r[0], "key_columns": lambda r: ", ".join(r[1])}
+    return _per_rule(list(keys), groups, labels)
 
 
 def _counted(tables: Tables, rules: Iterable[tuple[str, str, object]]) -> DataFrame:

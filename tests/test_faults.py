@@ -40,7 +40,8 @@ def test_line_totals_of_several_files(spark, several_files):
 
 
 def test_broadcast_off_gives_the_same_rows(spark):
-    usual = {n: catalog.QUERIES[n](spark, SF).collect() for n in ("fact_sales", "dim_product", "kpi_sales_by_governorate")}
+    names = "fact_sales fact_purchases fact_inventory dim_customer dim_product sales fact_sales_flat kpi_sales_by_governorate fk_check".split()
+    usual = {n: catalog.QUERIES[n](spark, SF).collect() for n in names}
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -113,3 +114,29 @@ def test_shuffle_width_is_set():
     import inspect
 
     assert int(SHUFFLE_PARTITIONS) >= 4096 and "SHUFFLE_PARTITIONS" in inspect.getsource(build_session)
+
+
+def test_checks_read_each_table_once(spark, source):
+    read = []
+
+    def tables(name):
+        read.append(name)
+        return source.table(name)
+
+    quality.unique_check(tables)
+    assert len(read) == len(set(read))
+    read.clear()
+    quality.fk_check(tables)
+    assert max(map(read.count, read)) <= 2  # as a child and as a parent
+
+
+def test_checks_count_offending_rows(spark):
+    frames = {
+        "a": spark.createDataFrame([(1, 1, "x"), (1, 9, "x"), (2, 9, None), (3, None, None)], "id int, b_id int, code string"),
+        "b": spark.createDataFrame([(1,), (2,)], "id bigint"),
+    }
+    assert [r["bad_rows"] for r in quality.fk_check(frames.get, (("a", "b_id", "b"),)).collect()] == [2]
+    unique = quality.unique_check(frames.get, (("a", ("id",)), ("a", ("code",)), ("a", ("b_id", "code")), ("b", ("id",))))
+    assert {(r["table_name"], r["key_columns"]): r["bad_rows"] for r in unique.collect()} == {
+        ("a", "id"): 1, ("a", "code"): 1, ("a", "b_id, code"): 0, ("b", "id"): 0,
+    }

@@ -11,7 +11,7 @@ from bazaarlake.operators.rollup import rollup_totals
 from bazaarlake.operators.series import explode_series, number_within, sample_k_per_group
 
 # Makes keys hot at test size.
-EAGER = dict(probe=2, min_probed=50, max_keys=20, rows_per_copy=100)
+EAGER = dict(probe=2, rows_per_copy=100)
 
 
 @pytest.fixture(scope="module")
@@ -35,29 +35,52 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("listed", [False, True])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_skew_join_equals_plain_join(no_broadcast, many, one, how):
-    got = skew_join(many, one, [("k", "pk")], ["id"], how, **EAGER)
+def test_skew_join_equals_plain_join(no_broadcast, many, one, how, listed):
+    hot = hot_keys(many, ["k"], ["id"], **EAGER) if listed else None
+    got = skew_join(many, one, [("k", "pk")], ["id"], how, hot=hot)
     assert same_rows(got, many.join(one, F.col("k") == F.col("pk"), how))
 
 
 def test_skew_join_spreads_the_hot_key(no_broadcast, many, one):
-    hot = hot_keys(many, ["k"], ["id"], **EAGER).collect()
-    assert [(r["_hot_k"]) for r in hot] == [7]
-    assert hot[0]["_copies"] >= 10
-    joined = skew_join(many, one, [("k", "pk")], ["id"], **EAGER)
+    hot = hot_keys(many, ["k"], ["id"], **EAGER)
+    found = hot.collect()
+    assert [(r["_hot_k"]) for r in found] == [7]
+    assert found[0]["_copies"] >= 10
+    joined = skew_join(many, one, [("k", "pk")], ["id"], hot=hot)
     assert "SortMergeJoin [k" in plan(joined) and "_one_salt" in plan(joined)
 
 
+def test_unlisted_hot_key_is_split_at_run_time(no_broadcast, spark, many, one):
+    """Neither side is read to look for hot keys; the partition of a hot key is split by AQE."""
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    before = {c: spark.conf.get(c) for c in small}
+    try:
+        for c, v in small.items():
+            spark.conf.set(c, v)
+        joined = skew_join(many, one, [("k", "pk")], ["id"], "left")
+        joined.collect()
+        text = plan(joined)
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert "skew=true" in text and text.split("Initial Plan")[0].count("Range (0, 3000") == 1
+
+
 def test_small_side_needs_no_salt(many, one):
-    joined = skew_join(many, one, [("k", "pk")], ["id"], **EAGER)
+    joined = skew_join(many, one, [("k", "pk")], ["id"], "left")
     assert "BroadcastHashJoin" in plan(joined) and "_salt" not in plan(joined)
 
 
-def test_hot_keys_are_bounded(spark):
+def test_hot_keys_are_bounded_by_rows(spark):
     even = spark.range(10_000).select("id", (F.col("id") % 500).alias("k"))
-    assert hot_keys(even, ["k"], ["id"], probe=1, min_probed=1, max_keys=100).count() == 0
-    assert hot_keys(even, ["k"], ["id"], probe=1, min_probed=1, max_keys=501).count() <= 501
+    assert hot_keys(even, ["k"], ["id"], probe=1, rows_per_copy=21).count() == 0
+    assert hot_keys(even, ["k"], ["id"], probe=1, rows_per_copy=20).count() == 500
 
 
 def test_number_within_equals_row_number(many):
@@ -113,6 +136,22 @@ def test_merge_on_read_equals_latest(spark):
     assert same_rows(got, latest_by_key(log, ["id"], rank))
 
 
+def test_merge_on_read_keeps_null_keys_once(spark):
+    rows = "id int, w int, batch_id int"
+    snapshot = spark.createDataFrame([(None, 5, 1), (1, 5, 1), (2, 5, 1)], rows)
+    changes = spark.createDataFrame([(None, 6, 2), (1, 4, 2), (2, 5, 2), (3, 1, 2)], rows)
+    got = merge_on_read(snapshot, changes, ["id"], ["w", "batch_id"])
+    assert {tuple(r) for r in got.collect()} == {(None, 6, 2), (1, 5, 1), (2, 5, 2), (3, 1, 2)} and got.count() == 4
+
+
+def test_merge_on_read_prunes(spark, tmp_path):
+    wide = spark.range(10).select("id", F.lit(1).alias("w"), F.lit(1).alias("batch_id"), F.lit("x").alias("unread"))
+    wide.write.parquet(str(tmp_path / "snapshot"))
+    snapshot = spark.read.parquet(str(tmp_path / "snapshot"))
+    text = plan(merge_on_read(snapshot, wide.where("id < 3"), ["id"], ["w", "batch_id"]).select("id"))
+    assert text.count("FileScan") == 2 and "unread" not in text
+
+
 def test_missing_parents_counts_rows_not_keys(spark):
     child = spark.createDataFrame([(1,), (1,), (2,), (9,), (9,), (9,), (None,)], "fk int")
     parent = spark.createDataFrame([(1,), (2,)], "id int")
