@@ -36,16 +36,17 @@ def _missing_rows(tables: Tables, keys: list, null_is_missing: bool = False) ->
     Each child and each parent is read once. Rows are counted per rule and key before they meet the parents, so a key is
     looked up once however often it occurs.
     """
+    parents = list(dict.fromkeys(parent for _, _, parent in keys))
     by_child: dict[str, list] = {}
     for i, (child, fk, parent) in enumerate(keys):
-        pair = F.struct(F.lit(i).alias("_rule"), F.lit(parent).alias("_parent"), F.col(fk).cast("bigint").alias("_key"))
+        number = F.lit(parents.index(parent)).alias("_parent")
+        pair = F.struct(F.lit(i).alias("_rule"), number, F.col(fk).cast("bigint").alias("_key"))
         by_child.setdefault(child, []).append(pair)
     asked = _keys_of_rules(tables, by_child)
     if not null_is_missing:
         asked = asked.where("_key IS NOT NULL")
     asked = asked.groupBy("_rule", "_parent", "_key").agg(F.count(F.lit(1)).alias("rows"))
-    parents = dict.fromkeys(parent for _, _, parent in keys)
-    known = union_all(tables(p).select(F.lit(p).alias("_parent"), F.col("id").cast("bigint").alias("_key")) for p in parents)
+    known = union_all(tables(p).select(F.lit(i).alias("_parent"), F.col("id").cast("bigint").alias("_key")) for i, p in enumerate(parents))
     return asked.join(known, ["_parent", "_key"], "left_anti").select("_rule", "rows")
 
 
