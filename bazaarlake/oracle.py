@@ -108,37 +108,34 @@ VIEWS = {
            CASE WHEN n_nationkey % 4 <> 0 THEN n_name END AS name_ar,
            {BASE} AS create_date, {BASE} AS write_date FROM nation""",
     "src_customers": f"""
-    SELECT c_custkey AS id,
-           CASE c_custkey % 7 WHEN 0 THEN upper(plain) WHEN 1 THEN lower(plain) WHEN 2 THEN '  ' || plain || '  '
-                WHEN 3 THEN replace(plain, ' ', '  ') ELSE plain END AS name,
-           CASE WHEN c_custkey % 25 < 2 THEN NULL WHEN c_custkey % 25 < 7 THEN upper(addr)
-                WHEN c_custkey % 25 < 13 THEN ' ' || addr ELSE addr END AS email,
-           CASE WHEN c_custkey % 20 < 3 THEN NULL WHEN c_custkey % 20 < 12 THEN '01' || op || digits
-                WHEN c_custkey % 20 < 18 THEN '+20 1' || op || ' ' || left(digits, 4) || ' ' || right(digits, 4)
-                ELSE '01' || op || '-' || left(digits, 4) || '-' || right(digits, 4) END AS phone,
-           CASE WHEN c_custkey % 9 = 0 THEN '   ' ELSE ' ' || (1 + c_custkey % 200) || ' ' || n_name || ' St' END AS street,
-           CASE WHEN c_custkey % 10 = 0 THEN NULL WHEN c_custkey % 10 < 4 THEN lower(n_name)
-                WHEN c_custkey % 10 < 7 THEN upper(n_name) WHEN c_custkey % 10 < 9 THEN n_name || ' '
-                ELSE n_name END AS city,
-           CASE WHEN c_custkey % 5 <> 0 THEN n_nationkey END AS city_id, n_regionkey AS muhafaza_id,
-           c_custkey % 20 < 3 AS is_company, 'customer' AS partner_type, c_mktsegment AS segment,
-           c_custkey % 12 <> 0 AS active, {_days('c_custkey % 730')} AS create_date,
-           {_days('(c_custkey % 730) * 31 % 730')} AS write_date
-    FROM (SELECT *, replace(c_name, '#', ' No-') AS plain,
-                 'customer' || CASE WHEN c_custkey % 10 = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END || '@' ||
-                 (['gmail.com', 'yahoo.com', 'hotmail.com', 'outlook.com'])[1 + c_custkey % 4] AS addr,
-                 (['0', '1', '2', '5'])[1 + c_custkey % 4] AS op,
-                 lpad(CAST((c_custkey % 100000000) * 7919 % 100000000 AS VARCHAR), 8, '0') AS digits
-          FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)""",
+    SELECT c_custkey AS id, CASE WHEN shouted THEN upper(full_name) ELSE full_name END AS name,
+           CASE WHEN cents % 11 <> 0 THEN indent || CASE WHEN shouted THEN upper(mailbox) ELSE mailbox END END AS email,
+           CASE n_nationkey % 4 WHEN 0 THEN '010' || number
+                WHEN 1 THEN '+20 10 ' || left(number, 4) || ' ' || right(number, 4)
+                WHEN 2 THEN '010-' || left(number, 4) || '-' || right(number, 4) END AS phone,
+           CASE WHEN cents % 7 = 0 THEN indent ELSE n_name || ' road ' || (c_custkey % 90 + 1) END AS street,
+           CASE n_regionkey WHEN 0 THEN lower(n_name) WHEN 1 THEN indent || n_name WHEN 2 THEN NULL ELSE n_name END AS city,
+           CASE WHEN cents % 4 <> 1 THEN n_nationkey END AS city_id, n_regionkey AS muhafaza_id,
+           c_acctbal >= 5000 AS is_company, 'customer' AS partner_type, c_mktsegment AS segment, cents % 10 <> 3 AS active,
+           {_days('c_custkey % 1500')} AS create_date, {_days('c_custkey % 1500 + cents % 365')} AS write_date
+    FROM (SELECT *, n_nationkey % 2 = 1 AS shouted,
+                 indent || lower(c_mktsegment) || gap || 'buyer' || gap || c_custkey || indent AS full_name,
+                 'desk' || (c_custkey // 3) || '@' || lower(c_mktsegment) || '.example' AS mailbox,
+                 lpad(CAST((c_custkey * 31 + cents) % 100000000 AS VARCHAR), 8, '0') AS number
+          FROM (SELECT *, CASE WHEN cents % 3 = 0 THEN '   ' ELSE ' ' END AS gap,
+                       CASE WHEN cents % 2 = 0 THEN '  ' ELSE '' END AS indent
+                FROM (SELECT *, CAST(abs(round(c_acctbal * 100)) AS BIGINT) AS cents
+                      FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)))""",
     "src_vendors": f"""
-    SELECT s_suppkey + {VENDOR} AS id, replace(s_name, '#', ' ') AS name,
-           'info@vendor' || s_suppkey || '.' || (['com', 'net', 'com.eg'])[1 + s_suppkey % 3] AS email,
-           '02-' || lpad(CAST((s_suppkey % 100000000) * 7919 % 100000000 AS VARCHAR), 8, '0') AS phone,
-           (1 + s_suppkey % 100) || ' Industrial Zone' AS street, n_name AS city, n_nationkey AS city_id,
+    SELECT s_suppkey + {VENDOR} AS id, lower(replace(s_name, '#', ' no. ')) AS name,
+           'orders@' || lower(replace(s_name, '#', '')) || '.example' AS email,
+           '0' || (40 + n_nationkey) || ' ' || lpad(CAST(cents % 10000000 AS VARCHAR), 7, '0') AS phone,
+           'Dock ' || (s_suppkey % 12 + 1) || ', ' || n_name AS street, n_name AS city, n_nationkey AS city_id,
            n_regionkey AS muhafaza_id, true AS is_company, 'vendor' AS partner_type, CAST(NULL AS VARCHAR) AS segment,
-           s_suppkey % 33 <> 0 AS active, {_days('s_suppkey % 730')} AS create_date,
-           {_days('(s_suppkey % 730) * 17 % 730')} AS write_date
-    FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""",
+           cents % 40 <> 7 AS active, {_days('s_suppkey % 1500')} AS create_date,
+           {_days('s_suppkey % 1500 + n_nationkey')} AS write_date
+    FROM (SELECT *, CAST(abs(round(s_acctbal * 100)) AS BIGINT) AS cents
+          FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey)""",
     "src_res_partner": "SELECT * FROM src_customers UNION ALL BY NAME SELECT * FROM src_vendors",
     "src_product_category": f"""
     SELECT *, {BASE} AS create_date, {BASE} AS write_date FROM (
@@ -156,32 +153,30 @@ VIEWS = {
            min(CAST(p_retailprice AS DECIMAL(12,2))) OVER (PARTITION BY p_partkey // 3) AS list_price
     FROM part""",
     "src_product_template": f"""
-    SELECT tmpl AS id, tmpl_name AS name, c.id AS categ_id, {_pad('T', 'tmpl', 8)} AS default_code, list_price,
+    SELECT tmpl AS id, tmpl_name AS name, c.id AS categ_id, {_pad('M', 'tmpl', 9)} AS default_code, list_price,
            CAST(round(list_price * 0.60, 2) AS DECIMAL(12,2)) AS standard_price, 'product' AS type,
-           tmpl % 20 <> 0 AS active, {_days('tmpl % 730')} AS create_date, {_days('(tmpl % 730) * 13 % 730')} AS write_date
+           tmpl % 18 <> 4 AS active, {_days('tmpl % 730')} AS create_date, {_days('(tmpl % 730) * 13 % 730')} AS write_date
     FROM src_parts LEFT JOIN (SELECT id, complete_name FROM src_product_category) c
       ON c.complete_name = CASE WHEN tmpl % 25 = 0 THEN p_type ELSE p_type || ' / ' || p_brand END
     WHERE place = 1""",
     "src_product_product": f"""
-    SELECT p_partkey AS id, tmpl AS product_tmpl_id, {_pad('P', 'tmpl', 8)} || '-' || (p_partkey % 3 + 1) AS default_code,
-           CASE WHEN p_partkey % 20 <> 0 THEN {_pad('620', 'p_partkey', 10)} END AS barcode,
+    SELECT p_partkey AS id, tmpl AS product_tmpl_id, {_pad('V', 'p_partkey', 9)} AS default_code,
+           CASE WHEN p_size % 16 <> 0 THEN {_pad('4', 'p_partkey', 12)} END AS barcode,
            tmpl_name || CASE WHEN color IS NOT NULL THEN ' - ' || color ELSE '' END
                      || CASE WHEN size IS NOT NULL THEN ' / ' || size ELSE '' END AS name,
            color, size, CAST(own_price - list_price AS DECIMAL(12,2)) AS price_extra,
-           tmpl % 20 <> 0 AND p_partkey % 33 <> 0 AS active,
+           tmpl % 18 <> 4 AND p_size <> 13 AS active,
            {_days('tmpl % 730')} AS create_date, {_days('(tmpl % 730) * 13 % 730')} AS write_date
     FROM (SELECT *, CASE WHEN p_partkey % 7 <> 0 THEN split_part(p_name, ' ', 1) END AS color,
                  CASE WHEN p_partkey % 5 >= 2 THEN 'SZ' || p_size END AS size FROM src_parts)""",
     "src_amounts": _LINE_AMOUNTS,
     "src_product_supplierinfo": f"""
     SELECT id, l_partkey AS product_id, l_suppkey + {VENDOR} AS partner_id,
-           CAST(round(CAST(p_retailprice AS DECIMAL(12,2)) * 0.60 * CAST((85 + step % 31) * 0.01 AS DECIMAL(5,2)), 2)
+           CAST(round(CAST(p_retailprice AS DECIMAL(12,2)) * 0.60 * CAST((90 + l_suppkey % 5 * 5) * 0.01 AS DECIMAL(5,2)), 2)
                 AS DECIMAL(12,2)) AS price,
-           CAST(([1, 5, 10, 20, 50])[1 + step % 5] AS DECIMAL(12,3)) AS min_qty, CAST(3 + step % 30 AS INTEGER) AS delay,
+           CAST(6 * (1 + l_partkey % 4) AS DECIMAL(12,3)) AS min_qty, CAST(2 + l_suppkey % 21 AS INTEGER) AS delay,
            {BASE} AS create_date, {BASE} AS write_date
-    FROM (SELECT min(id) AS id, l_partkey, l_suppkey,
-                 (l_partkey % 1000003) * 7 + (l_suppkey % 1000003) * 13 AS step
-          FROM src_amounts GROUP BY l_partkey, l_suppkey)
+    FROM (SELECT min(id) AS id, l_partkey, l_suppkey FROM src_amounts GROUP BY l_partkey, l_suppkey)
     LEFT JOIN part ON l_partkey = p_partkey""",
     "src_stock_location": f"""
     SELECT CAST(r_regionkey * 3 + k AS INTEGER) AS id, r_name || ' ' || kind AS name, prefix || r_regionkey AS code,
@@ -192,11 +187,11 @@ VIEWS = {
                            FROM nation GROUP BY n_regionkey) ON n_regionkey = r_regionkey
     CROSS JOIN (VALUES (0, 'warehouse', 'WH-'), (1, 'store', 'ST-'), (2, 'transit', 'TR-')) AS t(k, kind, prefix)""",
     "src_stock_quant": f"""
-    SELECT p_partkey * 3 + k AS id, p_partkey AS product_id, CAST((p_partkey + k) % 15 AS INTEGER) AS location_id,
-           CAST((p_partkey * 7 + k * 13) % 500 AS DECIMAL(12,3)) AS quantity,
-           CAST(CAST((p_partkey * 7 + k * 13) % 500 AS DECIMAL(12,3)) * 0.1 AS DECIMAL(12,3)) AS reserved_quantity,
+    SELECT p_partkey * 3 + k AS id, p_partkey AS product_id, CAST((p_partkey + k * 4) % 15 AS INTEGER) AS location_id,
+           CAST((p_size * 17 + k * 90) % 400 AS DECIMAL(12,3)) AS quantity,
+           CAST(CAST((p_size * 17 + k * 90) % 400 AS DECIMAL(12,3)) * 0.25 AS DECIMAL(12,3)) AS reserved_quantity,
            {_days('p_partkey % 730')} AS create_date, {_days('(p_partkey % 730) + k')} AS write_date
-    FROM part, LATERAL (SELECT unnest(generate_series(1, 1 + p_partkey % 3)) AS k)""",
+    FROM part, LATERAL (SELECT unnest(generate_series(1, 1 + p_size % 3)) AS k)""",
     "src_order_headers": f"""
     SELECT o_orderkey AS id, {_pad('S', 'o_orderkey', 8)} AS name, o_custkey AS partner_id,
            CAST(o_orderkey % 15 AS INTEGER) AS location_id, o_orderdate AS date_order,
@@ -216,32 +211,28 @@ VIEWS = {
            net AS price_subtotal, total AS price_total, l_shipdate AS create_date, l_shipdate AS write_date
     FROM src_amounts""",
     "src_account_payment": f"""
-    SELECT id * 2 + k AS id, {_pad('P', 'id', 8)} || '-' || k AS name, partner_id, id AS sale_order_id,
-           CAST(round(amount_total * share, 2) AS DECIMAL(14,2)) AS amount, 'inbound' AS payment_type,
-           'customer' AS partner_type, (['bank', 'bank', 'bank', 'cash'])[1 + id % 4] AS journal,
-           (['manual', 'electronic'])[1 + id % 2] AS payment_method, pay_state AS state,
-           CASE WHEN pay_state <> 'draft' THEN date_order + to_days(CAST(k * (5 + id % 40) AS INTEGER)) END AS payment_date,
+    SELECT id * 4 + k AS id, {_pad('R', 'id', 8)} || '-' || k AS name, partner_id, id AS sale_order_id,
+           CAST(CAST(cents // n_due + CASE WHEN k = n_due THEN cents % n_due ELSE 0 END AS DECIMAL(14,0)) * 0.01
+                AS DECIMAL(14,2)) AS amount, 'inbound' AS payment_type, 'customer' AS partner_type,
+           CASE WHEN k = 1 THEN 'bank' ELSE 'cash' END AS journal,
+           CASE WHEN state = 'done' THEN 'electronic' ELSE 'manual' END AS payment_method,
+           CASE WHEN state = 'sent' THEN 'draft' WHEN k < n_due THEN 'posted' ELSE 'reconciled' END AS state,
+           CASE WHEN state <> 'sent' THEN date_order + to_days(CAST(k * 30 AS INTEGER)) END AS payment_date,
            create_date, write_date
-    FROM (SELECT *,
-                 CASE WHEN state = 'cancel' THEN 0
-                      WHEN state IN ('draft', 'sent') THEN CASE WHEN id % 5 = 1 THEN 1 ELSE 0 END
-                      WHEN id % 5 < 3 THEN 1 WHEN id % 5 = 3 THEN 1 + id % 2 ELSE 0 END AS n_pay,
-                 CASE WHEN state IN ('draft', 'sent') THEN CAST(0.1 + (id % 3) * 0.1 AS DECIMAL(6,4))
-                      WHEN id % 5 < 3 THEN CAST(1 AS DECIMAL(6,4))
-                      ELSE CAST((0.3 + (id % 7) * 0.1) * CASE WHEN id % 2 = 1 THEN 0.5 ELSE 1.0 END AS DECIMAL(6,4)) END AS share,
-                 CASE WHEN state IN ('draft', 'sent') THEN 'draft' WHEN state = 'done' AND id % 5 < 3 THEN 'reconciled'
-                      ELSE 'posted' END AS pay_state
-          FROM src_sale_order), LATERAL (SELECT unnest(generate_series(1, n_pay)) AS k)""",
+    FROM (SELECT *, n_pay + CASE WHEN id % 3 = 0 THEN 1 ELSE 0 END AS n_due
+          FROM (SELECT *, CAST(amount_total * 100 AS BIGINT) AS cents,
+                       CASE state WHEN 'cancel' THEN 0 WHEN 'draft' THEN 0 WHEN 'sent' THEN id % 2 ELSE id % 4 END AS n_pay
+                FROM src_sale_order)), LATERAL (SELECT unnest(generate_series(1, n_pay)) AS k)""",
     "src_purchase_order_line": """
     SELECT id, l_suppkey * 100000 + year(l_shipdate) * 12 + month(l_shipdate) AS order_id, l_partkey AS product_id,
            CAST(qty AS DECIMAL(12,3)) AS product_qty, unit AS price_unit, net AS price_subtotal, total AS price_total,
            l_shipdate AS create_date, l_shipdate AS write_date FROM src_amounts""",
     "src_purchase_order": f"""
-    SELECT *, CASE WHEN id % 20 < 2 THEN 'cancel' WHEN id % 20 < 4 THEN 'draft' WHEN id % 20 < 6 THEN 'sent'
-                   WHEN id % 20 < 15 THEN 'purchase' ELSE 'done' END AS state,
+    SELECT *, CASE id % 9 WHEN 4 THEN 'cancel' WHEN 5 THEN 'draft' WHEN 6 THEN 'sent'
+                   ELSE CASE WHEN id % 2 = 0 THEN 'done' ELSE 'purchase' END END AS state,
            date_order AS create_date, date_order AS write_date
     FROM (SELECT order_id AS id, {_pad('PO', 'order_id', 7)} AS name, any_value(l_suppkey) + {VENDOR} AS partner_id,
-                 CASE WHEN order_id % 10 <> 0 THEN CAST(order_id % 15 AS INTEGER) END AS location_id,
+                 CASE WHEN order_id % 8 <> 3 THEN CAST(order_id % 15 AS INTEGER) END AS location_id,
                  date_trunc('month', min(l_shipdate))::TIMESTAMP AS date_order,
                  CAST(sum(net) AS DECIMAL(14,2)) AS amount_untaxed,
                  CAST(sum(total) - sum(net) AS DECIMAL(14,2)) AS amount_tax, CAST(sum(total) AS DECIMAL(14,2)) AS amount_total

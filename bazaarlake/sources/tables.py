@@ -27,10 +27,6 @@ LOCATIONS = 15
 BASE = "timestamp_ntz'1995-01-01 00:00:00'"
 
 
-def _pick(values: list[str], index: str) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), F.expr(f"cast(1 + {index} as int)"))
-
-
 def _days_after_base(n: str) -> Column:
     return plus_days(F.expr(BASE), F.expr(n))
 
@@ -89,90 +85,71 @@ class RetailSource:
 
     @cached_property
     def customers(self) -> DataFrame:
-        """Customers with the noise a retail source has: casing, blanks, missing and repeated contact data."""
+        """Customers with faults to clean. Which of them a row has follows from the cents of its balance, each fault by
+        a divisor of its own, so that they meet in every combination; contact data follows segment and nation."""
         c = self.raw("customer").join(self.raw("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         c = c.withColumns(
             {
-                "plain": F.replace(F.col("c_name"), F.lit("#"), F.lit(" No-")),
-                "addr": F.concat(
-                    F.lit("customer"),
-                    F.expr("if(c_custkey % 10 = 0, '', cast(c_custkey as string))"),
-                    F.lit("@"),
-                    _pick(["gmail.com", "yahoo.com", "hotmail.com", "outlook.com"], "c_custkey % 4"),
-                ),
-                "op": _pick(["0", "1", "2", "5"], "c_custkey % 4"),
-                "digits": F.expr("lpad(cast((c_custkey % 100000000) * 7919 % 100000000 as string), 8, '0')"),
+                "cents": F.expr("cast(abs(round(c_acctbal * 100)) as bigint)"),
+                "segment": F.lower("c_mktsegment"),
             }
+        ).withColumns(
+            {
+                "gap": F.expr("if(cents % 3 = 0, '   ', ' ')"),
+                "indent": F.expr("if(cents % 2 = 0, '  ', '')"),
+                "mailbox": F.expr("concat('desk', cast(c_custkey div 3 as string), '@', segment, '.example')"),
+                "number": F.expr("lpad(cast((c_custkey * 31 + cents) % 100000000 as string), 8, '0')"),
+            }
+        )
+        shouted = F.col("n_nationkey") % 2 == 1
+        name = F.concat("indent", "segment", "gap", F.lit("buyer"), "gap", F.col("c_custkey"), "indent")
+        first, last = F.left("number", F.lit(4)), F.right("number", F.lit(4))
+        # The three forms of a phone number that cleaning accepts.
+        phone = (
+            F.when(F.col("n_nationkey") % 4 == 0, F.concat(F.lit("010"), "number"))
+            .when(F.col("n_nationkey") % 4 == 1, F.concat(F.lit("+20 10 "), first, F.lit(" "), last))
+            .when(F.col("n_nationkey") % 4 == 2, F.concat(F.lit("010-"), first, F.lit("-"), last))
         )
         return c.select(
             F.col("c_custkey").alias("id"),
-            F.expr(
-                """CASE c_custkey % 7
-                     WHEN 0 THEN upper(plain)
-                     WHEN 1 THEN lower(plain)
-                     WHEN 2 THEN concat('  ', plain, '  ')
-                     WHEN 3 THEN replace(plain, ' ', '  ')
-                     ELSE plain END AS name"""
+            F.when(shouted, F.upper(name)).otherwise(name).alias("name"),
+            F.when(F.col("cents") % 11 != 0, F.concat("indent", F.when(shouted, F.upper("mailbox")).otherwise(F.col("mailbox")))).alias(
+                "email"
             ),
-            F.expr(
-                """CASE WHEN c_custkey % 25 < 2 THEN NULL
-                        WHEN c_custkey % 25 < 7 THEN upper(addr)
-                        WHEN c_custkey % 25 < 13 THEN concat(' ', addr)
-                        ELSE addr END AS email"""
+            phone.alias("phone"),
+            F.expr("if(cents % 7 = 0, indent, concat(n_name, ' road ', cast(c_custkey % 90 + 1 as string)))").alias("street"),
+            F.expr("CASE n_regionkey WHEN 0 THEN lower(n_name) WHEN 1 THEN concat(indent, n_name) WHEN 2 THEN NULL ELSE n_name END").alias(
+                "city"
             ),
-            F.expr(
-                """CASE WHEN c_custkey % 20 < 3 THEN NULL
-                        WHEN c_custkey % 20 < 12 THEN concat('01', op, digits)
-                        WHEN c_custkey % 20 < 18
-                          THEN concat('+20 1', op, ' ', left(digits, 4), ' ', right(digits, 4))
-                        ELSE concat('01', op, '-', left(digits, 4), '-', right(digits, 4)) END AS phone"""
-            ),
-            F.expr(
-                """CASE WHEN c_custkey % 9 = 0 THEN '   '
-                        ELSE concat(' ', cast(1 + c_custkey % 200 as string), ' ', n_name, ' St') END AS street"""
-            ),
-            F.expr(
-                """CASE WHEN c_custkey % 10 = 0 THEN NULL
-                        WHEN c_custkey % 10 < 4 THEN lower(n_name)
-                        WHEN c_custkey % 10 < 7 THEN upper(n_name)
-                        WHEN c_custkey % 10 < 9 THEN concat(n_name, ' ')
-                        ELSE n_name END AS city"""
-            ),
-            F.expr("if(c_custkey % 5 = 0, null, n_nationkey) as city_id"),
+            F.expr("if(cents % 4 = 1, null, n_nationkey) as city_id"),
             F.col("n_regionkey").alias("muhafaza_id"),
-            F.expr("c_custkey % 20 < 3 as is_company"),
+            F.expr("c_acctbal >= 5000 as is_company"),
             F.lit("customer").alias("partner_type"),
             F.col("c_mktsegment").alias("segment"),
-            F.expr("c_custkey % 12 <> 0 as active"),
-            _days_after_base("c_custkey % 730").alias("create_date"),
-            _days_after_base("(c_custkey % 730) * 31 % 730").alias("write_date"),
+            F.expr("cents % 10 <> 3 as active"),
+            _days_after_base("c_custkey % 1500").alias("create_date"),
+            _days_after_base("c_custkey % 1500 + cents % 365").alias("write_date"),
         )
 
     @cached_property
     def vendors(self) -> DataFrame:
         s = self.raw("supplier").join(self.raw("nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        s = s.withColumn("cents", F.expr("cast(abs(round(s_acctbal * 100)) as bigint)"))
         return s.select(
             (F.col("s_suppkey") + VENDOR_OFFSET).alias("id"),
-            F.replace(F.col("s_name"), F.lit("#"), F.lit(" ")).alias("name"),
-            F.concat(
-                F.lit("info@vendor"),
-                F.col("s_suppkey"),
-                F.lit("."),
-                _pick(["com", "net", "com.eg"], "s_suppkey % 3"),
-            ).alias("email"),
-            F.expr(
-                "concat('02-', lpad(cast((s_suppkey % 100000000) * 7919 % 100000000 as string), 8, '0')) as phone"
-            ),
-            F.expr("concat(cast(1 + s_suppkey % 100 as string), ' Industrial Zone') as street"),
+            F.lower(F.replace(F.col("s_name"), F.lit("#"), F.lit(" no. "))).alias("name"),
+            F.expr("concat('orders@', lower(replace(s_name, '#', '')), '.example') as email"),
+            F.expr("concat('0', cast(40 + n_nationkey as string), ' ', lpad(cast(cents % 10000000 as string), 7, '0')) as phone"),
+            F.expr("concat('Dock ', cast(s_suppkey % 12 + 1 as string), ', ', n_name) as street"),
             F.col("n_name").alias("city"),
             F.col("n_nationkey").alias("city_id"),
             F.col("n_regionkey").alias("muhafaza_id"),
             F.lit(True).alias("is_company"),
             F.lit("vendor").alias("partner_type"),
             F.lit(None).cast("string").alias("segment"),
-            F.expr("s_suppkey % 33 <> 0 as active"),
-            _days_after_base("s_suppkey % 730").alias("create_date"),
-            _days_after_base("(s_suppkey % 730) * 17 % 730").alias("write_date"),
+            F.expr("cents % 40 <> 7 as active"),
+            _days_after_base("s_suppkey % 1500").alias("create_date"),
+            _days_after_base("s_suppkey % 1500 + n_nationkey").alias("write_date"),
         )
 
     @cached_property
@@ -234,11 +211,11 @@ class RetailSource:
                 F.col("tmpl").alias("id"),
                 F.col("tmpl_name").alias("name"),
                 "categ_id",
-                padded_code("T", F.col("tmpl"), 8).alias("default_code"),
+                padded_code("M", F.col("tmpl"), 9).alias("default_code"),
                 "list_price",
                 F.expr("cast(round(list_price * 0.60, 2) as decimal(12,2)) as standard_price"),
                 F.lit("product").alias("type"),
-                F.expr("tmpl % 20 <> 0 as active"),
+                F.expr("tmpl % 18 <> 4 as active"),
                 _days_after_base("tmpl % 730").alias("create_date"),
                 _days_after_base("(tmpl % 730) * 13 % 730").alias("write_date"),
             )
@@ -255,35 +232,31 @@ class RetailSource:
         return attributes.select(
             F.col("p_partkey").alias("id"),
             F.col("tmpl").alias("product_tmpl_id"),
-            F.concat(padded_code("P", F.col("tmpl"), 8), F.expr("concat('-', cast(p_partkey % 3 + 1 as string))")).alias(
-                "default_code"
-            ),
-            F.when(F.col("p_partkey") % 20 != 0, padded_code("620", F.col("p_partkey"), 10)).alias("barcode"),
+            padded_code("V", F.col("p_partkey"), 9).alias("default_code"),
+            F.when(F.col("p_size") % 16 != 0, padded_code("4", F.col("p_partkey"), 12)).alias("barcode"),
             variant_name(F.col("tmpl_name"), F.col("color"), F.col("size")).alias("name"),
             "color",
             "size",
             (F.col("own_price") - F.col("list_price")).cast("decimal(12,2)").alias("price_extra"),
-            F.expr("tmpl % 20 <> 0 and p_partkey % 33 <> 0 as active"),
+            F.expr("tmpl % 18 <> 4 and p_size <> 13 as active"),
             _days_after_base("tmpl % 730").alias("create_date"),
             _days_after_base("(tmpl % 730) * 13 % 730").alias("write_date"),
         )
 
     @cached_property
     def _product_supplierinfo(self) -> DataFrame:
-        """One offer per (product, vendor) seen on a line, at 85 to 115 % of the product's own price."""
+        """One offer per (product, vendor) seen on a line, at 90 to 110 % of the product's cost, by vendor."""
         offers = self._line_keys.groupBy("l_partkey", "l_suppkey").agg(F.min("id").alias("id"))
         price = self.raw("part").select("p_partkey", F.col("p_retailprice").cast("decimal(12,2)").alias("base"))
-        step = "(l_partkey % 1000003) * 7 + (l_suppkey % 1000003) * 13"
         return skew_join(offers, price, [("l_partkey", "p_partkey")], ["id"], "left").select(
             "id",
             F.col("l_partkey").alias("product_id"),
             (F.col("l_suppkey") + VENDOR_OFFSET).alias("partner_id"),
             F.expr(
-                f"cast(round(base * 0.60 * cast((85 + ({step}) % 31) * 0.01 as decimal(5,2)), 2) as decimal(12,2))"
-                " as price"
+                "cast(round(base * 0.60 * cast((90 + l_suppkey % 5 * 5) * 0.01 as decimal(5,2)), 2) as decimal(12,2)) as price"
             ),
-            _pick(["1", "5", "10", "20", "50"], f"({step}) % 5").cast("decimal(12,3)").alias("min_qty"),
-            F.expr(f"cast(3 + ({step}) % 30 as int) as delay"),
+            F.expr("cast(6 * (1 + l_partkey % 4) as decimal(12,3)) as min_qty"),
+            F.expr("cast(2 + l_suppkey % 21 as int) as delay"),
             F.expr(f"{BASE} as create_date"),
             F.expr(f"{BASE} as write_date"),
         )
@@ -318,13 +291,15 @@ class RetailSource:
 
     @cached_property
     def _stock_quant(self) -> DataFrame:
-        lots = explode_series(self.raw("part").select("p_partkey"), F.expr("cast(1 + p_partkey % 3 as int)"), "k")
+        """One to three lots of a part, by its size; a quarter of each is reserved."""
+        lots = explode_series(self.raw("part").select("p_partkey", "p_size"), F.expr("cast(1 + p_size % 3 as int)"), "k")
+        lots = lots.withColumn("held", F.expr("cast((p_size * 17 + k * 90) % 400 as decimal(12,3))"))
         return lots.select(
             F.expr("p_partkey * 3 + k as id"),
             F.col("p_partkey").alias("product_id"),
-            F.expr(f"cast((p_partkey + k) % {LOCATIONS} as int) as location_id"),
-            F.expr("cast((p_partkey * 7 + k * 13) % 500 as decimal(12,3)) as quantity"),
-            F.expr("cast(cast((p_partkey * 7 + k * 13) % 500 as decimal(12,3)) * 0.1 as decimal(12,3)) as reserved_quantity"),
+            F.expr(f"cast((p_partkey + k * 4) % {LOCATIONS} as int) as location_id"),
+            F.col("held").alias("quantity"),
+            F.expr("cast(held * 0.25BD as decimal(12,3)) as reserved_quantity"),
             _days_after_base("p_partkey % 730").alias("create_date"),
             _days_after_base("(p_partkey % 730) + k").alias("write_date"),
         )
@@ -409,42 +384,32 @@ class RetailSource:
 
     @cached_property
     def _account_payment(self) -> DataFrame:
-        """No payment for cancelled orders, a deposit for some open ones, else none, one, or two instalments."""
+        """Up to three monthly instalments of an order. Of every third order one more is still to come; the last one
+        due takes the cents that do not divide evenly, so that paid orders come out exact."""
         orders = self._sale_order.withColumns(
             {
-                "n_pay": F.expr(
-                    """CASE WHEN state = 'cancel' THEN 0
-                            WHEN state IN ('draft', 'sent') THEN if(id % 5 = 1, 1, 0)
-                            WHEN id % 5 < 3 THEN 1
-                            WHEN id % 5 = 3 THEN cast(1 + id % 2 as int)
-                            ELSE 0 END"""
-                ),
-                "share": F.expr(
-                    """CASE WHEN state IN ('draft', 'sent') THEN cast(0.1 + (id % 3) * 0.1 as decimal(6,4))
-                            WHEN id % 5 < 3 THEN cast(1 as decimal(6,4))
-                            ELSE cast((0.3 + (id % 7) * 0.1) * if(id % 2 = 1, 0.5, 1.0) as decimal(6,4)) END"""
-                ),
-                "pay_state": F.expr(
-                    """CASE WHEN state IN ('draft', 'sent') THEN 'draft'
-                            WHEN state = 'done' AND id % 5 < 3 THEN 'reconciled'
-                            ELSE 'posted' END"""
-                ),
+                "n_pay": F.expr("CASE state WHEN 'cancel' THEN 0 WHEN 'draft' THEN 0 WHEN 'sent' THEN id % 2 ELSE id % 4 END"),
+                "cents": F.expr("cast(amount_total * 100 as bigint)"),
+            }
+        ).withColumn("n_due", F.expr("n_pay + if(id % 3 = 0, 1, 0)"))
+        paid = explode_series(orders, F.col("n_pay").cast("int"), "k").withColumns(
+            {
+                "part": F.expr("cents div n_due + if(k = n_due, cents % n_due, 0)"),
+                "pay_state": F.expr("CASE WHEN state = 'sent' THEN 'draft' WHEN k < n_due THEN 'posted' ELSE 'reconciled' END"),
             }
         )
-        return explode_series(orders, F.col("n_pay"), "k").select(
-            F.expr("id * 2 + k as id"),
-            F.concat(padded_code("P", F.col("id"), 8), F.lit("-"), F.col("k")).alias("name"),
+        return paid.select(
+            F.expr("id * 4 + k as id"),
+            F.concat(padded_code("R", F.col("id"), 8), F.lit("-"), F.col("k")).alias("name"),
             "partner_id",
             F.col("id").alias("sale_order_id"),
-            F.expr("cast(round(amount_total * share, 2) as decimal(14,2)) as amount"),
+            _from_cents("part", "decimal(14,2)").alias("amount"),
             F.lit("inbound").alias("payment_type"),
             F.lit("customer").alias("partner_type"),
-            _pick(["bank", "bank", "bank", "cash"], "id % 4").alias("journal"),
-            _pick(["manual", "electronic"], "id % 2").alias("payment_method"),
+            F.expr("if(k = 1, 'bank', 'cash') as journal"),
+            F.expr("if(state = 'done', 'electronic', 'manual') as payment_method"),
             F.col("pay_state").alias("state"),
-            F.when(F.col("pay_state") != "draft", plus_days(F.col("date_order"), F.expr("k * (5 + id % 40)"))).alias(
-                "payment_date"
-            ),
+            F.when(F.col("pay_state") != "draft", plus_days(F.col("date_order"), F.expr("k * 30"))).alias("payment_date"),
             "create_date",
             "write_date",
         )
@@ -473,14 +438,11 @@ class RetailSource:
             "id",
             padded_code("PO", F.col("id"), 7).alias("name"),
             (F.expr("id div 100000") + VENDOR_OFFSET).alias("partner_id"),
-            F.expr(f"if(id % 10 = 0, null, cast(id % {LOCATIONS} as int)) as location_id"),
+            F.expr(f"if(id % 8 = 3, null, cast(id % {LOCATIONS} as int)) as location_id"),
             month.alias("date_order"),
             F.expr(
-                """CASE WHEN id % 20 < 2 THEN 'cancel'
-                        WHEN id % 20 < 4 THEN 'draft'
-                        WHEN id % 20 < 6 THEN 'sent'
-                        WHEN id % 20 < 15 THEN 'purchase'
-                        ELSE 'done' END AS state"""
+                """CASE id % 9 WHEN 4 THEN 'cancel' WHEN 5 THEN 'draft' WHEN 6 THEN 'sent'
+                        ELSE if(id % 2 = 0, 'done', 'purchase') END AS state"""
             ),
             net.cast("decimal(14,2)").alias("amount_untaxed"),
             tax.cast("decimal(14,2)").alias("amount_tax"),
