@@ -342,8 +342,8 @@ def mirror_stream_query(spark: SparkSession, path: str) -> DataFrame:
             F.col("value").cast("decimal(18,4)").alias("value"),
         )
 
-    # The trailing * matches the file or the folder of that name; a bare file is no valid stream path.
-    mirror_stream.pull_available(spark, f"{path}/events.parquet*", src.raw("events").schema, select, root)
+    # A stream path must be a folder or a pattern; this pattern fits the one name, be it a file or a folder.
+    mirror_stream.pull_available(spark, f"{path}/event[s].parquet", src.raw("events").schema, select, root)
     return mirror_stream.current(spark, root, ["id"], "write_date", ["event_id"])
 
 
@@ -392,7 +392,7 @@ def line_amounts(src):
 @source_query
 def payment_date_offset(src):
     lines = explode_series(src.order_headers.select("id", "date_order"), F.expr("cast(id % 3 as int)"), "k")
-    due = calendar.plus_days(F.col("date_order"), F.expr("k * (5 + id % 40)"))
+    due = calendar.plus_days(F.col("date_order"), F.expr("k * 14 + id % 9"))
     return lines.select("id", "k", due.cast("timestamp").alias("due"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,47 +19,56 @@ FACTS = (gold.fact_sales, gold.fact_payments, gold.fact_purchases, gold.fact_inv
 
 
 class Lakehouse:
-    """Stored tables below ``root``: ``silver/`` mirrors, ``gold/`` star schema, ``bronze/`` full copies."""
+    """Stored tables below ``root``: ``silver/`` mirrors, ``gold/`` star schema, ``bronze/`` full copies.
 
-    def __init__(self, spark: SparkSession, root: str):
+    Tables of one step do not depend on each other; ``at_once`` of them are submitted side by side, so that small ones do
+    not wait for large ones. A step is over when all its tables are; the first failure is then raised.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, at_once: int = 4):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.at_once = at_once
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
+    def _each(self, job: Callable, items: Iterable) -> list:
+        with ThreadPoolExecutor(self.at_once) as pool:
+            return list(pool.map(job, items))
+
     def mirror(self, table: str) -> Mirror:
         return Mirror(self.spark, f"{self.root}/silver", table)
 
     def load_silver(self, source, lookback: timedelta | None = None) -> dict[str, int]:
         """One incremental run over all source tables; rows loaded per table."""
-        return {
-            t: self.mirror(t).load(source.table(t), lambda df, t=t: mirror_select(df, t), lookback)
-            for t in schema.TABLES
-        }
+        loaded = self._each(
+            lambda t: self.mirror(t).load(source.table(t), lambda df: mirror_select(df, t), lookback), schema.TABLES
+        )
+        return dict(zip(schema.TABLES, loaded, strict=True))
 
     def compact(self, trim_log: bool = False) -> None:
-        for t in schema.TABLES:
-            self.mirror(t).compact(trim_log)
+        self._each(lambda t: self.mirror(t).compact(trim_log), schema.TABLES)
 
     def silver(self, table: str) -> DataFrame:
         return self.mirror(table).current()
 
     def build_gold(self) -> None:
         """Rebuild every dimension and fact from the current mirrors; facts are stored in their sort order."""
-        for build in DIMENSIONS:
-            storage.publish(build(self.silver), f"{self.root}/gold/{build.__name__}")
         storage.publish(gold.dim_date(self.spark), f"{self.root}/gold/dim_date")
-        for build in FACTS:
+        self._each(lambda build: storage.publish(build(self.silver), f"{self.root}/gold/{build.__name__}"), DIMENSIONS)
+
+        def publish_fact(build):
             fact = storage.sorted_layout(build(self.silver), gold.FACT_SORT[build.__name__])
             storage.publish(fact, f"{self.root}/gold/{build.__name__}")
 
+        self._each(publish_fact, FACTS)
+
     def gold(self, table: str) -> DataFrame:
         return storage.read_published(self.spark, f"{self.root}/gold/{table}")
 
     def refresh_bronze(self, source) -> None:
         """Replace the nine full copies by the source as it is now."""
         bronze = refresh.bronze_of(source)
-        for t in schema.REFRESH_TABLES:
-            full_refresh(bronze(t), f"{self.root}/bronze/{t}")
+        self._each(lambda t: full_refresh(bronze(t), f"{self.root}/bronze/{t}"), schema.REFRESH_TABLES)
 
     def bronze(self, table: str) -> DataFrame:
         return storage.read_published(self.spark, f"{self.root}/bronze/{table}")

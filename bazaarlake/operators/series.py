@@ -21,7 +21,7 @@ def number_within(
     """``row_number()`` over ``group`` ordered by (bucket, order), and the group's size.
 
     A group is numbered in as many pieces as it has buckets and the pieces are put together with running
-    piece sizes, so no task ever holds a whole large group. ``bucket`` takes a bounded number of values.
+    piece sizes, so no task ever holds a whole large group if ``bucket`` takes more values in larger groups.
     """
     split = df.withColumn("_bucket", bucket)
     piece = [*group, "_bucket"]
@@ -53,6 +53,7 @@ def sample_k_per_group(
     request_key: str,
     buckets: int = 64,
     rows_per_copy: int = 1_000_000,
+    rows_per_piece: int = 1_000_000,
 ) -> DataFrame:
     """For each request, k distinct items of its group without building all request-item pairs.
 
@@ -60,7 +61,8 @@ def sample_k_per_group(
     beginning at ``start`` modulo the group's size. Groups with fewer than k items give all they have;
     requests of groups without items give no row. Both inputs are read several times and should be stored
     tables. Where many requests share few items, the items are copied
-    once per ``rows_per_copy`` expected picks and the picks spread over the copies.
+    once per ``rows_per_copy`` expected picks and the picks spread over the copies. A group is numbered in ``buckets``
+    pieces, or more where these would exceed ``rows_per_piece``; ``shuffle_key`` should take many more values than that.
     """
     asked = requests.withColumns({"_k": k, "_start": start})
     demand = asked.groupBy(F.col(group).alias("_g")).agg(F.sum("_k").alias("_picks"))
@@ -78,11 +80,12 @@ def sample_k_per_group(
         F.pmod(F.xxhash64(request_key, "pick"), F.col("_spread")).alias("_salt"),
     )
 
-    listed = skew_join(items, groups.drop("_m"), [(group, "_g")], [item_key, group]).drop("_g")
+    listed = skew_join(items, groups, [(group, "_g")], [item_key, group]).drop("_g")
     listed = listed.withColumn("_mix", shuffle_key)
-    slots = number_within(listed, [group], F.col("_mix") % buckets, ["_mix", item_key], "_pos", "_size")
+    pieces = F.greatest(F.lit(buckets), F.ceil(F.col("_m") / rows_per_piece))
+    slots = number_within(listed, [group], F.col("_mix") % pieces, ["_mix", item_key], "_pos", "_size")
     slots = slots.withColumn("_one_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_spread") - 1)))
-    slots = slots.withColumnRenamed(group, "_item_group").drop("_mix", "_size", "_spread")
+    slots = slots.withColumnRenamed(group, "_item_group").drop("_mix", "_size", "_spread", "_m")
     cond = [
         F.col(group) == F.col("_item_group"),
         F.col("_want") == F.col("_pos"),

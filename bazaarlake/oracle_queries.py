@@ -297,7 +297,7 @@ QUERIES |= {
            CAST(round(net * CAST(1 + (id % 16) * 0.01 AS DECIMAL(4,2)), 2) AS DECIMAL(14,2)) AS price_total
     FROM (SELECT id, product_uom_qty * price_unit * CAST(1 - discount * 0.01 AS DECIMAL(5,4)) AS net FROM src_sale_order_line)""",
     "payment_date_offset": """
-    SELECT id, CAST(k AS INTEGER) AS k, date_order + to_days(CAST(k * (5 + id % 40) AS INTEGER)) AS due
+    SELECT id, CAST(k AS INTEGER) AS k, date_order + to_days(CAST(k * 14 + id % 9 AS INTEGER)) AS due
     FROM src_order_headers, LATERAL (SELECT unnest(generate_series(1, id % 3)) AS k)""",
     "code_format": """
     SELECT id, name AS code, left(name, 3) AS head, right(name, 4) AS tail, lower(name) AS lowered FROM src_order_headers""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,7 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         shared = tempfile.mkdtemp(prefix="bazaarlake-")
         spark.conf.set("spark.checkpoint.dir", shared)

@@ -94,14 +94,14 @@ def test_number_within_equals_row_number(many):
     assert same_rows(keyed(got), keyed(want))
 
 
-@pytest.mark.parametrize("rows_per_copy", [1_000_000, 3])
-def test_sample_takes_k_distinct_items_of_the_group(no_broadcast, spark, rows_per_copy):
+@pytest.mark.parametrize("rows_per_copy, rows_per_piece", [(1_000_000, 1_000_000), (3, 1_000_000), (3, 2)])
+def test_sample_takes_k_distinct_items_of_the_group(no_broadcast, spark, rows_per_copy, rows_per_piece):
     items = spark.range(1000).select(F.expr("CASE WHEN id < 700 THEN 0 ELSE id % 30 END").alias("g"), F.col("id").alias("item"))
     requests = spark.range(500).select(F.col("id").alias("r"), F.expr("CASE WHEN id % 3 = 0 THEN 0 ELSE id % 40 END").alias("g"))
     got = sample_k_per_group(
         requests, items, "g", k=F.expr("1 + r % 5"), start=F.expr("r * 31"),
         shuffle_key=F.expr("item * 7919 % 1009"), item_key="item", request_key="r",
-        rows_per_copy=rows_per_copy,
+        rows_per_copy=rows_per_copy, rows_per_piece=rows_per_piece,
     )
     assert got.groupBy("r", "item").count().where("count > 1").isEmpty()
     assert got.join(items, ["g", "item"], "left_anti").isEmpty()
