@@ -29,6 +29,7 @@ from bazaarlake.llm.common import fresh, row_id, small, stored, table
 from bazaarlake.llm.wordsets import binaries, chunks, groups, mixed, overlaps, set_keys, word_hashes
 
 THRESHOLD, LEAST = 0.8, 5
+ALIKE = 4  # words of the smallest set that can be near another one (4 of 5 words); smaller ones match their equals only
 BITS, SEGMENT_BITS = 24, 16
 BLOCK = 1024
 _HASH_BITS, _LEVEL_BITS, _RUN = 38, 6, 1 << 19
@@ -49,10 +50,10 @@ def overlap_needed(n, m):
     return np.ceil(THRESHOLD / (1 + THRESHOLD) * (n + m) - 1e-9).astype(np.int64)
 
 
-def prefix_length(n: np.ndarray) -> np.ndarray:
-    """Words of a set of n to look at: any partner has at least LEAST and t * n words."""
-    fewest = np.maximum(np.ceil(THRESHOLD * n - 1e-9), LEAST)
-    return n - overlap_needed(n, fewest) + 1
+def prefix_length(n: np.ndarray, least: int = LEAST) -> np.ndarray:
+    """Words of a set of n to look at: any partner has at least ``least`` and t * n words. None if only equal sets match."""
+    fewest = np.maximum(np.ceil(THRESHOLD * n - 1e-9), least)
+    return np.where(n < ALIKE, 0, n - overlap_needed(n, fewest) + 1)
 
 
 def split_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,8 +66,8 @@ def split_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return bounds, text, np.arange(len(starts)) - first
 
 
-def line_sets(batches: Iterator[pa.RecordBatch], levels: np.ndarray | None) -> Iterator[tuple]:
-    """(rid, line, tokens, bounds) of lines of LEAST distinct words or more; a set's tokens are in order of rarity.
+def line_sets(batches: Iterator[pa.RecordBatch], levels: np.ndarray | None, least: int = LEAST) -> Iterator[tuple]:
+    """(rid, line, tokens, bounds) of lines of ``least`` (1 or more) distinct words or more; a set's tokens are in order of rarity.
 
     A token is a word's level (a logarithm of its count) before 38 bits of its hash.
     """
@@ -77,7 +78,7 @@ def line_sets(batches: Iterator[pa.RecordBatch], levels: np.ndarray | None) -> I
             if len(bounds) < 2:
                 continue
             words, _, bounds = word_hashes(data, bounds)
-            many = np.flatnonzero(np.diff(bounds) >= LEAST)
+            many = np.flatnonzero(np.diff(bounds) >= least)
             for lo in range(0, len(many), _RUN):
                 some = many[lo : lo + _RUN]
                 n = bounds[some + 1] - bounds[some]
@@ -90,7 +91,7 @@ def line_sets(batches: Iterator[pa.RecordBatch], levels: np.ndarray | None) -> I
                 key = key[np.concatenate(([True], key[1:] != key[:-1]))]
                 of = (key >> np.uint64(_HASH_BITS + _LEVEL_BITS)).astype(np.int64)
                 size = np.bincount(of, minlength=len(some))
-                enough = size >= LEAST
+                enough = size >= least
                 key, size, some = key[enough[of]] & _TOKEN, size[enough], some[enough]
                 if len(some):
                     yield rids[a + text[some]], line[some], key, np.concatenate(([0], np.cumsum(size)))
@@ -163,12 +164,12 @@ def _broadcast(counts: DataFrame, codes):
     return counts.sparkSession.sparkContext.broadcast(out)
 
 
-def _prefixes(token: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _prefixes(token: np.ndarray, bounds: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(place in token, set, position) of prefix words that occur more than once in the corpus."""
     size = np.diff(bounds)
     of = np.repeat(np.arange(len(size)), size)
     pos = np.arange(len(token)) - bounds[:-1][of]
-    at = np.flatnonzero((pos < prefix_length(size)[of]) & (token >> np.uint64(_HASH_BITS) > 0))
+    at = np.flatnonzero((pos < prefix_length(size, least)[of]) & (token >> np.uint64(_HASH_BITS) > 0))
     return at, of[at], pos[at]
 
 
@@ -195,16 +196,16 @@ class _Leads:
         return lead
 
 
-def _lines_and_counts(levels):
+def _lines_and_counts(levels, least: int):
     """Rows of two kinds: each line's set key, and the counts of words in prefixes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, leads = np.zeros(1 << BITS, np.uint32), _Leads()
         names = [c.split()[0] for c in f"{SKETCH}, {LINE}".split(", ")]
         kinds = [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
-        for rid, line, token, bounds in line_sets(batches, levels.value):
+        for rid, line, token, bounds in line_sets(batches, levels.value, least):
             k1, k2 = set_keys(token, bounds)
-            at, of, _ = _prefixes(token, bounds)
+            at, of, _ = _prefixes(token, bounds, least)
             np.add.at(total, _place(token[at[leads(k1)[of]]]), np.uint32(1))
             none = [pa.nulls(len(k1), k) for k in kinds[:3]]
             yield pa.RecordBatch.from_arrays([*none, pa.array(k1), pa.array(k2), pa.array(rid), pa.array(line, pa.int32())], names=names)
@@ -218,14 +219,14 @@ def _longs(names: list[str], cols: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in cols], names=names)
 
 
-def _members(levels, blocks):
+def _members(levels, blocks, least: int):
     """A row for each prefix word of a set that other prefixes have too, in every pair of blocks that the set is in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leads = _Leads()
-        for _, _, token, bounds in line_sets(batches, levels.value):
+        for _, _, token, bounds in line_sets(batches, levels.value, least):
             k1, _ = set_keys(token, bounds)
-            at, of, pos = _prefixes(token, bounds)
+            at, of, pos = _prefixes(token, bounds, least)
             code = blocks.value[_place(token[at])]
             keep = leads(k1)[of] & (code > 0)
             at, of, pos, code = at[keep], of[keep], pos[keep], code[keep].astype(np.int64)
@@ -339,7 +340,7 @@ def _unpacked(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _payload(levels):
+def _payload(levels, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The words of the wanted lines of each text."""
         for batch in batches:
@@ -350,7 +351,7 @@ def _payload(levels):
             lines = np.asarray(wanted.flatten())
             of = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(wanted.offsets)))
             want = (of.astype(np.int64) << 32) | lines
-            for row, line, token, bounds in line_sets(iter([rows]), levels.value):
+            for row, line, token, bounds in line_sets(iter([rows]), levels.value, least):
                 keep = np.isin((row.astype(np.int64) << 32) | line, want)
                 if keep.any():
                     size = np.diff(bounds)
@@ -387,19 +388,19 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def later_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def later_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
     """(rid, line) of lines that an earlier line matches, in order of rid and place.
 
-    Lines end at a line feed and are numbered from 0. Lines of fewer than five distinct words never match. Null and empty texts
-    have no lines to match. A row without doc_id goes by a negative hash of its text, so before all others; rows repeating a
+    Lines end at a line feed and are numbered from 0. Lines of fewer than ``least`` distinct words, or of none,
+    never match. Null and empty texts have no lines to match. A row without doc_id goes by a negative hash of its text, so before all others; rows repeating a
     doc_id are one document, whose lines do not match themselves.
     """
     docs = docs.select(row_id(doc_id, text).alias("rid"), F.col(text).alias("text"))
     levels = _broadcast(docs.mapInArrow(_word_counts, SKETCH), _levels)
-    rows = stored(docs.mapInArrow(_lines_and_counts(levels), f"{SKETCH}, {LINE}"))
+    rows = stored(docs.mapInArrow(_lines_and_counts(levels, least), f"{SKETCH}, {LINE}"))
     blocks = _broadcast(rows.where("segment IS NOT NULL").select("segment", "at", "n"), partial(_blocks, block=BLOCK))
     lines = rows.where("segment IS NULL").select("k1", "k2", "rid", "line")
-    members = docs.mapInArrow(_members(levels, blocks), MEMBER)
+    members = docs.mapInArrow(_members(levels, blocks, least), MEMBER)
     near = members.repartition("g").sortWithinPartitions("g").mapInArrow(_compared, "c long, k long")
     near = stored(near.distinct())
     place = F.struct("rid", "line")
@@ -408,7 +409,7 @@ def later_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     own = stored(own.where("n > 1 OR near"))  # sets that more than one line has, or that are near another one
     wanted = own.where("near").select("k1", "k2", "first.*")
     texts = small(stored(wanted.groupBy("rid").agg(F.collect_set("line").alias("wanted"))), 1_000_000)  # few ids: texts stay put
-    words = docs.join(texts, "rid").select("rid", "text", "wanted").mapInArrow(_payload(levels), f"{LINE}, words binary")
+    words = docs.join(texts, "rid").select("rid", "text", "wanted").mapInArrow(_payload(levels, least), f"{LINE}, words binary")
     # Dealt by k1 once, for the grouping and for the join. A repeated id may bring a set's line in more than once.
     words = words.repartition("k1").groupBy("k1", "k2").agg(F.min(place).alias("p"), F.first("words").alias("words"))
     words = words.select("k1", "k2", "p.*", "words")
@@ -419,15 +420,15 @@ def later_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     return lines.join(first, ["k1", "k2"]).where(place > F.col("first")).select("rid", "line").distinct()
 
 
-def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
     """(rid, removed): the numbers of each document's removed lines, in order."""
-    return later_matches(docs, doc_id, text).groupBy("rid").agg(F.sort_array(F.collect_list("line")).alias("removed"))
+    return later_matches(docs, doc_id, text, least).groupBy("rid").agg(F.sort_array(F.collect_list("line")).alias("removed"))
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``docs`` without the lines that earlier lines match; a document may end up empty. Null texts stay null."""
     rid, removed = fresh(docs, "_rid", "_removed")
-    gone = removed_lines(docs.select("doc_id", "text")).select(F.col("rid").alias(rid), F.col("removed").alias(removed))
+    gone = removed_lines(docs.select("doc_id", "text"), least=least).select(F.col("rid").alias(rid), F.col("removed").alias(removed))
     left = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains(F.col(removed), i))
     joined = docs.withColumn(rid, row_id()).join(gone, rid, "left")
     return joined.withColumn("text", F.when(F.col(removed).isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))).select(*docs.columns)
@@ -437,4 +438,4 @@ def op2_line_prefix_join(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     slim = docs.select("doc_id", row_id().alias("rid"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
     none = F.array().cast("array<int>")
-    return slim.join(removed_lines(docs), "rid", "left").select("doc_id", "n_lines", F.coalesce("removed", none).alias("removed_lines"))
+    return slim.join(removed_lines(docs, least=1), "rid", "left").select("doc_id", "n_lines", F.coalesce("removed", none).alias("removed_lines"))

@@ -129,6 +129,20 @@ def test_lines_of_odd_rows(spark, odd):
     assert {r["doc_id"]: r["text"] for r in line_dedup.dedup(df).collect()} == {1: "a b c d e\nx", 2: "x\ny"}
 
 
+def test_lines_of_few_words(spark):
+    """The query has no least line: repeats of short lines go, too, and a line of four words can be near one of five."""
+    rng = random.Random(19)
+    pool = [" ".join(rng.choice("abcdefg") for _ in range(rng.randrange(7))) for _ in range(80)]
+    rows, _ = many_lines(spark)
+    rows = [(i, "\n".join([t, *rng.choices(pool, k=rng.randrange(5))])) for i, t in rows]
+    rows += [(200, "Les.\none two three four\n \n"), (201, "Les.\nfive one four two three\n \n\n")]
+    folder = work_dir(spark, "few-words")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(6).write.parquet(f"{folder}/documents.parquet")
+    got = {r["doc_id"]: r["removed_lines"] for r in line_dedup.op2_line_prefix_join(spark, folder).collect()}
+    want = brute.removed_lines(rows, least=1)
+    assert want[201] == [0, 1] and got == {i: want.get(i, []) for i, _ in rows}
+
+
 # -- decontamination --------------------------------------------------------------------------------------
 
 
