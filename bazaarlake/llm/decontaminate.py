@@ -5,6 +5,10 @@ in a text with at most e edits, they share at least m - q + 1 - q * e q-grams, o
 position) that lie within e of each other. So shared q-grams are counted per overlapping band of diagonals; only regions whose
 band reaches that count are aligned, in a band around their diagonals.
 
+A text may hold a part of an item only. So an item of more than WINDOW characters goes in whole and as overlapping windows, one
+every STEP characters and one at its end, each with its own count and budget. An item counts if it or one of its windows occurs:
+any run of WINDOW + STEP - 1 characters of it holds a whole window.
+
 The documents are only filtered or extended: no shuffle and no join. The benchmark goes to the tasks as an index in blocks
 of bounded size, one pass of the index lookups per block.
 """
@@ -22,6 +26,8 @@ from pyspark.sql import types as T
 from bazaarlake.llm.common import fresh, table
 
 Q, RATE = 10, 0.06
+WORD = 7  # edits to allow at least, where the lemma can: a word of six letters and a space
+WINDOW, STEP = 100, 25
 BLOCK_CHARS = 500_000
 SLICE = 1 << 19
 _M = 0x9E3779B97F4A7C15
@@ -49,15 +55,27 @@ def grams(c: np.ndarray) -> np.ndarray:
 
 
 def budget(m: int, rate: float = RATE) -> int:
-    """Edits allowed in an item of m characters: a share of its length, as far as the lemma leaves a count of 1 or more."""
-    return max(0, min(int(rate * m), (m - Q) // Q))
+    """Edits allowed in m characters: a share of them, or a word if that is more, as far as the lemma leaves a count of 1 or more."""
+    return max(0, min(max(int(rate * m), WORD), (m - Q) // Q))
+
+
+def pieces(c: np.ndarray) -> list[np.ndarray]:
+    """The item, then its windows if it is longer than one."""
+    if len(c) <= WINDOW:
+        return [c]
+    return [c, *[c[a : a + WINDOW] for a in [*range(0, len(c) - WINDOW, STEP), len(c) - WINDOW]]]
 
 
 @dataclass
 class Index:
-    """The q-grams of a block of items: hashes in order with item and position, and a table that most other grams miss."""
+    """The q-grams of a block of items: hashes in order with piece and position, and a table that most other grams miss.
+
+    ``of`` is the item of each piece, ``whole`` whether it is all of it; an item's pieces follow each other, the whole first.
+    """
 
     ids: list
+    of: np.ndarray
+    whole: np.ndarray
     codes: list[np.ndarray]
     edits: np.ndarray
     need: np.ndarray
@@ -72,17 +90,22 @@ def build_index(items: list[tuple]) -> Index:
     """Items are (id, text); those shorter than Q characters can't be told from chance and are never reported."""
     items = [(i, codes(normal(t))) for i, t in items]
     items = [(i, c) for i, c in items if len(c) >= Q]
-    parts = [grams(c) for _, c in items]
+    cut = [pieces(c) for _, c in items]
+    of = np.repeat(np.arange(len(items)), [len(x) for x in cut])
+    whole = np.ones(len(of), bool)
+    whole[1:] = of[1:] != of[:-1]
+    cut = [p for x in cut for p in x]
+    parts = [grams(c) for c in cut]
     gram = np.concatenate([np.zeros(0, np.uint64), *parts])
-    item = np.repeat(np.arange(len(items)), [len(p) for p in parts])
+    item = np.repeat(np.arange(len(cut)), [len(p) for p in parts])
     pos = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(p)) for p in parts]])
     order = np.argsort(gram, kind="stable")
     bits = min(25, max(16, int(len(gram) * 64).bit_length()))
     seen = np.zeros(1 << bits, bool)
     seen[gram >> np.uint64(64 - bits)] = True
-    edits = np.array([budget(len(c)) for _, c in items], np.int64)
-    need = np.array([len(c) - Q + 1 for _, c in items], np.int64) - Q * edits
-    return Index([i for i, _ in items], [c for _, c in items], edits, need, gram[order], item[order], pos[order], np.uint64(64 - bits), seen)
+    edits = np.array([budget(len(c)) for c in cut], np.int64)
+    need = np.array([len(c) - Q + 1 for c in cut], np.int64) - Q * edits
+    return Index([i for i, _ in items], of, whole, cut, edits, need, gram[order], item[order], pos[order], np.uint64(64 - bits), seen)
 
 
 def align(item: np.ndarray, text: np.ndarray, first: int, width: int, most: int) -> tuple[int, int, int] | None:
@@ -113,13 +136,16 @@ def align(item: np.ndarray, text: np.ndarray, first: int, width: int, most: int)
 
 
 def find(index: Index, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
-    """For each normalised text, (item number, edits, start, end) of the best occurrence of each item it holds."""
+    """For each normalised text, (item number, edits, start, end) of the best occurrence of each item it holds.
+
+    That is the best one of the whole item, or if there is none, of a window; a window without edits ends the search.
+    """
     out: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
     if not index.ids:
         return out
     c = codes("\0".join(texts))
     begin = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
-    counted: dict[int, int] = {}
+    counted = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     band = index.edits + 1
     most_bands = 2 * int(len(c) + max(map(len, index.codes)) + 4)
     for a in range(0, max(len(c) - Q + 1, 0), SLICE):
@@ -138,22 +164,27 @@ def find(index: Index, texts: list[str]) -> list[list[tuple[int, int, int, int]]
             also = diagonal - which * band[item] < index.edits[item]
             text, item = np.concatenate((text, text[also])), np.concatenate((item, item[also]))
             which = np.concatenate((which, which[also] - 1))
-            key = (text * len(index.ids) + item) * most_bands + which + most_bands // 2
-            for x, many in zip(*(y.tolist() for y in np.unique(key, return_counts=True)), strict=True):
-                counted[x] = counted.get(x, 0) + many
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for key, many in counted.items():
+            key = (text * len(index.codes) + item) * most_bands + which + most_bands // 2
+            counted.append(np.unique(key, return_counts=True))
+    keys, of = np.unique(np.concatenate([k for k, _ in counted]), return_inverse=True)
+    many = np.zeros(len(keys), np.int64)
+    np.add.at(many, of, np.concatenate([n for _, n in counted]))
+    enough = many >= index.need[keys // most_bands % len(index.codes)]
+    best: dict[tuple[int, int], tuple[int, int, int, int]] = {}
+    for key in keys[enough].tolist():  # by text, item and piece
         pair, which = divmod(key, most_bands)
-        text, item = divmod(pair, len(index.ids))
-        if many < index.need[item]:
+        text, piece = divmod(pair, len(index.codes))
+        item, part = int(index.of[piece]), int(not index.whole[piece])
+        e = int(index.edits[piece])
+        so_far = best.get((text, item), (2, 0, 0, 0))
+        if part and so_far < (1, 1):  # the whole item, or a window without edits
             continue
-        e = int(index.edits[item])
-        first = (which - most_bands // 2) * int(band[item]) - e
-        found = align(index.codes[item], c[begin[text] : begin[text + 1] - 1], first, int(band[item]) + 3 * e + 1, e)
-        if found and found < best.get((text, item), (e + 1, 0, 0)):
-            best[text, item] = found
+        first = (which - most_bands // 2) * int(band[piece]) - e
+        found = align(index.codes[piece], c[begin[text] : begin[text + 1] - 1], first, int(band[piece]) + 3 * e + 1, e)
+        if found and (part, *found) < so_far:
+            best[text, item] = (part, *found)
     for (text, item), found in sorted(best.items()):
-        out[text].append((item, *found))
+        out[text].append((item, *found[1:]))
     return out
 
 
@@ -201,7 +232,7 @@ def _matcher(index: Index, kind: T.DataType, arrow: pa.DataType, spark):
 def with_matches(docs: DataFrame, benchmark: DataFrame, into: str, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``docs`` with an array ``into`` (a new name) of the benchmark items that each text holds: item_id, edits, start, end.
 
-    Start and end are places in the normalised text. Null and empty texts hold nothing; null items and items shorter than
+    Start and end are places in the normalised text, of the whole item or, if the text only holds a part, of the best window of it. Null and empty texts hold nothing; null items and items shorter than
     10 characters are never found; an item listed twice is found twice; an empty benchmark finds nothing. Repeated rows
     get equal results.
     """

@@ -205,6 +205,29 @@ def test_blocks_of_items(spark, monkeypatch):
     assert want and got == want
 
 
+def test_parts_of_items():
+    rng = random.Random(12)
+    words = lambda n: [f"{rng.choice('bcdfgklm')}{rng.choice('aeiou')}{rng.randrange(10**3):03}" for _ in range(n)]
+    long, short, other = words(66), words(13), words(60)
+    index = decontaminate.build_index([(1, " ".join(long)), (2, " ".join(short))])
+
+    def held(some):
+        text = " ".join([*other[:30], *some, *other[30:]])
+        return {index.ids[i]: text[a:b] for i, _, a, b in decontaminate.find(index, [text])[0]}
+
+    whole = " ".join(long)
+    assert held(long) == {1: whole} and held(short) == {2: " ".join(short)} and held([]) == {}
+    for a, b in ((0, 58), (8, 66), (20, 41)):  # cut at its end, its start, both
+        part = held(long[a:b])
+        assert set(part) == {1} and part[1] in " ".join(long[a:b]) and len(part[1]) == decontaminate.WINDOW
+    assert set(held([w for k, w in enumerate(long) if k % 25 != 24])) == {1}  # a word in 25 is gone
+    assert set(held([w if k % 15 else "zzzzz" for k, w in enumerate(long)])) == {1}
+    for k in range(len(short)):  # 77 characters, four edits before
+        assert set(held([*short[:k], "zzzzz", *short[k + 1 :]])) == {2}
+        assert set(held([*short[:k], *short[k + 1 :]])) == {2}
+    assert held(long[:8]) == {} and held(long[::2]) == {}
+
+
 # -- quality rules ----------------------------------------------------------------------------------------
 
 
