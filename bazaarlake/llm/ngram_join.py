@@ -2,10 +2,10 @@
 
 Every distinct shingle set has a signature of ``TREES`` x ``DEPTH`` minima; tree ``t`` files it under a label of
 ``DEPTH`` minima. Sets that share the first ``d`` minima of a label lie in one node of that tree's prefix trie. Matching
-starts with long prefixes, and prefixes are shortened until the expected recall reaches the target. The expectation
-uses the similarities of the links verified so far: a link of similarity s is found at depth d with probability
-1 - (1 - s^d)^TREES, so each found link stands for 1 / that many. At the floor depth the target holds even for links exactly at
-the threshold, whatever the data.
+starts with long prefixes, and prefixes are shortened until the expected recall reaches the target for links of every
+similarity seen so far: a link of similarity s is found at depth d with probability 1 - (1 - s^d)^TREES, and that must reach
+the target in each bin of similarity that holds a link, however many links the others hold. So large groups of near copies
+don't settle it for the rest. At the floor depth the target holds even for links exactly at the threshold, whatever the data.
 
 Nothing is done per pair across the cluster. Equal sets are one class from the start. A node's sets are compared
 inside tasks, in blocks of at most ``BLOCK`` sets (a larger node becomes pairs of blocks), and a task returns one row per
@@ -183,20 +183,12 @@ def floor_depth(threshold: float = THRESHOLD, target: float = TARGET) -> int:
 
 
 def next_depth(seen: list[int], depth: int, target: float = TARGET) -> int:
-    """The depth at which the links seen at ``depth`` let expect the target recall; ``depth`` itself if it does."""
+    """The largest depth, up to ``depth``, that reaches the target for each similarity of the links seen; the floor if none is."""
     low = floor_depth(target=target)
-    if depth <= low:
-        return depth
-    edges = [THRESHOLD + (1 - THRESHOLD) * k / BINS for k in range(BINS)]
-    stand_for = [n / found_share(s, depth) for n, s in zip(seen, edges, strict=True)]
-    if not sum(stand_for):
-        return low
-    ok = [
-        d
-        for d in range(low, depth + 1)
-        if sum(n * found_share(s, d) for n, s in zip(stand_for, edges, strict=True)) >= target * sum(stand_for)
-    ]
-    return max(ok, default=low)
+    if depth <= low or not any(seen):
+        return min(depth, low)
+    lowest = THRESHOLD + (1 - THRESHOLD) * next(k for k, n in enumerate(seen) if n) / BINS
+    return max((d for d in range(low, depth + 1) if found_share(lowest, d) >= target), default=low)
 
 
 def _links_at(depth: int, docs: DataFrame, classes: DataFrame) -> DataFrame:

@@ -81,6 +81,15 @@ def test_recall_arithmetic():
     assert ngram_join.next_depth([100] + [0] * 39, 8) == low
 
 
+def test_hot_groups_do_not_settle_the_depth():
+    low, hot = ngram_join.floor_depth(), [0] * 30 + [499_500] + [0] * 9
+    for k in range(40):
+        depth = ngram_join.next_depth([n + (4 if j == k else 0) for j, n in enumerate(hot)], 8)
+        lowest = 0.8 + 0.2 * min(k, 30) / 40
+        assert ngram_join.found_share(lowest, depth) >= ngram_join.TARGET
+        assert depth == ngram_join.next_depth([int(j == min(k, 30)) for j in range(40)], 8) >= low
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(60)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(70)]
