@@ -43,7 +43,8 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg textarea select option button title object canvas".split())
+RAW = frozenset("script style textarea title iframe".split())  # no tags within; without an end tag they run to the page's end
+DROPPED = frozenset("noscript template svg select option button object canvas".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike "
     "strong sub sup time tt u var wbr".split()
@@ -62,6 +63,9 @@ CLOSES = {
     "thead": {"thead", "tbody"},
     "tbody": {"thead", "tbody"},
 }
+#: Elements that end an open svg, as they can't be in one but for elements that hold HTML.
+HTML_IN_SVG = frozenset(("foreignobject", "desc"))
+NOT_SVG = ENDS_P | frozenset("b big body br center code dd dt em embed head i img li meta s small span strike strong sub sup tt u var".split())
 SCOPES = frozenset("html body table ul ol dl menu article section div aside nav main header footer form td th blockquote".split())
 
 BOILER_TAGS = frozenset("nav header footer aside form menu dialog fieldset head".split())
@@ -93,15 +97,20 @@ class Node:
 def parse(page: str) -> list[Node]:
     """The page's block elements and text leaves (tag ``#``), parents before children, in page order.
 
-    Raw elements (scripts, styles, form controls and the like), comments and declarations leave nothing. Unclosed and stray tags
-    are put right in the usual way: a block ends an open paragraph, an item the item before it, an end tag all that is open within.
+    Raw and dropped elements (scripts, styles, form controls and the like), comments and declarations leave nothing. Unclosed and
+    stray tags are put right in the usual way: a block ends an open paragraph, an item the item before it, an end tag all that
+    is open within, dropped elements too.
     """
     nodes = [Node("html", -1)]
     stack = [0]
     leaf, links, at = None, 0, 0
+    inline: list[str] = []  # inline elements opened since the last block boundary
+    hidden: list[str] = []  # an open dropped element and the elements open in it
 
     def add(text: str) -> None:
         nonlocal leaf
+        if hidden:
+            return
         if leaf is None:
             if not text.strip():
                 return
@@ -127,38 +136,66 @@ def parse(page: str) -> list[Node]:
         name = m[2] or m[5]
         if not name:
             continue
-        name, closing = name.lower(), m[1] or m[4]
+        name, closing, attrs = name.lower(), m[1] or m[4], m[3] or m[6] or ""
+        if hidden:
+            if closing:
+                if name in hidden:
+                    while hidden.pop() != name:
+                        pass
+                    continue
+                if name not in inline and all(nodes[k].tag != name for k in stack[1:]):
+                    continue
+                hidden.clear()  # ends with an element around it
+            elif hidden[0] == "option" and name in ("option", "optgroup") or hidden[0] == "svg" and name in NOT_SVG and not HTML_IN_SVG & set(hidden):
+                hidden.clear()
+            elif name not in RAW:
+                if name not in VOID and not attrs.endswith("/"):
+                    if name in ("option", "optgroup") and hidden[-1] == "option":
+                        hidden.pop()
+                    hidden.append(name)
+                continue
         if closing:
+            if name in inline:
+                del inline[len(inline) - 1 - inline[::-1].index(name)]
             if name == "a":
                 links = max(0, links - 1)
-            elif name not in INLINE and name not in RAW:
+            elif name not in INLINE and name not in RAW and name not in DROPPED:
                 for k in range(len(stack) - 1, 0, -1):
                     if nodes[stack[k]].tag == name:
                         del stack[k:]
                         break
                 leaf, links = None, 0
+                inline.clear()
+            continue
+        if name in DROPPED:
+            if leaf is not None:
+                add(" ")
+            if not attrs.endswith("/"):
+                hidden.append(name)
             continue
         if name in RAW:
-            if not (m[3] or m[6] or "").endswith("/"):
+            if not attrs.endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
             if leaf is not None:
                 add(" ")
             continue
         if name in INLINE:
+            if name not in VOID and not attrs.endswith("/"):
+                inline.append(name)
             if name == "a":
                 links += 1
             elif name == "br" and leaf is not None:
                 add(" ")
             continue
         leaf, links = None, 0
+        inline.clear()
         if name in ENDS_P:
             shut({"p"})
         if name in CLOSES:
             shut(CLOSES[name])
         if name in VOID or name == "html":
             continue
-        attrs = m[3] or m[6] or ""
         hints = frozenset(
             w for a in _ATTR.finditer(attrs) for w in _HINT.findall(_CAMEL.sub(" ", a[2] or a[3] or a[4] or "").lower())
         )

@@ -421,6 +421,27 @@ def test_extract(spark):
     assert html_extract.extract(empty(pages), html_extract.train(empty(pages))).count() == 0
 
 
+def test_unclosed_elements():
+    def blocks(page):
+        return [b for n in html_extract.parse(page) if n.tag == "#" and (b := n.block())]
+
+    for tag in sorted(html_extract.DROPPED):
+        assert blocks(f"<div>a <{tag}>gone</{tag}> b</div><p>c") == ["a b", "c"], tag
+        assert blocks(f"<div><p>a</p><{tag}>gone</div><p>b</p><p>c") == ["a", "b", "c"], tag
+        assert blocks(f"<p>a <span><{tag}>gone</span> b</p><p>c") == ["a b", "c"], tag
+        assert blocks(f"<p>a <{tag}/> b</p><p>c") == ["a b", "c"], tag
+        assert blocks(f"<div>a <{tag}><g>gone</g><{tag}>gone</{tag}></{tag}> b</div>") == ["a b"], tag
+    assert blocks("<p>a</p><select><option>x<option>y</select><p>b</p>") == ["a", "b"]
+    assert blocks("<p>a</p><select><optgroup><option>x<optgroup><option>y</select>b<p>c</p>") == ["a", "b", "c"]
+    assert blocks("<datalist><option>x<option>y<option>z</datalist><p>b</p><select><option>x</option></select>c") == ["b", "c"]
+    assert blocks("<p>a</p><svg><path d='x'><p>b</p>") == ["a", "b"]
+    assert blocks("<div>a<svg><foreignObject><p>gone</p></foreignObject><title>gone</title></svg>b</div>") == ["a b"]
+    assert blocks("<div><button><div>gone</div><p>gone<p>gone</button>a</div>") == ["a"]
+    assert blocks("<div><noscript><style>x</div></style>gone</noscript>a</div>") == ["a"]
+    for tag in sorted(html_extract.RAW):
+        assert blocks(f"<p>a</p><{tag}>x</div><p>y</{tag}><p>b</p><{tag}>gone</p><p>gone") == ["a", "b"], tag
+
+
 def test_marginals_are_exact():
     rng = random.Random(7)
     nodes = [html_extract.Node("html", -1), *[html_extract.Node(f"t{i}", rng.randrange(i + 1)) for i in range(9)]]
