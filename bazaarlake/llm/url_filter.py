@@ -8,7 +8,9 @@ its trust is blocked, for all its URLs without a rule.
 
 Links are summed to one row per pair of hosts before the iterations, so these depend on the number of host pairs only. Each step
 joins the scores to the edges and sums per host with partial sums first, which keeps a host with very many links from landing
-in one task; every step is cut off in the checkpoint folder.
+in one task; every step is cut off in the checkpoint folder. Steps go on until no host's trust or distrust changes by more than
+TOLERANCE of itself, so every host that links connect with a seed is reached, and what is still to come is less than RATIO
+tells apart.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ RULES = (
     ("block", "com/de/"),
 )
 DAMPING, STEPS, RATIO = 0.85, 8, 1.000001
+TOLERANCE = 1e-7
 LINK = r"""(?i)href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
 
@@ -66,8 +69,8 @@ def host_edges(pages: DataFrame, host: str, html: str = "html") -> DataFrame:
     )
 
 
-def spread(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, steps: int = STEPS) -> DataFrame:
-    """Scores (host, trust, distrust) after ``steps`` steps from seeds (host, trust, distrust) over edges (src, dst, links).
+def spread(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, steps: int | None = STEPS, tolerance: float = TOLERANCE) -> DataFrame:
+    """Scores (host, trust, distrust) after ``steps`` steps, or once none changes by more than ``tolerance`` of itself if that is None, from seeds (host, trust, distrust) over edges (src, dst, links).
 
     Hosts without outgoing (for distrust: incoming) links keep nothing for others. Without edges the seeds' own share stays.
     """
@@ -83,17 +86,23 @@ def spread(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, steps:
         .join(into, "dst")
         .select("src", "dst", (F.col("links") / F.col("out")).alias("forth"), (F.col("links") / F.col("into")).alias("back"))
     )
-    scores = own
-    for _ in range(steps):
+    kinds = ("trust", "distrust")
+    none = [zero.alias(f"was_{c}") for c in kinds]
+    moved = F.greatest(*[F.abs(F.col(c) - F.col(f"was_{c}")) - tolerance * F.col(c) for c in kinds])
+    scores, done = own, 0
+    while steps is None or done < steps:
         forth = shares.join(scores.where(F.col("trust") > 0), F.col("src") == F.col("host")).select(
-            F.col("dst").alias("host"), (damping * F.col("trust") * F.col("forth")).alias("trust"), zero.alias("distrust")
+            F.col("dst").alias("host"), (damping * F.col("trust") * F.col("forth")).alias("trust"), zero.alias("distrust"), *none
         )
         back = shares.join(scores.where(F.col("distrust") > 0), F.col("dst") == F.col("host")).select(
-            F.col("src").alias("host"), zero.alias("trust"), (damping * F.col("distrust") * F.col("back")).alias("distrust")
-        )
-        scores = cut(
-            own.unionByName(forth).unionByName(back).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
+            F.col("src").alias("host"), zero.alias("trust"), (damping * F.col("distrust") * F.col("back")).alias("distrust"), *none
         )
+        was = scores.select("host", *[zero.alias(c) for c in kinds], *[F.col(c).alias(f"was_{c}") for c in kinds])
+        new = own.select("host", *kinds, *none).unionByName(forth).unionByName(back).unionByName(was)
+        new = cut(new.groupBy("host").agg(*[F.sum(c).alias(c) for c in (*kinds, "was_trust", "was_distrust")]))
+        scores, done = new.select("host", *kinds), done + 1
+        if steps is None and new.where(moved > 0).isEmpty():
+            break
     return scores
 
 
@@ -117,7 +126,7 @@ def judge(pages: DataFrame, url: str = "url", html: str = "html", rules: Sequenc
     counts = cut(counts)
     ruled = counts.agg(F.sum(F.col("trust") + F.col("distrust"))).first()[0] or 1
     seeds = counts.select("host", *[(F.col(c) / F.lit(float(ruled))).alias(c) for c in ("trust", "distrust")])
-    scores = spread(seeds, host_edges(parsed, "host", html))
+    scores = spread(seeds, host_edges(parsed, "host", html), steps=None)
     bad = cut(scores.where(F.col("distrust") > F.col("trust") * RATIO).select("host", F.lit(True).alias("_bad")))
     return judged.join(small(bad), "host", "left").select(
         *cols,

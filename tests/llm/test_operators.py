@@ -371,6 +371,20 @@ def test_spread(spark):
         assert (r["trust"], r["distrust"]) == pytest.approx(tuple(t[r["host"]]))
 
 
+def test_long_chains(spark):
+    """A chain of twelve hosts that leads to a blocked one, and scores that a cycle keeps going round."""
+    chain = [f"c{k}.net" for k in range(12)]
+    pages = [(k, f"http://{h}/", f'<a href="http://{n}/">') for k, (h, n) in enumerate(zip(chain, [*chain[1:], "bad.com"], strict=True))]
+    pages += [(20, "http://bad.com/de/1", ""), (21, "http://apart.net/", '<a href="http://c.net/">')]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(df).collect()}
+    assert got == {**dict.fromkeys([*range(12), 20], "block"), 21: "allow"}
+    seeds = spark.createDataFrame([("a", 1.0, 0.0)], "host string, trust double, distrust double")
+    edges = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "src string, dst string, links long")
+    got = {r["host"]: r["trust"] for r in url_filter.spread(seeds, edges, steps=None, tolerance=1e-3).collect()}
+    assert got == pytest.approx({"a": 0.15 / (1 - 0.85**2), "b": 0.15 * 0.85 / (1 - 0.85**2)}, rel=1e-2)
+
+
 # -- pages ------------------------------------------------------------------------------------------------
 
 
