@@ -2,6 +2,7 @@
 
 from bazaarlake.llm.decontaminate import op7_qgram_lemma
 from bazaarlake.llm.html_extract import OP6_SQL, op6_tree_model
+from bazaarlake.llm.importance import op13_importance_sort
 from bazaarlake.llm.line_dedup import op2_line_prefix_join
 from bazaarlake.llm.mixing import OP10_SQL, op10_pareto_mixing
 from bazaarlake.llm.ngram_join import op5_lsh_forest
@@ -24,6 +25,7 @@ QUERIES = {
         op8_length_histogram,
         op9_rule_ledger,
         op10_pareto_mixing,
+        op13_importance_sort,
     )
 }
 
