@@ -1,5 +1,6 @@
 """The queries of the operators, and the SQL of those that SQL can express."""
 
+from bazaarlake.llm.conversations import op12_auction_repair
 from bazaarlake.llm.decontaminate import op7_qgram_lemma
 from bazaarlake.llm.html_extract import OP6_SQL, op6_tree_model
 from bazaarlake.llm.importance import op13_importance_sort
@@ -25,6 +26,7 @@ QUERIES = {
         op8_length_histogram,
         op9_rule_ledger,
         op10_pareto_mixing,
+        op12_auction_repair,
         op13_importance_sort,
     )
 }
