@@ -6,6 +6,7 @@ from bazaarlake.llm.html_extract import OP6_SQL, op6_tree_model
 from bazaarlake.llm.importance import op13_importance_sort
 from bazaarlake.llm.line_dedup import op2_line_prefix_join
 from bazaarlake.llm.mixing import OP10_SQL, op10_pareto_mixing
+from bazaarlake.llm.neural_lm import op11_log_bilinear
 from bazaarlake.llm.ngram_join import op5_lsh_forest
 from bazaarlake.llm.quality_rules import OP9_SQL, op9_rule_ledger
 from bazaarlake.llm.sharding import op3_virtual_slots
@@ -26,6 +27,7 @@ QUERIES = {
         op8_length_histogram,
         op9_rule_ledger,
         op10_pareto_mixing,
+        op11_log_bilinear,
         op12_auction_repair,
         op13_importance_sort,
     )
