@@ -395,8 +395,9 @@ def normaliser_table(spark, model: Model, tasks: int = 96) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([found.tobytes()], pa.binary())], names=["one", "logs"])
 
     out = np.empty((size, size), np.float32)
-    for r in spark.range(0, size, 1, min(tasks, size)).mapInArrow(run, "one long, logs binary").toLocalIterator():
-        out[r["one"]] = np.frombuffer(r["logs"], np.float32)
+    found = spark.range(0, size, 1, min(tasks, size)).mapInArrow(run, "one long, logs binary").toArrow()
+    for one, row in zip(found.column("one").to_pylist(), found.column("logs"), strict=True):
+        out[one] = np.frombuffer(row.as_buffer(), np.float32)
     shared.unpersist()
     return out
 
