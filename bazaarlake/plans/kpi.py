@@ -17,13 +17,25 @@ def _sum(c: str, scale: int = 4):
     return F.sum(c).cast(f"decimal(24,{scale})")
 
 
-def kpi_sales_by_governorate(silver: Silver) -> DataFrame:
-    """Sales and payments per governorate and city of the customer; '' for facts whose customer has no dimension row."""
-    sales = gold.fact_sales(silver).groupBy("customer_key").agg(
+def customer_sales(sales: DataFrame) -> DataFrame:
+    return sales.groupBy("customer_key").agg(
         F.count(F.lit(1)).alias("lines"), _sum("amount_untaxed").alias("net"), _sum("amount_total").alias("total")
     )
-    paid = gold.fact_payments(silver).groupBy("customer_key").agg(_sum("amount").alias("paid"))
-    customers = gold.dim_customer(silver).select("customer_key", "governorate", "city", F.lit(1).alias("known"))
+
+
+def customer_payments(payments: DataFrame) -> DataFrame:
+    return payments.groupBy("customer_key").agg(_sum("amount").alias("paid"))
+
+
+def kpi_sales_by_governorate(silver: Silver) -> DataFrame:
+    """Sales and payments per governorate and city of the customer; '' for facts whose customer has no dimension row."""
+    sales, paid = customer_sales(gold.fact_sales(silver)), customer_payments(gold.fact_payments(silver))
+    return sales_by_governorate(sales, paid, gold.dim_customer(silver))
+
+
+def sales_by_governorate(sales: DataFrame, paid: DataFrame, customers: DataFrame) -> DataFrame:
+    """From sums per customer."""
+    customers = customers.select("customer_key", "governorate", "city", F.lit(1).alias("known"))
     zero = F.lit(0).cast("decimal(24,4)")
     return (
         sales.join(paid, "customer_key", "full")
@@ -100,20 +112,24 @@ def kpi_stock_distribution(silver: Silver) -> DataFrame:
     )
 
 
+def daily_sales(sales: DataFrame) -> DataFrame:
+    return sales.groupBy("date_key").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(F.when(F.col("order_state") != "cancel", F.col("amount_total"))).cast("decimal(24,4)").alias("kept"),
+        F.sum(F.when(F.col("order_state") == "cancel", F.col("amount_total"))).cast("decimal(24,4)").alias("lost"),
+    )
+
+
 def kpi_monthly_sales(calendar: DataFrame, silver: Silver) -> DataFrame:
     """Sales per calendar month, cancelled orders apart, with the part made on weekends.
 
     Days outside the calendar count in their month, without a month name and not as weekends.
     """
-    daily = (
-        gold.fact_sales(silver)
-        .groupBy("date_key")
-        .agg(
-            F.count(F.lit(1)).alias("lines"),
-            F.sum(F.when(F.col("order_state") != "cancel", F.col("amount_total"))).cast("decimal(24,4)").alias("kept"),
-            F.sum(F.when(F.col("order_state") == "cancel", F.col("amount_total"))).cast("decimal(24,4)").alias("lost"),
-        )
-    )
+    return monthly_sales(calendar, daily_sales(gold.fact_sales(silver)))
+
+
+def monthly_sales(calendar: DataFrame, daily: DataFrame) -> DataFrame:
+    """From sums per day."""
     days = calendar.select("date_key", "year", "month", "month_name", "is_weekend")
     zero = F.lit(0).cast("decimal(24,4)")
     weekend = F.sum(F.when(F.col("is_weekend") == 1, F.col("kept"))).cast("decimal(24,4)")

@@ -31,6 +31,17 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     ]
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of all sub-folders."""
+    _, folder, fs = _folder(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()] if fs.exists(folder) else []
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    _, folder, fs = _folder(spark, path)
+    fs.delete(folder, True)
+
+
 def numbered_children(spark: SparkSession, path: str, label: str) -> list[int]:
     """Sorted numbers n of committed sub-folders named ``label=n``."""
     prefix = f"{label}="
