@@ -7,9 +7,10 @@ similarity seen so far: a link of similarity s is found at depth d with probabil
 the target in each bin of similarity that holds a link, however many links the others hold. So large groups of near copies
 don't settle it for the rest. At the floor depth the target holds even for links exactly at the threshold, whatever the data.
 
-Nothing is done per pair across the cluster. Equal sets are one class from the start. A node's sets are compared
+Nothing is done per pair across the cluster. Equal sets are one class from the start, with a number of its own: ids of documents
+name results only, since rows may repeat an id with different texts. A node's sets are compared
 inside tasks, in blocks of at most ``BLOCK`` sets (a larger node becomes pairs of blocks), and a task returns one row per
-set: how many documents it links to, and the smallest id it is connected with. A pair that shares several nodes is counted in the first
+set: how many documents it links to, and the smallest class it is connected with. A pair that shares several nodes is counted in the first
 tree that has it. Shingle sets are read again only for classes that share a node with another one.
 """
 
@@ -63,9 +64,9 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sig = signatures(values, bounds)
             values, bounds = distinct(values, bounds)
             k1, k2 = set_keys(values, bounds)
+            own = [batch.column(c).slice(a, b - a) for c in ("rid", "th")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rid").slice(a, b - a), pa.array(k1), pa.array(k2), pa.array(np.diff(bounds)), fixed(sig)],
-                names=["rid", "k1", "k2", "n", "sig"],
+                [*own, pa.array(k1), pa.array(k2), pa.array(np.diff(bounds)), fixed(sig)], names=["rid", "th", "k1", "k2", "n", "sig"]
             )
 
 
@@ -74,9 +75,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b, data, offsets in chunks(batch.column("text")):
             words, _, bounds = word_hashes(data, offsets)
             values, bounds = distinct(*shingles(words, bounds, WIDTH))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rid").slice(a, b - a), binaries(values, bounds)], names=["rid", "members"]
-            )
+            k1, k2 = set_keys(values, bounds)
+            yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), binaries(values, bounds)], names=["k1", "k2", "members"])
 
 
 def _node_keys(sig: np.ndarray, depth: int) -> np.ndarray:
@@ -97,8 +97,8 @@ def _nodes(depth: int):
         for batch in batches:
             if batch.num_rows:
                 keys = _node_keys(_matrix(batch.column("sig"), np.uint32, TREES * DEPTH), depth)
-                rid = np.repeat(np.asarray(batch.column("rid")), TREES)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(rid)], names=["node", "rid"])
+                cid = np.repeat(np.asarray(batch.column("cid")), TREES)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(cid)], names=["node", "cid"])
 
     return run
 
@@ -108,7 +108,7 @@ def _with_keys(depth: int):
         for batch in batches:
             if batch.num_rows:
                 keys = _node_keys(_matrix(batch.column("sig"), np.uint32, TREES * DEPTH), depth)
-                yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("copies"), fixed(keys)], names=["rid", "copies", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column("cid"), batch.column("copies"), fixed(keys)], names=["cid", "copies", "keys"])
 
     return run
 
@@ -142,7 +142,7 @@ def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per member with a link: the documents it links to, the smallest connected id; with the first row, links by similarity."""
+    """Per member with a link: the documents it links to, the smallest connected class; with the first row, links by similarity."""
     for group in groups(batches, GROUP):
         sets = [np.frombuffer(x, np.uint64) for x in group.column("members").to_pylist()]
         shared = overlaps(sets)
@@ -152,8 +152,8 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         has = linked.any(axis=1)
         if not has.any():
             continue
-        rid = np.asarray(group.column("rid"))
-        root = rid.copy()
+        cid = np.asarray(group.column("cid"))
+        root = cid.copy()
         while True:
             best = np.minimum(root, np.where(linked, root[None, :], np.iinfo(np.int64).max).min(axis=1))
             if (best == root).all():
@@ -164,12 +164,12 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = np.flatnonzero(has)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(rid[at]),
+                pa.array(cid[at]),
                 pa.array(root[at]),
                 pa.array((linked @ np.asarray(group.column("copies")))[at]),
                 pa.array([seen.tolist(), *[None] * (len(at) - 1)], pa.list_(pa.int64())),
             ],
-            names=["rid", "root", "links", "seen"],
+            names=["cid", "root", "links", "seen"],
         )
 
 
@@ -192,47 +192,43 @@ def next_depth(seen: list[int], depth: int, target: float = TARGET) -> int:
 
 
 def _links_at(depth: int, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(rid, root, links, seen) of the links that nodes at ``depth`` show."""
-    nodes = classes.select("rid", "sig").mapInArrow(_nodes(depth), "node long, rid long")
+    """(cid, root, links, seen) of the links that nodes at ``depth`` show."""
+    nodes = classes.select("cid", "sig").mapInArrow(_nodes(depth), "node long, cid long")
     crowded = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = nodes.join(crowded, "node").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    block = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
+    block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     members = (
         members.withColumn("block", block)
         .withColumn("other", other)
-        .select("node", "rid", "block", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"))
+        .select("node", "cid", "block", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"))
     )
-    keyed = classes.select("rid", "copies", "sig").mapInArrow(_with_keys(depth), "rid long, copies long, keys binary")
-    schema = "node long, b1 int, b2 int, rid long, block int, copies long, keys binary"
-    dealt = members.join(keyed, "rid").select("node", "b1", "b2", "rid", "block", "copies", "keys")
+    keyed = classes.select("cid", "copies", "sig").mapInArrow(_with_keys(depth), "cid long, copies long, keys binary")
+    schema = "node long, b1 int, b2 int, cid long, block int, copies long, keys binary"
+    dealt = members.join(keyed, "cid").select("node", "b1", "b2", "cid", "block", "copies", "keys")
     needed = cut(dealt.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(_needed, schema))
-    ids = small(cut(needed.select("rid").distinct()), 1_000_000)  # texts are not shuffled for up to 8 MB of ids
-    sets = docs.join(ids, "rid", "left_semi").select("rid", "text").mapInArrow(_sets, "rid long, members binary")
-    sets = sets.dropDuplicates(["rid"])
+    wanted = cut(needed.select("cid").distinct().join(classes.select("cid", "k1", "k2", "first"), "cid"))
+    ids = small(wanted.select(F.col("first.rid").alias("rid"), F.col("first.th").alias("th")), 1_000_000)  # up to 16 MB
+    sets = docs.join(ids, ["rid", "th"], "left_semi").select("text").mapInArrow(_sets, "k1 long, k2 long, members binary")
+    sets = sets.dropDuplicates(["k1", "k2"]).join(wanted.select("cid", "k1", "k2"), ["k1", "k2"]).select("cid", "members")
     return cut(
-        needed.join(sets, "rid")
+        needed.join(sets, "cid")
         .repartition(*GROUP)
         .sortWithinPartitions(*GROUP)
-        .mapInArrow(_verified, "rid long, root long, links long, seen array<long>")
+        .mapInArrow(_verified, "cid long, root long, links long, seen array<long>")
     )
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: rid, class_id, n_links, same_text.
-
-    Two documents are linked if their sets of five-word shingles have a Jaccard similarity of at least 0.8. ``class_id`` is
-    the smallest id connected by links; ``n_links`` the number of other rows linked to this one, equal sets included;
-    ``same_set`` the smallest id with an equal set. A text of one to four words has its words as only shingle; null and empty
-    texts have none and are linked to nothing. ``rid`` is the doc_id, or for a row without one a negative hash of its text. Rows
-    repeating a doc_id count as copies of one document. An empty table gives no rows; other columns aren't looked at.
-    """
-    docs = docs.select(row_id(doc_id, text).alias("rid"), F.col(text).alias("text"))
-    signed = cut(docs.mapInArrow(_signed, "rid long, k1 long, k2 long, n long, sig binary"))
-    counted = signed.where("n > 0").groupBy("k1", "k2").agg(F.min("rid").alias("rid"), F.count(F.lit(1)).alias("copies"))
-    counted = cut(counted)
-    first = signed.select("rid", "k1", "k2", "sig").dropDuplicates(["rid", "k1", "k2"])
-    classes = cut(counted.join(first, ["k1", "k2", "rid"]).select("rid", "copies", "sig"))
+def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: rid, th (hash of the text), n_links, first and winner (rid and th of the smallest row with
+    an equal set, and of the smallest row of the group), class_key (the group's smallest set key). A row without words is alone, without key."""
+    docs = docs.select(row_id(doc_id, text).alias("rid"), F.xxhash64(F.col(text)).alias("th"), F.col(text).alias("text"))
+    signed = cut(docs.mapInArrow(_signed, "rid long, th long, k1 long, k2 long, n long, sig binary"))
+    row = F.struct("rid", "th")
+    counted = signed.where("n > 0").groupBy("k1", "k2").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("copies"))
+    counted = cut(counted.withColumn("cid", F.monotonically_increasing_id()))
+    sigs = signed.select("k1", "k2", row.alias("first"), "sig").dropDuplicates(["k1", "k2", "first"])
+    classes = cut(counted.join(sigs, ["k1", "k2", "first"]).select("cid", "k1", "k2", "first", "copies", "sig"))
     depth, done = DEPTH, False
     while not done:
         links = _links_at(depth, docs, classes)
@@ -240,31 +236,56 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         seen = {r["bin"]: r["n"] for r in bins.collect()}
         shorter = next_depth([seen.get(k, 0) for k in range(BINS)], depth)
         depth, done = shorter, shorter == depth
-    roots = components(links, "rid", "root").select(F.col("node").alias("same_set"), "root")
-    linked = links.groupBy(F.col("rid").alias("same_set")).agg(F.sum("links").alias("links"))
-    per_class = counted.select("k1", "k2", "copies", F.col("rid").alias("same_set"))
-    per_class = per_class.join(roots, "same_set", "left").join(linked, "same_set", "left")
-    return signed.select("rid", "k1", "k2", "n").withColumn("k1", F.when(F.col("n") > 0, F.col("k1"))).join(per_class, ["k1", "k2"], "left").select(
+    roots = components(links, "cid", "root").select(F.col("node").alias("cid"), "root")
+    linked = links.groupBy("cid").agg(F.sum("links").alias("links"))
+    tied = cut(roots.join(counted.select("cid", "k1", "first"), "cid"))  # classes with a link
+    groups_ = tied.groupBy("root").agg(F.min("first").alias("winner"), F.min("k1").alias("class_key"))
+    of_class = tied.select("cid", "root").join(groups_, "root").join(linked, "cid", "left").drop("root")
+    per_class = counted.join(of_class, "cid", "left").select(
+        "k1", "k2", "copies", "first", F.coalesce("winner", "first").alias("winner"), F.coalesce("class_key", "k1").alias("class_key"), "links"
+    )
+    rows = signed.select("rid", "th", "k1", "k2", "n").withColumn("k1", F.when(F.col("n") > 0, F.col("k1")))
+    return rows.join(per_class, ["k1", "k2"], "left").select(
         "rid",
-        F.coalesce("root", "same_set", "rid").alias("class_id"),
+        "th",
         (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-        F.coalesce("same_set", "rid").alias("same_set"),
+        F.coalesce("first", row).alias("first"),
+        F.coalesce("winner", row).alias("winner"),
+        "class_key",
+    )
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: rid, class_id, n_links, same_set, class_key.
+
+    Two documents are linked if their sets of five-word shingles have a Jaccard similarity of at least 0.8. ``class_id`` is
+    the smallest id connected by links; ``n_links`` the number of other rows linked to this one, equal sets included;
+    ``same_set`` the smallest id with an equal set. A text of one to four words has its words as only shingle; null and empty
+    texts have none and are linked to nothing. ``rid`` is the doc_id, or for a row without one a negative hash of its text. Rows
+    repeating a doc_id are rows of their own: two groups that both have it as their smallest share the ``class_id``, and differ in
+    ``class_key`` (null without words). An empty table gives no rows; other columns aren't looked at.
+    """
+    return grouped(docs, doc_id, text).select(
+        "rid", F.col("winner.rid").alias("class_id"), "n_links", F.col("first.rid").alias("same_set"), "class_key"
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The document of smallest id of each group of near copies, with the columns it came with.
+    """The row of smallest id (then text hash) of each group of near copies, with the columns it came with.
 
-    Of rows repeating a doc_id one stays. Documents without words stay. Only ids to drop, or to keep once, are joined to the texts.
+    Of rows that agree in id and text one stays; an id under several texts is as many rows. Rows without words stay. Only rows
+    to drop, or to keep once, are joined to the texts, by id and text hash.
     """
-    rid, role = fresh(docs, "_rid", "_role")
-    found = cut(near_duplicates(docs.select("doc_id", "text")).groupBy("rid", "class_id").agg(F.count(F.lit(1)).alias("n")))
-    roles = found.where("rid <> class_id OR n > 1").select(F.col("rid").alias(rid), (F.col("rid") == F.col("class_id")).alias(role))
-    marked = docs.withColumn(rid, row_id()).join(small(cut(roles), 1_000_000), rid, "left")
-    once = marked.where(F.col(role)).dropDuplicates([rid])
+    rid, th, role = fresh(docs, "_rid", "_th", "_role")
+    found = grouped(docs.select("doc_id", "text")).where("class_key IS NOT NULL")
+    found = found.groupBy("rid", "th").agg(F.min("winner").alias("winner"), F.count(F.lit(1)).alias("n"))
+    stays = F.struct("rid", "th") == F.col("winner")
+    roles = found.where(~stays | (F.col("n") > 1)).select(F.col("rid").alias(rid), F.col("th").alias(th), stays.alias(role))
+    marked = docs.withColumn(rid, row_id()).withColumn(th, F.xxhash64("text")).join(small(cut(roles), 1_000_000), [rid, th], "left")
+    once = marked.where(F.col(role)).dropDuplicates([rid, th])
     return marked.where(F.col(role).isNull()).unionByName(once).select(*docs.columns)
 
 
 def op5_lsh_forest(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return near_duplicates(docs).select(F.col("rid").alias("doc_id"), "class_id", "n_links", "same_set")
+    return near_duplicates(docs).select(F.col("rid").alias("doc_id"), "class_id", "n_links", "same_set", "class_key")
