@@ -25,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import fresh, row_id, small, stored, table
+from bazaarlake.llm.common import fresh, row_name, small, stored, table
 from bazaarlake.llm.wordsets import binaries, chunks, groups, mixed, overlaps, set_keys, word_hashes
 
-THRESHOLD, LEAST = 0.8, 5
+THRESHOLD, LEAST = 0.8, 1
 ALIKE = 4  # words of the smallest set that can be near another one (4 of 5 words); smaller ones match their equals only
 BITS, SEGMENT_BITS = 24, 16
 BLOCK = 1024
@@ -388,14 +388,15 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def later_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
-    """(rid, line) of lines that an earlier line matches, in order of rid and place.
+def later_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(rid, line) of lines that an earlier line matches, in order of rid and place; rid is the row's name, see ``row_name``.
 
-    Lines end at a line feed and are numbered from 0. Lines of fewer than ``least`` distinct words, or of none,
-    never match. Null and empty texts have no lines to match. A row without doc_id goes by a negative hash of its text, so before all others; rows repeating a
-    doc_id are one document, whose lines do not match themselves.
+    Lines end at a line feed and are numbered from 0. Lines without words never match. Null and empty texts have no lines to
+    match. A row without doc_id goes by a negative hash of its text, so before all others. Rows that agree in id and text are one
+    document, whose lines do not match themselves; of an id with several texts, those after the first come behind all other rows.
     """
-    docs = docs.select(row_id(doc_id, text).alias("rid"), F.col(text).alias("text"))
+    docs = row_name(docs.select(doc_id, text), "rid", doc_id, text).select("rid", F.col(text).alias("text"))
+    least = LEAST
     levels = _broadcast(docs.mapInArrow(_word_counts, SKETCH), _levels)
     rows = stored(docs.mapInArrow(_lines_and_counts(levels, least), f"{SKETCH}, {LINE}"))
     blocks = _broadcast(rows.where("segment IS NOT NULL").select("segment", "at", "n"), partial(_blocks, block=BLOCK))
@@ -408,7 +409,8 @@ def later_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     own = own.join(near.select(F.col("k").alias("k1"), F.lit(True).alias("near")).distinct(), "k1", "left")
     own = stored(own.where("n > 1 OR near"))  # sets that more than one line has, or that are near another one
     wanted = own.where("near").select("k1", "k2", "first.*")
-    texts = small(stored(wanted.groupBy("rid").agg(F.collect_set("line").alias("wanted"))), 1_000_000)  # few ids: texts stay put
+    texts = stored(wanted.groupBy("rid").agg(F.collect_set("line").alias("wanted")))
+    texts = small(texts, 1_000_000, F.size("wanted") + 2)  # few numbers: texts stay put
     words = docs.join(texts, "rid").select("rid", "text", "wanted").mapInArrow(_payload(levels, least), f"{LINE}, words binary")
     # Dealt by k1 once, for the grouping and for the join. A repeated id may bring a set's line in more than once.
     words = words.repartition("k1").groupBy("k1", "k2").agg(F.min(place).alias("p"), F.first("words").alias("words"))
@@ -420,22 +422,22 @@ def later_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     return lines.join(first, ["k1", "k2"]).where(place > F.col("first")).select("rid", "line").distinct()
 
 
-def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
+def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(rid, removed): the numbers of each document's removed lines, in order."""
-    return later_matches(docs, doc_id, text, least).groupBy("rid").agg(F.sort_array(F.collect_list("line")).alias("removed"))
+    return later_matches(docs, doc_id, text).groupBy("rid").agg(F.sort_array(F.collect_list("line")).alias("removed"))
 
 
-def dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` without the lines that earlier lines match; a document may end up empty. Null texts stay null."""
     rid, removed = fresh(docs, "_rid", "_removed")
-    gone = removed_lines(docs.select("doc_id", "text"), least=least).select(F.col("rid").alias(rid), F.col("removed").alias(removed))
+    gone = removed_lines(docs.select("doc_id", "text")).select(F.col("rid").alias(rid), F.col("removed").alias(removed))
     left = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains(F.col(removed), i))
-    joined = docs.withColumn(rid, row_id()).join(gone, rid, "left")
+    joined = row_name(docs, rid).join(gone, rid, "left")
     return joined.withColumn("text", F.when(F.col(removed).isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))).select(*docs.columns)
 
 
 def op2_line_prefix_join(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    slim = docs.select("doc_id", row_id().alias("rid"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
+    slim = row_name(docs, "rid").select("doc_id", "rid", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
     none = F.array().cast("array<int>")
-    return slim.join(removed_lines(docs, least=1), "rid", "left").select("doc_id", "n_lines", F.coalesce("removed", none).alias("removed_lines"))
+    return slim.join(removed_lines(docs), "rid", "left").select("doc_id", "n_lines", F.coalesce("removed", none).alias("removed_lines"))
