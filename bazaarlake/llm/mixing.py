@@ -8,6 +8,8 @@ number leaves the order as it is, so only their proportions need to be known.
 
 At scale: the ranks are never sorted per source. They are counted into a fixed number of bins per source, the bin
 in which the target is reached follows from the bins' sums, and only that bin (a 4096th of the source) is ordered.
+A row's random number is made of its id. Rows that repeat an id (or, without one, a text) get numbers of their own from
+their text, source and place among rows alike, so that no two rows share a rank and a target is met to within a document.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import WORD, cut, fresh, small
+from bazaarlake.llm.common import WORD, cut, fresh, occurrences, small
 
 BINS = 4096
 SEED = "mix-1"
@@ -58,16 +60,38 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (3, 1, 2), share:
     )
 
 
-def ranked(docs: DataFrame, doc_id: str, text: str, source: str, preference, seed: str, into: Sequence[str]) -> DataFrame:
-    """``docs`` with four columns named by ``into``: key of the source, size, rank in (0, 1) and its bin."""
-    key, size, z, bin_ = into
-    name = F.coalesce(F.col(doc_id).cast("string"), F.md5(F.coalesce(F.col(text), F.lit(""))))
-    bits = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), name)), 1, 13), 16, 10).cast("long")
-    u = (bits + 0.5) / F.lit(float(2**52))
+def named(docs: DataFrame, doc_id: str, text: str, source: str, into: Sequence[str]) -> DataFrame:
+    """``docs`` with three columns named by ``into``: key of the source, size, name of the row (its id, or a hash of its text)."""
+    key, size, name = into
     return (
         docs.withColumn(key, F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")))
         .withColumn(size, word_count(text))
-        .withColumn(z, u / (1 - u) / preference(F.col(size)))
+        .withColumn(name, F.coalesce(F.col(doc_id).cast("string"), text_hash(text)))
+    )
+
+
+def text_hash(text: str = "text") -> Column:
+    return F.md5(F.coalesce(F.col(text), F.lit("")))
+
+
+def repeated_names(rows: DataFrame, name: str) -> DataFrame:
+    return cut(rows.groupBy(name).agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select(name))
+
+
+def own_names(rows: DataFrame, name: str, alike: str, key: str) -> DataFrame:
+    """Rows of repeated names with names of their own: the name, what tells the rows apart, and a number among rows alike."""
+    place = fresh(rows, "_place")[0]
+    numbered = occurrences(rows, [name, alike, key], place)
+    return numbered.withColumn(name, F.concat(name, F.lit(":"), alike, F.lit(":"), key, F.lit("#"), place)).drop(place)
+
+
+def ranked(rows: DataFrame, preference, seed: str, size: str, name: str, into: Sequence[str]) -> DataFrame:
+    """``rows`` with two columns named by ``into``: rank in (0, 1) and its bin."""
+    z, bin_ = into
+    bits = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), name)), 1, 13), 16, 10).cast("long")
+    u = (bits + 0.5) / F.lit(float(2**52))
+    return (
+        rows.withColumn(z, u / (1 - u) / preference(F.col(size)))
         .withColumn(z, F.col(z) / (1 + F.col(z)))
         .withColumn(bin_, F.least(F.floor(F.col(z) * BINS), F.lit(BINS - 1)).cast("int"))
     )
@@ -129,6 +153,16 @@ def copies(size: str = "size", z: str = "_z", bin_: str = "_bin") -> Column:
     return F.when(F.col(size) > 0, F.col("_base") + F.when(extra, 1).otherwise(0)).otherwise(F.lit(0)).cast("int")
 
 
+def slim_ranks(rows: DataFrame, twice: DataFrame, preference, seed: str) -> DataFrame:
+    """Cut rows of RANK and others; ``_row`` is the name that a row shares with others, null if it is alone with it."""
+    alone = rows if twice.isEmpty() else rows.join(small(twice), "_name", "left_anti")
+    found = alone.withColumn("_row", F.lit(None).cast("string"))
+    if not twice.isEmpty():
+        shared = rows.join(small(twice), "_name", "left_semi").withColumn("_row", F.col("_name"))
+        found = found.unionByName(own_names(shared, "_name", "_alike", "_key").select(*found.columns))
+    return cut(ranked(found, preference, seed, "size", "_name", ("_z", "_bin")))
+
+
 def draw(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -143,13 +177,15 @@ def draw(
     """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken.
 
     Null texts and texts without words have size 0 and take nothing. A null source is a source of its own. Rows
-    repeating a doc_id share one random number and are taken or left together (a document without id goes by its
-    text). A sum that can't be met by whole documents ends at the last document that fits, plus the one further document whose
+    repeating a doc_id, or a text without one, have random numbers of their own and are drawn one by one. A sum that can't be met
+    by whole documents ends at the last document that fits, plus the one further document whose
     size is closest to the gap, if that makes the gap smaller. An empty table gives no rows. Reruns agree: the random number
-    is a function of seed and id. Other columns are not looked at.
+    is a function of seed and id, for repeated ids of text, source and number among rows alike, too. Other columns are not looked at.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source"))
-    slim = cut(ranked(docs, "doc_id", "text", "source", preference, seed, RANK).drop("text"))
+    rows = named(docs, "doc_id", "text", "source", ("_key", "size", "_name")).withColumn("_alike", text_hash())
+    rows = cut(rows.select("doc_id", "source", "_key", "size", "_name", "_alike"))
+    slim = slim_ranks(rows, repeated_names(rows, "_name"), preference, seed).drop("_name", "_alike", "_row")
     return (
         slim.join(small(sampling_plan(slim, weights, share, cap)), "_key")
         .withColumn("copies", copies())
@@ -167,20 +203,32 @@ def mix(
 ) -> DataFrame:
     """The rows of ``docs``, each as often as ``draw`` takes it, with the columns they came with.
 
-    Texts are not shuffled: a row's copies follow from its own rank and its source's line of the plan.
+    Texts are not shuffled: a row's copies follow from its own rank and its source's line of the plan. Only where names repeat,
+    one of the rows that agree in all columns is joined to the number of copies that these take, task by task.
     """
-    slim = ranked(docs.select("doc_id", "text", "source"), "doc_id", "text", "source", preference, seed, RANK)
-    plan = sampling_plan(cut(slim.select("source", *RANK)), weights, share, cap)
-    names = fresh(docs, "_mix_key", "_mix_size", "_mix_z", "_mix_bin", "_mix_n")
-    plan = plan.select(F.col("_key").alias(names[0]), "_base", "_edge", "_last", "_close")
-    taken = ranked(docs, "doc_id", "text", "source", preference, seed, names[:4]).select(F.struct(*docs.columns).alias("row"), *names[:4])
-    return (
-        taken.join(small(plan), names[0])
-        .withColumn(names[4], copies(*names[1:4]))
-        .where(F.col(names[4]) > 0)
-        .withColumn(names[4], F.explode(F.sequence(F.lit(1), F.col(names[4]))))
-        .select("row.*")
+    hashable = [f.name for f in docs.schema if not f.dataType.simpleString().count("map<")]
+    full = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col("doc_id").alias("_id"),
+        F.col("text").alias("_text"),
+        "source",
+        F.hex(F.xxhash64(*hashable)).alias("_alike"),
     )
+    full = named(full, "_id", "_text", "source", ("_key", "size", "_name"))
+    rows = cut(full.select("source", "_key", "size", "_name", "_alike"))
+    twice = repeated_names(rows, "_name")
+    slim = slim_ranks(rows, twice, preference, seed)
+    plan = small(sampling_plan(slim, weights, share, cap).select("_key", "_base", "_edge", "_last", "_close"))
+    taken = F.explode(F.sequence(F.lit(1), F.col("_n")))
+    alone = ranked(full.join(small(twice), "_name", "left_anti"), preference, seed, "size", "_name", ("_z", "_bin"))
+    out = alone.join(plan, "_key").withColumn("_n", copies()).where("_n > 0").select("row", taken).select("row.*")
+    if twice.isEmpty():
+        return out
+    theirs = slim.where("_row IS NOT NULL").join(plan, "_key").withColumn("_n", copies())
+    theirs = theirs.groupBy("_row", "_alike", "_key", F.spark_partition_id().alias("_task")).agg(F.sum("_n").cast("int").alias("_n")).where("_n > 0")
+    one = full.join(small(twice), "_name", "left_semi").groupBy("_name", "_alike", "_key").agg(F.first("row").alias("row"))
+    again = one.withColumnRenamed("_name", "_row").join(theirs, ["_row", "_alike", "_key"]).select("row", taken).select("row.*")
+    return out.unionByName(again)
 
 
 def op10_pareto_mixing(spark, sf_dir):
@@ -190,10 +238,13 @@ def op10_pareto_mixing(spark, sf_dir):
 
 OP10_SQL = """
 WITH d AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         (CAST('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 13) AS BIGINT) + 0.5::DOUBLE)
+  SELECT doc_id, source, size, (CAST('0x' || substr(md5('mix-1:' || CASE WHEN count(*) OVER (PARTITION BY name) = 1 THEN name
+           ELSE name || ':' || alike || ':' || coalesce('=' || source, '') || '#'
+                || row_number() OVER (PARTITION BY name, alike, source ORDER BY size) END), 1, 13) AS BIGINT) + 0.5::DOUBLE)
          / 4503599627370496::DOUBLE AS u
-  FROM documents),
+  FROM (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+               md5(coalesce(text, '')) AS alike, coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS name
+        FROM documents)),
 q AS (SELECT *, u / (1 - u) / CASE WHEN size >= 64 THEN 2::DOUBLE ELSE 1::DOUBLE END AS r FROM d),
 z AS (SELECT doc_id, source, size, r / (1 + r) AS z FROM q),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM z GROUP BY source),
