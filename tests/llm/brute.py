@@ -51,7 +51,7 @@ def near_duplicates(rows, threshold=0.8):
     return {i: (root[i], links[i]) for i in sets}
 
 
-def removed_lines(rows, threshold=0.8, least=5):
+def removed_lines(rows, threshold=0.8, least=1):
     """{id: numbers of lines that an earlier line matches} for (id, text) rows with unique ids."""
     first, sets, places = {}, {}, []
     for i, t in sorted(rows):

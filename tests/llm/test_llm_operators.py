@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from bazaarlake.llm import decontaminate, html_extract, line_dedup, mixing, ngram_join, quality_rules, registry, sharding, token_counts, url_filter, warc
+from bazaarlake.llm import common, decontaminate, html_extract, line_dedup, mixing, ngram_join, quality_rules, registry, sharding, token_counts, url_filter, warc
 from bazaarlake.llm.components import components
 from bazaarlake.session import work_dir
 
@@ -73,6 +73,32 @@ def test_near_duplicates_of_odd_rows(odd):
     assert ngram_join.near_duplicates(empty(odd)).count() == 0
 
 
+@pytest.mark.parametrize("block", [512, 2])
+def test_near_duplicates_of_repeated_ids(spark, monkeypatch, block):
+    """One id under unrelated texts, under texts near others, and copied under other ids."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rng = random.Random(8)
+    a, b, c, d = (prose(rng, 40) for _ in range(4))
+    rows = [(1, a), (5, b), (5, a + " more"), (7, a), (8, b), (9, c), (9, d), (10, c + " more"), (10, d + " more"), (None, c), (9, c)]
+    rows += [(11, prose(rng, 40)) for _ in range(5)] + [(11, None), (11, ""), (12, None)]
+    texts = sorted({t for _, t in rows if t})
+    group = {t: g for t, (g, _) in zip(texts, (brute.near_duplicates(list(enumerate(texts)))[i] for i in range(len(texts))), strict=True)}
+    members = defaultdict(list)
+    for i, t in rows:
+        if t:
+            members[group[t]].append(i)
+    df = spark.createDataFrame(rows, DOCS.split(", lang")[0]).repartition(4)
+    kept = [(r["doc_id"], r["text"]) for r in ngram_join.keep_one(df).collect()]
+    assert sorted(group[t] for _, t in kept if t) == sorted(members)
+    for i, t in kept:
+        if t:
+            assert i == (None if None in members[group[t]] else min(members[group[t]]))  # rows without id come first
+    assert sorted((i, t or "") for i, t in kept if not t) == [(11, ""), (11, ""), (12, "")]
+    found = ngram_join.near_duplicates(df).where("rid = 9").collect()
+    assert len(found) == 3 and len({r["class_key"] for r in found}) == 2
+    assert sorted(r["n_links"] for r in found) == [1, 3, 3]
+
+
 def test_recall_arithmetic():
     low = ngram_join.floor_depth()
     assert ngram_join.found_share(0.8, low) >= ngram_join.TARGET > ngram_join.found_share(0.8, low + 1)
@@ -134,8 +160,25 @@ def test_lines_of_repeated_ids(spark):
 def test_lines_of_odd_rows(spark, odd):
     cleaned = line_dedup.dedup(odd)
     assert cleaned.columns == odd.columns and cleaned.count() == odd.count()
-    df = spark.createDataFrame([(1, "a b c d e\nx"), (2, "x\ne d c b a\ny")], "doc_id long, text string")
-    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup(df).collect()} == {1: "a b c d e\nx", 2: "x\ny"}
+    df = spark.createDataFrame([(1, "a b c d e\nx"), (2, "z\ne d c b a\nx\ny")], "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup(df).collect()} == {1: "a b c d e\nx", 2: "z\ny"}
+
+
+def test_lines_of_one_id_with_several_texts(spark):
+    """Rows of one id lose their own lines only."""
+    rng = random.Random(20)
+    pool = [prose(rng, rng.randrange(1, 12)) for _ in range(60)]
+    rows = [(rng.randrange(8), "\n".join(rng.choices(pool, k=4))) for _ in range(60)]
+    rows += [(None, rows[0][1]), (None, "\n".join(pool[:3])), (9, None), (9, ""), rows[3], rows[3]]
+    rows += [(5, "one two three four five six\nunique words of the first text here"), (5, "totally different opening line of text\nother unique words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    named = [(r["name"], r["text"]) for r in common.row_name(df, "name").collect()]
+    assert len({n for n, _ in named}) == len(set(named)) == len(set(rows))
+    want = brute.removed_lines(sorted(set(named), key=lambda r: r[0]))
+    assert lines_of(df) == want
+    cleaned = sorted(str(r["text"]) for r in line_dedup.dedup(df).collect())
+    left = [t if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in want.get(n, [])) for n, t in named]
+    assert cleaned == sorted(map(str, left))
 
 
 def test_lines_of_few_words(spark):
@@ -148,7 +191,7 @@ def test_lines_of_few_words(spark):
     folder = work_dir(spark, "few-words")
     spark.createDataFrame(rows, "doc_id long, text string").repartition(6).write.parquet(f"{folder}/documents.parquet")
     got = {r["doc_id"]: r["removed_lines"] for r in line_dedup.op2_line_prefix_join(spark, folder).collect()}
-    want = brute.removed_lines(rows, least=1)
+    want = brute.removed_lines(rows)
     assert want[201] == [0, 1] and got == {i: want.get(i, []) for i, _ in rows}
 
 
@@ -294,6 +337,40 @@ def test_mix(docs, rows, odd):
     assert mixing.mix(odd).columns == odd.columns and mixing.draw(empty(odd)).count() == 0 and mixing.mix(empty(odd)).count() == 0
 
 
+def test_mix_of_repeated_rows(spark):
+    """Ids with several texts, rows alike, and many rows without id: every source is met to within a document."""
+    rng = random.Random(31)
+    rows = [(None, "same words again and again " * 20, "a")] * 300 + [(None, prose(rng, 30), "b") for _ in range(100)]
+    rows += [(5, prose(rng, rng.randrange(1, 60)), rng.choice(["a", "b", None])) for _ in range(200)]
+    rows += [(6, "x y z", "a")] * 40 + [(i, prose(rng, rng.randrange(5, 90)), rng.choice(["a", "b", "c"])) for i in range(100, 300)]
+    rows = [(i, t, "en", s, None) for i, t, s in rows]
+    df = spark.createDataFrame(rows, DOCS)
+    drawn = mixing.draw(df.repartition(7)).collect()
+    by = defaultdict(list)
+    for r in drawn:
+        by[r["source"]].append(r)
+        assert r["taken"] <= 2 * r["size"]
+    for own in by.values():
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= max(r["size"] for r in own) / 2
+    names = ("doc_id", "size", "source_size", "target", "taken", "copies")
+    found = Counter(tuple(r[n] for n in names) for r in drawn)
+    assert found == Counter(tuple(r[n] for n in names) for r in mixing.draw(df.coalesce(2)).collect())
+    import duckdb
+
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    con.execute(f"CREATE TABLE found AS {mixing.OP10_SQL}")
+    assert found == Counter(con.execute(f"SELECT {', '.join(names)} FROM found").fetchall())
+    mixed = mixing.mix(df.repartition(7)).collect()
+    words = Counter()
+    for r in mixed:
+        words[r["source"]] += len(brute.WORDS(r["text"]))
+    for s, own in by.items():
+        assert abs(words[s] - own[0]["target"]) <= max(r["size"] for r in own) / 2
+    given, taken = Counter(rows), Counter(tuple(r) for r in mixed)
+    assert all(n <= 2 * given[r] for r, n in taken.items())
+
+
 def test_shards(spark, docs, rows, odd):
     path = work_dir(spark, "map")
     df = sharding.assign(docs, sharding.balanced_map(docs, 4, path)).collect()
@@ -308,6 +385,31 @@ def test_shards(spark, docs, rows, odd):
     assert sharding.assign(empty(odd), store.read(2)).count() == 0
 
 
+@pytest.mark.parametrize("most", [1_000_000, 20])
+def test_shards_of_repeated_rows(spark, monkeypatch, most):
+    """Half of the rows are one text without id, a quarter one id: shards still have near equal bytes, and numbers without gaps."""
+    monkeypatch.setattr(sharding, "ROWS", most)
+    rng = random.Random(32)
+    rows = [(None, "one text without an id")] * 4000 + [(7, prose(rng, rng.randrange(1, 9))) for _ in range(1000)] + [(8, "alike")] * 1000
+    rows += [(i, prose(rng, 5)) for i in range(100, 2100)]
+    folder = work_dir(spark, "shards")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(7).write.parquet(f"{folder}/documents.parquet")
+    got = sharding.op3_virtual_slots(spark, folder, shards=8).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((i, len(t.encode()) + 16) for i, t in rows)
+    total, at = Counter(), defaultdict(list)
+    for r in got:
+        total[r["shard"]] += r["size"]
+        at[r["shard"]].append(r["slot"])
+    assert max(total.values()) - min(total.values()) <= 0.01 * sum(total.values()) / 8
+    assert len(at) == 8 and all(sorted(v) == list(range(len(v))) for v in at.values())
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    per = sharding.assign(docs, sharding.balanced_map(docs, 8, work_dir(spark, "map"))).groupBy("shard").agg(
+        F.sum(F.octet_length("text") + 16).alias("size"), F.count("*").alias("n"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("last")
+    ).collect()
+    assert max(r["size"] for r in per) - min(r["size"] for r in per) <= 0.01 * sum(r["size"] for r in per) / 8
+    assert all(r["n"] == r["slots"] == r["last"] + 1 for r in per)
+
+
 def test_rebalanced():
     rng = random.Random(8)
     loads = {s: (int(rng.paretovariate(1.5) * 100), 1) for s in range(3000)}
