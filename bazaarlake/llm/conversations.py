@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from bazaarlake.llm.common import stored, table
 
-ROWS = 128
+ROWS = 32
 REROLE, DELETE, INSERT, TRUNCATED = 2, 3, 2, 1
 _NEVER = 1 << 60
 _SPACE = " \t\n\x0b\f\r"
