@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 
 from bazaarlake import schema
 from bazaarlake.functions import calendar, money, text
+from bazaarlake.lakehouse import Lakehouse
 from bazaarlake.operators import mirror as mirrors
+from bazaarlake.operators.bucket_mirror import BucketMirror
+from bazaarlake.operators.key_bitmaps import KeyBitmaps
 from bazaarlake.operators.latest import latest_by_key
 from bazaarlake.operators.rollup import rollup_totals
 from bazaarlake.operators.series import explode_series, sample_k_per_group
 from bazaarlake.plans import flat, gold, kpi, profile, quality, refresh
-from bazaarlake.plans.silver import Silver
+from bazaarlake.plans.delta_kpi import DeltaKpis
+from bazaarlake.plans.silver import Silver, mirror_select
 from bazaarlake.session import work_dir
 from bazaarlake.sources import extract, seed, storage
 from bazaarlake.sources.tables import RetailSource
@@ -23,6 +27,8 @@ from bazaarlake.streaming import mirror_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+#: Buckets of the mirrors that registered queries make; a lakehouse picks them by the size of its largest table.
+SALES_BUCKETS = 8
 
 
 def source_query(build: Callable[[RetailSource], DataFrame]) -> Callable[[RetailSource], DataFrame]:
@@ -63,6 +69,7 @@ for _build in (
     kpi.kpi_open_balance,
     kpi.kpi_inventory,
     kpi.kpi_stock_distribution,
+    kpi.kpi_stock_levels,
 ):
     _register(_build.__name__, lambda src, b=_build: b(Silver(src)))
 for _build in (
@@ -106,6 +113,17 @@ for _build in (
     _register(_build.__name__, lambda src, b=_build: b(src.table))
 
 
+@source_query
+def fk_check_bitmaps(src):
+    """The foreign key check against bitmaps of the parents' keys, stored in two batches each."""
+    bitmaps = KeyBitmaps(src.spark, work_dir(src.spark, "bitmaps"))
+    for parent in dict.fromkeys(p for _, _, p in schema.FOREIGN_KEYS):
+        rows = src.table(parent)
+        bitmaps.add(parent, 1, rows.where("id % 2 = 0"))
+        bitmaps.add(parent, 2, rows.where("id % 2 <> 0"))
+    return quality.fk_check_by_bitmaps(src.table, bitmaps)
+
+
 @source_query
 def kpi_monthly_sales(src):
     return kpi.kpi_monthly_sales(gold.dim_date(src.spark, first="1995-01-01"), Silver(src))
@@ -128,6 +146,20 @@ def dim_date_iso(src):
     return kpi.calendar_activity(refresh.dim_date_iso(src.spark), paid)
 
 
+@source_query
+def dim_date_in_use(src):
+    """The calendar from the first to the last day of the years that sales fall in, with the sales lines dated on each day."""
+    sold = gold.fact_sales(Silver(src)).select("date_key")
+    return kpi.calendar_activity(gold.dim_date(src.spark, *kpi.years_of(sold)), sold)
+
+
+@source_query
+def dim_date_iso_in_use(src):
+    """The same of the full-refresh variant, with the payments of each day; none is left out."""
+    paid = gold.fact_payments(Silver(src)).select("date_key")
+    return kpi.calendar_activity(refresh.dim_date_iso(src.spark, *kpi.years_of(paid)), paid)
+
+
 @source_query
 def fact_sales_final(src):
     """The sales fact over a mirror log that holds corrections and a stale replay: newest version counts."""
@@ -186,6 +218,13 @@ def extract_lookback(src):
     return extract.in_utc(late)
 
 
+@source_query
+def extract_ranges(src):
+    """Orders read in ranges of a key that thins out towards its end; pieces are of about equal size all the same."""
+    orders = src.raw("orders").selectExpr("o_orderkey", "o_orderkey * o_orderkey AS far", "o_custkey", "o_orderstatus")
+    return extract.read_ranges(orders, extract.range_predicates(orders, "far", 6)).drop("piece")
+
+
 @source_query
 def raw_typed(src):
     return extract.raw_typed(src.table("stock_quant"))
@@ -205,10 +244,58 @@ def fact_layout(src):
     """The sales fact written in storage order and read back."""
     fact = gold.fact_sales(Silver(src))
     root = work_dir(src.spark, "fact_layout")
-    storage.publish(storage.sorted_layout(fact, gold.FACT_SORT["fact_sales"]), root)
+    storage.publish(fact, root, sort_key=gold.FACT_SORT["fact_sales"])
     return storage.read_published(src.spark, root)
 
 
+def _sales_mirrors(src: RetailSource, purpose: str) -> Lakehouse:
+    """Mirrors of orders, lines and payments as they are."""
+    house = Lakehouse(src.spark, work_dir(src.spark, purpose), buckets=SALES_BUCKETS)
+    for table in ("sale_order", "sale_order_line", "account_payment"):
+        house.mirror(table).load(src.table(table), lambda df, t=table: mirror_select(df, t))
+    return house
+
+
+@source_query
+def fact_sales_stored(src):
+    """The sales fact of mirrors that hold orders and their lines in equal buckets: joined bucket by bucket."""
+    return gold.fact_sales(_sales_mirrors(src, "fact_sales_stored").silver)
+
+
+def _corrected_kpis(src: RetailSource, purpose: str) -> tuple[Lakehouse, DeltaKpis]:
+    """KPI sums after a first refresh, a batch of corrections and a reconciliation that finds deleted lines."""
+    house = _sales_mirrors(src, purpose)
+    kpis = house.kpis()
+    kpis.refresh()
+    later = F.expr("write_date + interval 1 day")
+    orders, lines, paid = (Silver(src)(t) for t in ("sale_order", "sale_order_line", "account_payment"))
+    double = {c: (F.col(c) * 2).cast("decimal(18,4)") for c in ("price_subtotal", "price_total")}
+    wide = timedelta(days=20_000)  # the corrections are dated with the orders, not with today
+    house.mirror("sale_order").load(orders.where("id % 10 = 3").withColumns({"state": F.lit("cancel"), "write_date": later}), lookback=wide)
+    lines = lines.where("id % 10 = 5").withColumns(double | {"write_date": later}).unionByName(lines.where("id % 10 <> 5"))
+    house.mirror("sale_order_line").load(lines.where("id % 10 = 5"), lookback=wide)
+    house.mirror("account_payment").load(
+        paid.where("id % 10 = 7").withColumns({"amount": (F.col("amount") * 3).cast("decimal(18,4)"), "write_date": later}), lookback=wide
+    )
+    kpis.refresh()
+    house.mirror("sale_order_line").compact()
+    house.mirror("sale_order_line").reconcile(lines.where("id % 50 <> 11"))
+    kpis.refresh()
+    return house, kpis
+
+
+@source_query
+def kpi_monthly_sales_by_deltas(src):
+    _, kpis = _corrected_kpis(src, "kpi-month")
+    return kpis.monthly_sales(gold.dim_date(src.spark, first="1995-01-01"))
+
+
+@source_query
+def kpi_sales_by_governorate_by_deltas(src):
+    _, kpis = _corrected_kpis(src, "kpi-place")
+    return kpis.sales_by_governorate(gold.dim_customer(Silver(src)))
+
+
 @source_query
 def insert_if_absent(src):
     orders = src.order_headers.select("id", "name", "state")
@@ -307,6 +394,31 @@ def mirror_compact(src):
     return mirror.current()
 
 
+def _bucketed_feed(src: RetailSource, purpose: str) -> BucketMirror:
+    return BucketMirror(src.spark, work_dir(src.spark, purpose), FEED, ties=("event_id",), buckets=SALES_BUCKETS)
+
+
+@source_query
+def mirror_buckets(src):
+    """Daily runs into key buckets: compacted after the second, the last ones merged bucket by bucket."""
+    mirror = _bucketed_feed(src, "buckets")
+    for n, until in enumerate(RUNS):
+        mirror.load(_feed_until(src, until), extract.in_utc)
+        if n == 1:
+            mirror.compact()
+    return mirror.current()
+
+
+@source_query
+def mirror_reconcile(src):
+    """Users are gone from the source after a full load: reconciliation takes them out of the mirror."""
+    mirror = _bucketed_feed(src, "reconcile")
+    mirror.load(src.change_feed, extract.in_utc)
+    now = latest_by_key(extract.in_utc(src.change_feed.where("id % 7 <> 3")), ["id"], ["write_date", "event_id"])
+    mirror.reconcile(now)
+    return mirror.current()
+
+
 @source_query
 def mirror_full_refresh(src):
     return mirrors.full_refresh(extract.in_utc(src.table("stock_quant")), work_dir(src.spark, "refresh"))
@@ -349,6 +461,24 @@ def mirror_stream_query(spark: SparkSession, path: str) -> DataFrame:
 
 QUERIES["mirror_stream"] = mirror_stream_query
 
+
+def mirror_stream_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """The feed streamed into a bucketed mirror in micro-batches, compacted, and loaded once more in a batch."""
+    src = RetailSource(spark, path)
+    mirror = _bucketed_feed(src, "stream-buckets")
+
+    def select(events: DataFrame) -> DataFrame:
+        moment = F.col("ts").cast("timestamp").alias("write_date")
+        return events.select(F.col("user_id").alias("id"), moment, "event_id", "event_type", F.col("value").cast("decimal(18,4)").alias("value"))
+
+    mirror_stream.feed(spark, f"{path}/event[s].parquet", src.raw("events").schema, select, mirror, work_dir(spark, "stream-checkpoint"))
+    mirror.compact()
+    mirror.load(src.change_feed, extract.in_utc, lookback=timedelta(days=5))
+    return mirror.current()
+
+
+QUERIES["mirror_stream_buckets"] = mirror_stream_buckets
+
 # -- single expressions and operators ------------------------------------------------------------------------
 
 for _name, _column, _rule in (
@@ -451,6 +581,28 @@ def sample_k_query(src):
 QUERIES["sample_k_per_group"] = QUERIES.pop("sample_k_query")
 
 
+@source_query
+def sample_k_subset_query(src):
+    """The same with a subset of its own for every order: two orders that share one product need not share more."""
+    orders = src.purchase_headers.select(F.col("id").alias("order_id"), "partner_id")
+    offers = src.table("product_supplierinfo").select("partner_id", "product_id", "price")
+    root = work_dir(src.spark, "subset")
+    return sample_k_per_group(
+        mirrors.full_refresh(orders, f"{root}/orders"),
+        mirrors.full_refresh(offers, f"{root}/offers"),
+        group="partner_id",
+        k=F.expr("1 + order_id % 5"),
+        start=F.col("order_id"),
+        shuffle_key=F.expr("(product_id * 6151 + partner_id % 1000003) % 1000003"),
+        item_key="product_id",
+        request_key="order_id",
+        independent=True,
+    ).select("order_id", "partner_id", "pick", "product_id", "price")
+
+
+QUERIES["sample_k_subset"] = QUERIES.pop("sample_k_subset_query")
+
+
 @source_query
 def order_rollup(src):
     return rollup_totals(src.order_headers, src.table("sale_order_line")).select(

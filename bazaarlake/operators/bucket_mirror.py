@@ -117,8 +117,9 @@ class BucketMirror:
             attempt = self._attempt()
             touched = self._write(self._ranked(rows), attempt, state["batch"] + 1)
             streams = state["streams"] | ({epoch[0]: epoch[1]} if epoch else {})
-            if self._commit_batch(number, state, attempt, touched, max(state["mark"], seen.get["mark"] or 0), seen.get["rows"], streams):
-                return seen.get["rows"]
+            found = seen.get if touched else {"mark": None, "rows": 0}  # nothing is observed of a plan found to be empty
+            if self._commit_batch(number, state, attempt, touched, max(state["mark"], found["mark"] or 0), found["rows"], streams):
+                return found["rows"]
             drop_folder(self.spark, self._folder(attempt))
         raise CommitConflict(f"{self.table}: {ATTEMPTS} loads in a row were overtaken")
 
@@ -251,6 +252,19 @@ class BucketMirror:
             rows = rows.unionByName(self.as_of(old, folded).select(*names).join(held.where(~F.col(GONE)).select(*names), names, "left_anti"))
         return touched, rows.distinct()
 
+    def lookup(self, *values) -> DataFrame:
+        """Current rows of some values of ``by`` (a single column). Only the buckets that can hold them are opened."""
+        if len(self.by) != 1:
+            raise ValueError("a lookup needs one bucket column")
+        _, state = self.state()
+        if state["schema"] is None:
+            raise FileNotFoundError(f"{self.table} has never been loaded")
+        kind = T.StructType.fromJson(_json(state["schema"]))[self.by[0]].dataType
+        asked = self.spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField(self.by[0], kind)]))
+        buckets = {str(r["b"]) for r in asked.select(self._bucket().alias("b")).collect()}
+        rows = self._merged(state, buckets, in_place=False).where(F.col(self.by[0]).isin(*values))
+        return rows.where(~F.col(GONE)).drop(*_HIDDEN)
+
     # -- compaction -------------------------------------------------------------------------------------------
 
     def compact(self) -> int:
@@ -333,8 +347,9 @@ class BucketMirror:
             fixes = fixes.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(GONE)).alias("gone"))
             attempt = self._attempt()
             touched = self._write(fixes, attempt, state["batch"] + 1)
-            if self._commit_batch(number, state, attempt, touched, state["mark"], seen.get["rows"], kind="reconcile"):
-                return {"ranges": len(places), "rows": seen.get["rows"], "gone": seen.get["gone"]}
+            found = seen.get if touched else {"rows": 0, "gone": 0}
+            if self._commit_batch(number, state, attempt, touched, state["mark"], found["rows"], kind="reconcile"):
+                return {"ranges": len(places), "rows": found["rows"], "gone": found["gone"]}
             drop_folder(self.spark, self._folder(attempt))
         raise CommitConflict(f"{self.table}: {ATTEMPTS} reconciliations in a row were overtaken")
 

@@ -42,6 +42,32 @@ def number_within(
     )
 
 
+#: Steps of the pseudo-random numbers that subsets are drawn with: a prime modulus and two multipliers.
+SUBSET_MODULUS, SUBSET_SEED, SUBSET_STEP = 2_147_483_647, 48_271, 1_664_525
+
+
+def subset_number(seed: Column, step: Column) -> Column:
+    """A pseudo-random number below ``SUBSET_MODULUS`` for a request's ``step``-th choice, in plain arithmetic."""
+    mixed = F.pmod(F.pmod(seed, F.lit(SUBSET_MODULUS)) * SUBSET_SEED + step * SUBSET_STEP + 1, F.lit(SUBSET_MODULUS))
+    return F.pmod(mixed * SUBSET_SEED + F.floor(mixed / 65_536).cast("bigint"), F.lit(SUBSET_MODULUS))
+
+
+def random_subset(seed: Column, k: Column, m: Column) -> Column:
+    """An array of ``k`` different numbers from 0 to m - 1 in which every subset is as likely as any other.
+
+    Floyd's method: for j = m - k, ..., m - 1 draw a number up to j, and take j itself if that one is taken already. It needs k
+    draws and no further try, however close k is to m.
+    """
+    steps = F.when(k > 0, F.sequence(F.lit(0).cast("bigint"), k.cast("bigint") - 1)).otherwise(F.array().cast("array<bigint>"))
+
+    def add(chosen: Column, i: Column) -> Column:
+        j = m.cast("bigint") - k.cast("bigint") + i
+        drawn = F.pmod(subset_number(seed, i), j + 1)
+        return F.array_append(chosen, F.when(F.array_contains(chosen, drawn), j).otherwise(drawn))
+
+    return F.aggregate(steps, F.array().cast("array<bigint>"), add)
+
+
 def sample_k_per_group(
     requests: DataFrame,
     items: DataFrame,
@@ -54,11 +80,13 @@ def sample_k_per_group(
     buckets: int = 64,
     rows_per_copy: int = 1_000_000,
     rows_per_piece: int = 1_000_000,
+    independent: bool = False,
 ) -> DataFrame:
     """For each request, k distinct items of its group without building all request-item pairs.
 
     A group's items are put in a hashed order and numbered once; a request takes k neighbours on that ring,
-    beginning at ``start`` modulo the group's size. Groups with fewer than k items give all they have;
+    beginning at ``start`` modulo the group's size. With ``independent`` its items are a random subset of their own instead, see
+    ``random_subset``; ``start`` is its seed then. Groups with fewer than k items give all they have;
     requests of groups without items give no row. Both inputs are read several times and should be stored
     tables. Where many requests share few items, the items are copied
     once per ``rows_per_copy`` expected picks and the picks spread over the copies. A group is numbered in ``buckets``
@@ -72,11 +100,18 @@ def sample_k_per_group(
     )
 
     sized = skew_join(asked, groups, [(group, "_g")], [request_key]).drop("_g")
-    picks = explode_series(sized, F.least("_k", "_m").cast("int"), "pick")
+    taken = F.least("_k", "_m").cast("int")
+    if independent:
+        chosen = random_subset(F.col("_start"), taken, F.col("_m"))
+        picks = sized.select("*", F.posexplode(chosen).alias("_at", "_want"))
+        picks = picks.withColumn("pick", F.col("_at") + 1).withColumn("_want", F.col("_want") + 1)
+    else:
+        picks = explode_series(sized, taken, "pick")
+        picks = picks.withColumn("_want", F.pmod(F.col("_start") + F.col("pick") - 1, F.col("_m")) + 1)
     picks = picks.select(
         *requests.columns,
         "pick",
-        (F.pmod(F.col("_start") + F.col("pick") - 1, F.col("_m")) + 1).alias("_want"),
+        "_want",
         F.pmod(F.xxhash64(request_key, "pick"), F.col("_spread")).alias("_salt"),
     )
 

@@ -104,6 +104,16 @@ QUERIES |= {
                FROM silver_account_payment GROUP BY k) ON k = date_key""",
 }
 
+for _name, _calendar, _fact in (
+    ("dim_date_in_use", "SELECT * FROM calendar", "fact_sales"),
+    ("dim_date_iso_in_use", """SELECT date_key, date AS full_date, year, quarter, month, month_name, day, day_of_week, day_name,
+        day_of_week IN (6, 7) AS is_weekend FROM calendar""", "fact_payments"),
+):
+    QUERIES[_name] = f"""
+    SELECT d.*, coalesce(n, 0) AS fact_rows FROM ({_calendar}) d
+    LEFT JOIN (SELECT date_key AS k, count(*) AS n FROM {_fact} GROUP BY k) ON k = d.date_key
+    WHERE d.year BETWEEN (SELECT min(date_key) // 10000 FROM {_fact}) AND (SELECT max(date_key) // 10000 FROM {_fact})"""
+
 # The sales fact over a log with corrections (batch 2) and a stale replay (batch 3).
 _LINE_LOG = """(SELECT *, 1 AS batch FROM silver_sale_order_line
         UNION ALL SELECT * REPLACE (CAST(50 AS DECIMAL(9,4)) AS discount), 2 FROM silver_sale_order_line WHERE id % 10 = 5)"""
@@ -196,6 +206,8 @@ QUERIES |= {
            count(email) - count(DISTINCT lower(trim(email))) AS duplicate_emails FROM src_res_partner""",
 }
 
+QUERIES["fk_check_bitmaps"] = QUERIES["fk_check"]
+
 # Star-schema questions.
 QUERIES |= {
     "kpi_sales_by_governorate": f"""
@@ -231,12 +243,39 @@ QUERIES |= {
     FROM fact_sales f LEFT JOIN calendar d ON d.date_key = f.date_key GROUP BY ALL""",
 }
 
+QUERIES["kpi_stock_levels"] = f"""
+    SELECT governorate, location_code, category,
+           CAST(grouping(governorate) + grouping(location_code) + grouping(category) AS INTEGER) AS level, count(*) AS groups,
+           {_sum('on_hand')} AS on_hand, {_sum('inventory_value')} AS inventory_value
+    FROM ({QUERIES['kpi_stock_distribution']}) GROUP BY ROLLUP (governorate, location_code, category)"""
+
+# The KPIs again over corrected orders, lines and payments, without the lines that are gone.
+_CORRECTED = {
+    "fact_sales": """(SELECT * REPLACE (CASE WHEN order_id % 10 = 3 THEN 'cancel' ELSE order_state END AS order_state,
+                                  CASE WHEN sale_line_key % 10 = 5 THEN amount_untaxed * 2 ELSE amount_untaxed END AS amount_untaxed,
+                                  CASE WHEN sale_line_key % 10 = 5 THEN amount_total * 2 ELSE amount_total END AS amount_total)
+                FROM fact_sales WHERE sale_line_key % 50 <> 11) AS corrected_sales""",
+    "fact_payments": """(SELECT * REPLACE (CASE WHEN payment_key % 10 = 7 THEN amount * 3 ELSE amount END AS amount)
+                   FROM fact_payments) AS corrected_payments""",
+}
+
+
+def _over_corrected(sql: str) -> str:
+    for table, rows in _CORRECTED.items():
+        sql = sql.replace(f"FROM {table} f ", f"FROM {rows.rpartition(' AS ')[0]} f ").replace(f"FROM {table}\n", f"FROM {rows}\n")
+    return sql
+
+
+QUERIES["kpi_monthly_sales_by_deltas"] = _over_corrected(QUERIES["kpi_monthly_sales"])
+QUERIES["kpi_sales_by_governorate_by_deltas"] = _over_corrected(QUERIES["kpi_sales_by_governorate"])
+
 # Extracts and stored tables.
 QUERIES |= {
     "extract_full": "SELECT * FROM src_account_payment",
     "extract_inferred": "SELECT * FROM orders",
     "extract_incremental": "SELECT * FROM feed WHERE write_date > TIMESTAMP '2024-01-15 12:00:00'",
     "extract_lookback": "SELECT * FROM feed WHERE write_date > TIMESTAMP '2024-01-13 12:00:00'",
+    "extract_ranges": "SELECT o_orderkey, o_orderkey * o_orderkey AS far, o_custkey, o_orderstatus FROM orders",
     "raw_typed": raw_select("stock_quant"),
     "bronze_conform": """
     SELECT * REPLACE (CASE WHEN id % 6 = 0 THEN '' ELSE name END AS name,
@@ -244,6 +283,7 @@ QUERIES |= {
                       CASE WHEN id % 6 = 0 THEN false ELSE is_company END AS is_company,
                       CASE WHEN id % 6 = 0 THEN NULL ELSE partner_type END AS partner_type) FROM bronze_res_partner""",
     "fact_layout": "SELECT * FROM fact_sales",
+    "fact_sales_stored": "SELECT * FROM fact_sales",
     "insert_if_absent": """
     SELECT id, CASE WHEN id % 3 = 0 THEN name || '-new' ELSE name END AS name, state FROM src_order_headers""",
     "seed_dims": """
@@ -266,6 +306,11 @@ QUERIES |= {
     "mirror_replay": _FEED_LATEST,
     "mirror_compact": _FEED_LATEST,
     "mirror_stream": _FEED_LATEST,
+    "mirror_buckets": _FEED_LATEST,
+    "mirror_stream_buckets": _FEED_LATEST,
+    "mirror_reconcile": f"""
+    SELECT l.* FROM ({_FEED_LATEST}) l
+    WHERE NOT EXISTS (SELECT 1 FROM feed gone WHERE gone.id % 7 = 3 AND gone.id = l.id)""",
     "mirror_backfill": "SELECT * FROM feed",
     "mirror_full_refresh": "SELECT * FROM src_stock_quant",
     "checkpoint_log": " UNION ALL ".join(
@@ -285,6 +330,26 @@ QUERIES |= {
 }
 
 # Single expressions and operators.
+_SUBSET_STEP = "(product_id * 6151 + partner_id % 1000003) % 1000003"
+
+
+def _subset_draw(i: int) -> str:
+    """The i-th choice of a request: a number up to m - k + i, or that itself if the number is taken."""
+    taken = f"list_contains([{', '.join(f'c{j}' for j in range(i))}], drawn)" if i else "false"
+    mixed = f"((order_id % 2147483647) * 48271 + {i * 1664525 + 1}) % 2147483647"
+    return f"""(SELECT *, CASE WHEN {taken} THEN m - k + {i} ELSE drawn END AS c{i}
+        FROM (SELECT * EXCLUDE (drawn), (mixed * 48271 + mixed // 65536) % 2147483647 % greatest(m - k + {i + 1}, 1) AS drawn
+              FROM (SELECT * EXCLUDE (mixed), {mixed} AS mixed FROM <rows>)))"""
+
+
+def _subset_draws() -> str:
+    sql = """(SELECT id AS order_id, partner_id, m, least(1 + id % 5, m) AS k, 0::BIGINT AS mixed, 0::BIGINT AS drawn
+        FROM src_purchase_order JOIN (SELECT partner_id, count(*) AS m FROM src_product_supplierinfo GROUP BY partner_id) USING (partner_id))"""
+    for i in range(5):
+        sql = _subset_draw(i).replace("<rows>", sql)
+    return sql
+
+
 _STEP = "((product_id % 1000003) * 7919 + (partner_id % 1000003) * 104729) % 1000003"
 QUERIES |= {
     **{f"clean_{c}": f"SELECT id, {c} AS raw, {rule} AS cleaned FROM src_res_partner" for c, rule in CLEAN.items()},
@@ -314,6 +379,12 @@ QUERIES |= {
     JOIN (SELECT *, row_number() OVER (PARTITION BY partner_id ORDER BY {_STEP} % 64, {_STEP}, product_id) AS pos
           FROM src_product_supplierinfo) i
       ON i.partner_id = r.partner_id AND i.pos = (r.start + r.pick - 1) % r.m + 1""",
+    "sample_k_subset": f"""
+    SELECT order_id, r.partner_id, CAST(pick AS INTEGER) AS pick, i.product_id, i.price
+    FROM (SELECT order_id, partner_id, unnest(generate_series(1, k)) AS pick, [c0, c1, c2, c3, c4] AS chosen FROM {_subset_draws()}) r
+    JOIN (SELECT *, row_number() OVER (PARTITION BY partner_id ORDER BY {_SUBSET_STEP} % 64, {_SUBSET_STEP}, product_id) AS pos
+          FROM src_product_supplierinfo) i
+      ON i.partner_id = r.partner_id AND i.pos = r.chosen[r.pick] + 1""",
     "order_rollup": "SELECT id, amount_untaxed, amount_tax, amount_total FROM src_sale_order",
     "purchase_rollup": "SELECT id, amount_untaxed, amount_tax, amount_total FROM src_purchase_order",
 }

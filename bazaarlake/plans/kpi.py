@@ -6,6 +6,8 @@ large share of the rows is reduced by partial sums on the map side and the joins
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,6 +114,20 @@ def kpi_stock_distribution(silver: Silver) -> DataFrame:
     )
 
 
+def kpi_stock_levels(silver: Silver) -> DataFrame:
+    """Stock by governorate, location and category with the totals of every level above, in one pass over the sums per category.
+
+    ``level`` is the number of columns rolled up (3: everything); rolled-up columns are NULL.
+    """
+    lots = kpi_stock_distribution(silver)
+    return lots.rollup("governorate", "location_code", "category").agg(
+        (F.grouping("governorate") + F.grouping("location_code") + F.grouping("category")).cast("int").alias("level"),
+        F.count(F.lit(1)).alias("groups"),
+        _sum("on_hand").alias("on_hand"),
+        _sum("inventory_value").alias("inventory_value"),
+    )
+
+
 def daily_sales(sales: DataFrame) -> DataFrame:
     return sales.groupBy("date_key").agg(
         F.count(F.lit(1)).alias("lines"),
@@ -149,6 +165,13 @@ def monthly_sales(calendar: DataFrame, daily: DataFrame) -> DataFrame:
     )
 
 
+def years_of(fact: DataFrame) -> tuple[str, str]:
+    """The first day of the first year and the last day of the last year of a fact's ``date_key``; this year if it has no rows."""
+    found = fact.agg(*[(f(F.col("date_key")) / 10000).cast("int").alias(f.__name__) for f in (F.min, F.max)]).first()
+    this = date.today().year
+    return f"{found['min'] or this:04d}-01-01", f"{found['max'] or this:04d}-12-31"
+
+
 def calendar_activity(calendar: DataFrame, fact: DataFrame) -> DataFrame:
     """Every calendar day with the fact rows dated on it, 0 included."""
     used = fact.groupBy("date_key").agg(F.count(F.lit(1)).alias("fact_rows"))

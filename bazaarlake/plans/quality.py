@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake import schema
+from bazaarlake.operators.key_bitmaps import KeyBitmaps, has_bit
 from bazaarlake.operators.rollup import line_totals, union_all
 
 Tables = Callable[[str], DataFrame]
@@ -30,12 +31,8 @@ def _keys_of_rules(tables: Tables, by_table: dict[str, list]) -> DataFrame:
     return union_all(tables(t).select(F.explode(F.array(*keys)).alias("k")).select("k.*") for t, keys in by_table.items())
 
 
-def _missing_rows(tables: Tables, keys: list, null_is_missing: bool = False) -> DataFrame:
-    """Child rows without a parent per (child, key column, parent).
-
-    Each child and each parent is read once. Rows are counted per rule and key before they meet the parents, so a key is
-    looked up once however often it occurs.
-    """
+def _asked_keys(tables: Tables, keys: list, null_is_missing: bool = False) -> tuple[list[str], DataFrame]:
+    """The parents, and child rows counted per rule and key: a key is looked up once however often it occurs."""
     parents = list(dict.fromkeys(parent for _, _, parent in keys))
     by_child: dict[str, list] = {}
     for i, (child, fk, parent) in enumerate(keys):
@@ -45,7 +42,12 @@ def _missing_rows(tables: Tables, keys: list, null_is_missing: bool = False) ->
     asked = _keys_of_rules(tables, by_child)
     if not null_is_missing:
         asked = asked.where("_key IS NOT NULL")
-    asked = asked.groupBy("_rule", "_parent", "_key").agg(F.count(F.lit(1)).alias("rows"))
+    return parents, asked.groupBy("_rule", "_parent", "_key").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _missing_rows(tables: Tables, keys: list, null_is_missing: bool = False) -> DataFrame:
+    """Child rows without a parent per (child, key column, parent). Each child and each parent is read once."""
+    parents, asked = _asked_keys(tables, keys, null_is_missing)
     known = union_all(tables(p).select(F.lit(i).alias("_parent"), F.col("id").cast("bigint").alias("_key")) for i, p in enumerate(parents))
     return asked.join(known, ["_parent", "_key"], "left_anti").select("_rule", "rows")
 
@@ -56,6 +58,16 @@ def fk_check(tables: Tables, keys=schema.FOREIGN_KEYS) -> DataFrame:
     return _per_rule(list(keys), _missing_rows(tables, list(keys)), labels)
 
 
+def fk_check_by_bitmaps(tables: Tables, bitmaps: KeyBitmaps, keys=schema.FOREIGN_KEYS) -> DataFrame:
+    """``fk_check`` against stored key sets: children are read, parents are not."""
+    parents, asked = _asked_keys(tables, list(keys))
+    held = union_all(bitmaps.bits(p).select(F.lit(i).alias("_p"), "bucket", "bits") for i, p in enumerate(parents))
+    found = asked.join(held, (F.col("_parent") == F.col("_p")) & (F.bitmap_bucket_number("_key") == F.col("bucket")), "left")
+    missing = found.where(~has_bit(F.col("bits"), F.bitmap_bit_position("_key"))).select("_rule", "rows")
+    labels = {"table_name": lambda r: r[0], "column_name": lambda r: r[1], "parent": lambda r: r[2]}
+    return _per_rule(list(keys), missing, labels)
+
+
 # The five orphan checks and their names.
 ORPHANS = (
     ("sale_orders_without_partner", "sale_order", "partner_id", "res_partner"),
@@ -75,14 +87,27 @@ def orphan_check(tables: Tables) -> DataFrame:
 def unique_check(tables: Tables, keys=schema.UNIQUE_KEYS) -> DataFrame:
     """Rows beyond the first of each key; keys with a NULL part are not compared. Each table is read once.
 
-    Keys are compared as arrays of strings; the cast keeps different ids, names and codes apart.
+    A key's numbers and texts have columns of their own type, as many as the widest key needs; ids travel as eight bytes.
     """
+    split = []
+    for table, key in keys:
+        whole_numbers = {c.name for c in schema.columns(table) if c.type in ("int", "bigint")}
+        split.append(([c for c in key if c in whole_numbers], [c for c in key if c not in whole_numbers]))
+    kinds = [("_n", "bigint", max(len(n) for n, _ in split)), ("_s", "string", max(len(s) for _, s in split))]
+    places = [f"{kind}{j}" for kind, _, width in kinds for j in range(width)]
     by_table: dict[str, list] = {}
-    for i, (table, key) in enumerate(keys):
-        parts = F.array(*[F.col(c).cast("string") for c in key])
-        by_table.setdefault(table, []).append(F.struct(F.lit(i).alias("_rule"), parts.alias("_key")))
-    whole = _keys_of_rules(tables, by_table).where(~F.exists("_key", lambda x: x.isNull()))
-    groups = whole.groupBy("_rule", "_key").agg((F.count(F.lit(1)) - 1).alias("rows")).where("rows > 0")
+    for i, ((table, key), parts) in enumerate(zip(keys, split, strict=True)):
+        slots = [
+            (F.col(own[j]) if j < len(own) else F.lit(None)).cast(type_).alias(f"{kind}{j}")
+            for own, (kind, type_, width) in zip(parts, kinds, strict=True)
+            for j in range(width)
+        ]
+        known = F.lit(True)
+        for c in key:
+            known = known & F.col(c).isNotNull()
+        by_table.setdefault(table, []).append(F.when(known, F.struct(F.lit(i).alias("_rule"), *slots)))
+    whole = _keys_of_rules(tables, by_table).where("_rule IS NOT NULL")
+    groups = whole.groupBy("_rule", *places).agg((F.count(F.lit(1)) - 1).alias("rows")).where("rows > 0")
     labels = {"table_name": lambda r: r[0], "key_columns": lambda r: ", ".join(r[1])}
     return _per_rule(list(keys), groups, labels)
 

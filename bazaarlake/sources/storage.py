@@ -56,8 +56,8 @@ def drop_children(spark: SparkSession, path: str, label: str, up_to: int) -> Non
             fs.delete(folder, True)
 
 
-def publish(df: DataFrame, root: str, keep: int = 2) -> str:
-    """Full rebuild: write the next version folder. Readers switch to it only once it is committed, so they
+def publish(df: DataFrame, root: str, keep: int = 2, sort_key: Sequence[str] = ()) -> str:
+    """Full rebuild, in storage order if a sort key is given: write the next version folder. Readers switch to it only once it is committed, so they
     see the old table or the new one, never an empty or half-written one; a failed write leaves the old one.
 
     The last ``keep`` versions stay, so that a reader of the previous one can finish; older ones are deleted.
@@ -66,7 +66,10 @@ def publish(df: DataFrame, root: str, keep: int = 2) -> str:
     versions = numbered_children(spark, root, "version")
     number = (versions[-1] if versions else 0) + 1
     path = f"{root}/version={number}"
-    df.write.mode("overwrite").parquet(path)
+    if sort_key:
+        write_sorted(df, path, sort_key)
+    else:
+        df.write.mode("overwrite").parquet(path)
     drop_children(spark, root, "version", number - keep)
     return path
 
@@ -106,3 +109,15 @@ def sorted_layout(df: DataFrame, sort_key: Sequence[str], partitions: int | None
     cols = [F.col(c) for c in sort_key]
     ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
     return ranged.sortWithinPartitions(*cols)
+
+
+def write_sorted(df: DataFrame, path: str, sort_key: Sequence[str]) -> None:
+    """Write ``df`` in storage order to ``path``.
+
+    Cutting ranges takes a sample of the rows, for which a join would be made once more; the rows are stored as they come first.
+    """
+    parent, _, name = path.rpartition("/")
+    draft = f"{parent}/_unsorted-{name}"
+    df.write.mode("overwrite").parquet(draft)
+    sorted_layout(df.sparkSession.read.schema(df.schema).parquet(draft), sort_key).write.mode("overwrite").parquet(path)
+    drop_folder(df.sparkSession, draft)

@@ -337,15 +337,18 @@ class RetailSource:
     @cached_property
     def _line_keys(self) -> DataFrame:
         """Lines with a row id. (order, line number) repeats, so the id is the row's place in storage, like a
-        serial column: the place in its file, files numbered by path. The files' numbers are a broadcast of one short row
-        per file, made from the same metadata column that the lines are matched on, so no line is lost."""
+        serial column: the place in its file, files numbered by path. One file needs no numbers. The numbers of several are a
+        row per file, made from the same metadata column that the lines are matched on, so no line is lost; they
+        are broadcast where the planner finds them small enough."""
         lines = self.raw("lineitem")
+        if len(lines.inputFiles()) == 1:
+            return lines.select((F.col("_metadata.row_index") + 1).alias("id"), *lines.columns)
         path = F.col("_metadata.file_path")
         files = lines.select(path.alias("_file")).distinct()
         files = files.select("_file", (F.row_number().over(Window.orderBy("_file")) - 1).alias("_file_no"))
         return (
             lines.select((F.col("_metadata.row_index") + 1).alias("_place"), path.alias("_at_file"), "*")
-            .join(F.broadcast(files), F.col("_at_file") == F.col("_file"))
+            .join(files, F.col("_at_file") == F.col("_file"))
             .select((F.col("_file_no") * FILE_STRIDE + F.col("_place")).alias("id"), *lines.columns)
         )
 

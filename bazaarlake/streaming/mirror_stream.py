@@ -7,8 +7,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaarlake.operators.bucket_mirror import BucketMirror
 from bazaarlake.operators.latest import latest_by_key
 
+#: Landed files that a micro-batch takes at most.
+FILES_PER_BATCH = 1000
+
 
 def pull_available(
     spark: SparkSession,
@@ -42,3 +46,33 @@ def current(spark: SparkSession, root: str, key: Sequence[str], cursor: str, tie
     """One row per key: newest cursor, then last loaded."""
     log = spark.read.parquet(f"{root}/log")
     return latest_by_key(log, key, [cursor, "loaded_at", *ties]).drop("loaded_at")
+
+
+def feed(
+    spark: SparkSession,
+    landing: str,
+    schema,
+    select: Callable[[DataFrame], DataFrame],
+    mirror: BucketMirror,
+    checkpoint: str,
+    stream: str = "landing",
+    files_per_batch: int = FILES_PER_BATCH,
+) -> None:
+    """Append every landed file not seen yet to a mirror that batch loads and compactions may use at the same time, then stop.
+
+    The backlog is taken in micro-batches of bounded size. The mirror's commit holds the last epoch of the stream, so a micro-batch
+    that is repeated after a failure, before or after its commit, is in the mirror once.
+    """
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+
+    def append(batch: DataFrame, epoch: int) -> None:
+        mirror.append(batch, stream, epoch)
+
+    query = (
+        select(reader.parquet(landing))
+        .writeStream.foreachBatch(append)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()

@@ -203,3 +203,13 @@ def test_the_current_rows_equal_a_recount_of_all_versions(spark):
         batch = batch.withColumn("batch", F.lit(n))
         versions = batch if versions is None else versions.unionByName(batch)
     assert same_rows(mirror.current(), latest_by_key(versions, ["id"], ["write_date", "batch", "v"]).drop("batch"))
+
+
+def test_a_lookup_opens_the_buckets_of_its_keys_only(spark):
+    mirror = fresh(spark, buckets=16)
+    mirror.load(rows(spark, *[(i, at(1), "a") for i in range(400)]))
+    mirror.load(rows(spark, (5, at(2), "b")))
+    found = mirror.lookup(5, 77, 1000)
+    assert held(found) == {5: "b", 77: "a"}
+    files = spark.read.parquet(mirror._data).select("_metadata.file_path").distinct().count()
+    assert files == 17 and len(found.inputFiles()) <= 4

@@ -23,7 +23,7 @@ class Changed:
 
 
 def test_mirror_then_star_then_change(spark, source):
-    house = Lakehouse(spark, work_dir(spark, "house"))
+    house = Lakehouse(spark, work_dir(spark, "house"), buckets=4)
     loaded = house.load_silver(source)
     assert loaded["sale_order_line"] == source.table("sale_order_line").count()
     house.build_gold()

@@ -1,5 +1,8 @@
 """Skew-aware operators against their plain counterparts, with a key holding a third or more of the rows."""
 
+import itertools
+from collections import Counter
+
 import pytest
 from conftest import plan, same_rows
 from pyspark.sql import Window
@@ -8,7 +11,7 @@ from pyspark.sql import functions as F
 from bazaarlake.operators.joins import hot_keys, missing_parents, skew_join
 from bazaarlake.operators.latest import latest_by_key, merge_on_read
 from bazaarlake.operators.rollup import rollup_totals
-from bazaarlake.operators.series import explode_series, number_within, sample_k_per_group
+from bazaarlake.operators.series import explode_series, number_within, random_subset, sample_k_per_group
 
 # Makes keys hot at test size.
 EAGER = dict(probe=2, rows_per_copy=100)
@@ -168,3 +171,28 @@ def test_rollup_keeps_headers_without_lines(spark):
     )
     got = {r["id"]: tuple(int(r[c]) for c in ("amount_untaxed", "amount_tax", "amount_total")) for r in rollup_totals(headers, lines).collect()}
     assert got == {1: (30, 4, 34), 2: (1, 1, 2), 3: (5, 5, 5)}
+
+
+def test_random_subsets_are_independent(spark):
+    """All subsets are about equally likely, and pairs of items meet as often as chance says."""
+    drawn = spark.range(30_000).select(random_subset(F.col("id") * 37 + 5, F.lit(2), F.lit(6)).alias("s"))
+    pairs = drawn.select(F.array_sort("s").alias("s")).groupBy("s").count().collect()
+    assert len(pairs) == 15 and all(len(set(r["s"])) == 2 and 0 <= r["s"][0] and r["s"][1] < 6 for r in pairs)
+    assert all(abs(r["count"] - 2000) < 200 for r in pairs)
+    whole = spark.range(50).select(random_subset(F.col("id"), F.lit(4), F.lit(4)).alias("s"), random_subset(F.col("id"), F.lit(0), F.lit(4)).alias("none"))
+    assert all(sorted(r["s"]) == [0, 1, 2, 3] and r["none"] == [] for r in whole.collect())
+
+
+def test_sampled_subsets_hold_different_items_of_the_group(spark):
+    requests = spark.range(4000).selectExpr("id AS order_id", "id % 3 AS g")
+    items = spark.range(60).selectExpr("id AS item", "id % 2 AS g")
+    got = sample_k_per_group(
+        requests, items, "g", k=F.lit(3), start=F.col("order_id"), shuffle_key=F.expr("(item * 7 + 3) % 101"), item_key="item", request_key="order_id", independent=True
+    )
+    sets = got.groupBy("order_id", "g").agg(F.collect_set("item").alias("s"), F.count("*").alias("n")).collect()
+    assert len(sets) == sum(i % 3 < 2 for i in range(4000))
+    assert all(r["n"] == len(r["s"]) == 3 and {x % 2 for x in r["s"]} == {r["g"]} for r in sets)
+    pairs = Counter(p for r in sets for p in itertools.combinations(sorted(r["s"]), 2))
+    assert len(pairs) == 2 * 30 * 29 // 2  # every pair of a group meets; neighbours on a ring would not
+    mean = sum(pairs.values()) / len(pairs)
+    assert max(pairs.values()) < 3 * mean
