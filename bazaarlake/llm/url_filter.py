@@ -15,6 +15,7 @@ tells apart.
 
 from __future__ import annotations
 
+import math
 import string
 from collections.abc import Sequence
 
@@ -110,7 +111,7 @@ def judge(pages: DataFrame, url: str = "url", html: str = "html", rules: Sequenc
     """``pages`` with host, path, rule and verdict.
 
     A null URL or one without ``://`` has an empty host and path, fits no rule and is allowed. Null or empty html has
-    no links. Pages are judged row by row, so repeated rows count again as seeds and get equal verdicts. A tie of trust and
+    no links; relative addresses name no host and are no links, those in comments and scripts count like any other. Pages are judged row by row, so repeated rows count again as seeds and get equal verdicts. A tie of trust and
     distrust allows. Columns of ``pages`` named like an added one are kept as ``in_<name>``; an empty table gives no rows.
     """
     pages = clear_names(pages, ("host", "path", "rule", "verdict"))
@@ -148,16 +149,11 @@ def _op1_sql() -> str:
     by_length = sorted(RULES, key=lambda r: -len(r[1]))
     rule = " ".join(f"WHEN {fits(r)} THEN '{r}'" for _, r in by_length)
     verdict = " ".join(f"WHEN rule = '{r}' THEN '{v}'" for v, r in by_length)
-    steps = [
-        f"""t{k + 1} AS (SELECT host, sum(trust) AS trust, sum(distrust) AS distrust FROM (
-              SELECT host, trust, distrust FROM t0
-              UNION ALL SELECT dst, {DAMPING} * trust * forth, 0 FROM sh JOIN t{k} ON src = host
-              UNION ALL SELECT src, 0, {DAMPING} * distrust * back FROM sh JOIN t{k} ON dst = host) GROUP BY host),"""
-        for k in range(STEPS)
-    ]
+    # After so many steps less than 1e-10 of the seeds' mass is still to come.
+    steps = math.ceil(math.log(1e-10) / math.log(DAMPING))
     link = LINK.replace("'", "''")
     return f"""
-WITH p AS (SELECT page_id, html, coalesce({lowered("regexp_extract(url, '://([^/?#]*)', 1)")}, '') AS host,
+WITH RECURSIVE p AS (SELECT page_id, html, coalesce({lowered("regexp_extract(url, '://([^/?#]*)', 1)")}, '') AS host,
                   coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 r AS (SELECT *, CASE {rule} END AS rule FROM p),
 v AS (SELECT *, CASE {verdict} END AS ruled FROM r),
@@ -167,8 +163,14 @@ t0 AS (SELECT host, {1 - DAMPING} * (a / n) AS trust, {1 - DAMPING} * (b / n) AS
 x AS (SELECT host AS src, unnest(regexp_extract_all(html, '{link}', 1)) AS raw FROM p),
 e AS (SELECT src, {lowered("raw")} AS dst, count(*) AS links FROM x WHERE src <> '' GROUP BY ALL HAVING dst <> src),
 sh AS (SELECT src, dst, links / sum(links) OVER (PARTITION BY src) AS forth, links / sum(links) OVER (PARTITION BY dst) AS back FROM e),
-{"".join(steps)}
-bad AS (SELECT host FROM t{STEPS} WHERE distrust > trust * {RATIO})
+t AS (SELECT 0 AS step, host, trust, distrust FROM t0
+      UNION ALL
+      SELECT step + 1, host, sum(trust), sum(distrust) FROM (
+        SELECT step, t0.host, t0.trust, t0.distrust FROM t0, (SELECT max(step) AS step FROM t)
+        UNION ALL SELECT step, dst, {DAMPING} * trust * forth, 0 FROM sh JOIN t ON src = host
+        UNION ALL SELECT step, src, 0, {DAMPING} * distrust * back FROM sh JOIN t ON dst = host)
+      WHERE step < {steps} GROUP BY step, host),
+bad AS (SELECT host FROM t WHERE step = {steps} AND distrust > trust * {RATIO})
 SELECT page_id, host, path, rule,
        CASE WHEN ruled IS NOT NULL THEN ruled WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END AS verdict
 FROM v
