@@ -15,7 +15,7 @@ from __future__ import annotations
 import html as html_lib
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,6 +27,8 @@ from pyspark.sql import types as T
 from bazaarlake.llm.common import clear_names, table
 
 TRAIN_PAGES = 2000
+#: Steps in which the sampled share of pages is cut: fine enough for any number of pages.
+_FINE = 1_000_000_000_000_000
 PRIOR = 30.0
 #: Bounds of a feature's log odds: element names and class words say more than one measure of a text, as these overlap.
 CLIP = {"tag": 2.0, "word": 2.0, "words": 1.0, "marks": 1.0, "links": 1.0}
@@ -99,13 +101,17 @@ def parse(page: str) -> list[Node]:
 
     Raw and dropped elements (scripts, styles, form controls and the like), comments and declarations leave nothing. Unclosed and
     stray tags are put right in the usual way: a block ends an open paragraph, an item the item before it, an end tag all that
-    is open within, dropped elements too.
+    is open within, dropped elements too. Time grows with the page's length, however broken it is: what is open is looked up by name.
     """
     nodes = [Node("html", -1)]
     stack = [0]
+    open_at: dict[str, list[int]] = defaultdict(list)  # places in the stack by name, and of scopes
+    scopes: list[int] = []
     leaf, links, at = None, 0, 0
-    inline: list[str] = []  # inline elements opened since the last block boundary
+    inline: Counter = Counter()  # inline elements opened since the last block boundary
     hidden: list[str] = []  # an open dropped element and the elements open in it
+    in_hidden: Counter = Counter()
+    last_end = page.rfind(">")  # no tag is complete behind it
 
     def add(text: str) -> None:
         nonlocal leaf
@@ -120,16 +126,33 @@ def parse(page: str) -> list[Node]:
         if links:
             nodes[leaf].linked += len(text)
 
-    def shut(names) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            tag = nodes[stack[k]].tag
-            if tag in names:
-                del stack[k:]
-                return
+    def close_from(k: int) -> None:
+        while len(stack) > k:
+            tag = nodes[stack.pop()].tag
+            open_at[tag].pop()
             if tag in SCOPES:
-                return
+                scopes.pop()
+
+    def shut(names) -> None:
+        k = max((open_at[n][-1] for n in names if open_at[n]), default=0)
+        if k and k >= (scopes[-1] if scopes else 0):
+            close_from(k)
+
+    def hide(tag: str) -> None:
+        hidden.append(tag)
+        in_hidden[tag] += 1
+
+    def show() -> None:
+        hidden.clear()
+        in_hidden.clear()
+
+    def next_tag() -> re.Match | None:
+        if at <= last_end:
+            return _TAG.search(page, at)
+        start = page.find("<!--", at)  # only a comment may go on to the page's end
+        return _TAG.match(page, start) if start >= 0 else None
 
-    while m := _TAG.search(page, at):
+    while m := next_tag():
         if m.start() > at:
             add(page[at : m.start()])
         at = m.end()
@@ -139,31 +162,32 @@ def parse(page: str) -> list[Node]:
         name, closing, attrs = name.lower(), m[1] or m[4], m[3] or m[6] or ""
         if hidden:
             if closing:
-                if name in hidden:
-                    while hidden.pop() != name:
-                        pass
+                if in_hidden[name]:
+                    while True:
+                        last = hidden.pop()
+                        in_hidden[last] -= 1
+                        if last == name:
+                            break
                     continue
-                if name not in inline and all(nodes[k].tag != name for k in stack[1:]):
+                if not inline[name] and not open_at[name]:
                     continue
-                hidden.clear()  # ends with an element around it
-            elif hidden[0] == "option" and name in ("option", "optgroup") or hidden[0] == "svg" and name in NOT_SVG and not HTML_IN_SVG & set(hidden):
-                hidden.clear()
+                show()  # ends with an element around it
+            elif hidden[0] == "option" and name in ("option", "optgroup") or hidden[0] == "svg" and name in NOT_SVG and not any(in_hidden[x] for x in HTML_IN_SVG):
+                show()
             elif name not in RAW:
                 if name not in VOID and not attrs.endswith("/"):
                     if name in ("option", "optgroup") and hidden[-1] == "option":
-                        hidden.pop()
-                    hidden.append(name)
+                        in_hidden[hidden.pop()] -= 1
+                    hide(name)
                 continue
         if closing:
-            if name in inline:
-                del inline[len(inline) - 1 - inline[::-1].index(name)]
+            if inline[name]:
+                inline[name] -= 1
             if name == "a":
                 links = max(0, links - 1)
             elif name not in INLINE and name not in RAW and name not in DROPPED:
-                for k in range(len(stack) - 1, 0, -1):
-                    if nodes[stack[k]].tag == name:
-                        del stack[k:]
-                        break
+                if open_at[name]:
+                    close_from(open_at[name][-1])
                 leaf, links = None, 0
                 inline.clear()
             continue
@@ -171,7 +195,7 @@ def parse(page: str) -> list[Node]:
             if leaf is not None:
                 add(" ")
             if not attrs.endswith("/"):
-                hidden.append(name)
+                hide(name)
             continue
         if name in RAW:
             if not attrs.endswith("/"):
@@ -182,7 +206,7 @@ def parse(page: str) -> list[Node]:
             continue
         if name in INLINE:
             if name not in VOID and not attrs.endswith("/"):
-                inline.append(name)
+                inline[name] += 1
             if name == "a":
                 links += 1
             elif name == "br" and leaf is not None:
@@ -200,6 +224,9 @@ def parse(page: str) -> list[Node]:
             w for a in _ATTR.finditer(attrs) for w in _HINT.findall(_CAMEL.sub(" ", a[2] or a[3] or a[4] or "").lower())
         )
         nodes.append(Node(name, stack[-1], hints))
+        open_at[name].append(len(stack))
+        if name in SCOPES:
+            scopes.append(len(stack))
         stack.append(len(nodes) - 1)
     if at < len(page):
         add(page[at:])
@@ -362,7 +389,8 @@ def train(pages: DataFrame, sample: int = TRAIN_PAGES, key: tuple[str, ...] = ("
     The same pages give the same sample. Without any labelled page only the prior counts speak.
     """
     share = min(1.0, sample / max(pages.count(), 1))
-    chosen = pages.where(F.pmod(F.xxhash64(*key), F.lit(1_000_000)) < int(share * 1_000_000)).select("html").limit(2 * sample)
+    place = F.pmod(F.xxhash64(*key), F.lit(_FINE))
+    chosen = pages.select("html", place.alias("_place")).where(F.col("_place") < int(share * _FINE)).orderBy("_place").limit(2 * sample).select("html")
     rows = chosen.mapInArrow(_counted, "f string, label int, n long").groupBy("f", "label").agg(F.sum("n").alias("n")).collect()
     return fit(Counter({(r["f"], r["label"]): r["n"] for r in rows}))
 
