@@ -4,6 +4,10 @@ A file compressed as one gzip stream can only be read from its start. The normal
 writes every record as a member of its own and notes the members' places in a sidecar file, after which any record can be read
 by itself. Files are the unit of parallel work; within one, memory holds a record and a buffer.
 
+Files may come from anywhere: headers are read as the standard has them (any letter case, folded lines, space after the colon or
+none), and records of all types go through byte for byte. Records written here have all mandatory headers; a page is the body
+of an HTTP response, so that other readers find it.
+
 Archives lie in a folder that all executors share. Names hold a random part, and only files listed in a manifest that
 Spark committed count, so a task that runs twice leaves an unlisted file and nothing else.
 """
@@ -11,9 +15,13 @@ Spark committed count, so a task that runs twice leaves an unlisted file and not
 from __future__ import annotations
 
 import json
+import re
+import string
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from datetime import datetime, timezone
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -27,26 +35,47 @@ LEAST = 100
 ARCHIVE_BYTES = 256 << 20
 BUFFER = 1 << 20
 LEVEL = 4
+#: A record's headers take no more.
+MOST_HEAD = 1 << 20
+_URI_SAFE = string.punctuation
 
 
 def _open(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def record(page_id: int | None, url: str | None, kind: str, payload: bytes, full_bytes: int, digest: str, refers_to: int | None) -> bytes:
-    """One WARC/1.1 record. A revisit has no payload; its headers have the full payload's length and digest, and the page it repeats."""
-    name = lambda i: "" if i is None else f"<urn:page:{i}>"
+#: Fixed values of the WARC 1.1 standard.
+REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n\r\n"
+_DATE = "%Y-%m-%dT%H:%M:%SZ"
+#: Where a URL can't stand in a header as it is (line ends, other control characters), its exact form is written beside it.
+_EXACT_URI = "X-Exact-URI"
+
+
+def record(
+    page_id: int | None, url: str | None, kind: str, payload: bytes, full_bytes: int, digest: str, refers_to: int | None, date: str
+) -> bytes:
+    """One WARC/1.1 record. A revisit has no payload; its headers have the full payload's length and digest, and the page it repeats.
+
+    A page without id gets a random record id.
+    """
+    name = lambda i: f"<urn:uuid:{uuid.uuid4()}>" if i is None else f"<urn:page:{i}>"
+    plain = url is not None and url.isprintable() and url == url.strip()
+    body = HTTP_HEAD + payload
     head = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
         f"WARC-Record-ID: {name(page_id)}",
-        f"WARC-Target-URI: {json.dumps(url)}",
+        f"WARC-Date: {date}",
+        f"WARC-Target-URI: {url if plain else quote(url or '', safe=_URI_SAFE) or 'urn:none'}",
+        *([] if plain else [f"{_EXACT_URI}: {json.dumps(url)}"]),
         f"WARC-Payload-Digest: sha256:{digest}",
         f"X-Payload-Length: {full_bytes}",
-        *([f"WARC-Refers-To: {name(refers_to)}"] if kind == "revisit" else []),
-        f"Content-Length: {len(payload)}",
+        *([f"WARC-Refers-To: {name(refers_to)}", f"WARC-Profile: {REVISIT_PROFILE}"] if kind == "revisit" else []),
+        "Content-Type: application/http; msgtype=response",
+        f"Content-Length: {len(body)}",
     ]
-    return "\r\n".join(head).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
+    return "\r\n".join(head).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + body + b"\r\n\r\n"
 
 
 def inflated(chunks: Iterable[bytes], most: int = BUFFER) -> Iterator[bytes]:
@@ -79,21 +108,53 @@ def records(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
         return True
 
     while True:
+        while not held or held[0] in b"\r\n":  # empty lines behind a record, two by the standard
+            if held:
+                del held[: len(held) - len(held.lstrip(b"\r\n"))]
+            elif not fill(lambda: held):
+                return
         if not fill(lambda: b"\r\n\r\n" in held):
-            if held.strip():
-                raise ValueError("the last record is cut short")
-            return
+            raise ValueError("the last record is cut short")
         end = held.index(b"\r\n\r\n") + 4
+        if end > MOST_HEAD:
+            raise ValueError("a record's headers have no end")
         headers = headers_of(bytes(held[:end]))
-        whole = end + int(headers["Content-Length"]) + 4
+        whole = end + int(headers["content-length"])
         if not fill(lambda: len(held) >= whole):
             raise ValueError("the last record is cut short")
-        yield headers, bytes(held[:whole])
+        yield headers, bytes(held[:whole]) + b"\r\n\r\n"
         del held[:whole]
 
 
 def headers_of(head: bytes) -> dict[str, str]:
-    return dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:] if line)
+    """A record's headers by lower-case name; lines that begin with white space go on with the line before."""
+    version, *lines = head.decode("utf-8", "replace").split("\r\n")
+    if not version.startswith("WARC/"):
+        raise ValueError(f"not a WARC record: {version[:40]!r}")
+    out, last = {}, None
+    for line in lines:
+        if line[:1] in (" ", "\t") and last:
+            out[last] = f"{out[last]} {line.strip()}".strip()
+        elif line:
+            last, _, value = line.partition(":")
+            last = last.strip().lower()
+            out[last] = value.strip()
+    if "content-length" not in out:
+        raise ValueError("a record has no Content-Length")
+    return out
+
+
+def payload_of(headers: dict[str, str], block: bytes) -> bytes:
+    """What a record holds: of an HTTP message its body, else the whole block."""
+    if headers.get("content-type", "").lower().startswith("application/http") and headers.get("warc-type") in ("response", "request", "revisit"):
+        return block.partition(b"\r\n\r\n")[2]
+    return block
+
+
+def target_of(headers: dict[str, str]) -> str | None:
+    exact = headers.get(_EXACT_URI.lower())
+    uri = headers.get("warc-target-uri")
+    return json.loads(exact) if exact else uri[1:-1] if uri and uri[0] == "<" and uri[-1] == ">" else uri
 
 
 def _read_chunks(uri: str) -> Iterator[bytes]:
@@ -113,7 +174,7 @@ def _listed(rows: list[tuple[str, int, int]]) -> pa.RecordBatch:
 LISTED = "archive string, records long, bytes long"
 
 
-def _monolith_writer(folder: str):
+def _monolith_writer(folder: str, date: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = _open(folder)
         out = None
@@ -125,7 +186,8 @@ def _monolith_writer(folder: str):
                 payload = (row["html"] or "").encode()
                 revisit = row["refers_to"] is not None
                 kind = "revisit" if revisit else "response"
-                data = record(row["page_id"], row["url"], kind, b"" if revisit else payload, len(payload), row["digest"], row["refers_to"])
+                body = b"" if revisit else payload
+                data = record(row["page_id"], row["url"], kind, body, len(payload), row["digest"], row["refers_to"], date)
                 out.write(deflate.compress(data))
                 n, size = n + 1, size + len(data)
                 if size >= ARCHIVE_BYTES:
@@ -159,7 +221,7 @@ def _normaliser(folder: str):
                     for headers, data in records(inflated(_read_chunks(uri))):
                         member = _member(data)
                         out.write(member)
-                        entry = {"id": headers["WARC-Record-ID"], "url": headers["WARC-Target-URI"], "offset": at, "length": len(member)}
+                        entry = {"id": headers.get("warc-record-id"), "type": headers.get("warc-type"), "url": target_of(headers), "offset": at, "length": len(member)}
                         index.write(json.dumps(entry).encode() + b"\n")
                         at, n = at + len(member), n + 1
                 yield _listed([(f"{folder}/{name}", n, at)])
@@ -167,18 +229,26 @@ def _normaliser(folder: str):
     return run
 
 
+_PAGE = re.compile(r"<?urn:page:(-?\d+)>?")
+
+
 def _page(name: str | None) -> int | None:
-    return int(name[len("<urn:page:") : -1]) if name else None
+    """The page of a record id written here; other ids name none."""
+    found = _PAGE.fullmatch(name or "")
+    return int(found[1]) if found else None
 
 
-READ = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
+READ = (
+    "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary, "
+    "record_id string, date string, content_type string"
+)
 
 
 def _reader(with_payload: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+        kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.string(), pa.string(), pa.string()]
         names = [c.split()[0] for c in READ.split(", ")]
 
         def packed(rows):
@@ -195,13 +265,16 @@ def _reader(with_payload: bool):
                         data = zlib.decompress(archive.read(entry["length"]), 31)
                         end = data.index(b"\r\n\r\n") + 4
                         headers = headers_of(data[:end])
-                        payload = data[end : end + int(headers["Content-Length"])]
-                        digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
-                        if headers["WARC-Type"] == "response" and hashlib.sha256(payload).hexdigest() != digest:
+                        payload = payload_of(headers, data[end : end + int(headers["content-length"])])
+                        kind, noted = headers.get("warc-type"), headers.get("warc-payload-digest", "")
+                        own = hashlib.sha256(payload).hexdigest()
+                        digest = noted.removeprefix("sha256:") if noted.startswith("sha256:") else own
+                        if kind != "revisit" and digest != own:
                             raise ValueError(f"record {entry['id']} of {uri} is damaged")
                         rows.append(
-                            (_page(headers["WARC-Record-ID"]), json.loads(headers["WARC-Target-URI"]), int(headers["X-Payload-Length"]),
-                             digest, headers["WARC-Type"], _page(headers.get("WARC-Refers-To")), payload if with_payload else None)
+                            (_page(headers.get("warc-record-id")), target_of(headers), int(headers.get("x-payload-length", len(payload))), digest, kind,
+                             _page(headers.get("warc-refers-to")), payload if with_payload else None,
+                             headers.get("warc-record-id"), headers.get("warc-date"), headers.get("content-type"))
                         )
                         held += len(payload) + 200
                         if held > BUFFER * 8:
@@ -223,7 +296,8 @@ def _lines(stream) -> Iterator[bytes]:
 def write_monoliths(pages: DataFrame, folder: str) -> DataFrame:
     """Writes each partition of ``pages`` (page_id, url, html, digest, refers_to) as gzip files of one stream; returns their manifest."""
     _make(folder)
-    return cut(pages.select("page_id", "url", "html", "digest", "refers_to").mapInArrow(_monolith_writer(folder), LISTED))
+    date = datetime.now(timezone.utc).strftime(_DATE)
+    return cut(pages.select("page_id", "url", "html", "digest", "refers_to").mapInArrow(_monolith_writer(folder, date), LISTED))
 
 
 def normalise(archives: DataFrame, folder: str) -> DataFrame:
@@ -239,7 +313,11 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
 
 
 def read_records(archives: DataFrame, with_payload: bool = True) -> DataFrame:
-    """The records of normalised archives, read member by member through the sidecar index; a damaged payload is an error."""
+    """The records of normalised archives, of every type, read member by member through the sidecar index.
+
+    ``page_id`` and ``refers_to`` are null for record ids that were not made here. A payload that differs from its noted SHA-256
+    is an error; other digests are not looked at, and a record without one has its own.
+    """
     return archives.select("archive").mapInArrow(_reader(with_payload), READ)
 
 
