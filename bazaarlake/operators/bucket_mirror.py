@@ -12,6 +12,8 @@ many entries as there are buckets and batches not yet compacted: fold them in fr
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta, timezone
@@ -20,16 +22,17 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaarlake import schema
 from bazaarlake.operators.latest import latest_by_key
 from bazaarlake.sources.commits import CommitConflict, CommitLog
 from bazaarlake.sources.extract import EPOCH, changed_since
-from bazaarlake.sources.storage import drop_folder
+from bazaarlake.sources.storage import drop_folder, subfolders
 
 #: Columns a stored row has beside its own: what it is ranked by, its batch, and whether it says that the key is gone.
 RANK, BATCH, GONE = "_moment", "_batch", "_gone"
 _HIDDEN = (RANK, BATCH, GONE)
 ATTEMPTS = 10
+#: Names of the bucketed tables that scans of a mirror's folder went through in this session.
+_SCANS: dict[str, set[str]] = {}
 
 
 class BucketMirror:
@@ -63,18 +66,20 @@ class BucketMirror:
     def state(self, version: int | None = None) -> tuple[int, dict]:
         """The commit number and what it says; a mirror never loaded has number 0."""
         number, state = self.commits.head() if version is None else (version, self.commits.read(version) if version else None)
-        empty = {"batch": 0, "mark": 0, "schema": None, "held": {}, "streams": {}, "kind": None, "buckets": self.buckets}
-        return number, state or empty
+        state = state or {"batch": 0, "mark": 0, "schema": None, "held": {}, "streams": {}, "buckets": self.buckets, "by": self.by}
+        if (state["buckets"], state["by"]) != (self.buckets, self.by):
+            raise ValueError(f"{self.table} is stored in {state['buckets']} buckets by {state['by']}")
+        return number, state
 
     def checkpoint_log(self) -> DataFrame:
         """Every load committed, empty ones included."""
-        rows = []
-        for n in self.commits.numbers():
-            state = self.commits.read(n)
-            if state["kind"] == "load":
-                run = state["run"]
-                rows.append((self.table, _utc(run["mark"]), run["rows"], _utc(run["at"])))
-        return self.spark.createDataFrame(rows, schema.CHECKPOINT_SCHEMA)
+        runs = self.commits.notes("kind string, number bigint, mark bigint, rows bigint, at bigint").where("kind = 'load'")
+        return runs.select(
+            F.lit(self.table).alias("table_name"),
+            F.timestamp_micros("mark").alias("last_write_date"),
+            F.col("rows").alias("rows_loaded"),
+            F.timestamp_micros("at").alias("run_ts"),
+        )
 
     def _attempt(self) -> str:
         return uuid.uuid4().hex
@@ -115,10 +120,11 @@ class BucketMirror:
             moment = F.unix_micros(F.col(self.cursor).cast("timestamp"))
             rows = rows.observe(seen, F.max(moment).alias("mark"), F.count(F.lit(1)).alias("rows"))
             attempt = self._attempt()
-            touched = self._write(self._ranked(rows), attempt, state["batch"] + 1)
+            touched, stored = self._write(self._ranked(rows), attempt, state["batch"] + 1)
             streams = state["streams"] | ({epoch[0]: epoch[1]} if epoch else {})
             found = seen.get if touched else {"mark": None, "rows": 0}  # nothing is observed of a plan found to be empty
-            if self._commit_batch(number, state, attempt, touched, max(state["mark"], found["mark"] or 0), found["rows"], streams):
+            mark = max(state["mark"], found["mark"] or 0)
+            if self._commit_batch(number, state, attempt, touched, stored, mark, found["rows"], streams):
                 return found["rows"]
             drop_folder(self.spark, self._folder(attempt))
         raise CommitConflict(f"{self.table}: {ATTEMPTS} loads in a row were overtaken")
@@ -132,23 +138,23 @@ class BucketMirror:
         """The bucket that Spark's writer puts a row into."""
         return F.pmod(F.hash(*self.by), F.lit(self.buckets))
 
-    def _write(self, rows: DataFrame, attempt: str, batch: int, merged: bool = False) -> dict[str, int]:
-        """Write the newest row per key in bucket order; rows per bucket written (at most ``buckets`` numbers)."""
+    def _write(self, rows: DataFrame, attempt: str, batch: int, merged: bool = False) -> tuple[dict[str, int], T.StructType]:
+        """Write the newest row per key in bucket order; rows per bucket written (at most ``buckets`` numbers), and their schema."""
         if not merged:
             rows = rows.withColumn(BATCH, F.lit(batch).cast("bigint"))
             rows = latest_by_key(rows, self.key, self._order()).repartition(self.buckets, *self.by)
-        self._stored_schema = rows.schema
         name = f"bucket_write_{attempt}"
         writer = rows.withColumn("bucket", self._bucket()).write.format("parquet").partitionBy("bucket")
         writer.bucketBy(self.buckets, *self.by).sortBy(*dict.fromkeys([*self.by, *self.key])).option("path", self._folder(attempt)).saveAsTable(name)
         self.spark.sql(f"DROP TABLE {name}")
         written = self.spark.read.schema("bucket int").option("basePath", self._folder(attempt))
-        return {str(r["bucket"]): r["n"] for r in written.parquet(self._folder(attempt)).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+        sizes = written.parquet(self._folder(attempt)).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+        return {str(r["bucket"]): r["n"] for r in sizes.collect()}, rows.schema
 
     def _order(self) -> list[str]:
         return [RANK, BATCH, *self.ties]
 
-    def _commit_batch(self, number, state, attempt, touched, mark, rows, streams=None, kind="load") -> bool:
+    def _commit_batch(self, number, state, attempt, touched, stored, mark, rows, streams=None, kind="load") -> bool:
         """Commit a written batch. Compactions in between don't matter to it; any other batch does."""
         batch = state["batch"] + 1
         while True:
@@ -156,10 +162,10 @@ class BucketMirror:
             for b, n in touched.items():
                 own = held.setdefault(b, {"base": None, "later": []})
                 own["later"] = [*own["later"], [attempt, batch, n]]
-            run = {"mark": mark, "rows": rows, "at": int(datetime.now(timezone.utc).timestamp() * 1_000_000)}
-            new = state | {"kind": kind, "batch": batch, "mark": mark, "held": held, "run": run, "streams": streams or state["streams"]}
-            new["schema"] = state["schema"] or self._stored_schema.json()
-            if self.commits.commit(number + 1, new):
+            new = state | {"batch": batch, "mark": mark, "held": held, "streams": streams or state["streams"]}
+            new["schema"] = state["schema"] or stored.json()
+            note = {"kind": kind, "number": number + 1, "mark": mark, "rows": rows, "at": int(datetime.now(timezone.utc).timestamp() * 1_000_000)}
+            if self.commits.commit(number + 1, new, note):
                 return True
             number, state = self.state()
             if state["batch"] != batch - 1:
@@ -178,20 +184,21 @@ class BucketMirror:
 
     def _scan(self, state: dict, parts: list[tuple[str, str]], in_place: bool = True) -> DataFrame:
         """The rows of some folders. ``in_place``: as a bucketed table, whose buckets are not shuffled to be brought together."""
-        stored = T.StructType.fromJson(_json(state["schema"]))
+        stored = T.StructType.fromJson(json.loads(state["schema"]))
         if not parts:
             return self.spark.createDataFrame([], stored)
         if not in_place:
             return self.spark.read.schema(stored).parquet(*[self._folder(a, b) for a, b in parts])
-        name = f"bucket_scan_{uuid.uuid4().hex}"
+        name = f"bucket_scan_{hashlib.md5(json.dumps([self._data, self.by, self.buckets, sorted(parts)]).encode()).hexdigest()}"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored)
         by = ", ".join(f"`{c}`" for c in self.by)
         self.spark.sql(
-            f"CREATE TABLE {name} ({columns}, attempt STRING, bucket INT) USING parquet PARTITIONED BY (attempt, bucket) "
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}, attempt STRING, bucket INT) USING parquet PARTITIONED BY (attempt, bucket) "
             f"CLUSTERED BY ({by}) INTO {self.buckets} BUCKETS LOCATION '{self._data}'"
         )
         folders = [f"PARTITION (attempt = '{a}', bucket = {b}) LOCATION '{self._folder(a, b)}'" for a, b in parts]
-        self.spark.sql(f"ALTER TABLE {name} ADD {' '.join(folders)}")
+        self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(folders)}")
+        _SCANS.setdefault(self._data, set()).add(name)
         return self.spark.table(name).select(*stored.names)
 
     def even(self, state: dict, most: float = 4.0) -> bool:
@@ -259,7 +266,7 @@ class BucketMirror:
         _, state = self.state()
         if state["schema"] is None:
             raise FileNotFoundError(f"{self.table} has never been loaded")
-        kind = T.StructType.fromJson(_json(state["schema"]))[self.by[0]].dataType
+        kind = T.StructType.fromJson(json.loads(state["schema"]))[self.by[0]].dataType
         asked = self.spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField(self.by[0], kind)]))
         buckets = {str(r["b"]) for r in asked.select(self._bucket().alias("b")).collect()}
         rows = self._merged(state, buckets, in_place=False).where(F.col(self.by[0]).isin(*values))
@@ -275,7 +282,7 @@ class BucketMirror:
             return 0
         attempt = self._attempt()
         rows = self._merged(state, dirty).where(~F.col(GONE))
-        sizes = self._write(rows, attempt, 0, merged=True)
+        sizes, _ = self._write(rows, attempt, 0, merged=True)
         upto = {b: state["held"][b]["later"][-1][1] for b in dirty}
         while True:
             number, now = self.state()
@@ -286,11 +293,16 @@ class BucketMirror:
             for b in dirty:
                 later = [x for x in held[b]["later"] if x[1] > upto[b]]
                 held[b] = {"base": [attempt, upto[b], sizes[b]] if b in sizes else None, "later": later}
-            if self.commits.commit(number + 1, now | {"kind": "compact", "held": held, "run": None}):
+            if self.commits.commit(number + 1, now | {"held": held}, {"kind": "compact", "number": number + 1}):
                 return len(dirty)
 
     def vacuum(self, keep: int = 2) -> int:
-        """Delete folders of buckets that none of the last ``keep`` commits names; how many. Run it while nobody writes."""
+        """Delete folders of buckets that none of the last ``keep`` commits names; how many. Run it while nobody writes.
+
+        The tables that this session's scans went through are dropped, too; frames made before must be made again.
+        """
+        for name in _SCANS.pop(self._data, ()):
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         numbers = self.commits.numbers()[-keep:]
         named = {p for n in numbers for p in self._parts(self.commits.read(n))}
         return drop_unnamed(self.spark, self._data, named)
@@ -346,27 +358,15 @@ class BucketMirror:
             seen = Observation()
             fixes = fixes.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(GONE)).alias("gone"))
             attempt = self._attempt()
-            touched = self._write(fixes, attempt, state["batch"] + 1)
+            touched, stored = self._write(fixes, attempt, state["batch"] + 1)
             found = seen.get if touched else {"rows": 0, "gone": 0}
-            if self._commit_batch(number, state, attempt, touched, state["mark"], found["rows"], kind="reconcile"):
+            if self._commit_batch(number, state, attempt, touched, stored, state["mark"], found["rows"], kind="reconcile"):
                 return {"ranges": len(places), "rows": found["rows"], "gone": found["gone"]}
             drop_folder(self.spark, self._folder(attempt))
         raise CommitConflict(f"{self.table}: {ATTEMPTS} reconciliations in a row were overtaken")
 
 
-def _utc(micros: int) -> datetime:
-    return (EPOCH + timedelta(microseconds=micros)).replace(tzinfo=timezone.utc)
-
-
-def _json(text: str) -> dict:
-    import json
-
-    return json.loads(text)
-
-
 def drop_unnamed(spark: SparkSession, data: str, named: set[tuple[str, str]]) -> int:
-    from bazaarlake.sources.storage import subfolders
-
     dropped = 0
     for attempt in subfolders(spark, data):
         for bucket in subfolders(spark, f"{data}/{attempt}"):

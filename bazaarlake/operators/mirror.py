@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake import schema
 from bazaarlake.operators.latest import latest_by_key, merge_on_read
 from bazaarlake.sources import storage
+from bazaarlake.sources.commits import CommitConflict, CommitLog
 from bazaarlake.sources.extract import EPOCH, changed_since, utc_literal
 
 
@@ -29,12 +31,16 @@ def batch_high_water(batch: DataFrame, cursor: datetime, column: str = "write_da
     )
 
 
+#: How often a load that others overtake starts again.
+ATTEMPTS = 10
+
+
 class Mirror:
-    """One mirrored table below ``root``: a batch log, compacted snapshots and a checkpoint log.
+    """One mirrored table below ``root``: a batch log, compacted snapshots and a log of runs.
 
-    A row's rank is (write_date, batch, tie columns). A load writes its batch first and the checkpoint last,
-    so a crash in between repeats the batch under the same number and nothing is lost or doubled. Batches are numbered
-    by the runs recorded, and only batches of recorded runs are read or compacted; one load may run at a time.
+    A row's rank is (write_date, batch, tie columns). A load writes its batch to a folder of its own, then commits its run under the next
+    number; the commit names the folder. Of two loads at once one has the number; the other drops its batch and starts again from
+    the new mark. Only batches of committed runs are read or compacted. ``BucketMirror`` is the one to use for tables too large to merge by a shuffle.
     """
 
     def __init__(
@@ -53,13 +59,17 @@ class Mirror:
         self.order = [cursor, "batch_id", *ties]
         self._log = f"{root}/{table}/log"
         self._snapshots = f"{root}/{table}/snapshot"
-        self._runs = f"{root}/{table}/_checkpoints"
+        self.runs = CommitLog(spark, f"{root}/{table}/runs")
 
     def checkpoint_log(self) -> DataFrame:
-        """Every run ever recorded, empty runs included."""
-        if storage.exists(self.spark, self._runs):
-            return self.spark.read.schema(schema.CHECKPOINT_SCHEMA).parquet(self._runs)
-        return self.spark.createDataFrame([], schema.CHECKPOINT_SCHEMA)
+        """Every run ever committed, empty runs included."""
+        notes = self.runs.notes("mark bigint, rows bigint, at bigint")
+        return notes.select(
+            F.lit(self.table).alias("table_name"),
+            F.timestamp_micros("mark").alias("last_write_date"),
+            F.col("rows").alias("rows_loaded"),
+            F.timestamp_micros("at").alias("run_ts"),
+        )
 
     def load(
         self,
@@ -67,48 +77,44 @@ class Mirror:
         select: Callable[[DataFrame], DataFrame] = lambda df: df,
         lookback: timedelta | None = None,
     ) -> int:
-        """Append the rows changed since the last run, record the run, return the row count.
+        """Append the rows changed since the last run, commit the run, return the row count.
 
         The new mark and the count are observed while the batch is written; the batch is read once.
         """
-        state = (
-            self.checkpoint_log()
-            .where(F.col("table_name") == self.table)
-            .agg(
-                F.coalesce(F.max(F.unix_micros("last_write_date")), F.lit(0)).alias("mark"),
-                F.count(F.lit(1)).alias("runs"),
+        for _ in range(ATTEMPTS):
+            number, state = self.runs.head()
+            before = state["mark"] if state else 0
+            changed = select(changed_since(source, EPOCH + timedelta(microseconds=before), self.cursor, lookback))
+            seen = Observation()
+            observed = changed.observe(
+                seen,
+                F.max(F.unix_micros(F.col(self.cursor).cast("timestamp"))).alias("mark"),
+                F.count(F.lit(1)).alias("rows"),
             )
-            .first()
-        )
-        cursor = EPOCH + timedelta(microseconds=state["mark"])
-        batch_id = state["runs"] + 1
-
-        changed = select(changed_since(source, cursor, self.cursor, lookback))
-        seen = Observation()
-        observed = changed.observe(
-            seen,
-            F.max(F.unix_micros(F.col(self.cursor).cast("timestamp"))).alias("mark"),
-            F.count(F.lit(1)).alias("rows"),
-        )
-        storage.append_batch(observed, self._log, batch_id)
-        mark = max(state["mark"], seen.get["mark"] or 0)
-        rows = seen.get["rows"]
-        record = self.spark.createDataFrame([(self.table, mark, rows)], "table_name string, mark bigint, rows_loaded bigint")
-        record.select(
-            "table_name",
-            F.timestamp_micros("mark").alias("last_write_date"),
-            "rows_loaded",
-            F.current_timestamp().alias("run_ts"),
-        ).coalesce(1).write.mode("append").parquet(self._runs)
-        return rows
-
-    def _recorded(self) -> int:
-        """The number of the last batch whose run is recorded."""
-        return self.checkpoint_log().where(F.col("table_name") == self.table).count()
+            attempt = uuid.uuid4().hex
+            storage.append_batch(observed, self._log, f"{number + 1}/attempt={attempt}")
+            run = {"mark": max(before, seen.get["mark"] or 0), "rows": seen.get["rows"], "at": int(time.time() * 1_000_000)}
+            if self.runs.commit(number + 1, {"mark": run["mark"]}, run | {"number": number + 1, "attempt": attempt}):
+                storage.mark_committed(self.spark, f"{self._log}/batch_id={number + 1}")
+                return run["rows"]
+            storage.drop_folder(self.spark, self._batch(number + 1, attempt))
+        raise CommitConflict(f"{self.table}: {ATTEMPTS} loads in a row were overtaken")
+
+    def _batch(self, number: int, attempt: str) -> str:
+        return f"{self._log}/batch_id={number}/attempt={attempt}"
+
+    def _batches(self, after: int = 0) -> DataFrame | None:
+        """Batches of committed runs above a number, with their ``batch_id``; those trimmed away are left out."""
+        runs = self.runs.notes("number bigint, attempt string").where(F.col("number") > after).collect()
+        paths = [p for p in (self._batch(r["number"], r["attempt"]) for r in runs) if storage.exists(self.spark, p)]
+        if not paths:
+            return None
+        rows = self.spark.read.option("basePath", self._log).parquet(*paths).drop("attempt")
+        return rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
     def log(self) -> DataFrame:
         """All versions ever loaded."""
-        return storage.read_batches(self.spark, self._log, upto=self._recorded())
+        return self._batches()
 
     def current(self) -> DataFrame:
         """One row per key: the last compacted snapshot with the later batches merged in."""
@@ -116,7 +122,7 @@ class Mirror:
         if not done:
             return latest_by_key(self.log(), self.key, self.order).drop("batch_id")
         snapshot = self.spark.read.parquet(f"{self._snapshots}/upto={done[-1]}")
-        changes = storage.read_batches(self.spark, self._log, after=done[-1], upto=self._recorded())
+        changes = self._batches(done[-1])
         if changes is None:
             return snapshot.drop("batch_id")
         return merge_on_read(snapshot, changes, self.key, self.order).drop("batch_id")
@@ -126,14 +132,13 @@ class Mirror:
 
         With ``trim_log`` the batches already held by that earlier snapshot are deleted from the log.
         """
-        recorded = self._recorded()
-        batches = [b for b in storage.numbered_children(self.spark, self._log, "batch_id") if b <= recorded]
+        batches = self.runs.numbers()
         done = storage.numbered_children(self.spark, self._snapshots, "upto")
         if not batches or (done and done[-1] == batches[-1]):
             return
         if done:
             snapshot = self.spark.read.parquet(f"{self._snapshots}/upto={done[-1]}")
-            changes = storage.read_batches(self.spark, self._log, after=done[-1], upto=self._recorded())
+            changes = self._batches(done[-1])
             rows = merge_on_read(snapshot, changes, self.key, self.order)
         else:
             rows = latest_by_key(self.log(), self.key, self.order)

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaarlake import schema
 from bazaarlake.operators.key_bitmaps import KeyBitmaps, has_bit
@@ -89,9 +90,10 @@ def unique_check(tables: Tables, keys=schema.UNIQUE_KEYS) -> DataFrame:
 
     A key's numbers and texts have columns of their own type, as many as the widest key needs; ids travel as eight bytes.
     """
+    frames = {t: tables(t) for t in dict.fromkeys(t for t, _ in keys)}
     split = []
     for table, key in keys:
-        whole_numbers = {c.name for c in schema.columns(table) if c.type in ("int", "bigint")}
+        whole_numbers = {f.name for f in frames[table].schema if isinstance(f.dataType, T.IntegralType)}
         split.append(([c for c in key if c in whole_numbers], [c for c in key if c not in whole_numbers]))
     kinds = [("_n", "bigint", max(len(n) for n, _ in split)), ("_s", "string", max(len(s) for _, s in split))]
     places = [f"{kind}{j}" for kind, _, width in kinds for j in range(width)]
@@ -106,7 +108,7 @@ def unique_check(tables: Tables, keys=schema.UNIQUE_KEYS) -> DataFrame:
         for c in key:
             known = known & F.col(c).isNotNull()
         by_table.setdefault(table, []).append(F.when(known, F.struct(F.lit(i).alias("_rule"), *slots)))
-    whole = _keys_of_rules(tables, by_table).where("_rule IS NOT NULL")
+    whole = _keys_of_rules(frames.get, by_table).where("_rule IS NOT NULL")
     groups = whole.groupBy("_rule", *places).agg((F.count(F.lit(1)) - 1).alias("rows")).where("rows > 0")
     labels = {"table_name": lambda r: r[0], "key_columns": lambda r: ", ".join(r[1])}
     return _per_rule(list(keys), groups, labels)

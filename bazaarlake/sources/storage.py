@@ -37,6 +37,12 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()] if fs.exists(folder) else []
 
 
+def mark_committed(spark: SparkSession, path: str) -> None:
+    """Give a folder the mark that ``numbered_children`` looks for."""
+    path_class, folder, fs = _folder(spark, path)
+    fs.create(path_class(folder, "_SUCCESS"), True).close()
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     _, folder, fs = _folder(spark, path)
     fs.delete(folder, True)
@@ -81,20 +87,11 @@ def read_published(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/version={versions[-1]}")
 
 
-def append_batch(df: DataFrame, root: str, batch_id: int) -> None:
-    """Append one batch to a log. The batch owns its folder, so repeating it replaces it."""
+def append_batch(df: DataFrame, root: str, batch_id: int | str) -> None:
+    """Append one batch to a log. The batch owns its folder (a number, or a folder below one), so repeating it replaces it."""
     df.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
 
-def read_batches(spark: SparkSession, root: str, after: int = 0, upto: int | None = None) -> DataFrame | None:
-    """The log's batches numbered above ``after`` (and up to ``upto``) with their ``batch_id``; folders pruned by name."""
-    ids = [b for b in numbered_children(spark, root, "batch_id") if b > after and (upto is None or b <= upto)]
-    if not ids:
-        return None
-    paths = [f"{root}/batch_id={b}" for b in ids]
-    return spark.read.option("basePath", root).parquet(*paths).withColumn("batch_id", F.col("batch_id").cast("bigint"))
-
-
 def insert_if_absent(existing: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     """Add the new rows whose key is not stored yet; stored rows are kept as they are."""
     return existing.unionByName(new.dropDuplicates(list(key)).join(existing.select(*key), list(key), "left_anti"))

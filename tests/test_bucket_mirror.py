@@ -31,7 +31,7 @@ def test_newest_wins_and_ties_go_to_the_last_batch(spark):
     mirror.load(rows(spark, (1, at(6), "b"), (2, at(3), "b"), (3, at(5), "b")), lookback=timedelta(hours=1))
     assert held(mirror.current()) == {1: "b", 2: "a", 3: "b"}
     assert mirror.load(rows(spark, (1, at(6), "b"))) == 0
-    log = mirror.checkpoint_log().collect()
+    log = mirror.checkpoint_log().orderBy("run_ts").collect()
     assert [r["rows_loaded"] for r in log] == [4, 3, 0] and [r["last_write_date"] for r in log] == [at(5), at(6), at(6)]
 
 
@@ -66,6 +66,15 @@ def test_compaction_rewrites_touched_buckets_only(spark):
     assert held(mirror.current()) == {i: "b" if i in (5, 6) else "a" for i in range(200)}
 
 
+def test_the_number_of_buckets_is_fixed(spark):
+    mirror = fresh(spark)
+    mirror.load(rows(spark, (1, at(1), "a")))
+    other = fresh_handle(mirror)
+    other.buckets = 5
+    with pytest.raises(ValueError, match="8 buckets"):
+        other.current()
+
+
 def test_older_versions_can_be_read(spark):
     mirror = fresh(spark)
     mirror.load(rows(spark, (1, at(1), "a")))
@@ -125,10 +134,10 @@ def test_a_load_and_a_compaction_at_once(spark):
     other, commit = fresh_handle(mirror), mirror.commits.commit
     calls = []
 
-    def slow(number, content):
+    def slow(number, content, note):
         if not calls:
             calls.append(other.compact())  # just before the load commits
-        return commit(number, content)
+        return commit(number, content, note)
 
     loader = fresh_handle(mirror)
     loader.commits = CommitLog(spark, mirror.commits.path)
@@ -156,9 +165,9 @@ def test_too_many_conflicts_are_an_error(spark, monkeypatch):
     commit = loader.commits.commit
     minute = iter(range(10, 60))
 
-    def overtaken(number, content):
+    def overtaken(number, content, note):
         other.load(rows(spark, (2, at(next(minute)), "x")))
-        return commit(number, content)
+        return commit(number, content, note)
 
     loader.commits.commit = overtaken
     with pytest.raises(CommitConflict):

@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -69,6 +70,23 @@ def test_a_crash_before_the_checkpoint_repeats_the_batch(spark, mirror):
     assert held(mirror.current()) == {1: "a", 2: "a"}
 
 
+def test_a_crash_after_the_commit_loses_nothing(spark, mirror, monkeypatch):
+    monkeypatch.setattr(storage, "mark_committed", lambda spark, path: None)
+    mirror.load(rows(spark, (1, at(1), "a")))
+    monkeypatch.undo()
+    assert held(mirror.current()) == {1: "a"}
+    assert mirror.load(rows(spark, (1, at(1), "a"), (2, at(2), "b"))) == 1
+    assert held(mirror.current()) == {1: "a", 2: "b"}
+
+
+def test_two_loads_at_once_agree_with_the_run_log(spark, mirror):
+    source = rows(spark, *[(i, at(i % 50), "a") for i in range(30)])
+    with ThreadPoolExecutor(3) as pool:
+        loaded = list(pool.map(lambda _: Mirror(spark, mirror._log.rpartition("/t/")[0], "t").load(source), range(3)))
+    assert sorted(loaded) == [0, 0, 30] and mirror.log().count() == 30
+    assert sorted(r["rows_loaded"] for r in mirror.checkpoint_log().collect()) == [0, 0, 30]
+
+
 def test_late_commit_needs_the_lookback(spark, mirror):
     mirror.load(rows(spark, (1, at(30), "a")))
     late = rows(spark, (1, at(30), "a"), (2, at(20), "late"))
