@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,6 +123,37 @@ def ledger(docs: DataFrame, text: str = "text", into: str = "ledger") -> DataFra
     return measured.withColumn(into, F.struct(*[F.col(f"`{m}`.{x}").alias(x) for x in MEASURES], bits.alias("bits"))).drop(m)
 
 
+class LedgerTable:
+    """A stored ledger: one row per document with its id, text hash, measurements and failure bits, added to batch by batch.
+
+    Texts are measured when they are added and not again: policies and ablations, of versions made later, too, read the narrow
+    table only. A batch stored again replaces its own rows. New rules need measurements that are stored already; a rule that
+    was added after a batch was stored is worked out from them (``bits`` are made anew from the measurements when read).
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def add(self, docs: DataFrame, batch: int, doc_id: str = "doc_id", text: str = "text") -> None:
+        slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
+        ledger(slim).select("doc_id", "text_hash", "ledger.*").write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+
+    def entries(self) -> DataFrame:
+        """All rows: batch, doc_id, text_hash, measurements, and bits by the rules as they are now."""
+        fields = ", ".join(["doc_id long", "text_hash long", *(f"{m} long" for m in MEASURES), "bits long", "batch int"])
+        stored = self.spark.read.schema(fields).parquet(self.path)
+        bits = F.lit(0).cast("long")
+        for r in RULES:
+            bits = bits.bitwiseOR(F.when(F.expr(r.failed), F.lit(1 << r.bit)).otherwise(F.lit(0)).cast("long"))
+        return stored.withColumn("bits", bits)
+
+    def kept(self, policy: int = CURRENT) -> DataFrame:
+        return self.entries().where(passes(F.col("bits"), policy))
+
+    def ablations(self, policy: int = CURRENT) -> DataFrame:
+        return ablations(self.entries(), policy, "bits")
+
+
 def ablations(entries: DataFrame, policy: int = CURRENT, bits: str = "ledger.bits") -> DataFrame:
     """For each rule of a policy: documents failing it, kept by the policy, and kept if the policy lacked the rule.
 

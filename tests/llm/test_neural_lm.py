@@ -119,7 +119,9 @@ def test_normalisers_are_exact():
         assert logs[i] == pytest.approx(math.log(np.exp((one[i] + two[i]) @ model.far.T + model.bias[:40]).sum()), rel=1e-5)
 
 
-def test_held_out_texts_score_better_than_by_frequency(spark):
+def test_held_out_texts_score_better_than_by_frequency(spark, monkeypatch):
+    monkeypatch.setattr(neural_lm, "HEAD", 256)
+    monkeypatch.setattr(neural_lm, "LEAST_TOKENS", 1_500_000)
     got = neural_lm.op11_log_bilinear(spark, "/root/testdata/sf0.01").where("held_out").agg(
         {"score": "sum", "base_score": "sum", "n_tokens": "sum"}
     ).first()
