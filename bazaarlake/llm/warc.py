@@ -28,7 +28,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import cut, table
+from bazaarlake.llm.common import cut, small, table
 from bazaarlake.session import work_dir
 
 LEAST = 100
@@ -336,7 +336,7 @@ def with_revisits(pages: DataFrame, least: int = LEAST) -> DataFrame:
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     pages = pages.select("page_id", "url", "html", F.sha2(payload, 256).alias("digest"), (F.octet_length(payload) >= least).alias("long"))
     groups = pages.where("long").groupBy(F.col("digest").alias("_digest")).agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    groups = groups.where("n > 1").select("_digest", "first")
+    groups = small(cut(groups.where("n > 1").select("_digest", "first")), 500_000)  # up to 40 MB: payloads stay put
     differs = F.col("long") & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return pages.join(groups, F.col("digest") == F.col("_digest"), "left").select(
         "page_id", "url", "html", "digest", F.when(differs, F.col("first")).alias("refers_to")
