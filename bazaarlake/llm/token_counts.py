@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaarlake.llm.common import table
+from bazaarlake.llm.common import cut, table
 
 #: Words with their leading space, runs of digits or of other marks, white space: the split that byte_bpe_50k was made with.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -115,4 +115,4 @@ def quantile_length(sums: DataFrame, share: float) -> DataFrame:
 
 
 def op8_length_histogram(spark, sf_dir):
-    return with_suffix_sums(histogram(table(spark, sf_dir, "documents").select("text")))
+    return with_suffix_sums(cut(histogram(table(spark, sf_dir, "documents").select("text"))))  # texts are encoded once
