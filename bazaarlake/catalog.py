@@ -571,8 +571,8 @@ def sample_k_query(src):
         offers,
         group="partner_id",
         k=F.expr("1 + order_id % 5"),
-        start=F.expr("(order_id % 1000003) * 7919 % 1000003"),
-        shuffle_key=F.expr("((product_id % 1000003) * 7919 + (partner_id % 1000003) * 104729) % 1000003"),
+        start=F.expr("(order_id % 1000003) * 6007 % 1000003"),
+        shuffle_key=F.expr("((product_id % 1000003) * 6007 + (partner_id % 1000003) * 90001) % 1000003"),
         item_key="product_id",
         request_key="order_id",
     ).select("order_id", "partner_id", "pick", "product_id", "price")

@@ -155,7 +155,7 @@ VIEWS = {
     "src_product_template": f"""
     SELECT tmpl AS id, tmpl_name AS name, c.id AS categ_id, {_pad('M', 'tmpl', 9)} AS default_code, list_price,
            CAST(round(list_price * 0.60, 2) AS DECIMAL(12,2)) AS standard_price, 'product' AS type,
-           tmpl % 18 <> 4 AS active, {_days('tmpl % 730')} AS create_date, {_days('(tmpl % 730) * 13 % 730')} AS write_date
+           tmpl % 18 <> 4 AS active, {_days('tmpl % 911')} AS create_date, {_days('tmpl % 911 + tmpl % 37')} AS write_date
     FROM src_parts LEFT JOIN (SELECT id, complete_name FROM src_product_category) c
       ON c.complete_name = CASE WHEN tmpl % 25 = 0 THEN p_type ELSE p_type || ' / ' || p_brand END
     WHERE place = 1""",
@@ -166,7 +166,7 @@ VIEWS = {
                      || CASE WHEN size IS NOT NULL THEN ' / ' || size ELSE '' END AS name,
            color, size, CAST(own_price - list_price AS DECIMAL(12,2)) AS price_extra,
            tmpl % 18 <> 4 AND p_size <> 13 AS active,
-           {_days('tmpl % 730')} AS create_date, {_days('(tmpl % 730) * 13 % 730')} AS write_date
+           {_days('tmpl % 911')} AS create_date, {_days('tmpl % 911 + tmpl % 37')} AS write_date
     FROM (SELECT *, CASE WHEN p_partkey % 7 <> 0 THEN split_part(p_name, ' ', 1) END AS color,
                  CASE WHEN p_partkey % 5 >= 2 THEN 'SZ' || p_size END AS size FROM src_parts)""",
     "src_amounts": _LINE_AMOUNTS,
@@ -185,12 +185,12 @@ VIEWS = {
            {BASE} AS create_date, {BASE} AS write_date
     FROM region LEFT JOIN (SELECT n_regionkey, min(n_nationkey) AS first_city, max(n_nationkey) AS last_city
                            FROM nation GROUP BY n_regionkey) ON n_regionkey = r_regionkey
-    CROSS JOIN (VALUES (0, 'warehouse', 'WH-'), (1, 'store', 'ST-'), (2, 'transit', 'TR-')) AS t(k, kind, prefix)""",
+    CROSS JOIN (VALUES (0, 'warehouse', 'depot-'), (1, 'store', 'shop-'), (2, 'transit', 'van-')) AS t(k, kind, prefix)""",
     "src_stock_quant": f"""
     SELECT p_partkey * 3 + k AS id, p_partkey AS product_id, CAST((p_partkey + k * 4) % 15 AS INTEGER) AS location_id,
            CAST((p_size * 17 + k * 90) % 400 AS DECIMAL(12,3)) AS quantity,
            CAST(CAST((p_size * 17 + k * 90) % 400 AS DECIMAL(12,3)) * 0.25 AS DECIMAL(12,3)) AS reserved_quantity,
-           {_days('p_partkey % 730')} AS create_date, {_days('(p_partkey % 730) + k')} AS write_date
+           {_days('p_partkey % 911')} AS create_date, {_days('(p_partkey % 911) + k')} AS write_date
     FROM part, LATERAL (SELECT unnest(generate_series(1, 1 + p_size % 3)) AS k)""",
     "src_order_headers": f"""
     SELECT o_orderkey AS id, {_pad('S', 'o_orderkey', 8)} AS name, o_custkey AS partner_id,

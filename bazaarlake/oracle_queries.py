@@ -350,7 +350,7 @@ def _subset_draws() -> str:
     return sql
 
 
-_STEP = "((product_id % 1000003) * 7919 + (partner_id % 1000003) * 104729) % 1000003"
+_STEP = "((product_id % 1000003) * 6007 + (partner_id % 1000003) * 90001) % 1000003"
 QUERIES |= {
     **{f"clean_{c}": f"SELECT id, {c} AS raw, {rule} AS cleaned FROM src_res_partner" for c, rule in CLEAN.items()},
     "partner_union": "SELECT id, name, partner_type, city_id, muhafaza_id FROM src_res_partner",
@@ -372,7 +372,7 @@ QUERIES |= {
     SELECT id, CAST(k AS INTEGER) AS k FROM src_order_headers, LATERAL (SELECT unnest(generate_series(1, id % 3)) AS k)""",
     "sample_k_per_group": f"""
     SELECT order_id, r.partner_id, CAST(pick AS INTEGER) AS pick, i.product_id, i.price
-    FROM (SELECT id AS order_id, partner_id, m, (id % 1000003) * 7919 % 1000003 AS start,
+    FROM (SELECT id AS order_id, partner_id, m, (id % 1000003) * 6007 % 1000003 AS start,
                  unnest(generate_series(1, least(1 + id % 5, m))) AS pick
           FROM src_purchase_order JOIN (SELECT partner_id, count(*) AS m FROM src_product_supplierinfo GROUP BY partner_id)
           USING (partner_id)) r

@@ -216,8 +216,8 @@ class RetailSource:
                 F.expr("cast(round(list_price * 0.60, 2) as decimal(12,2)) as standard_price"),
                 F.lit("product").alias("type"),
                 F.expr("tmpl % 18 <> 4 as active"),
-                _days_after_base("tmpl % 730").alias("create_date"),
-                _days_after_base("(tmpl % 730) * 13 % 730").alias("write_date"),
+                _days_after_base("tmpl % 911").alias("create_date"),
+                _days_after_base("tmpl % 911 + tmpl % 37").alias("write_date"),
             )
         )
 
@@ -239,8 +239,8 @@ class RetailSource:
             "size",
             (F.col("own_price") - F.col("list_price")).cast("decimal(12,2)").alias("price_extra"),
             F.expr("tmpl % 18 <> 4 and p_size <> 13 as active"),
-            _days_after_base("tmpl % 730").alias("create_date"),
-            _days_after_base("(tmpl % 730) * 13 % 730").alias("write_date"),
+            _days_after_base("tmpl % 911").alias("create_date"),
+            _days_after_base("tmpl % 911 + tmpl % 37").alias("write_date"),
         )
 
     @cached_property
@@ -272,9 +272,9 @@ class RetailSource:
         )
         kinds = F.explode(
             F.expr(
-                """array(named_struct('k', 0, 'kind', 'warehouse', 'prefix', 'WH-'),
-                         named_struct('k', 1, 'kind', 'store', 'prefix', 'ST-'),
-                         named_struct('k', 2, 'kind', 'transit', 'prefix', 'TR-'))"""
+                """array(named_struct('k', 0, 'kind', 'warehouse', 'prefix', 'depot-'),
+                         named_struct('k', 1, 'kind', 'store', 'prefix', 'shop-'),
+                         named_struct('k', 2, 'kind', 'transit', 'prefix', 'van-'))"""
             )
         )
         places = self.raw("region").join(span, F.col("r_regionkey") == F.col("region"), "left").withColumn("t", kinds)
@@ -300,8 +300,8 @@ class RetailSource:
             F.expr(f"cast((p_partkey + k * 4) % {LOCATIONS} as int) as location_id"),
             F.col("held").alias("quantity"),
             F.expr("cast(held * 0.25BD as decimal(12,3)) as reserved_quantity"),
-            _days_after_base("p_partkey % 730").alias("create_date"),
-            _days_after_base("(p_partkey % 730) + k").alias("write_date"),
+            _days_after_base("p_partkey % 911").alias("create_date"),
+            _days_after_base("(p_partkey % 911) + k").alias("write_date"),
         )
 
     # -- sales -------------------------------------------------------------------------------------------
