@@ -27,8 +27,8 @@ from bazaarlake.streaming import mirror_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-#: Buckets of the mirrors that registered queries make; a lakehouse picks them by the size of its largest table.
-SALES_BUCKETS = 8
+#: Buckets of the mirrors that registered queries make: a task each, so that there are more of them the more rows there are.
+SALES_BUCKETS, ROWS_PER_BUCKET = 8, 1 << 19
 
 
 def source_query(build: Callable[[RetailSource], DataFrame]) -> Callable[[RetailSource], DataFrame]:
@@ -41,6 +41,10 @@ def _register(name: str, build: Callable[[RetailSource], DataFrame]) -> None:
     QUERIES[name] = lambda spark, path: build(RetailSource(spark, path))
 
 
+def _buckets(rows: int) -> int:
+    return max(SALES_BUCKETS, -(-rows // ROWS_PER_BUCKET))
+
+
 def _utc(text_: str) -> datetime:
     return datetime.fromisoformat(text_).replace(tzinfo=timezone.utc)
 
@@ -250,7 +254,8 @@ def fact_layout(src):
 
 def _sales_mirrors(src: RetailSource, purpose: str) -> Lakehouse:
     """Mirrors of orders, lines and payments as they are."""
-    house = Lakehouse(src.spark, work_dir(src.spark, purpose), buckets=SALES_BUCKETS)
+    root = work_dir(src.spark, purpose)
+    house = Lakehouse(src.spark, root, buckets=_buckets(src.raw("lineitem").count()))
     for table in ("sale_order", "sale_order_line", "account_payment"):
         house.mirror(table).load(src.table(table), lambda df, t=table: mirror_select(df, t))
     return house
@@ -395,7 +400,7 @@ def mirror_compact(src):
 
 
 def _bucketed_feed(src: RetailSource, purpose: str) -> BucketMirror:
-    return BucketMirror(src.spark, work_dir(src.spark, purpose), FEED, ties=("event_id",), buckets=SALES_BUCKETS)
+    return BucketMirror(src.spark, work_dir(src.spark, purpose), FEED, ties=("event_id",), buckets=_buckets(src.raw("events").count()))
 
 
 @source_query
