@@ -255,6 +255,7 @@ def fact_layout(src):
 def _sales_mirrors(src: RetailSource, purpose: str) -> Lakehouse:
     """Mirrors of orders, lines and payments as they are."""
     root = work_dir(src.spark, purpose)
+    src.store("sale_order", f"{root}/source/sale_order")
     house = Lakehouse(src.spark, root, buckets=_buckets(src.raw("lineitem").count()))
     for table in ("sale_order", "sale_order_line", "account_payment"):
         house.mirror(table).load(src.table(table), lambda df, t=table: mirror_select(df, t))

@@ -238,7 +238,12 @@ class BucketMirror:
         return rows
 
     def changes(self, old: int, new: int) -> tuple[set[str], DataFrame]:
-        """Buckets touched between two commits, and the ``by`` and key columns of the rows that were written or went in them.
+        """Buckets touched between two commits, and the ``by`` and key columns of the rows that were written or went in them."""
+        touched, rows = self.changed_rows(old, new)
+        return touched, rows.distinct()
+
+    def changed_rows(self, old: int, new: int) -> tuple[set[str], DataFrame]:
+        """``changes`` with a row as often as it was written, for callers that go on to tell fewer columns apart.
 
         Where no compaction came in between, only the batches themselves are read.
         """
@@ -257,7 +262,7 @@ class BucketMirror:
             held = self._merged(now, folded)
             rows = rows.unionByName(held.where(F.col(BATCH) > after).select(*names))
             rows = rows.unionByName(self.as_of(old, folded).select(*names).join(held.where(~F.col(GONE)).select(*names), names, "left_anti"))
-        return touched, rows.distinct()
+        return touched, rows
 
     def lookup(self, *values) -> DataFrame:
         """Current rows of some values of ``by`` (a single column). Only the buckets that can hold them are opened."""
@@ -312,8 +317,8 @@ class BucketMirror:
     def reconcile(self, source: DataFrame, select: Callable[[DataFrame], DataFrame] = lambda df: df, ranges: int = 64) -> dict[str, int]:
         """Make the mirror equal to the whole ``source``, deletions included, reading in full only key ranges that differ.
 
-        Buckets are compared by count and two checksums of their rows; those that differ are compared again in ``ranges`` finer
-        ranges. Rows of differing ranges are then compared one by one: new and changed rows are appended, and keys that the source
+        ``ranges`` ranges of each bucket are compared by count and two checksums of their rows, in one pass over both sides. Rows of
+        differing ranges are then compared one by one: new and changed rows are appended, and keys that the source
         has no more get a row that says so. Returns the numbers of ranges read and of rows appended and gone.
         """
         for _ in range(ATTEMPTS):
@@ -334,15 +339,13 @@ class BucketMirror:
                 places = a.columns[: len(by)]
                 return a.unionByName(b).groupBy(*a.columns).agg(F.count(F.lit(1)).alias("sides")).where("sides = 1").select(*places).distinct()
 
-            bucket = self._bucket().alias("bucket")
-            coarse = {str(r["bucket"]) for r in differing(theirs, live, [bucket]).collect()}
-            if not coarse:
+            wanted = differing(theirs, live, [self._bucket().alias("_b"), fine.alias("_f")])
+            places = wanted.collect()
+            if not places:
                 return {"ranges": 0, "rows": 0, "gone": 0}
+            coarse = {str(p["_b"]) for p in places}
             inside = self._bucket().isin([int(b) for b in coarse])
             rows = self._merged(state, coarse)
-            wanted = differing(theirs.where(inside), rows.where(~F.col(GONE)), [bucket, fine.alias("fine")])
-            wanted = wanted.select(F.col("bucket").alias("_b"), F.col("fine").alias("_f"))
-            places = wanted.collect()
             wanted = F.broadcast(self.spark.createDataFrame([tuple(p) for p in places], wanted.schema))
             here = [self._bucket() == F.col("_b"), fine == F.col("_f")]
             new = theirs.where(inside).join(wanted, here, "left_semi").select(F.struct(*names).alias("new"), *[F.col(k).alias(f"_k_{k}") for k in self.key])

@@ -9,7 +9,7 @@ recount would have them. One commit names the mirrors' versions and the partial
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ _SUMS = {
     "customer_sales": ("customer_key", {"lines": "bigint", "net": "decimal(24,4)", "total": "decimal(24,4)"}),
     "customer_paid": ("customer_key", {"payments": "bigint", "paid": "decimal(24,4)"}),
 }
+_SALES = {"date_key": "int", "customer_key": "bigint"} | _SUMS["daily"][1] | _SUMS["customer_sales"][1]
 
 
 class DeltaKpis:
@@ -59,17 +60,24 @@ class DeltaKpis:
         def payments(versions: dict) -> DataFrame:
             return gold.fact_payments({"account_payment": self.payments.as_of(versions["payments"], paid_buckets, paid_ids)}.get)
 
-        count = F.count(F.lit(1)).alias("payments")
-        builds: dict[str, tuple[Callable[[dict], DataFrame], Callable[[DataFrame], DataFrame]]] = {
-            "daily": (sales, kpi.daily_sales),
-            "customer_sales": (sales, kpi.customer_sales),
-            "customer_paid": (payments, lambda f: f.groupBy("customer_key").agg(count, F.sum("amount").cast("decimal(24,4)").alias("paid"))),
+        def changed(fact: Callable[[dict], DataFrame], *amounts: str) -> DataFrame:
+            return _signed(fact(new), 1, amounts).unionByName(_signed(fact(old), -1, amounts))
+
+        # Orders and lines are joined once for both tables of sums; those of a day have no customer and the other way round.
+        by_both = [F.col("date_key"), F.col("customer_key")]
+        sold = changed(sales, "amount_untaxed", "amount_total").groupingSets([[c] for c in by_both], *by_both)
+        sold = sold.agg(F.grouping("date_key").alias("_set"), F.sum("_sign").alias("lines"), *kpi.daily_amounts(), *kpi.customer_amounts())
+        self._stored(sold.select("_set", *_SALES), f"{attempt}/sales")
+        sold = self.spark.read.schema(f"_set tinyint, {', '.join(f'{c} {t}' for c, t in _SALES.items())}").parquet(f"{attempt}/sales")
+        paid = changed(payments, "amount").groupBy("customer_key")
+        parts = {
+            "daily": sold.where("_set = 0"),
+            "customer_sales": sold.where("_set = 1"),
+            "customer_paid": paid.agg(F.sum("_sign").alias("payments"), F.sum("amount").cast("decimal(24,4)").alias("paid")),
         }
         sums = {}
-        for name, (fact, summed) in builds.items():
-            now, before = summed(fact(new)), summed(fact(old))
-            parts = _signed(now, name, 1).unionByName(_signed(before, name, -1))
-            sums[name] = [*state["sums"][name], self._stored(_added(parts, name), f"{attempt}/{name}")]
+        for name, part in parts.items():
+            sums[name] = [*state["sums"][name], self._stored(_kept(part, name), f"{attempt}/{name}")]
             if len(sums[name]) >= FOLD:
                 sums[name] = [self._stored(self._read(sums[name], name), f"{attempt}/{name}-folded")]
         if not self.commits.commit(number + 1, {"versions": new, "sums": sums}):
@@ -81,7 +89,7 @@ class DeltaKpis:
         """Buckets and ids (of orders, or payments) whose rows differ between two commits."""
         found, buckets = None, set()
         for name in names:
-            touched, keys = self._mirrors()[name].changes(old[name], new[name])
+            touched, keys = self._mirrors()[name].changed_rows(old[name], new[name])
             buckets |= touched
             keys = keys.select(F.col(self._mirrors()[name].by[0]).alias("_concerned"))
             found = keys if found is None else found.unionByName(keys)
@@ -111,13 +119,19 @@ class DeltaKpis:
         return kpi.sales_by_governorate(self.sums("customer_sales"), self.sums("customer_paid").drop("payments"), customers)
 
 
-def _signed(df: DataFrame, name: str, sign: int) -> DataFrame:
+def _signed(fact: DataFrame, sign: int, amounts: Sequence[str]) -> DataFrame:
+    """Facts that count (1), or are taken back (-1)."""
+    return fact.withColumns({c: -F.col(c) for c in amounts if sign < 0} | {"_sign": F.lit(sign).cast("bigint")})
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """Keys whose rows have all been taken back are dropped, and so are parts that cancel out."""
     key, sums = _SUMS[name]
-    return df.select(key, *[(F.coalesce(c, F.lit(0)) * sign).cast(t).alias(c) for c, t in sums.items()])
+    out = df.select(key, *[F.coalesce(c, F.lit(0)).cast(t).alias(c) for c, t in sums.items()])
+    return out.where(" OR ".join(f"{c} <> 0" for c in sums))
 
 
 def _added(df: DataFrame, name: str) -> DataFrame:
-    """One row per key; keys whose rows have all been taken back are dropped, and so are parts that cancel out."""
+    """One row per key."""
     key, sums = _SUMS[name]
-    out = df.groupBy(key).agg(*[F.sum(c).cast(t).alias(c) for c, t in sums.items()])
-    return out.where(" OR ".join(f"{c} <> 0" for c in sums))
+    return _kept(df.groupBy(key).agg(*[F.sum(c).alias(c) for c in sums]), name)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.plans import gold
@@ -19,10 +19,12 @@ def _sum(c: str, scale: int = 4):
     return F.sum(c).cast(f"decimal(24,{scale})")
 
 
+def customer_amounts() -> list[Column]:
+    return [_sum("amount_untaxed").alias("net"), _sum("amount_total").alias("total")]
+
+
 def customer_sales(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("customer_key").agg(
-        F.count(F.lit(1)).alias("lines"), _sum("amount_untaxed").alias("net"), _sum("amount_total").alias("total")
-    )
+    return sales.groupBy("customer_key").agg(F.count(F.lit(1)).alias("lines"), *customer_amounts())
 
 
 def customer_payments(payments: DataFrame) -> DataFrame:
@@ -128,12 +130,15 @@ def kpi_stock_levels(silver: Silver) -> DataFrame:
     )
 
 
-def daily_sales(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("date_key").agg(
-        F.count(F.lit(1)).alias("lines"),
+def daily_amounts() -> list[Column]:
+    return [
         F.sum(F.when(F.col("order_state") != "cancel", F.col("amount_total"))).cast("decimal(24,4)").alias("kept"),
         F.sum(F.when(F.col("order_state") == "cancel", F.col("amount_total"))).cast("decimal(24,4)").alias("lost"),
-    )
+    ]
+
+
+def daily_sales(sales: DataFrame) -> DataFrame:
+    return sales.groupBy("date_key").agg(F.count(F.lit(1)).alias("lines"), *daily_amounts())
 
 
 def kpi_monthly_sales(calendar: DataFrame, silver: Silver) -> DataFrame:

@@ -1,6 +1,7 @@
 """What a task holds, and how often rows are joined, as the tables grow."""
 
 from bazaarlake import catalog
+from bazaarlake.plans import gold
 
 
 def test_mirrors_get_more_buckets_with_more_rows(spark, source, monkeypatch):
@@ -12,3 +13,11 @@ def test_mirrors_get_more_buckets_with_more_rows(spark, source, monkeypatch):
     assert sum(sizes) == lines and house.buckets >= lines / 256 and max(sizes) < 3 * 256
     events = source.raw("events").count()
     assert catalog._bucketed_feed(source, "growth-feed").buckets >= events / 256
+
+
+def test_a_refresh_joins_orders_and_lines_once_per_state(spark, source, monkeypatch):
+    house, built = catalog._sales_mirrors(source, "once"), []
+    fact = gold.fact_sales
+    monkeypatch.setattr(gold, "fact_sales", lambda silver: built.append(1) or fact(silver))
+    house.kpis().refresh()
+    assert len(built) == 2  # as of now and as of the last refresh
