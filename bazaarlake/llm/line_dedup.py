@@ -2,15 +2,16 @@
 
 A line is its set of words. Words are ordered by rarity; two sets of Jaccard similarity t or more share a word among their
 first n - overlap + 1 words in that order (prefix filter). Lines that share one are compared by size (length filter), by how
-many words can still be shared from that place on (positional filter) and by parity bitmaps of 64 bits, whose
-differing bits never exceed the sets' difference; what is left is verified on the sets. All filters are exact: they lose no pair.
+many words can still be shared from that place on (positional filter) and by sketches: counts of a set's words in 21 buckets, or 42
+for long sets, modulo 8, which never differ by more than the sets do; what is left is verified on the sets. All filters are
+exact: they lose no pair.
 
 Rarity comes from counts over the whole corpus, kept in a table of 2^24 buckets (a bounded size, so it may be broadcast);
 words sharing a bucket only look more frequent than they are. A second table of the same size counts words in prefixes: a word in
 one prefix only makes no pair, and words in very many are dealt out as pairs of blocks, so that no task compares
 more than two blocks. Equal sets count as one throughout.
 
-The rows that are dealt by prefix word are five numbers each. One is the word before it in the set's order: two sets
+The rows that are dealt by prefix word are six numbers each. One is the word before it in the set's order: two sets
 that share this one as well have already met under it. Sets that pass the filters under a word are parted into linked
 groups; a group that comes up under several words is verified once. Only then do the words of a set travel, five bytes each.
 """
@@ -39,9 +40,13 @@ _GROUP = np.uint64(64 - 8 * _BYTES)
 
 SKETCH = "segment int, at binary, n binary"
 LINE = "k1 long, k2 long, rid long, line int"
-MEMBER = "k long, bits long, g long, before long, at long"  # the fields with many zero bytes are neighbours
+MEMBER = "k long, counts long, halves long, g long, before long, at long"  # the fields with many zero bytes are neighbours
 _APART, _SIDE, _POS, _SIZE = 1, 0, 2, 32  # bits of ``at``: pair of blocks, which of them, position, size
 _SEEN = 1 << 20
+_FIELDS, LONG = 21, 64  # buckets of a sketch, three bits each; sets of LONG words or more have a second one, of half buckets
+_LOW = np.uint64(sum(1 << 3 * i for i in range(_FIELDS)))
+_HIGH = _LOW << np.uint64(2)
+_SKETCHED = 1 << 14  # sets sketched at a time
 _CHUNK = 1 << 18  # bytes of text at a time: arrays that fit the cache
 
 
@@ -219,6 +224,33 @@ def _longs(names: list[str], cols: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in cols], names=names)
 
 
+def _sketches(token: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers of 21 fields for each set: how many words it has in a bucket, and in one half of it, modulo 8. The latter 0 for short sets."""
+    size = np.diff(bounds)
+    shift = np.arange(_FIELDS, dtype=np.uint64) * np.uint64(3)
+    counts, halves = np.zeros(len(size), np.uint64), np.zeros(len(size), np.uint64)
+    for lo in range(0, len(size), _SKETCHED):
+        n = size[lo : lo + _SKETCHED]
+        half = ((mixed(token[bounds[lo] : bounds[lo + len(n)]]) >> np.uint64(32)) * np.uint64(2 * _FIELDS)) >> np.uint64(32)
+        at = np.repeat(np.arange(len(n)) * 2 * _FIELDS, n) + half.astype(np.int64)
+        count = np.bincount(at, minlength=len(n) * 2 * _FIELDS).reshape(len(n), 2, _FIELDS)
+        for out, c in ((counts, count.sum(axis=1)), (halves, np.where(n[:, None] >= LONG, count[:, 0], 0))):
+            out[lo : lo + len(n)] = np.bitwise_or.reduce((c & 7).astype(np.uint64) << shift, axis=1)
+    return counts, halves
+
+
+def _minus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differences of the fields of two sketches, modulo 8."""
+    return ((a | _HIGH) - (b & ~_HIGH)) ^ ((a ^ ~b) & _HIGH)
+
+
+def _apart(d: np.ndarray) -> np.ndarray:
+    """Sum over the fields of a difference of the lesser of d and 8 - d: so many words at least are in one of two sets only."""
+    one, two, four = d & _LOW, (d >> np.uint64(1)) & _LOW, (d >> np.uint64(2)) & _LOW
+    ones = [np.bitwise_count(x).astype(np.int64) for x in (one, two, four, one & four, two & four)]
+    return ones[0] + 2 * ones[1] + 4 * ones[2] - 2 * ones[3] - 4 * ones[4]
+
+
 def _members(levels, blocks, least: int):
     """A row for each prefix word of a set that other prefixes have too, in every pair of blocks that the set is in."""
 
@@ -231,8 +263,7 @@ def _members(levels, blocks, least: int):
             keep = leads(k1)[of] & (code > 0)
             at, of, pos, code = at[keep], of[keep], pos[keep], code[keep].astype(np.int64)
             parts = np.int64(1) << (code - 1)
-            bit = np.uint64(1) << (mixed(token) >> np.uint64(58))
-            bits = np.bitwise_xor.reduceat(bit, bounds[:-1])
+            counts, halves = _sketches(token, bounds)
             block = (mixed(k1.view(np.uint64))[of] >> np.uint64(8)).astype(np.int64) & (parts - 1)
             row = np.repeat(np.arange(len(at)), parts)
             other = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
@@ -242,20 +273,29 @@ def _members(levels, blocks, least: int):
             size = np.diff(bounds)[s].astype(np.int64)
             where = (size << _SIZE) | (pos[row].astype(np.int64) << _POS) | ((own != other) << _APART) | (own > other)
             before = np.where(pos > 0, (token[np.maximum(at - 1, 0)] & _HASH) + np.uint64(1), np.uint64(0))[row]
-            yield _longs(["k", "bits", "g", "before", "at"], [k1[s], bits[s], group, before, where])
+            yield _longs([c.split()[0] for c in MEMBER.split(", ")], [k1[s], counts[s], halves[s], group, before, where])
 
     return run
 
 
-def _candidates(at_a, at_b, bits_a, bits_b) -> np.ndarray:
-    """Pairs that pass the length, positional and bitmap filters; pairs of blocks compare across the blocks only."""
+def _most_apart(at_a: np.ndarray, at_b: np.ndarray) -> np.ndarray:
+    """Words that may be in one of two similar sets only; -1 where too few are left from the shared word on, or where two blocks meet and both rows are of one."""
     size_a, size_b = at_a >> _SIZE, at_b >> _SIZE
     pos_a, pos_b = (at_a & 0xFFFFFFFF) >> _POS, (at_b & 0xFFFFFFFF) >> _POS
     need = overlap_needed(size_a, size_b)
-    left = np.minimum(size_a - pos_a, size_b - pos_b)
-    ok = (left >= need) & (np.bitwise_count(bits_a ^ bits_b) <= size_a + size_b - 2 * need)
     within = ((at_a | at_b) & (1 << _APART)) == 0
-    return ok & (within | (((at_a ^ at_b) & (1 << _SIDE)) != 0))
+    ok = (np.minimum(size_a - pos_a, size_b - pos_b) >= need) & (within | (((at_a ^ at_b) & (1 << _SIDE)) != 0))
+    return np.where(ok, size_a + size_b - 2 * need, -1)
+
+
+def _close(a: np.ndarray, b: np.ndarray, most: np.ndarray, counts: np.ndarray, halves: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which pairs of rows differ by at most ``most`` in their sketches."""
+    d = _minus(counts[a], counts[b])
+    ok = _apart(d) <= most
+    fine = np.flatnonzero(ok & (np.minimum(size[a], size[b]) >= LONG))
+    half = _minus(halves[a[fine]], halves[b[fine]])
+    ok[fine] = _apart(half) + _apart(_minus(d[fine], half)) <= most[fine]
+    return ok
 
 
 def _linked(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -280,8 +320,8 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
 
     def passed(cols: list[np.ndarray]) -> pa.RecordBatch | None:
-        k, bits, g, before, at = cols
-        n, size, parity = len(g), at >> _SIZE, bits.view(np.uint64)
+        k, counts, halves, g, before, at = cols
+        n, size, counts, halves = len(g), at >> _SIZE, counts.view(np.uint64), halves.view(np.uint64)
         alive, d, a, b = np.arange(n), 1, [], []
         while True:
             alive = alive[alive + d < n]
@@ -289,7 +329,9 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(alive):
                 break
             new = (before[alive] != before[alive + d]) | (before[alive] == 0)  # not met under the word before
-            ok = alive[new & _candidates(at[alive], at[alive + d], parity[alive], parity[alive + d])]
+            most = np.where(new, _most_apart(at[alive], at[alive + d]), -1)
+            ok, most = alive[most >= 0], most[most >= 0]
+            ok = ok[_close(ok, ok + d, most, counts, halves, size)]
             a.append(ok)
             b.append(ok + d)
             d += 1
@@ -303,7 +345,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _longs(["c", "k"], [name[root[own]], k[own]])
 
     def sets(cols: list[np.ndarray]) -> list[np.ndarray]:
-        k, _, g, _, at = cols
+        k, _, _, g, _, at = cols
         order = np.lexsort((k, at, g))
         cols = [c[order] for c in cols]
         new = np.ones(len(order), bool)
@@ -315,11 +357,11 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         cols = [np.asarray(c) for c in batch.columns]
-        last = cols[2][-1]
+        last = cols[3][-1]
         if held:
             cols = [np.concatenate(pair) for pair in zip(held, cols, strict=True)]
         cols = sets(cols)
-        open_ = cols[2] == last  # this group may go on in the next batch
+        open_ = cols[3] == last  # this group may go on in the next batch
         held = [c[open_] for c in cols]
         out = passed([c[~open_] for c in cols])
         if out:
