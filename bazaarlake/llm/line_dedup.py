@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.llm.common import fresh, row_name, small, stored, table
-from bazaarlake.llm.wordsets import binaries, chunks, groups, mixed, overlaps, set_keys, word_hashes
+from bazaarlake.llm.wordsets import binaries, chunks, mixed, overlaps, set_keys, word_hashes
 
 THRESHOLD, LEAST = 0.8, 1
 ALIKE = 4  # words of the smallest set that can be near another one (4 of 5 words); smaller ones match their equals only
@@ -36,17 +36,19 @@ BLOCK = 1024
 _HASH_BITS, _LEVEL_BITS, _RUN = 38, 6, 1 << 19
 _TOKEN, _HASH = np.uint64((1 << (_HASH_BITS + _LEVEL_BITS)) - 1), np.uint64((1 << _HASH_BITS) - 1)
 _BYTES = 5  # hold a hash
-_GROUP = np.uint64(64 - 8 * _BYTES)
+_SPARE = 64 - 8 * _BYTES
+_GROUP = np.uint64(_SPARE)
 
 SKETCH = "segment int, at binary, n binary"
 LINE = "k1 long, k2 long, rid long, line int"
-MEMBER = "k long, counts long, halves long, g long, before long, at long"  # the fields with many zero bytes are neighbours
+#: k is 40 bits of k1: sets that share them only mean more to verify. k and ``before`` begin with zero bytes, next to others.
+MEMBER = "k long, counts long, halves long, g long, before long, at long"
 _APART, _SIDE, _POS, _SIZE = 1, 0, 2, 32  # bits of ``at``: pair of blocks, which of them, position, size
 _SEEN = 1 << 20
 _FIELDS, LONG = 21, 64  # buckets of a sketch, three bits each; sets of LONG words or more have a second one, of half buckets
 _LOW = np.uint64(sum(1 << 3 * i for i in range(_FIELDS)))
 _HIGH = _LOW << np.uint64(2)
-_SKETCHED = 1 << 14  # sets sketched at a time
+_SKETCHED, _PAIRS = 1 << 14, 1 << 10  # sets sketched and pairs verified at a time
 _CHUNK = 1 << 18  # bytes of text at a time: arrays that fit the cache
 
 
@@ -247,7 +249,7 @@ def _minus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _apart(d: np.ndarray) -> np.ndarray:
     """Sum over the fields of a difference of the lesser of d and 8 - d: so many words at least are in one of two sets only."""
     one, two, four = d & _LOW, (d >> np.uint64(1)) & _LOW, (d >> np.uint64(2)) & _LOW
-    ones = [np.bitwise_count(x).astype(np.int64) for x in (one, two, four, one & four, two & four)]
+    ones = [np.bitwise_count(x) for x in (one, two, four, one & four, two & four)]  # bytes: the sum is at most 84
     return ones[0] + 2 * ones[1] + 4 * ones[2] - 2 * ones[3] - 4 * ones[4]
 
 
@@ -272,8 +274,8 @@ def _members(levels, blocks, least: int):
             group = mixed(token[at][row] ^ mixed(pair.view(np.uint64))) >> _GROUP  # two groups of one number only mean more to compare
             size = np.diff(bounds)[s].astype(np.int64)
             where = (size << _SIZE) | (pos[row].astype(np.int64) << _POS) | ((own != other) << _APART) | (own > other)
-            before = np.where(pos > 0, (token[np.maximum(at - 1, 0)] & _HASH) + np.uint64(1), np.uint64(0))[row]
-            yield _longs([c.split()[0] for c in MEMBER.split(", ")], [k1[s], counts[s], halves[s], group, before, where])
+            before = np.where(pos > 0, (token[np.maximum(at - 1, 0)] & _HASH) + np.uint64(1), np.uint64(0))[row] << _GROUP
+            yield _longs([c.split()[0] for c in MEMBER.split(", ")], [k1[s] << _SPARE, counts[s], halves[s], group, before, where])
 
     return run
 
@@ -408,21 +410,68 @@ def _payload(levels, least: int):
     return run
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per set that is similar to another one of its component: the first line of those sets."""
-    for group in groups(batches, ["c"]):
-        if group.num_rows < 2:
+def _whole(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """The rows of batches sorted by ``key``, cut between its groups only."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        g = {c: np.asarray(group.column(c)) for c in ("rid", "line", "k1", "k2")}
-        words = [_unpacked(x) for x in group.column("words").to_pylist()]
-        shared = overlaps(words)
-        size = np.array([len(w) for w in words])
-        ok = shared >= THRESHOLD * (size[:, None] + size[None, :] - shared) - 1e-9
-        np.fill_diagonal(ok, False)
-        order = np.lexsort((g["line"], g["rid"]))  # the earliest partner is the first in this order
-        rank = ok[:, order]
-        has = np.flatnonzero(rank.any(axis=1))
-        first = order[rank[has].argmax(axis=1)]
+        keys = np.asarray(batch.column(key))
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if held and (cut or held[-1].column(key)[0].as_py() != keys[-1]):
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        elif cut:
+            yield pa.Table.from_batches([batch.slice(0, cut)])
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _shared(words: pa.Array, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the sets in rows ``first`` and the rows behind them: how many words both have, and their sizes."""
+    both = words.take(pa.array(np.stack((first, first + 1), axis=1).ravel()))
+    _, offsets, data = both.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[both.offset : both.offset + len(both) + 1] // _BYTES
+    size = np.diff(bounds)
+    word = _unpacked(data[: int(bounds[-1]) * _BYTES])[bounds[0] :]
+    key = np.sort((np.repeat(np.arange(len(first), dtype=np.uint64), size[::2] + size[1::2]) << np.uint64(_HASH_BITS)) | word)
+    twice = key[1:][key[1:] == key[:-1]] >> np.uint64(_HASH_BITS)
+    return np.bincount(twice.astype(np.int64), minlength=len(first)), size[::2], size[1::2]
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per set that is similar to another one of its component: the first line of those sets.
+
+    Most components are two sets; these are verified side by side.
+    """
+
+    def similar(shared, size_a, size_b):
+        return shared >= THRESHOLD * (size_a + size_b - shared) - 1e-9
+
+    for rows in _whole(batches, "c"):
+        g = {c: np.asarray(rows.column(c)) for c in ("c", "rid", "line", "k1", "k2")}
+        words = pa.chunked_array([x.cast(pa.large_binary()) for x in rows.column("words").chunks]).combine_chunks()
+        cuts = np.flatnonzero(np.concatenate(([True], g["c"][1:] != g["c"][:-1], [True])))
+        sets, partners = [], []
+        twos = cuts[:-1][np.diff(cuts) == 2]
+        for lo in range(0, len(twos), _PAIRS):
+            a = twos[lo : lo + _PAIRS]
+            a = a[similar(*_shared(words, a))]
+            sets += [a, a + 1]
+            partners += [a + 1, a]
+        for at in np.flatnonzero(np.diff(cuts) > 2).tolist():
+            a, b = int(cuts[at]), int(cuts[at + 1])
+            some = [_unpacked(x) for x in words[a:b].to_pylist()]
+            size = np.array([len(w) for w in some])
+            ok = similar(overlaps(some), size[:, None], size[None, :])
+            np.fill_diagonal(ok, False)
+            order = np.lexsort((g["line"][a:b], g["rid"][a:b]))  # the earliest partner is the first in this order
+            rank = ok[:, order]
+            has = np.flatnonzero(rank.any(axis=1))
+            sets.append(a + has)
+            partners.append(a + order[rank[has].argmax(axis=1)])
+        has, first = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (sets, partners))
         if len(has):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(g["k1"][has]), pa.array(g["k2"][has]), pa.array(g["rid"][first]), pa.array(g["line"][first].astype(np.int32))],
@@ -448,16 +497,17 @@ def later_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     near = stored(near.distinct())
     place = F.struct("rid", "line")
     own = lines.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    own = own.join(near.select(F.col("k").alias("k1"), F.lit(True).alias("near")).distinct(), "k1", "left")
+    k = F.shiftleft("k1", _SPARE)
+    own = own.withColumn("k", k).join(near.select("k", F.lit(True).alias("near")).distinct(), "k", "left").drop("k")
     own = stored(own.where("n > 1 OR near"))  # sets that more than one line has, or that are near another one
     wanted = own.where("near").select("k1", "k2", "first.*")
     texts = stored(wanted.groupBy("rid").agg(F.collect_set("line").alias("wanted")))
     texts = small(texts, 1_000_000, F.size("wanted") + 2)  # few numbers: texts stay put
     words = docs.join(texts, "rid").select("rid", "text", "wanted").mapInArrow(_payload(levels, least), f"{LINE}, words binary")
-    # Dealt by k1 once, for the grouping and for the join. A repeated id may bring a set's line in more than once.
-    words = words.repartition("k1").groupBy("k1", "k2").agg(F.min(place).alias("p"), F.first("words").alias("words"))
-    words = words.select("k1", "k2", "p.*", "words")
-    similar = near.join(words, F.col("k") == F.col("k1")).drop("k").repartition("c").sortWithinPartitions("c").mapInArrow(_verified, LINE)
+    # Dealt by k once, for the grouping and for the join. A repeated id may bring a set's line in more than once.
+    words = words.withColumn("k", k).repartition("k").groupBy("k", "k1", "k2").agg(F.min(place).alias("p"), F.first("words").alias("words"))
+    words = words.select("k", "k1", "k2", "p.*", "words")
+    similar = near.join(words, "k").drop("k").repartition("c").sortWithinPartitions("c").mapInArrow(_verified, LINE)
     other = similar.groupBy("k1", "k2").agg(F.min(place).alias("other"))
     first = own.join(other, ["k1", "k2"], "left").where("n > 1 OR other IS NOT NULL")
     first = small(stored(first.select("k1", "k2", F.least("first", "other").alias("first"))), 500_000)

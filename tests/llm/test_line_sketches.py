@@ -59,3 +59,23 @@ def test_long_lines_against_brute_force(spark):
     rows = [(i, "\n".join(" ".join(s) for s in rng.sample(lines, 3))) for i in range(80)]
     got = {r["rid"]: r["removed"] for r in line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
     assert got == brute.removed_lines(rows)
+
+
+def test_verified_whatever_the_batches():
+    """Components of one, two and more sets, cut into batches anywhere."""
+    rng = random.Random(6)
+    rows, want = [], set()
+    for c in range(60):
+        base = rng.sample(range(1 << 38), 40)
+        sets = [set(base[rng.randrange(9) :]) for _ in range(rng.choice((1, 2, 2, 2, 3, 5)))]
+        mine = [(c, 1000 * c + i, i, rng.randrange(1000), rng.randrange(9), x) for i, x in enumerate(sets)]
+        for a in mine:
+            near = [b for b in mine if a is not b and len(a[5] & b[5]) >= 0.8 * len(a[5] | b[5])]
+            want |= {(a[1], a[2], *min(b[3:5] for b in near))} if near else set()
+        rows += mine
+    packed = [b"".join(w.to_bytes(5, "little") for w in sorted(r[5])) for r in rows]
+    names, kinds = ["c", "k1", "k2", "rid", "line"], [pa.int64()] * 4 + [pa.int32()]
+    table = pa.Table.from_arrays([*(pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)), pa.array(packed, pa.binary())], names=[*names, "words"])
+    for most in (1, 2, 3, 7, 1000):
+        got = [tuple(r.values()) for b in line_dedup._verified(iter(table.to_batches(most))) for r in b.to_pylist()]
+        assert len(got) == len(set(got)) and set(got) == want
